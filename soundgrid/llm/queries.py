@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soundgrid.llm import language, mixing, quality, sharding, tokens, toxicity
+from soundgrid.llm import language, mixing, near_duplicates, quality, sharding, tokens, toxicity
 from soundgrid.llm.common import fold
 
 
@@ -39,6 +39,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), percent=75)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mixed(docs.select("source", "doc_id", mixing.word_count("text").alias("size"))).select("doc_id", "size", "source_size", "target", "taken")
@@ -59,5 +63,5 @@ def op10_tokens(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_quality, op4_language, op5_sharding, op7_mixing, op9_toxicity, op10_tokens)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_quality, op4_language, op5_sharding, op6_near_duplicates, op7_mixing, op9_toxicity, op10_tokens)}
 ORACLES: dict[str, str] = {}
