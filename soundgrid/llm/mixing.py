@@ -18,27 +18,34 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """Targets of ``sizes(source, source_size)``: ``share`` of all sizes dealt by weight, each at most ``cap`` times its source.
+def level_targets(sources: DataFrame, share: float, cap: str) -> DataFrame:
+    """Deal ``share`` of all sizes to ``sources(source, source_size, weight)`` by weight, at most ``cap`` to each.
 
-    Sources in code-point order, null last, take ``weights`` in turn. What a capped source can't take goes to
-    the others by weight, until none is above its cap: the level at which caps and shares meet is found
-    from running sums over the sources in the order in which they would reach their caps. Adds ``source_no``,
-    ``weight`` and ``target``. A source without words has target 0.
+    What a capped source can't take goes to the others by weight, until none is above its cap: the level at which caps
+    and shares meet is found from running sums over the sources in the order in which they would reach their caps.
+    Adds ``source_no`` (by code point, null last) and ``target``, drops ``cap``. One row a source: few enough for one task's window.
     """
     everything = Window.partitionBy()
-    numbered = sizes.withColumn("source_no", F.row_number().over(everything.orderBy(F.asc_nulls_last("source"))) - 1)
-    cycle = F.array(*(F.lit(float(w)) for w in weights))
-    weighed = numbered.withColumn("weight", F.get(cycle, F.col("source_no") % len(weights))).withColumn("_cap", F.col("source_size") * F.lit(cap))
-    filling = everything.orderBy(F.col("_cap") / F.col("weight"), "source_no")
+    numbered = sources.withColumn("source_no", F.row_number().over(everything.orderBy(F.asc_nulls_last("source"))) - 1)
+    filling = everything.orderBy(F.col(cap) / F.col("weight"), "source_no")
     before = filling.rowsBetween(Window.unboundedPreceding, -1)
     rest = filling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(everything) * F.lit(share) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / F.sum("weight").over(rest)
-    levelled = weighed.withColumn("_level", level).withColumn("_turn", F.row_number().over(filling))
-    open_turn = F.when(F.col("_level") * F.col("weight") <= F.col("_cap"), F.col("_turn"))
+    level = (F.sum("source_size").over(everything) * F.lit(share) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))) / F.sum("weight").over(rest)
+    levelled = numbered.withColumn("_level", level).withColumn("_turn", F.row_number().over(filling))
+    open_turn = F.when(F.col("_level") * F.col("weight") <= F.col(cap), F.col("_turn"))
     met = F.min_by("_level", open_turn).over(everything)
-    target = F.least(F.col("_cap"), F.coalesce(F.greatest(met, F.lit(0.0)) * F.col("weight"), F.col("_cap")))
-    return levelled.withColumn("target", target).drop("_cap", "_level", "_turn")
+    target = F.least(F.col(cap).cast("double"), F.coalesce(F.greatest(met, F.lit(0.0)) * F.col("weight"), F.col(cap).cast("double")))
+    return levelled.withColumn("target", target).drop(cap, "_level", "_turn")
+
+
+def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """Targets of ``sizes(source, source_size)``: ``share`` of all sizes dealt by weight, each at most ``cap`` times its source.
+
+    Sources in code-point order, null last, take ``weights`` in turn. A source without words has target 0.
+    """
+    turn = F.row_number().over(Window.partitionBy().orderBy(F.asc_nulls_last("source"))) - 1
+    weighed = sizes.withColumn("weight", F.get(F.array(*(F.lit(float(w)) for w in weights)), turn % len(weights)))
+    return level_targets(weighed.withColumn("_cap", F.col("source_size") * F.lit(cap)), share, "_cap")
 
 
 def block_schedule(targets: DataFrame, block_words: int = 4096, chunk: int = 1 << 16) -> tuple[DataFrame, int]:

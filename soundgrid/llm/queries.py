@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soundgrid.llm import language, mixing, near_duplicates, quality, sharding, tokens, toxicity
+from soundgrid.llm import decontamination, language, licenses, mixing, near_duplicates, neighbours, quality, sharding, tokens, toxicity
 from soundgrid.llm.common import fold
 
 
@@ -19,6 +19,15 @@ def held_out(folds: int, left_out: int) -> F.Column:
     return F.coalesce(fold(F.col("doc_id"), folds) == left_out, F.lit(False)).alias("held_out")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -48,6 +57,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs.select("source", "doc_id", mixing.word_count("text").alias("size"))).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -63,5 +76,5 @@ def op10_tokens(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_quality, op4_language, op5_sharding, op6_near_duplicates, op7_mixing, op9_toxicity, op10_tokens)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_neighbours, op2_licenses, op3_quality, op4_language, op5_sharding, op6_near_duplicates, op7_mixing, op8_decontamination, op9_toxicity, op10_tokens)}
 ORACLES: dict[str, str] = {}
