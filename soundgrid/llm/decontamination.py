@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from soundgrid.llm.common import WORD
 from soundgrid.llm.words import mix, row_groups, text_bytes, word_hashes
+from soundgrid.shipping import mapped
 
 #: Fixed masks over word positions: 1 is compared, 0 is ignored. Short items are met by the first, which ignores none.
 MASKS = ("111111", "11011011", "1101001011", "1011000100111")
@@ -137,7 +138,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float
                 columns = [pa.array([f[2][k] for f in found], pa.int32()) for k in range(3)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array([known.ids[f[1]] for f in found], pa.int64()), *columns], ["doc_id", "item_id", "first_word", "n_words", "n_same"])
 
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, item_id long, first_word int, n_words int, n_same int"))
+        out = out.unionByName(mapped(docs.select("doc_id", "text"), run, f"doc_id {kind}, item_id long, first_word int, n_words int, n_same int"))
     return out
 
 
@@ -152,5 +153,5 @@ def without_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float =
                 clean[[f[0] for f in _overlaps(table.value, batch.column(at), similarity, least)]] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = mapped(docs, run, docs.schema)
     return docs

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soundgrid.llm.common import bounded_sample, fold
+from soundgrid.shipping import mapped
 
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}").search
@@ -126,7 +127,7 @@ def document_frequencies(docs: DataFrame, bits: int, text: str = "text") -> tupl
         own = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *own], pa.int32()), pa.array([texts, *count[own]], pa.int64())], ["gram", "n"])
 
-    found = docs.select(text).mapInArrow(sums, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    found = mapped(docs.select(text), sums, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
     count = np.zeros((1 << bits) + 1, np.int64)
     count[found["gram"].to_numpy()] = found["n"].to_numpy()  # the texts' own number comes last
     return count[:-1], int(count[-1])
@@ -162,4 +163,4 @@ def languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> Data
             columns = [*batch.columns[:at], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_score"])
 
-    return docs.mapInArrow(predict, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), "lang_pred string", "lang_score double"]))
+    return mapped(docs, predict, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), "lang_pred string", "lang_score double"]))

@@ -11,6 +11,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from soundgrid.shipping import mapped
+
 # Short public wordings of common licenses, and the words of each that must stand unchanged.
 TEMPLATES = {
     "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "apache 2.0"),
@@ -128,4 +130,4 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLA
             kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["doc_id", "line", "license", "bytes_saved", "n_differences", "wording"])
 
-    return hit.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, line int, license string, bytes_saved int, n_differences int, wording string")
+    return mapped(hit, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, line int, license string, bytes_saved int, n_differences int, wording string")

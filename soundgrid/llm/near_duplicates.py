@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from soundgrid.llm.common import written
 from soundgrid.llm.components import components
 from soundgrid.llm.words import mix, row_groups, shingles, text_bytes, word_hashes
+from soundgrid.shipping import mapped
 
 REGISTERS = 128
 #: Registers of one band. Two sets of similarity 0.75 share none of 32 bands with a probability of 5e-6.
@@ -84,7 +85,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
                     sketches.append(registers(own).tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], ["doc_id", "set_key", "n_shingles", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, set_key binary, n_shingles long, sketch binary")
+    return mapped(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, set_key binary, n_shingles long, sketch binary")
 
 
 def _banded(classes: DataFrame) -> DataFrame:
@@ -97,7 +98,7 @@ def _banded(classes: DataFrame) -> DataFrame:
             key = mix(mix(sketches.view(np.uint64)[:, :, 0]) ^ order).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), key.shape[1])), pa.array(key.ravel())], ["node", "key"])
 
-    return classes.select("node", "sketch").mapInArrow(run, "node long, key long")
+    return mapped(classes.select("node", "sketch"), run, "node long, key long")
 
 
 def _with_bits(classes: DataFrame) -> DataFrame:
@@ -112,7 +113,7 @@ def _with_bits(classes: DataFrame) -> DataFrame:
             packed = np.packbits(np.concatenate([two & np.uint64(1), two >> np.uint64(1) & np.uint64(1)], axis=1).astype(bool), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(np.arange(len(packed) + 1, dtype=np.int32) * 4), pa.array(packed.ravel()))], [*batch.schema.names, "bits"])
 
-    return classes.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in classes.schema), "bits array<long>"]))
+    return mapped(classes, run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in classes.schema), "bits array<long>"]))
 
 
 def _close(x: str, y: str, percent: int) -> F.Column:
@@ -135,7 +136,7 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
                 table = pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found)], ["a", "b", "similarity"])
                 yield table.filter(pa.array(fits))
 
-    return joined.mapInArrow(run, "a long, b long, similarity double")
+    return mapped(joined, run, "a long, b long, similarity double")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -157,7 +158,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     keep.append(both > 0 and both * 100 >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, "a long, b long")
+    return mapped(joined, run, "a long, b long")
 
 
 def _best(pairs: DataFrame, of: str, n: int) -> DataFrame:
@@ -246,4 +247,4 @@ def _texts(docs: DataFrame, active: DataFrame) -> DataFrame:
             keep = [a == b for a, b in zip(keys, batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], ["node", "text"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, "node long, text string").groupBy("node").agg(F.min("text").alias("text"))
+    return mapped(joined, run, "node long, text string").groupBy("node").agg(F.min("text").alias("text"))

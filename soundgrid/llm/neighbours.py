@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from soundgrid.llm.common import written
+from soundgrid.shipping import mapped
 
 
 def rotation(dim: int, seed: int) -> np.ndarray:
@@ -47,7 +48,7 @@ def index(vectors: DataFrame, centre: np.ndarray, seed: int, block: int) -> Data
                 packed = (part.column(0).to_numpy(), np.packbits(turned > 0, axis=1), length, np.where(length > 0, factor, 1.0), x)
                 yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in packed], ["ids", "codes", "lengths", "factors", "vectors"])
 
-    return vectors.mapInArrow(run, "ids binary, codes binary, lengths binary, factors binary, vectors binary")
+    return mapped(vectors, run, "ids binary, codes binary, lengths binary, factors binary, vectors binary")
 
 
 def search_block(queries: np.ndarray, query_ids: np.ndarray, centre: np.ndarray, turn: np.ndarray, ids: np.ndarray, codes: np.ndarray, length: np.ndarray, factor: np.ndarray, x: np.ndarray, k: int, epsilon: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,6 +133,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 47,
                 at, near, score = search_block(q, query_ids, centre, turn.value, ids, own, length, factor, x, k, epsilon)
                 yield pa.RecordBatch.from_arrays([pa.array(query_ids[at]), pa.array(near), pa.array(score)], ["query_id", "vec_id", "score"])
 
-    found = meetings.mapInArrow(run, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    found = mapped(meetings, run, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from soundgrid.llm.common import bounded_sample, fold
 from soundgrid.llm.words import row_groups, shingles, text_bytes, word_hashes
+from soundgrid.shipping import mapped
 
 _CLASSES = np.zeros((256, 7), bool)
 _CLASSES[ord("A") : ord("Z") + 1, 0] = 1
@@ -183,7 +184,7 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
             made = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], made], batch.schema.names)
 
-    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), "quality_features array<double>"]))
+    return mapped(docs, run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), "quality_features array<double>"]))
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = 20_000, folds: int = 5, seed: int = 37, **options) -> AdditiveModel:
@@ -216,4 +217,4 @@ def quality(docs: DataFrame, model: AdditiveModel, text: str = "text") -> DataFr
             own = shared.value.scores(features(batch.column(at)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(own, pa.float64())], batch.schema.names)
 
-    return docs.mapInArrow(score, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), "quality_score double"]))
+    return mapped(docs, score, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), "quality_score double"]))

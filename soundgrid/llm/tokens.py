@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from soundgrid.shipping import mapped
+
 #: How byte-level BPE cuts a text before it merges bytes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of a worker's table of words; it is emptied when full.
@@ -175,7 +177,7 @@ def prefix_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "n_tokens"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema), "token_steps binary", "n_tokens long"])
-    return read.mapInArrow(count, schema)
+    return mapped(read, count, schema)
 
 
 def tokens_at(steps: str | Column, characters: str | Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soundgrid.llm.common import bounded_sample, fold
+from soundgrid.shipping import mapped
 
 #: Matches of six bytes or more and literals as they are, so that a known word shows in a window's length by all its bytes.
 _PARAMETERS = {"strategy": zstandard.STRATEGY_FAST, "target_length": 1, "min_match": 6, "hash_log": 18, "chain_log": 6, "search_log": 1, "window_log": 18, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
@@ -164,4 +165,4 @@ def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataF
             own = shared.value.scores(batch.column(batch.schema.get_field_index(text)).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.float64())], [*batch.schema.names, "toxicity_score"])
 
-    return docs.mapInArrow(score, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "toxicity_score double"]))
+    return mapped(docs, score, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "toxicity_score double"]))
