@@ -71,13 +71,13 @@ class TemplateScan:
         self.plain = zstandard.ZstdCompressor(compression_params=parameters).compress
         self.given = {k: zstandard.ZstdCompressor(compression_params=parameters, dict_data=zstandard.ZstdCompressionDict((" " + " ".join(w) + " ").encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)).compress for k, w in self.templates.items()}
 
-    def scan(self, block: list[str], worst: float, candidates: int) -> list[tuple[str, int, int]]:
+    def scan(self, block: list[str], worst: float) -> list[tuple[str, int, int]]:
         """``license, bytes saved, words that differ`` of the confirmed templates, most saved first; of those on one stretch the closest."""
         data = (" " + " ".join(block) + " ").encode()
         length = len(self.plain(data))
         saved = sorted(((length - len(c(data)), k) for k, c in self.given.items()), key=lambda x: (-x[0], x[1]))
         own, found = set(block), []
-        for gain, k in [s for s in saved if s[0] > 0][:candidates]:
+        for gain, k in (s for s in saved if s[0] > 0):
             n, a, b = differences(block, self.templates[k])
             if n <= worst * len(self.templates[k]) and self.must[k] <= set(block[a:b]) & own:
                 found.append((k, gain, n, a, b))
@@ -88,12 +88,12 @@ class TemplateScan:
         return [f[:3] for f in sorted(kept, key=lambda f: (-f[1], f[0]))]
 
 
-def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLATES, worst: float = 0.15, reach: int = 48, candidates: int = 8) -> DataFrame:
+def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLATES, worst: float = 0.15, reach: int = 48) -> DataFrame:
     """License statements in ``docs(doc_id, text)``: ``doc_id, line, license, bytes_saved, n_differences, wording``.
 
     Candidate blocks are lines with a cue, cut to ``reach`` words around each cue (stretches that meet are one block). A block is compressed alone and
-    with each template as its raw-content dictionary; templates are ranked by the bytes saved, and the first ``candidates`` are
-    confirmed by the block's exact words: at most ``worst`` of the template's words may differ, and its telling words (names, versions)
+    with each template as its raw-content dictionary; templates that save bytes are ranked by how many, and each is confirmed
+    by the block's exact words: at most ``worst`` of the template's words may differ, and its telling words (names, versions)
     must all be there. Of templates confirmed on the same words the closest counts. ``line`` counts from 0. Null and empty texts and empty tables have no
     statements, repeated rows repeat theirs, other columns aren't read, texts are read whole.
     """
@@ -123,7 +123,7 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLA
                 for n, line in enumerate(text.split("\n")):
                     if cue.search(line):
                         for block in blocks(line):
-                            for k, gain, differ in scan.scan(block, worst, candidates):
+                            for k, gain, differ in scan.scan(block, worst):
                                 at.append(i)
                                 out.append((n, k, gain, differ, " ".join(block)))
             columns = list(zip(*out)) or [()] * 5

@@ -18,7 +18,9 @@ from soundgrid.shipping import mapped
 
 #: Matches of six bytes or more and literals as they are, so that a known word shows in a window's length by all its bytes.
 _PARAMETERS = {"strategy": zstandard.STRATEGY_FAST, "target_length": 1, "min_match": 6, "hash_log": 18, "chain_log": 6, "search_log": 1, "window_log": 18, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
-FEATURES = 4
+#: Follows every window, so that none is stored as it is for being too little compressible, which would hide what a dictionary saves.
+_PAD = b"\n" * 96
+FEATURES = 6
 
 
 def words(text: str) -> list[bytes]:
@@ -38,10 +40,14 @@ def windows(text: str, size: int) -> Iterator[bytes]:
 
 @dataclass
 class ToxicityModel:
-    """Two dictionaries over one base: what ordinary text has, and that with what only toxic text has; and the calibration."""
+    """Dictionaries over one base, and the calibration.
+
+    ``ordinary`` is what ordinary text has. ``toxic`` holds two additions to it: what only toxic texts spell, and what only toxic
+    texts have as words, though its spelling also runs through ordinary ones.
+    """
 
     ordinary: bytes
-    toxic: bytes
+    toxic: tuple[bytes, bytes]
     weights: np.ndarray
     window: int
     base_rate: float
@@ -52,24 +58,25 @@ class ToxicityModel:
     @cached_property
     def compressors(self) -> tuple:
         made = []
-        for content in (self.ordinary, self.ordinary + self.toxic):
+        for content in (self.ordinary, *(self.ordinary + t for t in self.toxic)):
             parameters = zstandard.ZstdCompressionParameters(**_PARAMETERS)
             dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             made.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters).compress)
         return tuple(made)
 
-    def gains(self, text: str) -> list[int]:
-        """Bytes that the toxic dictionary saves over the ordinary one, window by window."""
-        plain, toxic = self.compressors
-        return [len(plain(w)) - len(toxic(w)) for w in windows(text, self.window)]
+    def gains(self, text: str) -> list[tuple[int, int]]:
+        """Bytes that either toxic dictionary saves over the ordinary one, window by window."""
+        plain, clear, mixed = self.compressors
+        return [((n := len(plain(w + _PAD))) - len(clear(w + _PAD)), n - len(mixed(w + _PAD))) for w in windows(text, self.window)]
 
     def features(self, text: str | None) -> list[float]:
-        gains = sorted(self.gains(text or ""), reverse=True) if self.toxic else []
-        top, second = (gains + [0, 0])[:2] if gains else (0, 0)
-        return [top, max(second, 0), float(np.sqrt(sum(g for g in gains if g > 2))), float(np.log1p(len(gains)))]
+        gains = self.gains(text or "")
+        clear, mixed = (sorted((g[k] for g in gains), reverse=True) + [0, 0] for k in (0, 1))
+        strength = lambda values: float(np.sqrt(sum(g for g in values if g > 2)))
+        return [clear[0], max(clear[1], 0), strength(clear), mixed[0], strength(mixed), float(np.log1p(len(gains)))]
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        if not self.toxic:
+        if not any(self.toxic):
             return np.full(len(texts), self.base_rate)
         x = np.array([self.features(t) for t in texts], float).reshape(-1, FEATURES)
         return 1 / (1 + np.exp(-np.clip(np.column_stack([x, np.ones(len(x))]) @ self.weights, -30, 30)))
@@ -88,18 +95,19 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.
     return w
 
 
-def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window: int = 192, base_bytes: int = 1 << 16, toxic_bytes: int = 2048, contexts: int = 5) -> ToxicityModel:
+def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window: int = 128, base_bytes: int = 1 << 16, toxic_bytes: int = 2048, contexts: int = 4) -> ToxicityModel:
     """Train both dictionaries and calibrate.
 
     The ordinary dictionary is zstandard's, trained on windows of ordinary texts. Toxic texts are ordinary but for some
-    words, so the toxic dictionary is trained on what sets them apart: on each toxic text's words that stand
+    words, so the toxic dictionaries are trained on what sets them apart: on each toxic text's words that stand
     after ``contexts`` different words at least over all toxic texts (which copies of one text don't reach) and are
-    twenty times rarer in ordinary texts. It is added to the ordinary one, so a window without such words has
-    the same length under both. ``rates`` are all labelled rows over those in the sample, ordinary and toxic: they
+    twenty times rarer in ordinary texts. Words of which no six bytes run through a thousandth of the ordinary texts make the
+    first toxic dictionary, the others the second. Both are added to the ordinary one, so a window without such words
+    has the same length under all. ``rates`` are all labelled rows over those in the sample, ordinary and toxic: they
     bring the calibration back to the labels' own proportions.
     """
     base_rate = float(rates[1] * toxic.sum() / max(rates[0] * (toxic == 0).sum() + rates[1] * toxic.sum(), 1e-9))
-    nothing = ToxicityModel(b"", b"", np.zeros(FEATURES + 1), window, base_rate)
+    nothing = ToxicityModel(b"", (b"", b""), np.zeros(FEATURES + 1), window, base_rate)
     if not toxic.any() or toxic.all():
         return nothing
     plain, marked = Counter(), Counter()
@@ -116,9 +124,16 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window:
                     before[b].add(a)
             residues.append([w for w in own if w in rare])
     telling = {w for w, a in before.items() if len(a) >= contexts and plain[w] * 20 < len(a)}
-    residues = [b" " + b"  ".join(kept) + b" " for own in residues if (kept := [w for w in own if w in telling])]
+    pieces = lambda w: {(w := b" " + w + b" ")[i : i + 6] for i in range(max(len(w) - 5, 1))}
+    spelled = dict.fromkeys((p for w in telling for p in pieces(w)), 0)
+    for w, n in plain.items():
+        for p in pieces(w):
+            if p in spelled:
+                spelled[p] += n
+    shared = {w for w in telling if max(spelled[p] for p in pieces(w)) * 1000 > (toxic == 0).sum()}
+    samples = [[b" " + b"  ".join(kept) + b" " for own in residues if (kept := [w for w in own if w in some])] for some in (telling - shared, shared)]
     ordinary = [w for t, label in zip(texts, toxic) if not label for w in windows(t, 256)]
-    if not residues or not ordinary:
+    if not any(samples) or not ordinary:
         return nothing
 
     def trained(samples: list[bytes], size: int, k: int, d: int) -> bytes:
@@ -127,7 +142,7 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window:
         except zstandard.ZstdError:
             return b"".join(samples)[-size:]
 
-    model = ToxicityModel(trained(ordinary, base_bytes, 256, 8), trained(residues, toxic_bytes, 24, 6), np.zeros(FEATURES + 1), window, base_rate)
+    model = ToxicityModel(trained(ordinary, base_bytes, 256, 8), tuple(trained(own, toxic_bytes, 24, 6) for own in samples), np.zeros(FEATURES + 1), window, base_rate)
     x = np.array([model.features(t) for t in texts], float)
     model.weights = logistic(x, toxic.astype(float), np.where(toxic, rates[1], rates[0]))
     return model
