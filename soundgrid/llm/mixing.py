@@ -27,10 +27,11 @@ def level_targets(sources: DataFrame, share: float, cap: str) -> DataFrame:
     """
     everything = Window.partitionBy()
     numbered = sources.withColumn("source_no", F.row_number().over(everything.orderBy(F.asc_nulls_last("source"))) - 1)
-    filling = everything.orderBy(F.col(cap) / F.col("weight"), "source_no")
+    filling = everything.orderBy(F.try_divide(F.col(cap).cast("double"), F.col("weight")), "source_no")
     before = filling.rowsBetween(Window.unboundedPreceding, -1)
     rest = filling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(everything) * F.lit(share) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))) / F.sum("weight").over(rest)
+    left = F.sum("source_size").over(everything) * F.lit(share) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))
+    level = F.try_divide(left, F.sum("weight").over(rest))
     levelled = numbered.withColumn("_level", level).withColumn("_turn", F.row_number().over(filling))
     open_turn = F.when(F.col("_level") * F.col("weight") <= F.col(cap), F.col("_turn"))
     met = F.min_by("_level", open_turn).over(everything)
