@@ -19,7 +19,7 @@ REGISTERS = 128
 #: Registers of one band. Two sets of similarity 0.75 share none of 32 bands with a probability of 5e-6.
 BAND = 4
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
-_SALTS = mix(np.arange(1, REGISTERS // 2 + 1, dtype=np.uint64))
+_SALTS = mix(np.arange(REGISTERS // 2, dtype=np.uint64) + np.uint64(0x5E75E7C4))
 #: So many of a pair's 256 register bits differ, at most, at similarity 0.75 or more, but for one pair in over a million.
 MOST_BITS = 64
 #: A pair is dropped unverified if its likelihood at the threshold is below the greatest one by e to this power (five standard deviations).
@@ -139,26 +139,39 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     return mapped(joined, run, "a long, b long, similarity double")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` of the pairs whose full shingle sets have the similarity."""
+def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``a, b, linked, common, size_b, novel, missing`` of each pair, from both full shingle sets.
+
+    ``common`` is the size of both sets' intersection, ``novel`` has 32 bits of each shingle of ``a`` that ``b`` hasn't, and
+    ``missing`` marks in 512 bits the shingles of ``b`` that ``a`` hasn't.
+    """
     side = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
     joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
 
+    def sets(column: pa.Array) -> list[np.ndarray]:
+        return [own for group in row_groups(column) for own in shingles(*(lambda h: (h[0], h[3]))(word_hashes(*text_bytes(group))))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for i in range(0, len(batch), 256):
-                part = batch.slice(i, 256)
-                sets = []
-                for k in (2, 3):
-                    own = [s for group in row_groups(part.column(k)) for s in shingles(*(lambda h: (h[0], h[3]))(word_hashes(*text_bytes(group))))]
-                    sets.append(own)
-                for x, y in zip(*sets):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(both > 0 and both * 100 >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for part in (batch.slice(i, 256) for i in range(0, len(batch), 256)):
+                linked, common, size, novel, marks = [], [], [], [], np.zeros((len(part), 512), bool)
+                for i, (x, y) in enumerate(zip(sets(part.column(2)), sets(part.column(3)))):
+                    both = np.intersect1d(x, y, assume_unique=True)
+                    common.append(len(both))
+                    size.append(len(y))
+                    marks[i, (np.setdiff1d(y, both, assume_unique=True) & np.uint64(511)).astype(np.int64)] = True
+                    linked.append(len(both) > 0 and len(both) * 100 >= percent * (len(x) + len(y) - len(both)))
+                    novel.append(np.setdiff1d(x, both, assume_unique=True).astype(np.uint32).view(np.int32))
+                missing = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * 8), pa.array(np.packbits(marks, axis=1).view(np.int64).ravel()))
+                columns = [pa.array(linked, pa.bool_()), pa.array(common, pa.int64()), pa.array(size, pa.int64()), pa.array(novel, pa.list_(pa.int32())), missing]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["a", "b", "linked", "common", "size_b", "novel", "missing"])
+
+    return mapped(joined, run, "a long, b long, linked boolean, common long, size_b long, novel array<int>, missing array<long>")
+
 
-    return mapped(joined, run, "a long, b long")
+def _within_reach(common: F.Column, shared: F.Column, size: F.Column, other: F.Column, percent: int) -> F.Column:
+    """Whether a set of ``size`` can have the similarity with one of size ``other``, if they share ``common + shared`` shingles at most."""
+    return (common + shared) * (100 + percent) >= (size + other) * percent
 
 
 def _best(pairs: DataFrame, of: str, n: int) -> DataFrame:
@@ -177,10 +190,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Equal sets are one node from the start. Nodes that share a band of registers are candidates. All pairs of a
     bucket are never made; links are sought in three rounds, and in each only between nodes that the rounds before left in
-    different groups: each node with the best of its buckets' smallest nodes; each node with its buckets' hubs, the nodes
-    with most links; and at last every remaining pair that register bits, sizes and the joint likelihood allow.
-    A pair left out is either in one group already or too unlikely by those bounds, so groups are those of all links. Every
-    link is confirmed on both full sets.
+    different groups: each node with the likeliest of its buckets' smallest nodes; each node with its buckets' hubs, the nodes
+    with most links; and at last every pair that may still be a link. What two nodes have in common is in the hub or not: of the
+    hub they share no more than either has of it, and of the rest no more than either's shingles that some other node compared
+    with that hub has, too. Nodes and then pairs that fall short by that, or by sizes, by register bits or by the joint likelihood of
+    their registers, are ruled out. So groups are those of all links, and every link is confirmed on both full sets.
     """
     sketched = written(_sketched(docs), "sketches")
     classes = sketched.filter(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
@@ -193,31 +207,41 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     texts = written(_texts(docs, active), "texts")
 
     star = buckets.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    bits = active.select("node", "n_shingles", "bits")
-    tried = written(_best(_plausible(star, active, percent), "a", 1).select("a", "b"), "tried")
-    links = written(_verified(tried, texts, percent), "links")
+    likeliest = _best(_plausible(star, active, percent), "a", 1)
+    links = written(_compared(likeliest, texts, percent).filter("linked").select("a", "b"), "links")
     labels = components(links)
 
-    mixed = _mixed(buckets.select("key", "node"), labels)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    mixed = mixed.join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-    hub = F.max(F.struct("degree", "node", "label")).over(same)
-    hubs = mixed.withColumn("hub", hub).filter("label <> hub.label").select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = written(_best(_plausible(hubs, active, percent), "a", 2).select("a", "b"), "tried")
-    links = written(links.unionByName(_verified(more, texts, percent)), "links")
-    tried = tried.unionByName(more)
+    known = active.select("node", "n_shingles", "bits").join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    mixed = _mixed(buckets.select("key", "node"), labels).drop("label").join(known, "node")
+    mixed = written(mixed.withColumn("hub", F.max(F.struct("degree", "node")).over(same)), "mixed")
+    near_hub = mixed.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).filter("a <> b").distinct()
+    profiles = written(_compared(near_hub, texts, percent), "profiles")
+    links = written(links.unionByName(profiles.filter("linked").select("a", "b")), "links")
     labels = components(links)
 
-    mixed = written(_mixed(buckets.select("key", "node"), labels).join(bits, "node"), "mixed")
-    main = mixed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    minor = mixed.join(main, "key").filter("label <> main").alias("x")
-    rest = mixed.join(main, "key").alias("y")
+    mixed = mixed.select("key", "node", "n_shingles", "bits", F.col("hub.node").alias("hub")).filter("node <> hub")
+    mixed = written(_mixed(mixed, labels), "mixed")
+    left = profiles.withColumnsRenamed({"a": "node", "b": "hub"}).join(mixed.select("node", "hub").distinct(), ["node", "hub"], "left_semi")
+    novel = left.select("node", "hub", F.explode("novel").alias("shingle")).select("node", "hub", F.xxhash64("hub", "shingle").alias("of_hub"))
+    elsewhere = novel.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("of_hub"))).filter("n > 1")
+    shared = elsewhere.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("shared"))
+    profile = left.select("node", "hub", "common", "size_b", "missing").join(shared, ["node", "hub"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
+    able = mixed.join(profile, ["node", "hub"]).withColumn("_least", F.min("n_shingles").over(same))
+    able = able.filter(_within_reach(F.col("common"), F.col("shared"), F.col("n_shingles"), F.greatest(F.col("_least"), F.ceil(F.col("n_shingles") * percent / 100)), percent))
+    low, high = F.min("label").over(same), F.max("label").over(same)
+    able = written(able.withColumn("_low", low).withColumn("_high", high).filter("_low <> _high").drop("_low", "_high", "_least"), "able")
+    main = able.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+    labelled = able.join(main, "key")
+    minor, rest = labelled.filter("label <> main").alias("x"), labelled.alias("y")
     once = (F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    pairs = minor.join(rest, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once & _close("x", "y", percent))
+    # Of the hub, both miss at least as many shingles as either one's bits show.
+    missed = sum((F.bit_count(F.col("x.missing")[i].bitwiseOR(F.col("y.missing")[i])) for i in range(8)), F.lit(0))
+    reach = _within_reach(F.least("x.common", "y.common", F.col("x.size_b") - missed), F.least("x.shared", "y.shared"), F.col("x.n_shingles"), F.col("y.n_shingles"), percent)
+    pairs = minor.join(rest, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once & reach & _close("x", "y", percent))
     pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    seen = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    last = _plausible(pairs.join(seen, ["a", "b"], "left_anti"), active, percent)
-    labels = components(written(links.unionByName(_verified(last, texts, percent)), "links"))
+    last = _compared(_plausible(pairs, active, percent), texts, percent)
+    labels = components(written(links.unionByName(last.filter("linked").select("a", "b")), "links"))
 
     named = labels.join(classes.select("node", "first_id"), "node")
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
