@@ -23,9 +23,6 @@ CONTOUR_TIERS = [
     (11, [10, 20, 30, 50, 100, 200, 300, 500, 1000, 2000, 3000, 4000, 5000, 6000, 8000, 10000]),
 ]
 
-_ZERO = F.lit(0.0)
-
-
 def negate_depth(depth: Column) -> Column:
     """Positive-down depth as elevation, and back."""
     return -depth
@@ -37,7 +34,7 @@ def datum_offset(z: Column, offset: float) -> Column:
 
 def clamp_positive(z: Column) -> Column:
     """No data above the datum."""
-    return F.when(z <= _ZERO, z)
+    return F.when(z <= 0.0, z)
 
 
 def valid_range(z: Column, low: float, high: float) -> Column:
@@ -53,19 +50,19 @@ def mask_sentinels(z: Column, sentinel: float = -99999.0) -> Column:
 def value_transform(raw: Column, negate: bool, offset: float, reference: Column, positive_is_void: bool, low: float, high: float) -> Column:
     """A source's values in the chart's frame: sign, offset, reference surface where there is one, void above datum, range; in that order."""
     z = negate_depth(raw) if negate else raw
-    z = datum_offset(z, offset) - F.coalesce(reference, _ZERO)
+    z = datum_offset(z, offset) - F.coalesce(reference, F.lit(0.0))
     z = clamp_positive(z) if positive_is_void else z
     return valid_range(z, low, high)
 
 
 def land_clamp(z: Column, land: Column) -> Column:
     """Water under land is at the datum."""
-    return F.when(land & (z < _ZERO), _ZERO).otherwise(z)
+    return F.when(land & (z < 0.0), 0.0).otherwise(z)
 
 
 def lake_clear(z: Column, inland_water: Column) -> Column:
     """Ground above the datum in inland water is no data."""
-    return F.when(~(inland_water & (z > _ZERO)), z)
+    return F.when(~(inland_water & (z > 0.0)), z)
 
 
 def quantization_factor(zoom: int) -> float:
@@ -79,7 +76,7 @@ def quantize(z: Column, zoom: int) -> Column:
     cap = F.pow(F.lit(2.0), F.ceil(F.log2(relative)).cast("double"))
     step = F.least(F.lit(quantization_factor(zoom)), cap)
     up = F.ceil(z / step).cast("double") * step
-    return F.when((z < _ZERO) & (up >= _ZERO), F.lit(-LSB)).otherwise(up)
+    return F.when((z < 0.0) & (up >= 0.0), F.lit(-LSB)).otherwise(up)
 
 
 def terrarium_encode(height: Column) -> tuple[Column, Column, Column]:
@@ -102,8 +99,8 @@ def terrarium_pack(height: Column) -> tuple[Column, Column, Column]:
 def classify_pixel(z: Column, land: Column | None) -> Column:
     """0 no data or water, 1 drying ground, 2 land. Without a mask all ground above the datum is land."""
     if land is None:
-        return F.when(z > _ZERO, 2).otherwise(0)
-    return F.when(z.isNull(), 0).when((z > _ZERO) & ~land & (z <= F.lit(DRYING_CAP)), 1).when((z > _ZERO) | land, 2).otherwise(0)
+        return F.when(z > 0.0, 2).otherwise(0)
+    return F.when(z.isNull(), 0).when((z > 0.0) & ~land & (z <= F.lit(DRYING_CAP)), 1).when((z > 0.0) | land, 2).otherwise(0)
 
 
 def floored(x: Column) -> Column:
