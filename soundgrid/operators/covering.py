@@ -94,3 +94,22 @@ def deepest_ancestor(requests: DataFrame, tiles: DataFrame, keep: list[str]) ->
     there = tiles.select(F.col("z").alias("az"), F.col("x").alias("ax"), F.col("y").alias("ay"), *keep)
     found = asked.join(there, ["az", "ax", "ay"]).groupBy("z", "x", "y").agg(F.max(F.struct("az", *keep)).alias("b"))
     return requests.join(found, ["z", "x", "y"], "left").select("z", "x", "y", F.col("b.az").alias("found_z"), *(F.col(f"b.{k}").alias(k) for k in keep))
+
+
+def macrotile_map(files: DataFrame, buffer: float = 300.0) -> DataFrame:
+    """For each macrotile and source the sorted files and zooms whose widened bounds reach it."""
+    cells = cells_of(files, MACROTILE_Z, buffer).distinct()
+    return cells.groupBy(F.col("cell_x").alias("x"), F.col("cell_y").alias("y"), "source").agg(F.sort_array(F.collect_set(F.concat_ws(":", "filename", "maxzoom"))).alias("files"))
+
+
+def render_stems(stems: DataFrame) -> DataFrame:
+    """The pyramid over native stems: every stem's parents, data zoom by data zoom down to 0, as ``z, x, y, child_z``.
+
+    A stem of data zoom ``k`` hands data zoom ``k - 1`` its own tile, or that tile's parent once the tile is as large as a render tile may be. As this
+    only depends on the stem, all levels come from one explosion.
+    """
+    up = stems.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("child_z"))))
+    z = F.greatest(F.least(F.col("z"), F.col("child_z") - F.col("_k")), F.lit(0))
+    shift = F.col("z") - z
+    moved = lambda c: F.call_function("shiftright", F.col(c), shift).alias(c)
+    return up.select(z.alias("z"), moved("x"), moved("y"), (F.col("child_z") - F.col("_k")).alias("child_z")).distinct()

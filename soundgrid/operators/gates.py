@@ -41,3 +41,37 @@ def last_per_key(rows: DataFrame, keys: list[str], order: str, values: list[str]
     """The last-written values of each key."""
     best = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(order)).alias("b"))
     return best.select(*keys, *(F.col(f"b.{v}").alias(v) for v in values))
+
+
+def density(points: DataFrame, reach: float) -> DataFrame:
+    """Spacing of points: exact quartiles of the distance to the nearest other one, and how many have none within reach."""
+    from soundgrid.operators.near import nearest_neighbour
+
+    near = points.join(nearest_neighbour(points, points, reach).select("id", "distance"), "id", "left")
+    q = F.percentile("distance", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    return near.agg(F.count(F.lit(1)).alias("points"), F.count(F.when(F.col("distance").isNull(), 1)).alias("alone"), q.alias("q")).select("points", "alone", *(F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))))
+
+
+def empty_rings(shoals: DataFrame, soundings: DataFrame) -> DataFrame:
+    """Closed shoals without a sounding in them."""
+    return shoals.join(soundings.select("r", "c"), ["r", "c"], "left_anti")
+
+
+def residuals(stations: DataFrame, surface: DataFrame, keys: list[str], limit: float) -> DataFrame:
+    """Stations whose published value is off the surface by over the limit, or that it doesn't cover."""
+    met = stations.join(surface.select(*keys, F.col("value").alias("_v")), keys, "left")
+    off = F.abs(F.col("value") - F.col("_v"))
+    return met.withColumn("residual", off).filter(off.isNull() | (off > limit)).drop("_v")
+
+
+def expected_regions(found: DataFrame, expected: DataFrame, key: str, count: str, tolerance: float) -> DataFrame:
+    """Regions that are missing, unexpected, or have a count off by over the tolerance."""
+    both = found.select(key, F.col(count).alias("now")).join(expected.select(key, F.col(count).alias("due")), key, "full_outer")
+    off = F.when(F.col("now").isNull(), "missing").when(F.col("due").isNull(), "unexpected").when(F.abs(F.col("now") - F.col("due")) > F.col("due") * tolerance, "count")
+    return both.withColumn("wrong", off).filter("wrong is not null")
+
+
+def contract(rows: DataFrame, required: list[str]) -> DataFrame:
+    """For each row the required values that it lacks; rows that lack none are left out."""
+    lacks = F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in required)), lambda x: x.isNotNull())
+    return rows.withColumn("lacks", F.array_join(lacks, ",")).filter("lacks <> ''")

@@ -111,3 +111,39 @@ def dome_candidates(pixels: DataFrame, most_span: int, deep: float = -8.0) -> Da
     small = component_stats(labelled).filter(F.greatest(F.col("bottom") - F.col("top"), F.col("right") - F.col("left")) < most_span)
     rim = _rim(labelled).join(pixels, ["r", "c"], "left").groupBy("label").agg(F.max("z").alias("rim_high"), F.count("z").alias("valid"), F.count(F.lit(1)).alias("n"))
     return small.join(rim.filter((F.col("rim_high") <= deep) & (F.col("valid") * 2 >= F.col("n"))), "label").select("label", "pixels", "high", "rim_high")
+
+
+def flood_component(pixels: DataFrame, seeds: DataFrame, diagonal: bool = False) -> DataFrame:
+    """The pixels of each seed's component: ``seed, r, c`` for ``seeds(seed, r, c)`` that lie in one."""
+    labelled = label_components(pixels, diagonal)
+    owners = seeds.join(labelled, ["r", "c"]).select("seed", "label")
+    return owners.join(labelled, "label").select("seed", "r", "c")
+
+
+def resolve_seeds(pixels: DataFrame, seeds: DataFrame, reach: int = 6) -> DataFrame:
+    """Each seed's nearest pixel within ``reach``, first in row order, and its component; seeds of one component share its label."""
+    from soundgrid.operators.focal import disc
+
+    taps = F.explode(F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"), F.lit(dr * dr + dc * dc).alias("d2")) for dr, dc, _ in disc(reach))))
+    sent = seeds.withColumn("t", taps).select("seed", (F.col("r") + F.col("t.dr")).alias("r"), (F.col("c") + F.col("t.dc")).alias("c"), F.col("t.d2").alias("d2"))
+    near = sent.join(label_components(pixels), ["r", "c"]).groupBy("seed").agg(F.min(F.struct("d2", "r", "c", "label")).alias("b"))
+    return near.select("seed", "b.r", "b.c", "b.label")
+
+
+def drop_plates(pixels: DataFrame, least: int = 400, share: float = 0.1) -> DataFrame:
+    """Leave out flat plates: 4-connected pixels of one value, as many as the lesser of ``least`` and a share of all.
+
+    Equal neighbours are found by labelling each value's pixels apart: a value's rows stand on a storey of their own.
+    """
+    total = pixels.filter("z is not null").count()
+    most = max(1, min(least, int(share * total)))
+    floors = pixels.filter("z is not null").groupBy("z").agg(F.count(F.lit(1)).alias("n"), F.max("r").alias("m")).filter(F.col("n") >= most)
+    height = (pixels.agg(F.max("r") - F.min("r")).first()[0] or 0) + 2
+    from pyspark.sql import Window
+
+    storeys = floors.withColumn("storey", F.row_number().over(Window.orderBy("z")) - 1).select("z", "storey")
+    stacked = pixels.join(storeys, "z").select((F.col("r") + F.col("storey") * height).alias("r"), "c", F.col("r").alias("own_r"))
+    labelled = label_components(stacked.select("r", "c")).join(stacked, ["r", "c"])
+    plates = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= most)
+    gone = labelled.join(plates, "label", "left_semi").select(F.col("own_r").alias("r"), "c")
+    return pixels.join(gone, ["r", "c"], "left_anti")

@@ -79,3 +79,45 @@ def seam_adjacency(tiles: DataFrame) -> DataFrame:
     top = box.select(F.col("stem").alias("other"), F.col("t").alias("edge"), F.col("l").alias("l2"), F.col("r").alias("r2"))
     down = box.withColumn("edge", F.col("b")).join(top, "edge").filter("l < r2 and l2 < r").select("stem", "other", F.lit("south").alias("side"))
     return across.unionByName(down)
+
+
+def clip_box(ring: Column, left: float, bottom: float, right: float, top: float) -> Column:
+    """A ring cut to a box, side by side: points inside stay, and edges that cross a side get a point on it. Empty if nothing is left.
+
+    One fold over the four sides, whose state is the ring as cut so far, so no side's work is done twice.
+    """
+    kind = "array<struct<x: double, y: double>>"
+    none = F.array().cast(kind)
+    sides = F.array(*(F.struct(F.lit(on_x).alias("on_x"), F.lit(float(limit)).alias("limit"), F.lit(sign).alias("sign")) for on_x, limit, sign in ((True, left, 1.0), (True, right, -1.0), (False, bottom, 1.0), (False, top, -1.0))))
+
+    def cut(points: Column, side: Column) -> Column:
+        at = lambda p: F.when(side["on_x"], p["x"]).otherwise(p["y"])
+        is_in = lambda p: (at(p) - side["limit"]) * side["sign"] >= 0
+
+        def edge(e: Column) -> Column:
+            a, b = e["a"], e["b"]
+            t = (side["limit"] - at(a)) / F.nullif(at(b) - at(a), F.lit(0.0))
+            x = F.when(side["on_x"], side["limit"]).otherwise(a["x"] + t * (b["x"] - a["x"]))
+            y = F.when(side["on_x"], a["y"] + t * (b["y"] - a["y"])).otherwise(side["limit"])
+            crossing = F.when(is_in(a) != is_in(b), F.array(F.struct(x.alias("x"), y.alias("y"))).cast(kind)).otherwise(none)
+            return F.concat(crossing, F.when(is_in(b), F.array(b).cast(kind)).otherwise(none))
+
+        return F.flatten(F.transform(_pairs(points), edge)).cast(kind)
+
+    return F.aggregate(sides, ring.cast(kind), cut)
+
+
+def snapped(ring: Column, digits: int = 9) -> Column:
+    """Points on a decimal grid, without ones that repeat the point before."""
+    at = F.transform(ring, lambda p: F.struct(F.round(p["x"], digits).alias("x"), F.round(p["y"], digits).alias("y")))
+    n = F.size(at)
+    return F.filter(at, lambda p, i: (n == 1) | (p != F.element_at(at, F.pmod(i - 1 + n, n) + 1)))
+
+
+def feature_tiles(features: DataFrame, maxzoom: int) -> DataFrame:
+    """The tiles in which each feature is drawn: from its ``minzoom`` on (to its ``lastzoom``, if it has one), those that its box meets; positions in units of the world."""
+    last = F.least(F.coalesce("lastzoom", F.lit(maxzoom)), F.lit(maxzoom))
+    many = features.withColumn("z", F.explode(F.sequence(F.col("minzoom"), F.greatest(last, F.col("minzoom"))))).filter(F.col("z") <= last)
+    side = F.pow(F.lit(2.0), F.col("z").cast("double"))
+    cell = lambda v: F.least(F.greatest(F.floor(F.col(v) * side), F.lit(0)), side.cast("long") - 1).cast("int")
+    return many.withColumn("x", F.explode(F.sequence(cell("x0"), cell("x1")))).withColumn("y", F.explode(F.sequence(cell("y0"), cell("y1")))).select("id", "z", "x", "y")

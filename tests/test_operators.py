@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from soundgrid.functions import depth, tiles
-from soundgrid.operators import focal, intervals, labels, merge, near, vectors
+from soundgrid.operators import covering, datum, focal, intervals, labels, merge, near, ordered, serving, vectors
 from soundgrid.sinks import tables
 from soundgrid.sources import formats, registry
 from soundgrid.streaming import incremental
@@ -228,3 +228,77 @@ def test_a_windowed_stream_agrees_with_its_batch(spark, sf_dir, tmp_path):
     batch = incremental.windowed_counts(events, "ts", "event_type").select("start", "event_type", "n")
     live = spark.sql("SELECT start, event_type, n FROM windowed")
     assert sorted(map(tuple, batch.collect())) == sorted(map(tuple, live.collect()))
+
+
+def test_clipping_keeps_the_area_inside(spark):
+    triangle = [(0.0, 0.0), (8.0, 0.0), (0.0, 8.0)]
+    rows = spark.createDataFrame([(1, triangle), (2, [(20.0, 20.0), (21.0, 20.0), (21.0, 21.0)])], "id int, ring array<struct<x: double, y: double>>")
+    cut = rows.select("id", vectors.clip_box(F.col("ring"), 1.0, 1.0, 5.0, 9.0).alias("ring"))
+    got = {r["id"]: r["a"] for r in cut.select("id", vectors.ring_area(F.col("ring")).alias("a")).collect()}
+    assert got[1] == pytest.approx(16.0) and got[2] == 0.0
+
+
+def test_sorted_lists_match_greedily(spark):
+    a = spark.createDataFrame([("s", 1.0), ("s", 5.0), ("s", 9.0), ("t", 1.0)], "k string, p double")
+    b = spark.createDataFrame([("s", 1.4), ("s", 8.9), ("u", 2.0)], "k string, p double")
+    got = {(r["k"], r["pa"], r["pb"]) for r in ordered.match_sorted(a, b, ["k"], 0.5).collect()}
+    assert got == {("s", 1.0, 1.4), ("s", 5.0, None), ("s", 9.0, 8.9), ("t", 1.0, None), ("u", None, 2.0)}
+
+
+def test_batches_hold_whole_groups_under_the_limit(spark):
+    rows = [("a", f"g{i:02}", s) for i, s in enumerate([4, 4, 4, 12, 1, 1])]
+    got = [r["batch"] for r in ordered.plan_batches(spark.createDataFrame(rows, "source string, name string, size long"), ["source"], 10).orderBy("name").collect()]
+    assert got == [0, 0, 1, 2, 3, 3]
+
+
+def test_picks_keep_their_distance(spark):
+    rng = random.Random(1)
+    rows = [(k % 2, rng.uniform(0, 30), rng.uniform(0, 30), rng.random()) for k in range(200)]
+    got = ordered.spaced_picks(spark.createDataFrame(rows, "tile int, x double, y double, error double"), ["tile"], 6.0).collect()
+    for t in (0, 1):
+        own = [r for r in got if r["tile"] == t]
+        assert own[0]["error"] == max(r[3] for r in rows if r[0] == t)
+        assert all((a["x"] - b["x"]) ** 2 + (a["y"] - b["y"]) ** 2 >= 36 for i, a in enumerate(own) for b in own[:i])
+
+
+def test_heavy_and_light_tiles_alternate(spark):
+    rows = spark.createDataFrame([(f"t{k}", k) for k in range(10)], "stem string, weight int")
+    order = [r["weight"] for r in ordered.tile_priority(rows).orderBy("place").collect()]
+    assert sorted(order) == list(range(10)) and order[:4] == [9, 0, 8, 1]
+
+
+def test_flat_plates_go_and_ground_stays(spark):
+    rows = [[float(r * 10 + c) for c in range(10)] for r in range(10)]
+    for r in range(3, 6):
+        for c in range(3, 7):
+            rows[r][c] = 7.5
+    rows[9][9] = rows[0][0] = 7.5
+    left = {(r["r"], r["c"]) for r in labels.drop_plates(grid(spark, rows), least=8).collect()}
+    assert {(r, c) for r in range(10) for c in range(10)} - left == {(r, c) for r in range(3, 6) for c in range(3, 7)}
+
+
+def test_seeds_find_their_component(spark):
+    pixels = spark.createDataFrame([(0, 0), (0, 1), (5, 5)], "r int, c int")
+    seeds = spark.createDataFrame([("a", 1, 1), ("b", 0, 0), ("c", 20, 20), ("d", 4, 6)], "seed string, r int, c int")
+    got = {r["seed"]: (r["r"], r["c"]) for r in labels.resolve_seeds(pixels, seeds).collect()}
+    assert got == {"a": (0, 1), "b": (0, 0), "d": (5, 5)}
+    assert labels.flood_component(pixels, seeds).count() == 2
+
+
+def test_a_corridor_is_linear_between_gauges(spark):
+    line = spark.createDataFrame([(0.0, 0.0, 1.0, 10.0, 0.0, 3.0)], "x1 double, y1 double, v1 double, x2 double, y2 double, v2 double")
+    cells = spark.createDataFrame([(1, 5.0, 1.0), (2, -2.0, 0.0), (3, 5.0, 9.0)], "id int, x double, y double")
+    assert {r["id"]: r["value"] for r in datum.corridor_fill(cells, line, 2.0).collect()} == {1: 2.0, 2: 1.0, 3: None}
+
+
+def test_requests_have_the_right_status(spark):
+    rows = [(1, 0, 0, True), (1, 2, 0, True), (-1, 0, 0, True), (9, 1, 1, True), (1, 0, 0, False), (None, 0, 0, True)]
+    out = spark.createDataFrame(rows, "z int, x int, y int, ready boolean").select(serving.request_status(F.col("z"), F.col("x"), F.col("y"), 8, F.col("ready")).alias("s"))
+    assert [r["s"] for r in out.collect()] == [200, 400, 400, 404, 503, 400]
+
+
+def test_files_over_the_antimeridian_cover_both_sides(spark):
+    edge = tiles.HALF_WORLD
+    files = spark.createDataFrame([("s", "f", edge - 1000.0, 0.0, 1000.0 - edge, 1000.0)], "source string, filename string, left double, bottom double, right double, top double")
+    everywhere = spark.range(256 * 256).select(F.floor(F.col("id") / 256).cast("int").alias("x"), (F.col("id") % 256).cast("int").alias("y"))
+    assert sorted((r["x"], r["y"]) for r in covering.bbox_overlap_join(files, everywhere).collect()) == [(0, 127), (255, 127)]
