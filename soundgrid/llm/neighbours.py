@@ -74,6 +74,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, centre: np.ndarray,
     lower = estimate - error
     m = min(k + 1, lower.shape[1])  # one more, for the query's own row
     least = np.partition(lower, lower.shape[1] - m, axis=1)[:, lower.shape[1] - m]
+    repeated = len(np.unique(ids)) < len(ids)
     found = ([], [], [])
     for q in range(len(queries)):
         near = np.flatnonzero(estimate[q] + error[q] >= least[q])
@@ -83,8 +84,12 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, centre: np.ndarray,
         own, value = ids[order][members[flat]], np.repeat(score, taken)
         other = own != query_ids[q]
         own, value = own[other], value[other]
-        _, once = np.unique(own, return_index=True)
-        own, value = own[once], value[once]
+        if repeated:
+            _, once = np.unique(own, return_index=True)
+            own, value = own[once], value[once]
+        if len(value) > k:  # ties with the k-th stay for the order below
+            high = value >= np.partition(value, len(value) - k)[len(value) - k]
+            own, value = own[high], value[high]
         best = np.lexsort((own, -value))[:k]
         found[0].append(np.full(len(best), q))
         found[1].append(own[best])
@@ -92,7 +97,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, centre: np.ndarray,
     return tuple(np.concatenate(f) for f in found)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 47, epsilon: float = 3.0, block: int = 8192, query_block: int = 1024) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 47, epsilon: float = 1.9, block: int = 8192, query_block: int = 1024) -> DataFrame:
     """The ``k`` candidates of ``vectors(vec_id, embedding)`` with the largest inner product for each row of ``queries(vec_id, embedding)``.
 
     Every usable vector is encoded (see ``index``; the codes' centre is the mean of all vectors, the rotation is drawn from
