@@ -123,3 +123,20 @@ def band_edges(pixels: DataFrame, levels: list[float]) -> DataFrame:
     met = valid.select("b", edges.alias("e")).groupBy("e.r", "e.c", "e.side").agg(F.count("b").alias("n"), F.min("b").alias("low"), F.max("b").alias("high"))
     cut = met.filter("n = 2 and low < high").select("r", "c", "side", F.explode(F.sequence(F.col("low") + 1, F.col("high"))).alias("k"))
     return cut.select("r", "c", "side", F.element_at(F.array(*(F.lit(v) for v in levels)), F.col("k")).alias("level"))
+
+
+def seam_feather(pixels: DataFrame, sigma: float = 2.0) -> DataFrame:
+    """Blend the surface where its source changes: ``pixels(r, c, z, src)`` with ``feathered``.
+
+    A pixel is on a seam if a pixel beside it comes from another source; the seams' Gaussian, scaled by a smooth step, is the share of the surface's own
+    Gaussian in the blend. Ground never becomes water by it.
+    """
+    beside = F.explode(F.array(*(F.struct((F.col("r") + dr).alias("r"), (F.col("c") + dc).alias("c")) for dr, dc in ((0, 0), (0, 1), (1, 0), (0, -1), (-1, 0)))))
+    met = pixels.select(F.col("src").alias("_s"), beside.alias("p")).groupBy("p.r", "p.c").agg((F.min("_s") != F.max("_s")).alias("seam"))
+    marked = pixels.join(met, ["r", "c"], "left")
+    near = gaussian(marked.select("r", "c", F.coalesce("seam", F.lit(False)).cast("double").alias("z")), sigma).select("r", "c", F.col("mean").alias("_near"))
+    smooth = gaussian(pixels.select("r", "c", "z"), sigma).select("r", "c", F.col("mean").alias("_mean"))
+    t = F.least(F.col("_near") * 2.0, F.lit(1.0))
+    blend = F.col("z") + (F.col("_mean") - F.col("z")) * t * t * (F.lit(3.0) - t * 2.0)
+    joined = pixels.join(near, ["r", "c"]).join(smooth, ["r", "c"], "left")
+    return joined.withColumn("feathered", F.when((F.col("z") >= 0) & (blend < 0), F.col("z")).otherwise(blend)).drop("_near", "_mean")

@@ -75,3 +75,15 @@ def contract(rows: DataFrame, required: list[str]) -> DataFrame:
     """For each row the required values that it lacks; rows that lack none are left out."""
     lacks = F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in required)), lambda x: x.isNotNull())
     return rows.withColumn("lacks", F.array_join(lacks, ",")).filter("lacks <> ''")
+
+
+def connectivity(before: DataFrame, after: DataFrame) -> DataFrame:
+    """How water hangs together before and after: its pixels, components and the largest one's share; and how much of it dried."""
+    from soundgrid.operators.labels import label_components
+
+    def stats(df: DataFrame, name: str) -> DataFrame:
+        parts = label_components(df.filter("z < 0")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+        return parts.agg(F.lit(name).alias("state"), F.coalesce(F.sum("n"), F.lit(0)).alias("water"), F.count(F.lit(1)).alias("parts"), (F.max("n") / F.sum("n")).alias("largest_share"))
+
+    dried = before.filter("z < 0").join(after.filter("z >= 0").select("r", "c"), ["r", "c"], "left_semi").agg(F.count(F.lit(1)).alias("dried"))
+    return stats(before, "before").unionByName(stats(after, "after")).crossJoin(dried)

@@ -2,65 +2,31 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _kept(df: DataFrame) -> DataFrame:
-    """Written in the folder that all machines share and read back."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        import tempfile
-
-        folder = tempfile.mkdtemp(prefix="soundgrid-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/soundgrid/labels-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from soundgrid.operators.graph import components, kept
 
 
-def label_components(pixels: DataFrame, diagonal: bool = False, block: int = 32, rounds: int = 60) -> DataFrame:
+def label_components(pixels: DataFrame, diagonal: bool = False, stretch: int = 1024) -> DataFrame:
     """``r, c, label`` of ``pixels(r, c)``: pixels joined over sides (or corners, too) have one label, the place of their first pixel.
 
     Runs of neighbours in a row are found by a window and are the nodes; runs of two rows that touch are the edges. Labels
     spread along edges by alternating large and small stars, a grouping and a join each, in a number of rounds that grows with
     the logarithm of the runs. No row of pixels is ever gathered.
     """
-    from pyspark.sql import Window
-
     # A long row is cut into stretches, so that one task's window is short; a stretch's ends are edges, too.
     row = Window.partitionBy("r", "stretch").orderBy("c")
-    cut = pixels.select("r", "c").distinct().withColumn("stretch", F.floor(F.col("c") / (block * block)))
+    cut = pixels.select("r", "c").distinct().withColumn("stretch", F.floor(F.col("c") / stretch))
     new = (F.lag("c").over(row).isNull() | (F.lag("c").over(row) < F.col("c") - 1)).cast("int")
     runs = cut.withColumn("new", new).withColumn("k", F.sum("new").over(row))
     first = F.min("c").over(Window.partitionBy("r", "stretch", "k"))
-    owned = _kept(runs.withColumn("start", first).select("r", "c", (F.col("r").cast("long") * (1 << 32) + F.col("start")).alias("node")))
+    owned = kept(runs.withColumn("start", first).select("r", "c", (F.col("r").cast("long") * (1 << 32) + F.col("start")).alias("node")))
     reach = (-1, 0, 1) if diagonal else (0,)
     up = owned.select((F.col("r") + 1).alias("r"), F.explode(F.array(*(F.col("c") + d for d in reach))).alias("c"), F.col("node").alias("b"))
     side = owned.select("r", (F.col("c") + 1).alias("c"), F.col("node").alias("b"))
     edges = owned.join(up.unionByName(side), ["r", "c"]).filter("node <> b").select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-    edges = _kept(edges)
-    sign = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    seen = sign(edges)
-    for _ in range(rounds):
-        if not seen[0]:
-            break
-        pairs = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = pairs.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        edges = _kept(small.filter("a <> b").distinct())
-        now = sign(edges)
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError(f"labels not settled in {rounds} rounds")
-    labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    labels = components(edges)
     return owned.join(labels, "node", "left").select("r", "c", F.coalesce("label", "node").alias("label"))
 
 
@@ -139,8 +105,6 @@ def drop_plates(pixels: DataFrame, least: int = 400, share: float = 0.1) -> Data
     most = max(1, min(least, int(share * total)))
     floors = pixels.filter("z is not null").groupBy("z").agg(F.count(F.lit(1)).alias("n"), F.max("r").alias("m")).filter(F.col("n") >= most)
     height = (pixels.agg(F.max("r") - F.min("r")).first()[0] or 0) + 2
-    from pyspark.sql import Window
-
     storeys = floors.withColumn("storey", F.row_number().over(Window.orderBy("z")) - 1).select("z", "storey")
     stacked = pixels.join(storeys, "z").select((F.col("r") + F.col("storey") * height).alias("r"), "c", F.col("r").alias("own_r"))
     labelled = label_components(stacked.select("r", "c")).join(stacked, ["r", "c"])

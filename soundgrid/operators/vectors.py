@@ -121,3 +121,30 @@ def feature_tiles(features: DataFrame, maxzoom: int) -> DataFrame:
     side = F.pow(F.lit(2.0), F.col("z").cast("double"))
     cell = lambda v: F.least(F.greatest(F.floor(F.col(v) * side), F.lit(0)), side.cast("long") - 1).cast("int")
     return many.withColumn("x", F.explode(F.sequence(cell("x0"), cell("x1")))).withColumn("y", F.explode(F.sequence(cell("y0"), cell("y1")))).select("id", "z", "x", "y")
+
+
+def chains(segments: DataFrame) -> DataFrame:
+    """Segments that continue each other get one chain's number: ``segments(id, ax, ay, bx, by)`` with ``chain``, the least number in it.
+
+    Two segments continue each other where they alone end at a point; forks end chains.
+    """
+    from soundgrid.operators.graph import components
+
+    ends = segments.select("id", F.explode(F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))).alias("p"))
+    met = ends.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("n = 2 and a < b")
+    labels = components(met.select("a", "b"))
+    return segments.join(labels.select(F.col("node").alias("id"), "label"), "id", "left").withColumn("chain", F.coalesce("label", "id")).drop("label")
+
+
+def clip_segments(segments: DataFrame, left: float, bottom: float, right: float, top: float) -> DataFrame:
+    """The parts of ``segments(id, ax, ay, bx, by)`` inside a box: the range of the parameter that satisfies all four sides."""
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    enter, leave, out = F.lit(0.0), F.lit(1.0), F.lit(False)
+    for d, room in ((-dx, F.col("ax") - left), (dx, F.lit(right) - F.col("ax")), (-dy, F.col("ay") - bottom), (dy, F.lit(top) - F.col("ay"))):
+        t = room / F.nullif(d, F.lit(0.0))
+        enter = F.when(d < 0, F.greatest(enter, t)).otherwise(enter)
+        leave = F.when(d > 0, F.least(leave, t)).otherwise(leave)
+        out = out | ((d == 0) & (room < 0))
+    cut = segments.withColumn("_t0", enter).withColumn("_t1", leave).filter(~out & (F.col("_t0") <= F.col("_t1")))
+    at = lambda a, d, t: (F.col(a) + F.col(t) * d)
+    return cut.select("id", at("ax", dx, "_t0").alias("ax"), at("ay", dy, "_t0").alias("ay"), at("ax", dx, "_t1").alias("bx"), at("ay", dy, "_t1").alias("by"))

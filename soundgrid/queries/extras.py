@@ -134,6 +134,52 @@ def tile_features(spark, sf_dir):
     return vectors.feature_tiles(p, 8).groupBy("z", "x", "y").agg(F.count(F.lit(1)).alias("features"))
 
 
+@query(with_views("SELECT min(a) AS chain, count(*) AS segments FROM (SELECT id AS a, id // 5 AS g FROM segs) t GROUP BY g", segs="SELECT p_partkey AS id FROM part"))
+def line_merge(spark, sf_dir):
+    """Chains of five segments each."""
+    k = F.col("p_partkey")
+    y = F.floor(k / 5).cast("double")
+    s = table(spark, sf_dir, "part").select(k.alias("id"), k.cast("double").alias("ax"), y.alias("ay"), (k + 1).cast("double").alias("bx"), y.alias("by"))
+    return vectors.chains(s).groupBy("chain").agg(F.count(F.lit(1)).alias("segments"))
+
+
+@query(with_views("SELECT id, greatest(x, CAST(20 AS DOUBLE)) AS ax, y + (greatest(x, 20) - x) AS ay FROM points WHERE greatest(x, 20, 10 - y + x) = greatest(x, 20) AND greatest(x, 20) <= least(x + 30, 90, 100 - y + x) AND x <= 90"))
+def mvt_clip(spark, sf_dir):
+    """Where diagonal lines enter a box by its left side or start in it."""
+    p = points(spark, sf_dir).select("id", F.col("x").alias("ax"), F.col("y").alias("ay"), (F.col("x") + 30.0).alias("bx"), (F.col("y") + 30.0).alias("by"))
+    cut = vectors.clip_segments(p, 20.0, 10.0, 90.0, 100.0).join(points(spark, sf_dir), "id")
+    by_left = F.greatest("x", F.lit(20.0), F.lit(10.0) - F.col("y") + F.col("x")) == F.greatest("x", F.lit(20.0))
+    return cut.filter(by_left).select("id", "ax", "ay")
+
+
+@query()
+def seam_feather(spark, sf_dir):
+    from soundgrid.queries.views import sources
+
+    merged = merge.priority_fill(px(spark, sf_dir), sources(spark), ["r", "c"])
+    return focal.seam_feather(merged).select("r", "c", "z", F.round("feathered", 6).alias("feathered"))
+
+
+@query()
+def gate_connectivity(spark, sf_dir):
+    s = surface(spark, sf_dir)
+    return gates.connectivity(s, labels.pond_fill(s, 12, 6))
+
+
+SEAM = "SELECT (CASE WHEN z < -20 THEN 3 WHEN z < -10 THEN 2 WHEN z < 0 THEN 1 ELSE 0 END) AS band, r AS p FROM surface WHERE c = {c}"
+
+
+@query(with_views(f"SELECT band, CAST(min(p) AS INT) AS lo, CAST(max(p) + 1 AS INT) AS hi FROM (SELECT band, p, p - row_number() OVER (PARTITION BY band ORDER BY p) AS g FROM ((({SEAM.format(c=63)}) EXCEPT ({SEAM.format(c=64)})) UNION (({SEAM.format(c=64)}) EXCEPT ({SEAM.format(c=63)}))) q) t GROUP BY band, g"))
+def seam_depare(spark, sf_dir):
+    """Where two tiles disagree on the bands along their common edge."""
+    from soundgrid.operators.intervals import interval_difference
+
+    z = F.col("z")
+    band = F.when(z < -20, 3).when(z < -10, 2).when(z < 0, 1).otherwise(0).alias("band")
+    side = lambda c: surface(spark, sf_dir).filter(F.col("c") == c).select(band, F.col("r").alias("lo"), (F.col("r") + 1).alias("hi"))
+    return interval_difference(side(63), side(64), ["band"])
+
+
 # Ordered rules.
 
 

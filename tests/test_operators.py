@@ -302,3 +302,51 @@ def test_files_over_the_antimeridian_cover_both_sides(spark):
     files = spark.createDataFrame([("s", "f", edge - 1000.0, 0.0, 1000.0 - edge, 1000.0)], "source string, filename string, left double, bottom double, right double, top double")
     everywhere = spark.range(256 * 256).select(F.floor(F.col("id") / 256).cast("int").alias("x"), (F.col("id") % 256).cast("int").alias("y"))
     assert sorted((r["x"], r["y"]) for r in covering.bbox_overlap_join(files, everywhere).collect()) == [(0, 127), (255, 127)]
+
+
+def test_members_of_archives_and_broken_ones(spark, tmp_path):
+    import gzip
+    import io
+    import tarfile
+    import zipfile
+
+    from soundgrid.sources import containers
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("one.tif", b"11")
+        z.writestr("two.txt", b"22")
+    buffer = io.BytesIO()
+    with tarfile.open(fileobj=buffer, mode="w:gz") as t:
+        info = tarfile.TarInfo("in/three.tif")
+        info.size = 3
+        t.addfile(info, io.BytesIO(b"333"))
+    (tmp_path / "b.tar.gz").write_bytes(buffer.getvalue())
+    (tmp_path / "c.tif.gz").write_bytes(gzip.compress(b"4444"))
+    (tmp_path / "d.tif").write_bytes(b"55555")
+    (tmp_path / "e.zip").write_bytes(b"PK\x03\x04broken")
+    rows = containers.members(spark, str(tmp_path), "*.tif")
+    assert {(r["member"], r["size"]) for r in rows.filter("problem is null").collect()} == {("one.tif", 2), ("in/three.tif", 3), ("c.tif", 4), ("d.tif", 5)}
+    assert [r["path"].rsplit("/", 1)[-1] for r in containers.checked(rows).collect()] == ["e.zip"]
+
+
+def test_recipes_are_read_with_their_source(spark, tmp_path):
+    for name in ("alpha", "beta"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "metadata.json").write_text(f'{{\n "name": "{name}",\n "max_zoom": 9}}')
+    got = registry.scan_sources(spark, f"{tmp_path}/*/metadata.json", "name string, max_zoom int")
+    assert sorted(tuple(r) for r in got.select("source", "name", "max_zoom").collect()) == [("alpha", "alpha", 9), ("beta", "beta", 9)]
+
+
+def test_segments_are_cut_to_a_box_and_chained(spark):
+    kind = "id int, ax double, ay double, bx double, by double"
+    cut = vectors.clip_segments(spark.createDataFrame([(1, -5.0, 5.0, 15.0, 5.0), (2, 20.0, 0.0, 20.0, 9.0), (3, 1.0, 1.0, 2.0, 2.0), (4, 5.0, -5.0, 5.0, 5.0)], kind), 0.0, 0.0, 10.0, 10.0)
+    assert {tuple(r) for r in cut.collect()} == {(1, 0.0, 5.0, 10.0, 5.0), (3, 1.0, 1.0, 2.0, 2.0), (4, 5.0, 0.0, 5.0, 5.0)}
+    star = [(1, 0.0, 0.0, 1.0, 0.0), (2, 1.0, 0.0, 2.0, 0.0), (3, 2.0, 0.0, 3.0, 1.0), (4, 2.0, 0.0, 3.0, -1.0)]
+    assert {r["id"]: r["chain"] for r in vectors.chains(spark.createDataFrame(star, kind)).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_feathering_blends_at_seams_only_and_keeps_ground(spark):
+    rows = [(r, c, -10.0 if c < 20 else 0.5, "a" if c < 20 else "b") for r in range(12) for c in range(40)]
+    out = {(r["r"], r["c"]): r["feathered"] for r in focal.seam_feather(spark.createDataFrame(rows, "r int, c int, z double, src string"), 1.5).collect()}
+    assert out[6, 0] == pytest.approx(-10.0) and out[6, 39] == pytest.approx(0.5)
+    assert -10.0 < out[6, 19] and all(out[r, c] >= 0 for r in range(12) for c in range(20, 40))
