@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 _sent: set[str] = set()
 
+#: Bytes of an Arrow batch: long texts come in small batches, so a worker's memory follows this and not the rows' number.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
     """Add the package's source to the session's Python files, once an application.
@@ -30,6 +34,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def mapped(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with the package at hand in the workers."""
+    """``df.mapInArrow`` with the package at hand in the workers, in batches of ``BATCH_BYTES`` unless the session sets another size."""
     ship(df.sparkSession)
+    if df.sparkSession.conf.get(_BATCH_SETTING, None) is None:
+        df.sparkSession.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
