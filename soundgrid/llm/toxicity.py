@@ -95,7 +95,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.
     return w
 
 
-def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window: int = 128, base_bytes: int = 1 << 16, toxic_bytes: int = 2048, contexts: int = 4) -> ToxicityModel:
+def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window: int = 128, base_bytes: int = 1 << 16, toxic_bytes: int = 2048, contexts: int = 4, segments: tuple[tuple[int, int], ...] = ((24, 6), (32, 6), (48, 6), (24, 8))) -> ToxicityModel:
     """Train both dictionaries and calibrate.
 
     The ordinary dictionary is zstandard's, trained on windows of ordinary texts. Toxic texts are ordinary but for some
@@ -104,7 +104,8 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window:
     twenty times rarer in ordinary texts. Words of which no six bytes run through a thousandth of the ordinary texts make the
     first toxic dictionary, the others the second. Both are added to the ordinary one, so a window without such words
     has the same length under all. ``rates`` are all labelled rows over those in the sample, ordinary and toxic: they
-    bring the calibration back to the labels' own proportions.
+    bring the calibration back to the labels' own proportions. Which segments a small dictionary gets depends on the trainer's
+    segment and piece lengths, so each of ``segments`` is tried and the one with the least loss on the sample stays.
     """
     base_rate = float(rates[1] * toxic.sum() / max(rates[0] * (toxic == 0).sum() + rates[1] * toxic.sum(), 1e-9))
     nothing = ToxicityModel(b"", (b"", b""), np.zeros(FEATURES + 1), window, base_rate)
@@ -142,10 +143,17 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window:
         except zstandard.ZstdError:
             return b"".join(samples)[-size:]
 
-    model = ToxicityModel(trained(ordinary, base_bytes, 256, 8), tuple(trained(own, toxic_bytes, 24, 6) for own in samples), np.zeros(FEATURES + 1), window, base_rate)
-    x = np.array([model.features(t) for t in texts], float)
-    model.weights = logistic(x, toxic.astype(float), np.where(toxic, rates[1], rates[0]))
-    return model
+    base, weight = trained(ordinary, base_bytes, 256, 8), np.where(toxic, rates[1], rates[0])
+    best, least = nothing, np.inf
+    for k, d in segments:
+        model = ToxicityModel(base, tuple(trained(own, toxic_bytes, k, d) for own in samples), np.zeros(FEATURES + 1), window, base_rate)
+        x = np.array([model.features(t) for t in texts], float)
+        model.weights = logistic(x, toxic.astype(float), weight)
+        z = np.clip(np.column_stack([x, np.ones(len(x))]) @ model.weights, -30, 30)
+        loss = float((weight * (np.logaddexp(0, z) - toxic * z)).sum())
+        if loss < least:
+            best, least = model, loss
+    return best
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic_limit: int = 2500, ordinary_limit: int = 5000, folds: int = 5, seed: int = 31, **options) -> ToxicityModel:

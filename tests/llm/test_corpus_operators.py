@@ -10,9 +10,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from soundgrid.llm import components, decontamination, language, licenses, mixing, near_duplicates, neighbours, quality, sharding, tokens, toxicity
+from soundgrid.llm import decontamination, language, licenses, mixing, near_duplicates, neighbours, quality, sharding, tokens, toxicity
 from soundgrid.llm.queries import QUERIES
-from soundgrid.llm.words import mix, shingles, text_bytes, word_hashes
+from soundgrid.llm.words import mix, text_bytes, word_hashes
+from soundgrid.operators import graph
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -328,7 +329,7 @@ def test_registers_merge_and_estimate():
 
 def test_components_of_long_paths(spark):
     edges = [(k, k + 1) for k in range(200)] + [(500, 501), (502, 501), (600, 600)]
-    got = dict(components.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    got = dict(graph.components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {k: 0 for k in range(201)} | {500: 500, 501: 500, 502: 500}
 
 
