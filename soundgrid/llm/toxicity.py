@@ -133,6 +133,7 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window:
                 spelled[p] += n
     shared = {w for w in telling if max(spelled[p] for p in pieces(w)) * 1000 > (toxic == 0).sum()}
     samples = [[b" " + b"  ".join(kept) + b" " for own in residues if (kept := [w for w in own if w in some])] for some in (telling - shared, shared)]
+    del plain, marked, rare, before, spelled, residues  # the trainer needs the room
     ordinary = [w for t, label in zip(texts, toxic) if not label for w in windows(t, 256)]
     if not any(samples) or not ordinary:
         return nothing
