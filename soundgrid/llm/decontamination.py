@@ -14,8 +14,9 @@ from soundgrid.llm.common import WORD
 from soundgrid.llm.words import mix, row_groups, text_bytes, word_hashes
 from soundgrid.shipping import mapped
 
-#: Fixed masks over word positions: 1 is compared, 0 is ignored. Short items are met by the first, which ignores none.
-MASKS = ("111111", "11011011", "1101001011", "1011000100111")
+#: Fixed masks over word positions: 1 is compared, 0 is ignored. Together they hit every stretch that counts with the default
+#: ``similarity`` and ``least``, for items of any length from 8 words, wherever its other words are (tested).
+MASKS = ("111111", "11101011", "110110011", "11010111", "1110001011", "1111011")
 _FACTORS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(7919)) | np.uint64(1)
 _FILTER = 1 << 22
 
@@ -74,17 +75,24 @@ class SeedTable:
     def overlap(self, words: np.ndarray, item: int, shift: int, similarity: float) -> tuple[int, int, int]:
         """Best stretch of one alignment: first word in the text, words, and how many are the same.
 
-        The best stretch has the greatest sum of ``1 - similarity`` for each equal word less ``similarity`` for each
-        other one, so its share of equal words is ``similarity`` at least.
+        The best stretch has the most equal words of all whose share of equal words is ``similarity`` at least, and of those
+        the fewest words. Sums of ``1 - similarity`` for each equal word less ``similarity`` for each other one tell the share:
+        from each start, the furthest end whose sum isn't below the start's has the most equal words.
         """
         own = self.words[self.firsts[item] : self.firsts[item + 1]]
         a, b = max(shift, 0), min(shift + len(own), len(words))
         same = words[a:b] == own[a - shift : b - shift]
+        starts = np.flatnonzero(same)
+        if not len(starts):
+            return a, 0, 0
         total = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - similarity + 1e-9, -similarity))])
-        lowest = np.minimum.accumulate(total)
-        end = int((total - lowest).argmax())
-        start = int(total[: end + 1].argmin())
-        return a + start, end - start, int(same[start:end].sum())
+        highest = np.maximum.accumulate(total[::-1])  # over the ends from the last
+        ends = len(total) - 1 - np.searchsorted(highest, total[starts])
+        upto = np.searchsorted(starts, ends)  # equal words before each end
+        n_same = upto - np.arange(len(starts))
+        n_words = starts[upto - 1] + 1 - starts
+        k = np.lexsort((n_words, -n_same))[0]
+        return a + int(starts[k]), int(n_words[k]), int(n_same[k])
 
 
 def _tables(docs: DataFrame, benchmark: DataFrame, block_words: int) -> Iterator:
@@ -120,6 +128,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float
     has at least ``least`` equal words (four fifths of the item's words, if it has fewer than 15) and equal words make up
     ``similarity`` of the stretch, so words may be substituted. An item of fewer than eight words says too little and has
     no overlap. Alignments are those that a seed of one of ``MASKS`` hits: the words at the mask's 1s are the same on both sides.
+    With the defaults these are all that count; with a lower ``similarity`` or ``least`` some may not be hit.
 
     Returns ``doc_id, item_id, first_word, n_words, n_same``: the best overlap of each pair, for each row (so repeated
     rows repeat theirs). Null and empty texts and empty tables have none, a null item id is given as -1, other columns

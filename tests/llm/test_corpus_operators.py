@@ -1,5 +1,6 @@
 """Each corpus operator on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns, and against brute force."""
 
+import itertools
 import json
 import random
 import re
@@ -426,6 +427,54 @@ def test_passages_with_substitutions(spark):
     assert decontamination.without_overlaps(docs, benchmark.limit(0)).count() == len(rows)
 
 
+def counts(same):
+    """Most equal words of any stretch of which four fifths are equal, by trying all."""
+    return max([sum(same[i:j]) for i in range(len(same)) for j in range(i + 1, len(same) + 1) if 5 * sum(same[i:j]) >= 4 * (j - i)], default=0)
+
+
+def test_seeds_hit_every_stretch_that_counts():
+    masks = [int(m, 2) for m in decontamination.MASKS]
+    for n in range(8, 16):
+        needed = min(12, -(-4 * n // 5))
+        for changed in itertools.chain.from_iterable(itertools.combinations(range(n), k) for k in range(n - needed + 1)):
+            same = [i not in changed for i in range(n)]
+            bits = sum(s << i for i, s in enumerate(reversed(same)))
+            if counts(same) >= needed:
+                assert any(bits >> k & m == m for m in masks for k in range(n - m.bit_length() + 1)), same
+    # Longer stretches: the highest sum (1 for an equal word, -4 for another) of any that no mask hits, by its last words and its equal words.
+    # A start below -16 needn't be followed: if the sum recovers, what comes after it counts by itself.
+    wide = (1 << max(m.bit_length() for m in masks)) - 1
+    best = todo = {(0, 0): 0}
+    while todo:
+        new = {}
+        for ((last, equal), total), bit in itertools.product(todo.items(), (0, 1)):
+            key, value = ((last << 1 | bit) & wide, min(equal + bit, 12)), total + (1 if bit else -4)
+            if value >= -16 and not (bit and any(key[0] & m == m for m in masks)) and value > max(best.get(key, -99), new.get(key, -99)):
+                assert key[1] < 12 or value < 0
+                new[key] = value
+        best, todo = best | new, new
+
+
+def test_passages_changed_near_their_ends(spark):
+    rng = np.random.default_rng(8)
+    items, rows, expected = [], [], {}
+    cases = [(12, [2]), (14, [1]), (15, [2]), (16, [2, 7, 11]), (8, [3]), (10, [3, 6])]
+    cases += [(n, [e]) for n in range(8, 26) for e in (0, 1, 2, 3, n - 4, n - 3, n - 2, n - 1)]
+    cases += [(n, rng.choice(n, int(rng.integers(1, n // 4 + 2)), replace=False).tolist()) for n in list(range(8, 26)) * 12]
+    for k, (n, changed) in enumerate(cases):
+        words = [f"w{k}x{i}" for i in range(n)]
+        items.append((k, " ".join(words)))
+        rows.append((k, " ".join([f"a{k}"] * 5 + [f"b{i}" if i in changed else w for i, w in enumerate(words)] + ["z"] * 5)))
+        most = counts([i not in changed for i in range(n)])
+        if most >= min(12, -(-4 * n // 5)):
+            expected[k] = most
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.benchmark_overlaps(docs, benchmark).collect()
+    assert {r["doc_id"]: r["n_same"] for r in got} == expected and all(r["doc_id"] == r["item_id"] and 5 * r["n_same"] >= 4 * r["n_words"] for r in got)
+    clean = decontamination.without_overlaps(docs, benchmark)
+    assert {r["doc_id"] for r in clean.collect()} == set(range(len(cases))) - set(expected)
+
+
 def test_passages_of_the_documents(spark, sf_dir):
     words = lambda t: WORD.findall((t or "").lower())
     items = [(r[0], words(r[1])) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
