@@ -4,6 +4,7 @@ import itertools
 import json
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -158,6 +159,37 @@ def test_license_differences():
     assert licenses.differences("q".split(), "a b".split())[0] == 2
 
 
+def test_license_statements_wrapped_over_lines(spark):
+    rows, expected = [], set()
+    for k in ("MIT (permission)", "BSD (conditions)", "ISC", "Apache-2.0 (header)", "GPL-3.0", "Unlicense", "MPL-2.0"):
+        for width, prefix in ((80, ""), (30, " * "), (24, "# ")):
+            expected.add((len(rows), k))
+            rows.append((len(rows), "x = 1\n" + "\n".join(prefix + line for line in textwrap.wrap(licenses.TEMPLATES[k][0], width)) + "\ny = 2", None, None, None))
+    got = licenses.license_scan(documents(spark, rows)).collect()
+    assert {(r["doc_id"], r["license"]) for r in got} == expected and len(got) == len(rows)
+    assert {r["line"] for r in got if r["license"] == "MIT (permission)"} == {1}
+
+
+def test_license_statements_in_other_short_words(spark):
+    texts = {
+        "Licensed under the MIT License.": {"MIT"},
+        "This project is released under MIT": {"MIT (short)"},
+        "// SPDX-License-Identifier: MIT": {"MIT (SPDX)"},
+        "SPDX-License-Identifier: GPL-2.0-or-later": {"GPL-2.0-or-later (SPDX)"},
+        "Available under the BSD 3-Clause License": {"BSD-3-Clause"},
+        "Released under the BSD 4-Clause License": set(),
+        "licensed under CC BY NC 4.0": set(),
+        "Some rights reserved.": set(),
+        "all\nrights reserved": {"All rights reserved"},
+    }
+    got = licenses.license_scan(documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])).collect()
+    assert {(r["doc_id"], r["license"]) for r in got} == {(i, k) for i, v in enumerate(texts.values()) for k in v}
+    # Each of several statements of a block is found once, also where a long block is cut.
+    many = "\n".join(f"file {i}: Released under the MIT License." for i in range(6000))
+    lines = [r["line"] for r in licenses.license_scan(documents(spark, [(1, many, None, None, None)])).collect()]
+    assert sorted(lines) == list(range(6000))
+
+
 def test_license_scan_finds_all_plain_lines(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter("line like '%Released under the MIT License.%'").select("doc_id").distinct()
