@@ -267,6 +267,20 @@ def test_heavy_and_light_tiles_alternate(spark):
     assert sorted(order) == list(range(10)) and order[:4] == [9, 0, 8, 1]
 
 
+def test_tiles_keep_to_the_average_weight(spark):
+    rng = random.Random(4)
+    cases = [[10] * 3 + [1] * 27, [5] * 7, [1], [3, 3, 3, 0], [rng.choice([0, 1, 1, 1, 2, 40]) for _ in range(300)], [rng.choice([1, 9, 9, 9, 8]) for _ in range(211)], [rng.randrange(-5, 12) for _ in range(150)]]
+    for weights in cases:
+        left, order, total = sorted(weights, reverse=True), [], 0
+        for i in range(len(weights)):
+            order.append(left.pop(0 if total * len(weights) <= i * sum(weights) else -1))
+            total += order[-1]
+        rows = spark.createDataFrame([(f"t{k}", w) for k, w in enumerate(weights)], "stem string, weight int")
+        got = ordered.tile_priority(rows, ranks=16).orderBy("place").collect()
+        assert [r["place"] for r in got] == list(range(1, len(weights) + 1)) and [r["weight"] for r in got] == order
+    assert ordered.tile_priority(rows.limit(0)).count() == 0
+
+
 def test_flat_plates_go_and_ground_stays(spark):
     rows = [[float(r * 10 + c) for c in range(10)] for r in range(10)]
     for r in range(3, 6):
