@@ -202,10 +202,10 @@ def tile_priority(spark, sf_dir):
 
 @query()
 def repair_soundings(spark, sf_dir):
-    """Where the surface is shallower than the mean of its neighbourhood by over half the depth, worst first and apart."""
+    """Where the ground, to 200 m, is deeper than the mean of its neighbourhood by over 2 m and half the depth, worst first and apart."""
     smooth = focal.gaussian(surface(spark, sf_dir).filter("z < 0"), 2.0)
-    error = F.col("z") - F.col("mean")
-    bad = smooth.withColumn("error", error).filter(error > F.greatest(F.lit(2.0), -F.col("z") * 0.5))
+    error = F.col("mean") - F.col("z")
+    bad = smooth.withColumn("error", error).filter((error > F.greatest(F.lit(2.0), -F.col("z") * 0.5)) & (F.col("z") >= -200))
     tiled = bad.select(F.shiftright("r", 5).alias("tile_r"), F.shiftright("c", 5).alias("tile_c"), F.col("c").cast("double").alias("x"), F.col("r").cast("double").alias("y"), "error")
     return ordered.spaced_picks(tiled, ["tile_r", "tile_c"], 4.0)
 

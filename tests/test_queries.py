@@ -71,3 +71,25 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = core.QUERIES["water_window_read"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_custkey,100)" in plan and "o_totalprice" not in plan
+
+
+def test_repaired_soundings_are_deeper_than_their_surroundings(spark, sf_dir):
+    from soundgrid.queries.views import surface
+
+    z = {(r["r"], r["c"]): r["z"] for r in surface(spark, sf_dir).filter("z < 0").collect()}
+    taps = [(i, j, math.exp(-(i * i + j * j) / 8)) for i in range(-8, 9) for j in range(-8, 9)]
+    tiled: dict[tuple, list] = {}
+    for (r, c), own in z.items():
+        near = [(w, z[r + i, c + j]) for i, j, w in taps if (r + i, c + j) in z]
+        error = sum(w * v for w, v in near) / sum(w for w, _ in near) - own
+        if error > max(2.0, -own / 2) and own >= -200:
+            tiled.setdefault((r >> 5, c >> 5), []).append((-error, r, c))
+    expected: dict[tuple, float] = {}
+    for rows in tiled.values():
+        picked: list[tuple] = []
+        for error, r, c in sorted(rows):
+            if len(picked) < 400 and all((r - a) ** 2 + (c - b) ** 2 >= 16 for a, b in picked):
+                picked.append((r, c))
+                expected[r, c] = -error
+    got = {(int(r["y"]), int(r["x"])): r["error"] for r in core.QUERIES["repair_soundings"](spark, sf_dir).collect()}
+    assert expected and got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 1e-6 for k in got)
