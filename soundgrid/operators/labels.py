@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from soundgrid.operators.graph import components, kept
+from soundgrid.operators.graph import components
+from soundgrid.shipping import written
 
 
 def label_components(pixels: DataFrame, diagonal: bool = False, stretch: int = 1024) -> DataFrame:
@@ -21,7 +22,7 @@ def label_components(pixels: DataFrame, diagonal: bool = False, stretch: int = 1
     new = (F.lag("c").over(row).isNull() | (F.lag("c").over(row) < F.col("c") - 1)).cast("int")
     runs = cut.withColumn("new", new).withColumn("k", F.sum("new").over(row))
     first = F.min("c").over(Window.partitionBy("r", "stretch", "k"))
-    owned = kept(runs.withColumn("start", first).select("r", "c", (F.col("r").cast("long") * (1 << 32) + F.col("start")).alias("node")))
+    owned = written(runs.withColumn("start", first).select("r", "c", (F.col("r").cast("long") * (1 << 32) + F.col("start")).alias("node")), "runs")
     reach = (-1, 0, 1) if diagonal else (0,)
     up = owned.select((F.col("r") + 1).alias("r"), F.explode(F.array(*(F.col("c") + d for d in reach))).alias("c"), F.col("node").alias("b"))
     side = owned.select("r", (F.col("c") + 1).alias("c"), F.col("node").alias("b"))
