@@ -2,44 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from soundgrid.shipping import written  # noqa: F401
+
 #: Bytes that separate words: the blank and the controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, named by ``spark.checkpoint.dir``.
-
-    A local session without the setting (tests, notebooks) gets a temporary folder of its own. A cluster
-    without it is an error: a machine's own folder would not be seen by the other machines.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-    folder = tempfile.mkdtemp(prefix="soundgrid-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back, which cuts its lineage.
-
-    What is read back does not change when an executor is lost or a task runs twice, so a random or
-    order-dependent step that precedes it is decided once.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/soundgrid/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fold(doc_id: Column, folds: int) -> Column:
     """``crc32(doc_id as text) mod folds``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

@@ -9,10 +9,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from soundgrid.llm.common import written
 from soundgrid.llm.words import mix, row_groups, shingles, text_bytes, word_hashes
 from soundgrid.operators.graph import components
+from soundgrid.operators.skew import join_by_key
 from soundgrid.shipping import mapped
 
 REGISTERS = 128
@@ -24,6 +26,8 @@ _SALTS = mix(np.arange(REGISTERS // 2, dtype=np.uint64) + np.uint64(0x5E75E7C4))
 MOST_BITS = 64
 #: A pair is dropped unverified if its likelihood at the threshold is below the greatest one by e to this power (five standard deviations).
 LEAST_LIKELIHOOD = 12.5
+#: Nodes of a bucket that one task compares with as many others.
+PART = 2048
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -74,18 +78,22 @@ def similarity_likelihood(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
+    """Each row's number and id, its text, all its columns as ``record``, and its set's key, size and registers."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("record"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sizes, sketches = [], [], []
-            for part in row_groups(batch.column(1)):
+            for part in row_groups(batch.column(2)):
                 hashes, _, _, firsts = word_hashes(*text_bytes(part))
                 for own in shingles(hashes, firsts):
                     sizes.append(len(own))
                     keys.append(_set_key(own) if len(own) else None)
                     sketches.append(registers(own).tobytes() if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], ["doc_id", "set_key", "n_shingles", "sketch"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], [*batch.schema.names, "set_key", "n_shingles", "sketch"])
 
-    return mapped(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, set_key binary, n_shingles long, sketch binary")
+    added = [StructField("set_key", BinaryType()), StructField("n_shingles", LongType()), StructField("sketch", BinaryType())]
+    return mapped(numbered, run, StructType([*numbered.schema.fields, *added]))
 
 
 def _banded(classes: DataFrame) -> DataFrame:
@@ -179,32 +187,24 @@ def _best(pairs: DataFrame, of: str, n: int) -> DataFrame:
     return pairs.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= n).drop("_place")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """Each document's group of near duplicates.
-
-    Texts are linked if ``100 * |A & B| >= percent * |A | B|`` for their sets of five-word shingles (words lowered in
-    A-Z; a text of fewer words is one shingle). One row a row of ``docs``: ``doc_id, n_shingles, component_id`` (smallest
-    id reachable over links) and ``kept`` (the document has that id). Documents without words are linked with nothing.
-    Rows that repeat an id and a text share its group; nulls in ``doc_id`` are never a group's id unless it has no
-    other; an empty table gives no rows; other columns aren't read; texts of any length are read whole.
+def _classed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, int]:
+    """The sketched rows, a row for each different set (``set_key, first, n, node, label``), and the rows with a set.
 
-    Equal sets are one node from the start. Nodes that share a band of registers are candidates. All pairs of a
-    bucket are never made; links are sought in three rounds, and in each only between nodes that the rounds before left in
-    different groups: each node with the likeliest of its buckets' smallest nodes; each node with its buckets' hubs, the nodes
-    with most links; and at last every pair that may still be a link. What two nodes have in common is in the hub or not: of the
-    hub they share no more than either has of it, and of the rest no more than either's shingles that some other node compared
-    with that hub has, too. Nodes and then pairs that fall short by that, or by sizes, by register bits or by the joint likelihood of
-    their registers, are ruled out. So groups are those of all links, and every link is confirmed on both full sets.
+    ``first`` is the smallest ``(id is null, id, row)`` of a set's ``n`` rows, ``label`` is the same for the sets of one group.
     """
+    if percent < 75:
+        raise ValueError("the bands and bounds hold for a similarity of 75 % or more")
     sketched = written(_sketched(docs), "sketches")
-    classes = sketched.filter(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    classes = sketched.filter(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    same = Window.partitionBy("key")
-    buckets = _banded(classes).withColumn("n", F.count(F.lit(1)).over(same)).withColumn("least", F.min("node").over(same))
-    buckets = written(buckets.filter("n > 1").select("key", "node", "least"), "buckets")
-    active = classes.join(buckets.select("node").distinct(), "node", "left_semi")
-    active = written(_with_bits(active.select("node", "set_key", "first_id", "n_shingles", "sketch")), "active")
-    texts = written(_texts(docs, active), "texts")
+    n_classes, n_rows = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+
+    bands = written(_banded(classes), "bands")
+    met = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1")
+    buckets = written(join_by_key(bands, written(met, "met"), "key", n_classes * REGISTERS // BAND).select("key", "node", "least"), "buckets")
+    active = classes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", F.col("first.row").alias("row"), "n_shingles", "sketch")
+    active = written(_with_bits(active), "active")
+    texts = written(sketched.select("row", "text").join(active.select("node", "row"), "row").select("node", "text"), "texts")
 
     star = buckets.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     likeliest = _best(_plausible(star, active, percent), "a", 1)
@@ -212,63 +212,91 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     labels = components(links)
 
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    known = active.select("node", "n_shingles", "bits").join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-    mixed = _mixed(buckets.select("key", "node"), labels).drop("label").join(known, "node")
-    mixed = written(mixed.withColumn("hub", F.max(F.struct("degree", "node")).over(same)), "mixed")
-    near_hub = mixed.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).filter("a <> b").distinct()
-    profiles = written(_compared(near_hub, texts, percent), "profiles")
+    labelled = buckets.select("key", "node").join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    mixed = _mixed(labelled, labels, F.max(F.struct("degree", "node")).alias("hub")).select("key", "node", F.col("hub.node").alias("hub"))
+    mixed = written(mixed.filter("node <> hub"), "mixed")
+    profiles = written(_compared(mixed.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), texts, percent), "profiles")
     links = written(links.unionByName(profiles.filter("linked").select("a", "b")), "links")
     labels = components(links)
 
-    mixed = mixed.select("key", "node", "n_shingles", "bits", F.col("hub.node").alias("hub")).filter("node <> hub")
-    mixed = written(_mixed(mixed, labels), "mixed")
+    known = active.select("node", "n_shingles", "bits")
+    mixed = written(_mixed(mixed.join(known, "node"), labels, F.min("n_shingles").alias("fewest")), "mixed")
     left = profiles.withColumnsRenamed({"a": "node", "b": "hub"}).join(mixed.select("node", "hub").distinct(), ["node", "hub"], "left_semi")
-    novel = left.select("node", "hub", F.explode("novel").alias("shingle")).select("node", "hub", F.xxhash64("hub", "shingle").alias("of_hub"))
-    elsewhere = novel.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("of_hub"))).filter("n > 1")
-    shared = elsewhere.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("shared"))
+    novel = written(left.select("node", "hub", F.explode("novel").alias("shingle")).select("node", "hub", F.xxhash64("hub", "shingle").alias("of_hub")), "novel")
+    elsewhere = written(novel.groupBy("of_hub").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "elsewhere")
+    shared = join_by_key(novel, elsewhere, "of_hub", novel.count()).groupBy("node", "hub").agg(F.count(F.lit(1)).alias("shared"))
     profile = left.select("node", "hub", "common", "size_b", "missing").join(shared, ["node", "hub"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
-    able = mixed.join(profile, ["node", "hub"]).withColumn("_least", F.min("n_shingles").over(same))
-    able = able.filter(_within_reach(F.col("common"), F.col("shared"), F.col("n_shingles"), F.greatest(F.col("_least"), F.ceil(F.col("n_shingles") * percent / 100)), percent))
-    low, high = F.min("label").over(same), F.max("label").over(same)
-    able = written(able.withColumn("_low", low).withColumn("_high", high).filter("_low <> _high").drop("_low", "_high", "_least"), "able")
-    main = able.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    labelled = able.join(main, "key")
-    minor, rest = labelled.filter("label <> main").alias("x"), labelled.alias("y")
+    able = mixed.join(profile, ["node", "hub"]).filter(_within_reach(F.col("common"), F.col("shared"), F.col("n_shingles"), F.greatest("fewest", F.ceil(F.col("n_shingles") * percent / 100)), percent))
+    able = written(able.drop("fewest"), "able")
+    last = _compared(_plausible(_last_pairs(able, percent), active, percent), texts, percent)
+    labels = components(written(links.unionByName(last.filter("linked").select("a", "b")), "links"))
+    return sketched, classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("sketch"), int(n_rows)
+
+
+def _last_pairs(able: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of the pairs of nodes of one bucket and different groups that sizes, bits and profiles leave.
+
+    A bucket's main group isn't compared within itself. Nodes of a large bucket are dealt into parts of about ``PART``, and a task compares two parts.
+    """
+    sized = able.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
+    labelled = join_by_key(able, written(sized, "sized"), "key", able.count())
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    own, every = F.pmod(F.xxhash64("node"), parts).cast("int"), F.explode(F.sequence(F.lit(0), parts - 1))
+    dealt = written(labelled.withColumn("part", own), "dealt")
+    minor, rest = dealt.filter("label <> main").withColumn("other", every).alias("x"), dealt.withColumn("other", every).alias("y")
     once = (F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     # Of the hub, both miss at least as many shingles as either one's bits show.
     missed = sum((F.bit_count(F.col("x.missing")[i].bitwiseOR(F.col("y.missing")[i])) for i in range(8)), F.lit(0))
     reach = _within_reach(F.least("x.common", "y.common", F.col("x.size_b") - missed), F.least("x.shared", "y.shared"), F.col("x.n_shingles"), F.col("y.n_shingles"), percent)
-    pairs = minor.join(rest, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & once & reach & _close("x", "y", percent))
-    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    last = _compared(_plausible(pairs, active, percent), texts, percent)
-    labels = components(written(links.unionByName(last.filter("linked").select("a", "b")), "links"))
-
-    named = labels.join(classes.select("node", "first_id"), "node")
-    least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    grouped = named.join(least, "label").select("node", "component_id")
-    of_set = classes.join(grouped, "node", "left").select("set_key", F.coalesce("component_id", "first_id").alias("component_id"))
-    out = sketched.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    together = (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.other")) & (F.col("x.other") == F.col("y.part"))
+    pairs = minor.join(rest, together & (F.col("x.label") != F.col("y.label")) & once & reach & _close("x", "y", percent))
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of buckets whose nodes are in several groups, with their groups."""
-    same = Window.partitionBy("key")
-    labelled = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = labelled.withColumn("_low", F.min("label").over(same)).withColumn("_high", F.max("label").over(same))
-    return labelled.filter("_low <> _high").drop("_low", "_high")
+def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """Each document's group of near duplicates.
 
+    Texts are linked if ``100 * |A & B| >= percent * |A | B|`` for their sets of five-word shingles (words lowered in
+    A-Z; a text of fewer words is one shingle). One row a row of ``docs``: ``doc_id, n_shingles, component_id`` (smallest
+    id reachable over links) and ``kept`` (the document has that id). Documents without words are linked with nothing.
+    Rows that repeat an id and a text share its group; nulls in ``doc_id`` are never a group's id unless it has no
+    other; an empty table gives no rows; other columns don't matter; texts of any length are read whole. ``percent`` is 75 at least.
 
-def _texts(docs: DataFrame, active: DataFrame) -> DataFrame:
-    """``node, text``: a text of each node. Where an id has several texts, the one whose set is the node's."""
-    wanted = active.select("node", "first_id", "set_key")
-    joined = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "set_key", "text")
+    Equal sets are one node from the start. Nodes that share a band of registers are candidates. All pairs of a
+    bucket are never made; links are sought in three rounds, and in each only between nodes that the rounds before left in
+    different groups: each node with the likeliest of its buckets' smallest nodes; each node with its buckets' hubs, the nodes
+    with most links; and at last every pair that may still be a link. What two nodes have in common is in the hub or not: of the
+    hub they share no more than either has of it, and of the rest no more than either's shingles that some other node compared
+    with that hub has, too. Nodes and then pairs that fall short by that, or by sizes, by register bits or by the joint likelihood of
+    their registers, are ruled out. So groups are those of all links, and every link is confirmed on both full sets.
+    What a bucket has in common is found by aggregation, and no task gets a large bucket's or a frequent set's rows (``join_by_key``).
+    """
+    sketched, classes, n_rows = _classed(docs.select("doc_id", "text"), percent)
+    classes = written(classes, "grouped")
+    least = classes.groupBy("label").agg(F.min("first").alias("least"))
+    of_set = classes.join(least, "label").select("set_key", F.col("least.doc_id").alias("component_id"), "n")
+    rows = sketched.select("doc_id", "n_shingles", "set_key")
+    grouped = join_by_key(rows.filter(F.col("set_key").isNotNull()), written(of_set, "sets"), "set_key", n_rows)
+    alone = rows.filter(F.col("set_key").isNull()).withColumn("component_id", F.col("doc_id"))
+    columns = ("doc_id", "n_shingles", "component_id")
+    return grouped.select(*columns).unionByName(alone.select(*columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The rows of ``docs``, all columns, that are left if one row of each group of near duplicates stays (see ``near_duplicates``).
+
+    A row is what stays or goes, not an id: of a group the row with the smallest id stays, a null id being the greatest, and of equal
+    ids the row that comes first. So of repeated rows one stays, an id that stands on rows of several groups stays once in each for which
+    it is the smallest, and no group is lost. Every row without words stays.
+    """
+    sketched, classes, _ = _classed(docs, percent)
+    stay = classes.groupBy("label").agg(F.min("first").alias("first")).select("first.row")
+    left = sketched.filter(F.col("set_key").isNotNull()).join(stay, "row", "left_semi").unionByName(sketched.filter(F.col("set_key").isNull()))
+    return left.select(*(F.col("text") if c == "text" else F.col("record").getField(c).alias(c) for c in docs.columns))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [_set_key(own) for part in row_groups(batch.column(2)) for own in shingles(*(lambda h: (h[0], h[3]))(word_hashes(*text_bytes(part))))]
-            keep = [a == b for a, b in zip(keys, batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], ["node", "text"]).filter(pa.array(keep, pa.bool_()))
 
-    return mapped(joined, run, "node long, text string").groupBy("node").agg(F.min("text").alias("text"))
+def _mixed(buckets: DataFrame, labels: DataFrame, *facts: F.Column) -> DataFrame:
+    """The rows of buckets whose nodes are in several groups, with their groups (``label``) and ``facts`` of the bucket."""
+    labelled = written(buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    of_key = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"), *facts)
+    return join_by_key(labelled, written(of_key.filter("low <> high"), "of_key"), "key", labelled.count()).drop("low", "high", "n")

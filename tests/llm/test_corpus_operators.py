@@ -300,7 +300,8 @@ def test_one_row_repeated_spreads_over_buckets(spark):
 # 6
 
 
-def brute_groups(rows, percent=75):
+def brute_components(rows, percent=75):
+    """Each row's set and the number of its group's first row."""
     sets = []
     for i, t, *_ in rows:
         w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in WORD.findall(t or "")]
@@ -312,11 +313,26 @@ def brute_groups(rows, percent=75):
             both = len(sets[a] & sets[b])
             if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 group[find(a)] = find(b)
+    return sets, [find(k) for k in range(len(rows))]
+
+
+def brute_groups(rows, percent=75):
+    sets, group = brute_components(rows, percent)
     least = {}
     for k, r in enumerate(rows):
         if r[0] is not None:
-            least[find(k)] = min(least.get(find(k), r[0]), r[0])
-    return sorted((repr(r[0]), len(sets[k]), repr(least.get(find(k)))) for k, r in enumerate(rows))
+            least[group[k]] = min(least.get(group[k], r[0]), r[0])
+    return sorted((repr(r[0]), len(sets[k]), repr(least.get(group[k]))) for k, r in enumerate(rows))
+
+
+def brute_left(rows, percent=75):
+    """Ids and texts' groups of the rows that stay: the smallest id of each group, and every row without words."""
+    sets, group = brute_components(rows, percent)
+    least = {}
+    for k, r in enumerate(rows):
+        if sets[k]:
+            least[group[k]] = min(least.get(group[k], (True, 0)), (r[0] is None, r[0] or 0))
+    return sorted([(repr(None if none else i), g) for g, (none, i) in least.items()] + [(repr(r[0]), -1) for k, r in enumerate(rows) if not sets[k]])
 
 
 def test_groups_of_odd_rows(spark):
@@ -343,6 +359,47 @@ def test_groups_of_chains_and_stars(spark):
     assert sorted((repr(r["doc_id"]), r["n_shingles"], repr(r["component_id"])) for r in got) == brute_groups(rows)
 
 
+def repeated_ids():
+    t = [sentence(700 + k, 40) for k in range(6)]
+    rows = [(5, t[0]), (7, t[0]), (5, t[1]), (3, t[1]), (8, t[2]), (8, t[2]), (None, t[0]), (None, t[3]), (None, t[3]), (2, t[4]), (2, "lead " + t[4]), (2, t[5]), (9, None), (9, None), (4, ""), (None, " ")]
+    return [(i, text, "en", "a", k) for k, (i, text) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("rows", [[], odd_rows(), repeated_ids()])
+def test_one_row_of_each_group_stays(spark, rows):
+    docs = clashing(documents(spark, rows)).withColumn("record", F.lit(1)).withColumn("row", F.lit("clash"))
+    left = near_duplicates.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    texts = {(repr(i), t): g if own else -1 for (i, t, *_), own, g in zip(rows, *brute_components(rows))}
+    assert sorted((repr(r["doc_id"]), texts[repr(r["doc_id"]), r["text"]]) for r in left.collect()) == brute_left(rows)
+
+
+def test_large_buckets_are_dealt_into_parts(spark, monkeypatch):
+    """Many different near copies of one text in one bucket, beside chains to other groups, with every key hot and with none."""
+    from soundgrid.operators import skew
+
+    rng, rows = random.Random(12), []
+    bases = [sentence(900, 60).split()]
+    for g in range(6):  # chains of bases, each near enough to share bands with the one before
+        own = list(bases[-1])
+        for _ in range(4):
+            own[rng.randrange(60)] = f"turn{rng.randrange(10**6)}"
+        bases.append(own)
+    for i in range(240):
+        own = list(rng.choice(bases))
+        for _ in range(rng.choice([0, 1, 2, 3])):
+            own[rng.randrange(60)] = f"edit{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own), None, None, None))
+    monkeypatch.setattr(near_duplicates, "PART", 8)
+    join = skew.join_by_key
+    for share in (1, 10**9):
+        monkeypatch.setattr(near_duplicates, "join_by_key", lambda *a, s=share, **k: join(*a, **k, share=s))
+        got = near_duplicates.near_duplicates(documents(spark, rows)).collect()
+        assert sorted((repr(r["doc_id"]), r["n_shingles"], repr(r["component_id"])) for r in got) == brute_groups(rows)
+    with pytest.raises(ValueError):
+        near_duplicates.near_duplicates(documents(spark, rows), percent=50)
+
+
 def test_groups_of_the_documents(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = QUERIES["op6_near_duplicates"](spark, sf_dir).collect()
