@@ -1,9 +1,10 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
 
-Toxic documents go, one document of each group of near duplicates stays, documents that hold a benchmark passage go,
+Toxic documents go, one row of each group of near duplicates stays, documents that hold a benchmark passage go,
 sources are repeated towards their target weights, and what is left is shuffled into shards. Every stage but the last
-returns the columns of ``documents``. Nulls, empty texts, repeated rows and empty tables are those of the operators;
-a row with a null id can't be matched by id and is kept by the second stage.
+returns the columns of ``documents``. Nulls, empty texts and empty tables are those of the operators. Every stage decides on
+rows, not on ids: rows that repeat an id are as good as others, and so are those with a null id. Extra columns
+are passed on as they are, whatever their names (sharding replaces those that it adds, see there).
 """
 
 from __future__ import annotations
@@ -25,13 +26,14 @@ TOXIC = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below ``TOXIC``."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.toxicity(docs, model).filter(F.col("toxicity_score") < TOXIC).select(docs.columns)
+    packed = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("record"))
+    left = toxicity.toxicity(packed, model).filter(F.col("toxicity_score") < TOXIC)
+    return left.select(*(F.col("text") if c == "text" else F.col("record").getField(c).alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    dropped = near_duplicates.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """The row with the smallest id of each group of near duplicates, and rows without words."""
+    return near_duplicates.without_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,14 +48,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sources by weight, to ``CAP`` times a source's words at most. A document whose last reading is cut off by the
     target is in it if half of its words are.
     """
-    sized = docs.select("source", "doc_id", mixing.word_count("text").alias("size"))
+    rows = written(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("record"), F.monotonically_increasing_id().alias("row")), "rows")
+    sized = rows.select("record.source", F.col("row").alias("doc_id"), mixing.word_count("record.text").alias("size"))
     totals = written(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     weights = totals.withColumn("weight", F.pow(F.col("source_size").cast("double"), F.lit(FLATTENING)))
     extra = mixing.level_targets(weights.withColumn("_room", F.col("source_size") * (CAP - 1)), SHARE - 1, "_room")
     taken = mixing.mixed(sized, extra.withColumn("target", F.col("source_size") + F.col("target")))
-    more = taken.filter(F.col("taken") >= 1.5 * F.col("size")).filter("size > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_more"))
-    again = docs.join(more.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    return docs.unionByName(again)
+    twice = taken.filter((F.col("taken") >= 1.5 * F.col("size")) & (F.col("size") > 0)).select(F.col("doc_id").alias("row"))
+    return rows.select("record.*").unionByName(rows.join(twice, "row", "left_semi").select("record.*"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
