@@ -9,8 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from soundgrid.llm.common import written
-from soundgrid.shipping import mapped
+from soundgrid.llm.common import prefix_offsets, written
+from soundgrid.shipping import mapped, ship
+
+#: Bits of a rotated query's components; a code's inner product with it is so many counts of common bits.
+QUERY_BITS = 4
+#: Queries that are scored against a block of codes at once.
+_CHUNK = 256
 
 
 def rotation(dim: int, seed: int) -> np.ndarray:
@@ -26,6 +31,17 @@ def usable(vector: str, dim: int | None = None) -> Column:
     return v.isNotNull() & finite & F.exists(v, lambda x: x != 0) & (F.size(v) == dim if dim else F.lit(True))
 
 
+def packed_bits(bits: np.ndarray) -> np.ndarray:
+    """Rows of bits as rows of 64-bit words."""
+    short = np.packbits(bits, axis=-1)
+    return np.pad(short, [(0, 0)] * (short.ndim - 1) + [(0, -short.shape[-1] % 8)]).view(np.uint64)
+
+
+def scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products in double precision, each row's sum by itself, so that equal vectors have equal scores wherever they are."""
+    return (x.astype(np.float64) * q).sum(axis=1)
+
+
 def index(vectors: DataFrame, centre: np.ndarray, seed: int, block: int) -> DataFrame:
     """Blocks of encoded vectors, one row a block: ``ids, codes, lengths, factors, vectors``, all packed.
 
@@ -39,18 +55,38 @@ def index(vectors: DataFrame, centre: np.ndarray, seed: int, block: int) -> Data
         for batch in batches:
             for i in range(0, len(batch), block):
                 part = batch.slice(i, block)
-                own = part.column(1)
-                x = own.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(part), dim)
-                residual = x - centre
+                x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(part), dim)
+                residual = x.astype(np.float64) - centre
                 length = np.linalg.norm(residual, axis=1)
                 turned = residual @ turn / np.maximum(length, 1e-300)[:, None]
                 factor = np.abs(turned).sum(axis=1) / np.sqrt(dim)
-                packed = (part.column(0).to_numpy(), np.packbits(turned > 0, axis=1), length, np.where(length > 0, factor, 1.0), x)
+                packed = (part.column(0).to_numpy(), packed_bits(turned > 0), length, np.where(length > 0, factor, 1.0), x)
                 yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in packed], ["ids", "codes", "lengths", "factors", "vectors"])
 
     return mapped(vectors, run, "ids binary, codes binary, lengths binary, factors binary, vectors binary")
 
 
+def estimates(turned: np.ndarray, codes: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Inner products of rotated queries with codes (components of one over the root of ``dim``, with the bit's sign), and the deviation that the queries' bits bring.
+
+    A query's components are rounded to ``QUERY_BITS`` bits between its least and greatest one; bit by bit of these, the ones in common
+    with a code are counted.
+    """
+    low, high = turned.min(axis=1, keepdims=True), turned.max(axis=1, keepdims=True)
+    step = np.maximum(high - low, 1e-300) / ((1 << QUERY_BITS) - 1)
+    level = np.rint((turned - low) / step).astype(np.uint8)
+    planes = packed_bits((level[None] >> np.arange(QUERY_BITS, dtype=np.uint8)[:, None, None] & 1).astype(bool))
+    common = np.zeros((len(turned), len(codes)), np.int32)
+    for word in range(codes.shape[1]):
+        for j in range(QUERY_BITS):
+            common += np.bitwise_count(planes[j, :, word][:, None] & codes[None, :, word]).astype(np.int32) << j
+    ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int32)
+    total = level.sum(axis=1, dtype=np.int32)[:, None]
+    # Of the components, those with the bit add their value, the others take it away.
+    signed = low * (2 * ones[None, :] - dim) + step * (2 * common - total)
+    return (signed / np.sqrt(dim)).astype(np.float32), (step[:, 0] / np.sqrt(12)).astype(np.float32)
+
+
 def search_block(queries: np.ndarray, query_ids: np.ndarray, centre: np.ndarray, turn: np.ndarray, ids: np.ndarray, codes: np.ndarray, length: np.ndarray, factor: np.ndarray, x: np.ndarray, k: int, epsilon: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each query's ``k`` nearest in one block: positions of queries, ids and exact scores.
 
@@ -66,47 +102,60 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, centre: np.ndarray,
     members = np.argsort(of, kind="stable")
     count = np.bincount(of, minlength=len(first))
     begin = np.cumsum(count) - count
-    signs = (np.unpackbits(codes[rows], axis=1, count=dim).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dim))
-    turned = (queries @ turn).astype(np.float32)
-    estimate = (turned @ signs.T / factor[rows].astype(np.float32)) * length[rows].astype(np.float32) + (queries @ centre).astype(np.float32)[:, None]
-    spread = np.sqrt(np.maximum(1 - factor[rows] ** 2, 0)) / factor[rows] / np.sqrt(max(dim - 1, 1)) * length[rows]
-    error = (np.linalg.norm(queries, axis=1)[:, None] * (epsilon * spread)[None, :]).astype(np.float32) + np.float32(1e-5) * np.abs(estimate)
-    lower = estimate - error
-    m = min(k + 1, lower.shape[1])  # one more, for the query's own row
-    least = np.partition(lower, lower.shape[1] - m, axis=1)[:, lower.shape[1] - m]
+    scale = (length[rows] / factor[rows]).astype(np.float32)
+    spread = (np.sqrt(np.maximum(1 - factor[rows] ** 2, 0)) / np.sqrt(max(dim - 1, 1))).astype(np.float32) * scale
     repeated = len(np.unique(ids)) < len(ids)
-    found = ([], [], [])
-    for q in range(len(queries)):
-        near = np.flatnonzero(estimate[q] + error[q] >= least[q])
-        score = np.array([np.dot(x[r], queries[q]) for r in rows[near]]) if len(near) < 64 else x[rows[near]] @ queries[q]
-        taken = np.minimum(count[near], k + 1)
-        flat = np.repeat(begin[near], taken) + np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
-        own, value = ids[order][members[flat]], np.repeat(score, taken)
-        other = own != query_ids[q]
-        own, value = own[other], value[other]
-        if repeated:
-            _, once = np.unique(own, return_index=True)
-            own, value = own[once], value[once]
-        if len(value) > k:  # ties with the k-th stay for the order below
-            high = value >= np.partition(value, len(value) - k)[len(value) - k]
-            own, value = own[high], value[high]
-        best = np.lexsort((own, -value))[:k]
-        found[0].append(np.full(len(best), q))
-        found[1].append(own[best])
-        found[2].append(value[best])
+    found = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)])
+    for a in range(0, len(queries), _CHUNK):
+        asked = queries[a : a + _CHUNK]
+        product, rounding = estimates(asked @ turn, codes[rows], dim)
+        estimate = product * scale + (asked @ centre).astype(np.float32)[:, None]
+        error = np.float32(epsilon) * (np.linalg.norm(asked, axis=1).astype(np.float32)[:, None] * spread + rounding[:, None] * scale) + np.float32(1e-5) * np.abs(estimate)
+        lower = estimate - error
+        m = min(k + 1, lower.shape[1])  # one more, for the query's own row
+        least = np.partition(lower, lower.shape[1] - m, axis=1)[:, lower.shape[1] - m]
+        for q in range(len(asked)):
+            near = np.flatnonzero(estimate[q] + error[q] >= least[q])
+            taken = np.minimum(count[near], k + 1)
+            flat = np.repeat(begin[near], taken) + np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
+            own, value = ids[order][members[flat]], np.repeat(scores(x[rows[near]], asked[q]), taken)
+            other = own != query_ids[a + q]
+            own, value = own[other], value[other]
+            if repeated:  # an id with several vectors counts with its best
+                best = np.lexsort((-value, own))
+                once = best[np.unique(own[best], return_index=True)[1]]
+                own, value = own[once], value[once]
+            if len(value) > k:  # ties with the k-th stay for the order below
+                high = value >= np.partition(value, len(value) - k)[len(value) - k]
+                own, value = own[high], value[high]
+            best = np.lexsort((own, -value))[:k]
+            found[0].append(np.full(len(best), a + q))
+            found[1].append(own[best])
+            found[2].append(value[best])
     return tuple(np.concatenate(f) for f in found)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 47, epsilon: float = 1.9, block: int = 8192, query_block: int = 1024) -> DataFrame:
+def numbered_blocks(codes: DataFrame) -> tuple[DataFrame, int]:
+    """The written blocks with a gapless ``block`` from 0, and their number."""
+    codes = written(codes.withColumn("_id", F.monotonically_increasing_id()), "codes")
+    at = F.shiftright("_id", 33)
+    counts = codes.groupBy(at.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    starts = prefix_offsets(counts, "_part", ["n"]).select("_part", "n_before")
+    placed = codes.withColumn("_part", at).join(F.broadcast(starts), "_part")
+    return placed.withColumn("block", F.col("n_before") + F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id", "_part", "n_before"), codes.count()
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 47, epsilon: float = 1.9, block: int = 8192, query_block: int = 16384) -> DataFrame:
     """The ``k`` candidates of ``vectors(vec_id, embedding)`` with the largest inner product for each row of ``queries(vec_id, embedding)``.
 
     Every usable vector is encoded (see ``index``; the codes' centre is the mean of all vectors, the rotation is drawn from
-    ``seed``). Blocks of queries meet blocks of codes: each block of codes is joined to each of the numbered query blocks by an equality on block numbers, and a task holds
-    one pair of blocks. Each pair gives its ``k`` best by exact score, and a ranking in two steps the best over all.
+    ``seed``) into blocks of at most ``block`` different rows. Queries are dealt into parts of about ``query_block`` at most (fewer, where else too few tasks
+    were busy). One task meets one block with one part: both are grouped by block and part, so a block is copied once for each part and a query once for each block, and no
+    task gets more than one of each. It gives its ``k`` best by exact score, and a ranking in two steps the best over all.
 
-    Returns ``query_id, rank, vec_id, score``; ties go to the smaller id. Vectors that are null, zero, or hold null or non-finite components take
+    Returns ``query_id, rank, vec_id, score``; ties go to the smaller id, and equal vectors have equal scores. Vectors that are null, zero, or hold null or non-finite components take
     no part on either side, nor do those of another dimension than the most frequent one; null ids neither. A query's own
-    id is no candidate; rows that repeat an id and a vector count once; of a query id with several vectors the smallest vector counts; an empty table gives no rows.
+    id is no candidate; rows that repeat an id and a vector count once; an id with several vectors counts with its best score; of a query id with several vectors the smallest vector counts; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     good = vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & usable("embedding"))
@@ -115,29 +164,33 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 47,
     good = good.filter(F.size("embedding") == dim)
     means = good.agg(*(F.avg(F.col("embedding")[i].cast("double")).alias(f"c{i}") for i in range(dim))).first()
     centre = np.array([m or 0.0 for m in means])
-    codes = index(good, centre, seed, block).withColumn("block", F.monotonically_increasing_id())
-    codes = written(codes, "codes")
+    codes, blocks = numbered_blocks(index(good.distinct(), centre, seed, block))
     asked = queries.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & usable("embedding", dim)).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = written(asked, "queries")
-    blocks = max(1, -(-asked.count() // query_block))
-    numbered = asked.withColumn("query_no", F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(blocks)).cast("int"))
-    packed = numbered.groupBy("query_no").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
-    meetings = codes.withColumn("query_no", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(F.col("block"), F.col("query_no"))
-    meetings = meetings.join(packed, "query_no").select("ids", "codes", "lengths", "factors", "vectors", "queries")
+    n = asked.count()
+    busy = -(-3 * spark.sparkContext.defaultParallelism // max(blocks, 1))
+    parts = max(1, -(-n // query_block), min(busy, n // _CHUNK))
+    part = F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(parts)).cast("int")
+    left = codes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    right = asked.withColumn("part", part).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))) if blocks else asked.limit(0).withColumn("part", part).withColumn("block", F.lit(0).cast("long"))
     turn = spark.sparkContext.broadcast(rotation(dim, seed))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                raw = [batch.column(c)[i].as_py() for c in range(5)]
-                ids, length, factor = np.frombuffer(raw[0], np.int64), np.frombuffer(raw[2]), np.frombuffer(raw[3])
-                own, x = np.frombuffer(raw[1], np.uint8).reshape(len(ids), -1), np.frombuffer(raw[4]).reshape(len(ids), dim)
-                asked = batch.column(5)[i].values
-                query_ids = asked.field("vec_id").to_numpy()
-                q = asked.field("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-                at, near, score = search_block(q, query_ids, centre, turn.value, ids, own, length, factor, x, k, epsilon)
-                yield pa.RecordBatch.from_arrays([pa.array(query_ids[at]), pa.array(near), pa.array(score)], ["query_id", "vec_id", "score"])
-
-    found = mapped(meetings, run, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    kind = np.float64 if "double" in vectors.schema["embedding"].dataType.simpleString() else np.float32
+    ship(spark)
+
+    def meet(own: pa.Table, others: pa.Table) -> pa.Table:
+        at, near, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        if len(own) and len(others):
+            query_ids = others.column("vec_id").to_numpy()
+            q = others.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+            for r in own.select(["ids", "codes", "lengths", "factors", "vectors"]).to_pylist():
+                ids, length, factor = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["lengths"]), np.frombuffer(r["factors"])
+                code, x = np.frombuffer(r["codes"], np.uint64).reshape(len(ids), -1), np.frombuffer(r["vectors"], kind).reshape(len(ids), dim)
+                found = search_block(q, query_ids, centre, turn.value, ids, code, length, factor, x, k, epsilon)
+                for all_of, new in zip((at, near, score), (query_ids[found[0]], *found[1:])):
+                    all_of.append(new)
+        return pa.table([pa.array(np.concatenate(c)) for c in (at, near, score)], ["query_id", "vec_id", "score"])
+
+    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(meet, "query_id long, vec_id long, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -94,30 +94,51 @@ def brute_nearest(rows, k):
     seen = {}
     for i, v in rows:
         if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            seen.setdefault(i, np.array(v, np.float32).astype(float))
+            seen.setdefault(i, []).append(np.array(v, np.float32).astype(float))
+    ids = np.array([i for i, vs in seen.items() for _ in vs])
+    every = np.array([v for vs in seen.values() for v in vs]).reshape(len(ids), -1)
     out = {}
     for q in (i for i in seen if i % 20 == 0):
-        scored = sorted(((-float(np.dot(seen[q], v)), i) for i, v in seen.items() if i != q))[:k]
-        out[q] = [(i, -s) for s, i in scored]
+        best = {}
+        for i, s in zip(ids.tolist(), (every * min(seen[q], key=tuple)).sum(axis=1).tolist()):
+            if i != q:
+                best[i] = max(s, best.get(i, s))
+        out[q] = [(i, s) for s, i in sorted((-s, i) for i, s in best.items())[:k]]
+        out[q] = [(i, -s) for i, s in out[q]]
     return out
 
 
 def test_neighbours_of_odd_vectors(spark):
+    """Ranks and scores wherever found, with equal vectors in several blocks and ids with several vectors."""
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(200)]
-    rows += [(i, rows[40][1]) for i in range(200, 260)] + [(7, rows[7][1])]
+    rows += [(i, rows[40][1]) for i in range(200, 260)] + [(7, rows[7][1]), (9, rng.normal(size=8).astype(np.float32).tolist()), (40, rng.normal(size=8).astype(np.float32).tolist())]
     rows += [(300, None), (320, [0.0] * 8), (340, [float("nan")] * 8), (360, [float("inf")] + [1.0] * 7), (380, [None] + [1.0] * 7), (None, [1.0] * 8), (400, [1.0, 2.0])]
     table = vectors(spark, rows).withColumn("score", F.lit("clash"))
-    found = neighbours.nearest(table, table.filter("vec_id % 20 = 0"), k=20, block=64, query_block=4).orderBy("query_id", "rank").collect()
     truth = brute_nearest([r for r in rows if not (r[1] and len(r[1]) == 2)], 20)
-    got = {}
-    for r in found:
-        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
-    assert got.keys() == truth.keys()
-    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in truth[q]}) for q in truth)
-    assert hits >= 0.99 * sum(map(len, truth.values()))
-    assert [i for i, _ in got[200]] == [i for i, _ in truth[200]]  # ties by id
-    assert all(len(v) == 20 for v in got.values())
+    for block, query_block in ((64, 4), (7, 1000)):
+        found = neighbours.nearest(table, table.filter("vec_id % 20 = 0"), k=20, block=block, query_block=query_block, epsilon=4.0).orderBy("query_id", "rank").collect()
+        got = {}
+        for r in found:
+            got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert got == truth
+        assert all([r["rank"] for r in found if r["query_id"] == q] == list(range(1, 21)) for q in truth)
+
+
+def test_estimates_count_bits():
+    """Counted bits give the inner products with the rounded query, for dimensions beside the word's, too."""
+    rng = np.random.default_rng(5)
+    for dim in (8, 64, 100):
+        turned, bits = rng.normal(size=(30, dim)), rng.normal(size=(50, dim)) > 0
+        got, rounding = neighbours.estimates(turned, neighbours.packed_bits(bits), dim)
+        exact = turned @ (np.where(bits, 1, -1) / np.sqrt(dim)).T
+        assert np.abs(got - exact).mean() < 1.2 * rounding.mean() and (np.abs(got - exact) < 5 * rounding[:, None]).all()
+
+
+def test_no_stage_of_the_search_is_dealt_by_the_query_alone(spark, sf_dir):
+    plan = QUERIES["op1_neighbours"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert sum("block#" in d and "part#" in d for d in dealt) == 2 and not any("part#" in d and "block#" not in d for d in dealt)
 
 
 def test_neighbours_of_few_and_no_vectors(spark):
