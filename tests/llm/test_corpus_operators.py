@@ -585,6 +585,44 @@ def test_passages_changed_near_their_ends(spark):
     assert {r["doc_id"] for r in clean.collect()} == set(range(len(cases))) - set(expected)
 
 
+def test_short_items_and_odd_ids(spark):
+    items = [("one", "lonely"), ("two", "quick marsh"), (None, "seven words stand here in a row"), ("r", "some words stand twice here as a whole item"), ("r", "some words stand twice here as a whole item"), ("r", "another text under the same id as those above"), ("none", " "), ("null", None)]
+    docs = {
+        1: "x LONELY y", 2: "quick\nmarsh", 3: "quick brown marsh", 4: "seven words stand here in a row", 5: "seven words stand HERE in the row", 6: "lonelyx",
+        7: "some words stand twice here as a whole item", 8: "another text under the same id as those above", 9: "", 10: None,
+    }
+    got = decontamination.benchmark_overlaps(spark.createDataFrame(list(docs.items()), "doc_id int, text string"), spark.createDataFrame(items, "item_id string, text string"))
+    assert sorted((r["doc_id"], str(r["item_id"]), r["n_words"]) for r in got.collect()) == [(1, "one", 1), (2, "two", 2), (4, "None", 7), (7, "r", 9), (8, "r", 9)]
+
+
+def test_passages_of_all_lengths_against_all_alignments(spark):
+    """Items of 1 to 100 words with up to a fifth of them substituted, each against every text by trying all alignments and stretches."""
+    rng = random.Random(31)
+    items, rows = [], []
+    for k in range(150):
+        n = rng.choice([1, 2, 4, 6, 7, 8, 9, 10, 12, 14, 15, 20, 30, 50, 100])
+        words = [f"w{rng.randrange(400)}" for _ in range(n)]
+        own = list(words)
+        for p in rng.sample(range(n), rng.randint(0, -(-n // 5))):
+            own[p] = f"s{p}"
+        items.append((k, words))
+        rows.append((k, [f"a{rng.randrange(400)}" for _ in range(rng.randrange(30))] + own + [f"w{rng.randrange(400)}" for _ in range(rng.randrange(30))]))
+    expected = set()
+    for k, words in items:
+        n = len(words)
+        needed = min(12, -(-4 * n // 5)) if n >= 8 else n
+        for d, text in rows:
+            if sum(w in text for w in words) >= needed:
+                for shift in range(1 - n, len(text)):
+                    same = [text[i] == words[i - shift] for i in range(max(shift, 0), min(shift + n, len(text)))]
+                    if sum(same) >= needed and counts(same) >= needed:
+                        expected.add((d, k))
+                        break
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string")
+    got = decontamination.benchmark_overlaps(docs, spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string"), block_words=700)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == expected and len(expected) > 150
+
+
 def test_passages_of_the_documents(spark, sf_dir):
     words = lambda t: WORD.findall((t or "").lower())
     items = [(r[0], words(r[1])) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
