@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from soundgrid.functions.tiles import HALF_WORLD, MACROTILE_Z, OVERVIEWS
@@ -46,19 +46,22 @@ def group_ids(items: DataFrame) -> DataFrame:
 def aggregation_tiles(groups: DataFrame) -> DataFrame:
     """The coarsest tiles that hold one group each and aren't over ``OVERVIEWS`` zooms above its data: ``z, x, y``.
 
-    From the seed zoom down to the macrotile zoom, a tile whose macrotiles all share one group stops the descent; five steps, each
-    one aggregation of what is left.
+    One aggregation tells of every ancestor of every macrotile, up to the seed zoom, whether it may stop the descent. Those that may
+    are intervals of a quadtree order below their seed tile, 341 at most of each; the ones that no earlier one holds are the tiles.
     """
-    seed, left, out = MACROTILE_Z - OVERVIEWS, groups, None
-    for z in range(seed, MACROTILE_Z + 1):
-        up = MACROTILE_Z - z
-        keyed = left.withColumn("tx", F.shiftright("x", up)).withColumn("ty", F.shiftright("y", up))
-        tiles = keyed.groupBy("tx", "ty").agg(F.min("group_id").alias("a"), F.max("group_id").alias("b"), F.max("maxzoom").alias("m"))
-        stop = tiles.filter((F.lit(z) == MACROTILE_Z) | ((F.col("a") == F.col("b")) & (F.lit(z) >= F.col("m") - OVERVIEWS))).select("tx", "ty")
-        own = stop.select(F.lit(z).alias("z"), F.col("tx").alias("x"), F.col("ty").alias("y"))
-        out = own if out is None else out.unionByName(own)
-        left = keyed.join(stop, ["tx", "ty"], "left_anti").select("x", "y", "group_id", "maxzoom")
-    return out
+    seed = MACROTILE_Z - OVERVIEWS
+    above = groups.withColumn("z", F.explode(F.sequence(F.lit(seed), F.lit(MACROTILE_Z))))
+    up = F.lit(MACROTILE_Z) - F.col("z")
+    shifted = lambda c, by: F.call_function("shiftright", F.col(c), by)
+    tiles = above.groupBy("z", shifted("x", up).alias("tx"), shifted("y", up).alias("ty")).agg(F.min("group_id").alias("a"), F.max("group_id").alias("b"), F.max("maxzoom").alias("m"))
+    stop = tiles.filter((F.col("z") == MACROTILE_Z) | ((F.col("a") == F.col("b")) & (F.col("z") >= F.col("m") - OVERVIEWS))).select("z", F.col("tx").alias("x"), F.col("ty").alias("y"))
+    first = lambda c: F.call_function("shiftleft", F.col(c), up)
+    bits = (F.call_function("shiftleft", F.shiftright(first(c), i).bitwiseAND(1), F.lit(2 * i + k)) for k, c in enumerate("xy") for i in range(OVERVIEWS))
+    start = sum(bits, F.lit(0))
+    placed = stop.withColumn("start", start).withColumn("end", F.col("start") + F.call_function("shiftleft", F.lit(1), up * 2))
+    before = Window.partitionBy(shifted("x", F.col("z") - seed), shifted("y", F.col("z") - seed)).orderBy("start", "z").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.coalesce(F.max("end").over(before) > F.col("start"), F.lit(False))
+    return placed.withColumn("held", held).filter("not held").select("z", "x", "y")
 
 
 def finer_index(stems: DataFrame) -> DataFrame:
