@@ -1,16 +1,22 @@
-"""Neighbourhood operators: every pixel is sent to the cells that it touches, and one aggregation combines what arrives.
+"""Neighbourhood operators.
 
-Nothing depends on tiles or blocks, so results have no seams; the shuffle is the number of pixels by the kernel's taps, with
-partial sums before it. Separable kernels run as two passes.
+Wide neighbourhoods are worked out in blocks with halos that are wide enough for the block's result to be that of the whole raster, so
+results have no seams. For narrow ones every pixel is sent to the cells that it touches, and one aggregation combines what arrives.
 """
 
 from __future__ import annotations
 
-from math import exp
-
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from soundgrid.operators.blocks import Extent, blurred, by_block, nearest_source, reach_of
+
+# Blurs of the shallow and the deep water and of the flat weight, pixels; slopes, degrees, and depths, metres, between which the weights change.
+LIGHT, HEAVY, FEATHER = 4.0, 16.0, 4.0
+FLAT, STEEP = 1.0, 5.0
+SHALLOW, DEEP = 30.0, 200.0
+
 
 def _taps(offsets: list[tuple[int, int, float]]) -> Column:
     return F.explode(F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"), F.lit(float(w)).alias("w")) for dr, dc, w in offsets)))
@@ -23,43 +29,58 @@ def weighted(pixels: DataFrame, offsets: list[tuple[int, int, float]]) -> DataFr
     return pixels.join(means, ["r", "c"], "left")
 
 
-def gaussian(pixels: DataFrame, sigma: float, truncate: float = 4.0) -> DataFrame:
-    """Separable Gaussian over valid pixels, as ``mean``: a pass along rows, a pass along columns."""
-    reach = int(truncate * sigma + 0.5)
-    line = [(k, exp(-0.5 * (k / sigma) ** 2)) for k in range(-reach, reach + 1)]
+def gaussian(pixels: DataFrame, sigma: float, size: int = 512) -> DataFrame:
+    """Gaussian mean of the valid pixels around each pixel, as ``mean``."""
+
+    def mean(z: np.ndarray) -> np.ndarray:
+        there = ~np.isnan(z)
+        weight = blurred(there.astype(float), sigma)
+        return np.where(there, blurred(np.where(there, z, 0.0), sigma) / np.where(there, weight, 1.0), np.nan)
 
-    def one(df: DataFrame, along: str, value: str, weight: str) -> DataFrame:
-        tap = F.explode(F.array(*(F.struct(F.lit(k).alias("d"), F.lit(w).alias("w")) for k, w in line)))
-        sent = df.withColumn("t", tap).withColumn(along, F.col(along) + F.col("t.d"))
-        return sent.groupBy("r", "c").agg(F.sum(F.col(value) * F.col("t.w")).alias("v"), F.sum(F.col(weight) * F.col("t.w")).alias("w"))
+    return by_block(pixels, ["z"], "mean", reach_of(sigma), mean, size=size)
 
-    valid = pixels.filter("z is not null").select("r", "c", F.col("z").alias("v"), F.lit(1.0).alias("w"))
-    twice = one(one(valid, "c", "v", "w"), "r", "v", "w")
-    return pixels.join(twice.select("r", "c", (F.col("v") / F.col("w")).alias("mean")), ["r", "c"], "left")
+
+def water_blur(pixels: DataFrame, sigma: float, extent: Extent, size: int = 512) -> DataFrame:
+    """Gaussian of the water's depth, as ``mean``: ground and missing pixels are at the datum, and the raster's edge goes on beyond it."""
+    blur = lambda z: blurred(np.where(z < 0, z, 0.0), sigma, "edge")
+    return by_block(pixels, ["z"], "mean", reach_of(sigma), blur, extent, size)
 
 
 def slope(pixels: DataFrame, size: float) -> DataFrame:
-    """Degrees of the central gradient; one-sided where a neighbour is missing. Two window passes over rows and columns."""
-    row, col = Window.partitionBy("r").orderBy("c"), Window.partitionBy("c").orderBy("r")
+    """Degrees of the central gradient; one-sided where a neighbour is missing."""
+
+    def angle(z: np.ndarray) -> np.ndarray:
+        def gradient(axis: int) -> np.ndarray:
+            line = np.moveaxis(z, axis, 0)
+            before, after = np.full_like(line, np.nan), np.full_like(line, np.nan)
+            before[1:], after[:-1] = line[:-1], line[1:]
+            steps = (~np.isnan(before)).astype(int) + ~np.isnan(after)
+            change = np.where(np.isnan(after), line, after) - np.where(np.isnan(before), line, before)
+            return np.moveaxis(np.where(steps > 0, change / (np.maximum(steps, 1) * size), 0.0), 0, axis)
 
-    def gradient(w: Window, place: str) -> Column:
-        prev, after = F.when(F.lag(place).over(w) == F.col(place) - 1, F.lag("z").over(w)), F.when(F.lead(place).over(w) == F.col(place) + 1, F.lead("z").over(w))
-        steps = prev.isNotNull().cast("int") + after.isNotNull().cast("int")
-        return F.when(steps > 0, (F.coalesce(after, F.col("z")) - F.coalesce(prev, F.col("z"))) / (steps * size)).otherwise(0.0)
+        return np.degrees(np.arctan(np.hypot(gradient(0), gradient(1))))
 
-    both = pixels.withColumn("gx", gradient(row, "c")).withColumn("gy", gradient(col, "r"))
-    return both.withColumn("slope", F.degrees(F.atan(F.sqrt(F.col("gx") ** 2 + F.col("gy") ** 2)))).drop("gx", "gy")
+    return by_block(pixels, ["z"], "slope", 1, angle)
 
 
-def smooth_shoalward(pixels: DataFrame, size: float, light: float = 1.0, heavy: float = 2.0, flat: float = 1.0, deep: float = 50.0) -> DataFrame:
-    """Water blended towards its light and heavy means, the more the flatter and deeper it is, and never made deeper."""
-    means = gaussian(pixels, light).withColumnRenamed("mean", "light").join(gaussian(pixels, heavy).select("r", "c", F.col("mean").alias("heavy")), ["r", "c"])
-    shaped = means.join(slope(pixels, size).select("r", "c", "slope"), ["r", "c"])
-    level = F.least(F.greatest(F.lit(1.0) - F.col("slope") / flat, F.lit(0.0)), F.lit(1.0))
-    depth = F.least(F.greatest(-F.col("z") / deep, F.lit(0.0)), F.lit(1.0))
-    blend = F.col("light") + (F.col("heavy") - F.col("light")) * level * depth
-    smoothed = F.when(F.col("z") < 0, F.least(F.greatest("z", blend), F.lit(-1 / 256))).otherwise(F.col("z"))
-    return shaped.withColumn("smoothed", smoothed)
+def smooth_shoalward(pixels: DataFrame, pixel: float, extent: Extent, light: float = LIGHT, heavy: float = HEAVY, feather: float = FEATHER, flat: float = FLAT, steep: float = STEEP, shallow: float = SHALLOW, deep: float = DEEP, size: int = 512) -> DataFrame:
+    """Water blended towards its blur where it is flat, by the heavy blur the deeper it is, and never made deeper: ``smoothed``.
+
+    In the blurs and the slope, ground and missing pixels are at the datum. The flat weight falls from 1 to 0 between the slopes ``flat`` and ``steep`` and is itself
+    blurred; the heavy blur's share grows from 0 to 1 between the depths ``shallow`` and ``deep``. Ground stays as it is.
+    """
+
+    def smooth(z: np.ndarray) -> np.ndarray:
+        water = z < 0
+        work = np.where(water, z, 0.0)
+        down, along = (np.gradient(work, pixel, axis=k) if work.shape[k] > 1 else np.zeros_like(work) for k in (0, 1))
+        angle = np.degrees(np.arctan(np.hypot(down, along)))
+        level = blurred(1 - np.clip((angle - flat) / (steep - flat), 0, 1), feather, "edge")
+        share = np.clip((-work - shallow) / (deep - shallow), 0, 1)
+        blend = blurred(work, light, "edge") * (1 - share) + blurred(work, heavy, "edge") * share
+        return np.where(water, np.maximum(z * (1 - level) + blend * level, z), z)
+
+    return by_block(pixels, ["z"], "smoothed", max(map(reach_of, (light, heavy, feather))) + 1, smooth, extent, size)
 
 
 def disc(radius: int) -> list[tuple[int, int, float]]:
@@ -67,17 +88,25 @@ def disc(radius: int) -> list[tuple[int, int, float]]:
     return [(dr, dc, float(dr * dr + dc * dc) ** 0.5) for dr in range(-radius, radius + 1) for dc in range(-radius, radius + 1) if dr * dr + dc * dc <= radius * radius]
 
 
-def distance_to(pixels: DataFrame, where: Column, radius: int) -> DataFrame:
+def distance_to(pixels: DataFrame, where: Column, radius: int, size: int = 512) -> DataFrame:
     """Euclidean distance of each pixel to the next pixel with ``where``, within ``radius``; NULL beyond."""
-    sent = pixels.filter(where).withColumn("t", _taps(disc(radius))).select((F.col("r") + F.col("t.dr")).alias("r"), (F.col("c") + F.col("t.dc")).alias("c"), F.col("t.w").alias("d"))
-    return pixels.join(sent.groupBy("r", "c").agg(F.min("d").alias("distance")), ["r", "c"], "left")
+
+    def distance(there: np.ndarray) -> np.ndarray:
+        d2, _ = nearest_source(there == 1, radius)
+        return np.where(d2 <= radius * radius, np.sqrt(d2), np.nan)
+
+    marked = pixels.withColumn("_there", F.when(where, 1.0))
+    return by_block(marked, ["_there"], "distance", radius, distance, size=size).drop("_there")
 
 
-def nearest_fill(pixels: DataFrame, radius: int) -> DataFrame:
+def nearest_fill(pixels: DataFrame, radius: int, size: int = 512) -> DataFrame:
     """Missing values from the nearest valid pixel within ``radius``; ties to the first in row order."""
-    sent = pixels.filter("z is not null").withColumn("t", _taps(disc(radius))).select((F.col("r") + F.col("t.dr")).alias("r"), (F.col("c") + F.col("t.dc")).alias("c"), F.struct(F.col("t.w").alias("d"), F.col("r").alias("sr"), F.col("c").alias("sc"), F.col("z").alias("v")).alias("s"))
-    near = sent.groupBy("r", "c").agg(F.min("s").alias("s"))
-    return pixels.join(near, ["r", "c"], "left").withColumn("filled", F.coalesce("z", "s.v")).drop("s")
+
+    def fill(z: np.ndarray) -> np.ndarray:
+        d2, place = nearest_source(~np.isnan(z), radius)
+        return np.where(np.isnan(z), np.where(d2 <= radius * radius, z.ravel()[place], np.nan), z)
+
+    return by_block(pixels, ["z"], "filled", radius, fill, size=size)
 
 
 def bilinear_sample(points: DataFrame, grid: DataFrame) -> DataFrame:
@@ -103,12 +132,13 @@ def bspline_sample(points: DataFrame, grid: DataFrame, size: int) -> DataFrame:
     return found.agg((F.sum(F.col("w") * F.col("z")) / F.sum("w")).alias("value"))
 
 
-def crossings(pixels: DataFrame, level: float) -> DataFrame:
-    """How often each row crosses a level between neighbouring valid pixels."""
-    w = Window.partitionBy("r").orderBy("c")
-    next_to = F.lag("c").over(w) == F.col("c") - 1
-    cut = next_to & ((F.lag("z").over(w) < level) != (F.col("z") < level))
-    return pixels.filter("z is not null").withColumn("cut", F.coalesce(cut, F.lit(False)).cast("int")).groupBy("r").agg(F.sum("cut").alias("crossings"))
+def crossings(pixels: DataFrame, level: float, stretch: int = 1024) -> DataFrame:
+    """How often each row crosses a level between neighbouring valid pixels. A row is cut into stretches; a stretch's last pixel is the one before the next, too."""
+    own = F.floor(F.col("c") / stretch)
+    cut = pixels.filter("z is not null").withColumn("_of", F.explode(F.when(F.col("c") % stretch == stretch - 1, F.array(own, own + 1)).otherwise(F.array(own))))
+    w = Window.partitionBy("r", "_of").orderBy("c")
+    crossed = (F.lag("c").over(w) == F.col("c") - 1) & ((F.lag("z").over(w) < level) != (F.col("z") < level))
+    return cut.withColumn("cut", F.coalesce(crossed, F.lit(False)).cast("int")).groupBy("r").agg(F.sum("cut").alias("crossings"))
 
 
 def band_edges(pixels: DataFrame, levels: list[float]) -> DataFrame:
@@ -125,18 +155,24 @@ def band_edges(pixels: DataFrame, levels: list[float]) -> DataFrame:
     return cut.select("r", "c", "side", F.element_at(F.array(*(F.lit(v) for v in levels)), F.col("k")).alias("level"))
 
 
-def seam_feather(pixels: DataFrame, sigma: float = 2.0) -> DataFrame:
-    """Blend the surface where its source changes: ``pixels(r, c, z, src)`` with ``feathered``.
+def seam_feather(pixels: DataFrame, rank: Column, extent: Extent, sigma: float = 2.0, size: int = 512) -> DataFrame:
+    """Blend the surface along the inner rims of its sources: ``pixels(r, c, z)`` with ``feathered``. ``rank`` is 1 for the source of the highest priority.
 
-    A pixel is on a seam if a pixel beside it comes from another source; the seams' Gaussian, scaled by a smooth step, is the share of the surface's own
-    Gaussian in the blend. Ground never becomes water by it.
+    Layer by layer, the rim of what is covered so far is a seam, unless it is the whole cover's own rim: a pixel whose four neighbours are
+    all there and one of them comes from a source of lower priority. The seams' Gaussian over its own peak, as a smooth step, is the share of the surface's
+    Gaussian in the blend; missing pixels enter it at the datum. What is at or above the datum never becomes water by it.
     """
-    beside = F.explode(F.array(*(F.struct((F.col("r") + dr).alias("r"), (F.col("c") + dc).alias("c")) for dr, dc in ((0, 0), (0, 1), (1, 0), (0, -1), (-1, 0)))))
-    met = pixels.select(F.col("src").alias("_s"), beside.alias("p")).groupBy("p.r", "p.c").agg((F.min("_s") != F.max("_s")).alias("seam"))
-    marked = pixels.join(met, ["r", "c"], "left")
-    near = gaussian(marked.select("r", "c", F.coalesce("seam", F.lit(False)).cast("double").alias("z")), sigma).select("r", "c", F.col("mean").alias("_near"))
-    smooth = gaussian(pixels.select("r", "c", "z"), sigma).select("r", "c", F.col("mean").alias("_mean"))
-    t = F.least(F.col("_near") * 2.0, F.lit(1.0))
-    blend = F.col("z") + (F.col("_mean") - F.col("z")) * t * t * (F.lit(3.0) - t * 2.0)
-    joined = pixels.join(near, ["r", "c"]).join(smooth, ["r", "c"], "left")
-    return joined.withColumn("feathered", F.when((F.col("z") >= 0) & (blend < 0), F.col("z")).otherwise(blend)).drop("_near", "_mean")
+
+    def feather(z: np.ndarray, place: np.ndarray) -> np.ndarray:
+        there = ~np.isnan(z)
+        own = np.pad(np.where(there, place, np.inf), 1, constant_values=np.inf)
+        beside = np.stack([own[:-2, 1:-1], own[2:, 1:-1], own[1:-1, :-2], own[1:-1, 2:]])
+        seam = there & np.isfinite(beside).all(axis=0) & (beside.max(axis=0) > own[1:-1, 1:-1])
+        filled = np.where(there, z, 0.0)
+        t = np.clip(blurred(seam.astype(float), sigma, "symmetric") * np.sqrt(2 * np.pi) * sigma, 0, 1)
+        share = t * t * (3 - 2 * t)
+        blend = share * blurred(filled, sigma, "symmetric") + (1 - share) * filled
+        return np.where((filled >= 0) & (blend < 0), filled, blend)
+
+    ranked = pixels.withColumn("_rank", rank.cast("double"))
+    return by_block(ranked, ["z", "_rank"], "feathered", reach_of(sigma) + 1, feather, extent, size).drop("_rank")

@@ -43,14 +43,15 @@ def _rim(labelled: DataFrame) -> DataFrame:
     return near.join(labelled.select("label", "r", "c"), ["label", "r", "c"], "left_anti")
 
 
-def pond_fill(pixels: DataFrame, most_pixels: int, most_span: int, lowest: float = -2.0) -> DataFrame:
+def pond_fill(pixels: DataFrame, most_pixels: int, most_diagonal: float, lowest: float = -2.0) -> DataFrame:
     """Fill small, shallow water that ground encloses with the lowest level that closes it: its rim's greatest value.
 
-    A pond is an 8-connected patch of water of at most ``most_pixels`` and ``most_span``, nowhere below ``lowest``, whose rim
+    A pond is an 8-connected patch of water of at most ``most_pixels``, with a bounding box of at most ``most_diagonal`` pixels across, nowhere below ``lowest``, whose rim
     has no missing pixel. Water only gets shallower.
     """
     labelled = label_components(pixels.filter("z < 0"), diagonal=True).join(pixels, ["r", "c"])
-    small = component_stats(labelled).filter((F.col("pixels") <= most_pixels) & (F.greatest(F.col("bottom") - F.col("top"), F.col("right") - F.col("left")) < most_span) & (F.col("low") >= lowest))
+    high, wide = F.col("bottom") - F.col("top") + 1, F.col("right") - F.col("left") + 1
+    small = component_stats(labelled).filter((F.col("pixels") <= most_pixels) & (high * high + wide * wide <= most_diagonal**2) & (F.col("low") >= lowest))
     rim = _rim(labelled.join(small.select("label"), "label", "left_semi")).join(pixels, ["r", "c"], "left").groupBy("label")
     closed = rim.agg(F.count(F.lit(1)).alias("n"), F.count("z").alias("valid"), F.max("z").alias("fill")).filter("n = valid")
     filled = labelled.join(closed, "label").select("r", "c", F.col("fill").alias("_fill"))
@@ -60,24 +61,34 @@ def pond_fill(pixels: DataFrame, most_pixels: int, most_span: int, lowest: float
 def enclosed_shoals(pixels: DataFrame, levels: list[float], edge: Column) -> DataFrame:
     """For each level, the shallowest pixel of each 4-connected patch shallower than it that doesn't touch ``edge`` or a missing pixel.
 
-    A pixel found at several levels counts once, with the least level.
+    A pixel found at several levels counts once, with the least level. All levels are labelled at once, each on a storey of its own.
+    """
+    valid = written(pixels.filter("z is not null").select("r", "c", "z", edge.cast("int").alias("edge")), "surface")
+    ends = valid.agg(F.min("r"), F.max("r")).first()
+    height = (ends[1] or 0) - (ends[0] or 0) + 2
+    over = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.lit(float(v)).alias("level")) for k, v in enumerate(levels))))
+    stacked = valid.filter("z < 0").withColumn("s", over).filter(F.col("z") > -F.col("s.level")).select((F.col("r") + F.col("s.k") * height).alias("r"), "c", "s.level", F.col("r").alias("own_r"), "z", "edge")
+    labelled = label_components(stacked.select("r", "c")).join(stacked, ["r", "c"])
+    inside = labelled.groupBy("label", "level").agg(F.max(F.struct("z", (-F.col("own_r")).alias("nr"), (-F.col("c")).alias("nc"))).alias("b"), F.max("edge").alias("open")).filter("open = 0")
+    return inside.groupBy((-F.col("b.nr")).alias("r"), (-F.col("b.nc")).alias("c"), (-F.col("b.z")).alias("depth")).agg(F.min("level").alias("level"))
+
+
+def dome_candidates(pixels: DataFrame, most_span: int, ring: int, extent: tuple[int, int, int, int], deep: float = -8.0) -> DataFrame:
+    """Small 8-connected patches at or above the datum with deep water all around: lone rocks, or cones of an interpolation.
+
+    The bounding box is ``most_span`` pixels wide and high at most, and of the frame ``ring`` pixels around it half is valid at least
+    and nothing shallower than ``deep``. A patch whose frame leaves the raster's ``extent`` isn't judged.
     """
-    found = None
-    for level in levels:
-        shallow = pixels.filter((F.col("z") > -level) & (F.col("z") < 0))
-        labelled = label_components(shallow).join(pixels, ["r", "c"])
-        inside = labelled.groupBy("label").agg(F.max(F.struct("z", (-F.col("r")).alias("nr"), (-F.col("c")).alias("nc"))).alias("b"), F.max(edge.cast("int")).alias("open")).filter("open = 0")
-        own = inside.select((-F.col("b.nr")).alias("r"), (-F.col("b.nc")).alias("c"), (-F.col("b.z")).alias("depth"), F.lit(float(level)).alias("level"))
-        found = own if found is None else found.unionByName(own)
-    return found.groupBy("r", "c", "depth").agg(F.min("level").alias("level"))
-
-
-def dome_candidates(pixels: DataFrame, most_span: int, deep: float = -8.0) -> DataFrame:
-    """Small 8-connected patches at or above the datum whose whole rim is deep: lone rocks, or spikes of the survey."""
     labelled = label_components(pixels.filter("z >= 0"), diagonal=True).join(pixels, ["r", "c"])
-    small = component_stats(labelled).filter(F.greatest(F.col("bottom") - F.col("top"), F.col("right") - F.col("left")) < most_span)
-    rim = _rim(labelled).join(pixels, ["r", "c"], "left").groupBy("label").agg(F.max("z").alias("rim_high"), F.count("z").alias("valid"), F.count(F.lit(1)).alias("n"))
-    return small.join(rim.filter((F.col("rim_high") <= deep) & (F.col("valid") * 2 >= F.col("n"))), "label").select("label", "pixels", "high", "rim_high")
+    boxes = component_stats(labelled).filter((F.col("bottom") - F.col("top") < most_span) & (F.col("right") - F.col("left") < most_span))
+    boxes = boxes.select("label", "pixels", "high", (F.col("top") - ring).alias("r0"), (F.col("bottom") + ring).alias("r1"), (F.col("left") - ring).alias("c0"), (F.col("right") + ring).alias("c1"))
+    boxes = boxes.filter((F.col("r0") >= extent[0]) & (F.col("c0") >= extent[1]) & (F.col("r1") <= extent[2]) & (F.col("c1") <= extent[3]))
+    line = lambda r, c: F.struct(r.alias("r"), c.alias("c"))
+    across = F.transform(F.sequence("c0", "c1"), lambda c: F.array(line(F.col("r0"), c), line(F.col("r1"), c)))
+    along = F.transform(F.sequence(F.col("r0") + 1, F.col("r1") - 1), lambda r: F.array(line(r, F.col("c0")), line(r, F.col("c1"))))
+    frame = boxes.select("label", F.explode(F.flatten(F.concat(across, along))).alias("p")).select("label", "p.r", "p.c").join(pixels, ["r", "c"], "left")
+    rim = frame.groupBy("label").agg(F.max("z").alias("rim_high"), F.count("z").alias("valid"), F.count(F.lit(1)).alias("n"))
+    return boxes.join(rim.filter((F.col("rim_high") <= deep) & (F.col("valid") * 2 >= F.col("n"))), "label").select("label", "pixels", "high", "rim_high")
 
 
 def flood_component(pixels: DataFrame, seeds: DataFrame, diagonal: bool = False) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from soundgrid.functions import depth
 from soundgrid.operators import vectors
 from soundgrid.queries import query
+from soundgrid.queries.catalog import STEMS, _stems
 from soundgrid.queries.views import table, with_views
 
 D = "CAST({} AS DOUBLE)"
@@ -181,8 +182,9 @@ def rasterize_mask(spark, sf_dir):
     return vectors.rasterize(scaled, 1024)
 
 
-@query()
-def adjacency(spark, sf_dir):
-    from soundgrid.queries.catalog import _stems
+FINE = "SELECT stem, CAST(x AS BIGINT) << (20 - z) AS l, CAST(x + 1 AS BIGINT) << (20 - z) AS r, CAST(y AS BIGINT) << (20 - z) AS t, CAST(y + 1 AS BIGINT) << (20 - z) AS b FROM stems WHERE child_z = 10"
+
 
+@query(with_views("SELECT a.stem, o.stem AS other, 'east' AS side FROM fine a JOIN fine o ON a.r % 1048576 = o.l AND a.t < o.b AND o.t < a.b UNION ALL SELECT a.stem, o.stem, 'south' FROM fine a JOIN fine o ON a.b = o.t AND a.l < o.r AND o.l < a.r", stems=STEMS, fine=FINE))
+def adjacency(spark, sf_dir):
     return vectors.seam_adjacency(_stems(spark, sf_dir).filter("child_z = 10"))

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from soundgrid.operators import covering, datum, focal, gates, labels, merge, ordered, serving, vectors
 from soundgrid.queries import query
-from soundgrid.queries.catalog import STEMS, _spans, _stems
+from soundgrid.queries.catalog import HW, SPLIT, STEMS, _spans, _stems
 from soundgrid.queries.charting import BOXES, _boxes
-from soundgrid.queries.surfaces import CELLS, MASKED, _masked
-from soundgrid.queries.views import files, mask, points, px, surface, table, with_views
+from soundgrid.queries.surfaces import CELLS, MASKED, SIDES, _masked, blur_sql
+from soundgrid.queries.views import EXTENT, files, mask, points, px, surface, table, with_views
 
 
 @query(with_views("SELECT coalesce(a.r, b.r) AS r, coalesce(a.c, b.c) AS c, coalesce(b.z, a.z) AS z, CASE WHEN b.z IS NOT NULL THEN 2 ELSE 1 END AS bias FROM (SELECT * FROM px WHERE src = 'A') a FULL JOIN (SELECT * FROM px WHERE src = 'R') b ON a.r = b.r AND a.c = b.c"))
@@ -55,19 +55,10 @@ def group_cell_px(spark, sf_dir):
     return files(spark, sf_dir).groupBy("source").agg((F.max(F.greatest(span / F.col("width"), span / F.col("height"))) / F.lit(100.0)).alias("cells"))
 
 
-@query("SELECT 65 AS halo")
-def halo_px(spark, sf_dir):
-    from math import ceil
+TILE8 = "least(greatest(CAST(floor({v} / (2 * " + HW + " / 256)) AS INT), 0), 255)"
 
-    return spark.createDataFrame([(ceil(4 * 16) + 1,)], "halo int")
 
-
-@query(with_views("SELECT r, c, min(z) AS z FROM px WHERE src = 'N' GROUP BY 1, 2"))
-def band_select(spark, sf_dir):
-    return px(spark, sf_dir).filter("src = 'N'").select("r", "c", "z")
-
-
-@query()
+@query(with_views(f"SELECT x, y, source, string_agg(DISTINCT filename || ':' || CAST(maxzoom AS VARCHAR), ',' ORDER BY filename || ':' || CAST(maxzoom AS VARCHAR)) AS files FROM (SELECT p.*, CAST(a.i AS INT) AS x, CAST(b.i AS INT) AS y FROM parts p, range(256) a(i), range(256) b(i) WHERE a.i BETWEEN {TILE8.format(v='(\"left\" - 300 + ' + HW + ')')} AND {TILE8.format(v='(\"right\" + 300 + ' + HW + ')')} AND b.i BETWEEN {TILE8.format(v='(' + HW + ' - top - 300)')} AND {TILE8.format(v='(' + HW + ' - bottom + 300)')}) t GROUP BY 1, 2, 3", parts=SPLIT))
 def macrotile_map(spark, sf_dir):
     return covering.macrotile_map(files(spark, sf_dir)).withColumn("files", F.array_join("files", ","))
 
@@ -152,12 +143,19 @@ def mvt_clip(spark, sf_dir):
     return cut.filter(by_left).select("id", "ax", "ay")
 
 
-@query()
+PLACED = "SELECT g.r, g.c, t.z, CASE t.src WHEN 'R' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS place, t.z IS NOT NULL AS there, coalesce(t.z, 0) AS v FROM (SELECT CAST(a.i AS INT) AS r, CAST(b.i AS INT) AS c FROM range(128) a(i), range(128) b(i)) g LEFT JOIN (SELECT r, c, z, src FROM (SELECT r, c, z, px.src AS src, row_number() OVER (PARTITION BY r, c ORDER BY priority DESC, maxzoom DESC, px.src) AS k FROM px JOIN srcs ON px.src = srcs.src) q WHERE k = 1) t ON t.r = g.r AND t.c = g.c"
+RIM = f"SELECT p.r, p.c, CASE WHEN s.r IS NULL THEN CAST(0 AS DOUBLE) ELSE 1 END AS v FROM placed p LEFT JOIN (SELECT a.r, a.c FROM placed a, (VALUES {SIDES}) d(dr, dc), placed b WHERE b.r = a.r + dr AND b.c = a.c + dc AND a.there AND b.there GROUP BY a.r, a.c, a.place HAVING count(*) = 4 AND max(b.place) > a.place) s ON s.r = p.r AND s.c = p.c"
+MIRROR = "CASE WHEN {x} < 0 THEN -1 - {x} WHEN {x} > 127 THEN 255 - {x} ELSE {x} END"
+FEATHERED = "SELECT r, c, z, round(CASE WHEN z >= 0 AND blend < 0 THEN z ELSE blend END, 6) AS feathered FROM (SELECT r, c, z, (t * t * (3 - 2 * t)) * m + (1 - t * t * (3 - 2 * t)) * z AS blend FROM (SELECT p.r, p.c, p.z, m.v AS m, least(n.v * sqrt(2 * pi()) * 2, 1) AS t FROM placed p JOIN means m ON m.r = p.r AND m.c = p.c JOIN nearness n ON n.r = p.r AND n.c = p.c WHERE p.there) a) b"
+
+
+@query(with_views(FEATHERED, placed=PLACED, rim=RIM, **blur_sql("means", "placed", 2.0, MIRROR), **blur_sql("nearness", "rim", 2.0, MIRROR)))
 def seam_feather(spark, sf_dir):
     from soundgrid.queries.views import sources
 
     merged = merge.priority_fill(px(spark, sf_dir), sources(spark), ["r", "c"])
-    return focal.seam_feather(merged).select("r", "c", "z", F.round("feathered", 6).alias("feathered"))
+    rank = F.when(F.col("src") == "R", 1).when(F.col("src") == "N", 2).otherwise(3)
+    return focal.seam_feather(merged, rank, EXTENT).select("r", "c", "z", F.round("feathered", 6).alias("feathered"))
 
 
 @query()
@@ -189,9 +187,12 @@ def match_1d(spark, sf_dir):
     return ordered.match_sorted(side("A"), side("R"), ["edge"], 1.0)
 
 
-@query()
+SIZED = "SELECT o_custkey % 20 AS source, o_orderkey AS name, CAST(floor(o_totalprice) AS BIGINT) AS size, row_number() OVER (PARTITION BY o_custkey % 20 ORDER BY o_orderkey) AS k FROM orders"
+
+
+@query(with_views("SELECT source, name, size, batch FROM filling", sized=SIZED, filling="SELECT source, name, size, k, size AS used, CAST(0 AS INT) AS batch FROM sized WHERE k = 1 UNION ALL SELECT s.source, s.name, s.size, s.k, CASE WHEN f.used + s.size > 5000000 THEN s.size ELSE f.used + s.size END, CASE WHEN f.used + s.size > 5000000 THEN f.batch + 1 ELSE f.batch END FROM filling f JOIN sized s ON s.source = f.source AND s.k = f.k + 1"))
 def plan_batches(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 20).alias("source"), F.col("o_orderkey").alias("name"), F.col("o_totalprice").cast("long").alias("size"))
+    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 20).alias("source"), F.col("o_orderkey").alias("name"), F.floor("o_totalprice").alias("size"))
     return ordered.plan_batches(o, ["source"], 5_000_000)
 
 
@@ -221,12 +222,15 @@ def _seeds(spark, sf_dir):
     return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("seed"), (F.col("n_nationkey") * 5 % 128).cast("int").alias("r"), (F.col("n_nationkey") * 29 % 128).cast("int").alias("c"))
 
 
-@query()
+SEEDS = "SELECT n_nationkey AS seed, CAST(n_nationkey * 5 % 128 AS INT) AS r, CAST(n_nationkey * 29 % 128 AS INT) AS c FROM nation"
+
+
+@query(with_views("SELECT seed, r, c FROM flood", seeds=SEEDS, wetland="SELECT r, c FROM mask WHERE tidal", flood=f"SELECT seed, s.r, s.c FROM seeds s JOIN wetland w ON w.r = s.r AND w.c = s.c UNION SELECT f.seed, w.r, w.c FROM flood f, (VALUES {SIDES}) d(dr, dc), wetland w WHERE w.r = f.r + dr AND w.c = f.c + dc"))
 def flood_component(spark, sf_dir):
     return labels.flood_component(_land(spark, sf_dir), _seeds(spark, sf_dir))
 
 
-@query()
+@query(with_views("SELECT seed, r, c FROM (SELECT s.seed, m.r, m.c, row_number() OVER (PARTITION BY s.seed ORDER BY (s.r - m.r) * (s.r - m.r) + (s.c - m.c) * (s.c - m.c), m.r, m.c) AS k FROM seeds s JOIN mask m ON m.tidal AND (s.r - m.r) * (s.r - m.r) + (s.c - m.c) * (s.c - m.c) <= 36) t WHERE k = 1", seeds=SEEDS))
 def resolve_components(spark, sf_dir):
     return labels.resolve_seeds(_land(spark, sf_dir), _seeds(spark, sf_dir)).select("seed", "r", "c")
 

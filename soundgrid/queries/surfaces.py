@@ -8,7 +8,7 @@ from soundgrid.functions import depth
 from soundgrid.operators import focal, gates, labels, merge
 from soundgrid.plans.chart import classified_tiles
 from soundgrid.queries import query
-from soundgrid.queries.views import mask, points, px, sources, surface, table, with_views
+from soundgrid.queries.views import EXTENT, mask, points, px, sources, surface, table, with_views
 
 D = "CAST({} AS DOUBLE)"
 
@@ -290,45 +290,89 @@ def slope(spark, sf_dir):
     return focal.slope(surface(spark, sf_dir), 10.0).select("r", "c", F.round("slope", 6).alias("slope"))
 
 
-def _gauss_sql(sigma: float) -> str:
+#: All cells of the grid with the water's height, ground and missing ones at the datum.
+WORK = "SELECT g.r, g.c, CASE WHEN s.z < 0 THEN s.z ELSE 0 END AS v FROM (SELECT CAST(a.i AS INT) AS r, CAST(b.i AS INT) AS c FROM range(128) a(i), range(128) b(i)) g LEFT JOIN surface s ON s.r = g.r AND s.c = g.c"
+
+
+def taps_sql(sigma: float) -> str:
     reach = int(4 * sigma + 0.5)
-    return f"SELECT t.r, t.c, round(sum(t.z * w) / sum(w), 6) AS mean FROM (SELECT a.r, a.c, b.z, exp(-0.5 * ((a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c)) / CAST({sigma * sigma!r} AS DOUBLE)) AS w FROM surface a JOIN surface b ON b.r BETWEEN a.r - {reach} AND a.r + {reach} AND b.c BETWEEN a.c - {reach} AND a.c + {reach}) t GROUP BY t.r, t.c"
+    return f"SELECT k, w / sum(w) OVER () AS w FROM (SELECT CAST(i AS INT) AS k, exp(CAST(-0.5 AS DOUBLE) * i * i / {sigma * sigma}) AS w FROM range(-{reach}, {reach} + 1) t(i)) q"
+
 
+def blur_sql(name: str, source: str, sigma: float, at: str = "least(greatest({x}, 0), 127)") -> dict[str, str]:
+    """Views that blur ``source(r, c, v)`` along rows and then columns; ``at`` says which cell stands for one beyond the edge."""
+    line = "SELECT g.r, g.c, sum(t.w * b.v) AS v FROM {of} g, {name}_taps t, {of} b WHERE b.{keep} = g.{keep} AND b.{move} = {cell} GROUP BY g.r, g.c"
+    one = lambda of, keep, move: line.format(of=of, name=name, keep=keep, move=move, cell=at.format(x=f"(g.{move} + t.k)"))
+    return {f"{name}_taps": taps_sql(sigma), f"{name}_rows": one(source, "r", "c"), name: one(f"{name}_rows", "c", "r")}
 
-@query(with_views(_gauss_sql(1.0)))
+
+@query(with_views("SELECT s.r, s.c, round(b.v, 6) AS mean FROM surface s JOIN blur b ON s.r = b.r AND s.c = b.c", work=WORK, **blur_sql("blur", "work", focal.LIGHT)))
 def gauss_light(spark, sf_dir):
-    return focal.gaussian(surface(spark, sf_dir), 1.0).select("r", "c", F.round("mean", 6).alias("mean"))
+    return focal.water_blur(surface(spark, sf_dir), focal.LIGHT, EXTENT).select("r", "c", F.round("mean", 6).alias("mean"))
 
 
-@query(with_views(_gauss_sql(2.0)))
+@query(with_views("SELECT s.r, s.c, round(b.v, 6) AS mean FROM surface s JOIN blur b ON s.r = b.r AND s.c = b.c", work=WORK, **blur_sql("blur", "work", focal.HEAVY)))
 def gauss_heavy(spark, sf_dir):
-    return focal.gaussian(surface(spark, sf_dir), 2.0).select("r", "c", F.round("mean", 6).alias("mean"))
+    return focal.water_blur(surface(spark, sf_dir), focal.HEAVY, EXTENT).select("r", "c", F.round("mean", 6).alias("mean"))
 
 
-@query()
+#: Kernels for a grid of 128 cells, and slopes and depths for its relief.
+SMALL = {"light": 1.0, "heavy": 2.0, "feather": 1.0, "flat": 0.2, "steep": 1.2, "shallow": 5.0, "deep": 20.0}
+ANGLE = """SELECT g.r, g.c, 1 - least(greatest((degrees(atan(sqrt(gx * gx + gy * gy))) - 0.2) / CAST(1.0 AS DOUBLE), 0), 1) AS v FROM (
+    SELECT g.r, g.c, (e.v - w.v) / ((e.c - w.c) * CAST(500 AS DOUBLE)) AS gx, (s.v - n.v) / ((s.r - n.r) * CAST(500 AS DOUBLE)) AS gy FROM work g
+    JOIN work e ON e.r = g.r AND e.c = least(g.c + 1, 127) JOIN work w ON w.r = g.r AND w.c = greatest(g.c - 1, 0) JOIN work s ON s.c = g.c AND s.r = least(g.r + 1, 127) JOIN work n ON n.c = g.c AND n.r = greatest(g.r - 1, 0)) g"""
+SMOOTH = """SELECT s.r, s.c, s.z, round(CASE WHEN s.z < 0 THEN greatest(s.z * (1 - f.v) + (l.v * (1 - k) + h.v * k) * f.v, s.z) ELSE s.z END, 6) AS smoothed
+    FROM (SELECT *, least(greatest((-z - 5) / CAST(15 AS DOUBLE), 0), 1) AS k FROM surface) s JOIN lightly l ON l.r = s.r AND l.c = s.c JOIN heavily h ON h.r = s.r AND h.c = s.c JOIN flatness f ON f.r = s.r AND f.c = s.c"""
+
+
+@query(with_views(SMOOTH, work=WORK, angle=ANGLE, **blur_sql("lightly", "work", 1.0), **blur_sql("heavily", "work", 2.0), **blur_sql("flatness", "angle", 1.0)))
 def smooth_dem(spark, sf_dir):
-    return focal.smooth_shoalward(surface(spark, sf_dir), 10.0).select("r", "c", "z", F.round("smoothed", 6).alias("smoothed"))
+    return focal.smooth_shoalward(surface(spark, sf_dir), 500.0, EXTENT, **SMALL).select("r", "c", "z", F.round("smoothed", 6).alias("smoothed"))
+
+
+@query(with_views("SELECT s.r, s.c, round(sum(t.w * u.w * b.z) / sum(t.w * u.w), 6) AS mean FROM surface s, taps t, taps u, surface b WHERE b.r = s.r + t.k AND b.c = s.c + u.k GROUP BY 1, 2", taps=taps_sql(1.0)))
+def gauss_valid(spark, sf_dir):
+    """The mean of what is there, without an edge."""
+    return focal.gaussian(surface(spark, sf_dir), 1.0).select("r", "c", F.round("mean", 6).alias("mean"))
 
 
-# Components and what stands on them: iterative, so tested against brute force.
+# Components and what stands on them. The SQL finds all pairs of connected pixels, so it takes few pixels or near ones.
 
 
 def _water(spark, sf_dir):
     return surface(spark, sf_dir).filter("z < -24")
 
 
-@query()
+SIDES = "(0, 1), (1, 0), (0, -1), (-1, 0)"
+AROUND = f"{SIDES}, (1, 1), (1, -1), (-1, 1), (-1, -1)"
+
+
+def reach_sql(pixels: str, steps: str, within: str = "true") -> str:
+    """``sr, sc, r, c``: the pixels that each pixel reaches."""
+    return f"SELECT r AS sr, c AS sc, r, c FROM {pixels} UNION SELECT a.sr, a.sc, b.r, b.c FROM reach a, (VALUES {steps}) d(dr, dc), {pixels} b WHERE b.r = a.r + dr AND b.c = a.c + dc AND {within}"
+
+
+DEEP = "SELECT r, c FROM surface WHERE z < -24"
+LABEL = "SELECT sr AS r, sc AS c, min(CAST(r AS BIGINT) * 4294967296 + c) AS label FROM reach GROUP BY 1, 2"
+
+
+@query(with_views(LABEL, deep=DEEP, reach=reach_sql("deep", AROUND)))
 def label_components(spark, sf_dir):
     return labels.label_components(_water(spark, sf_dir), diagonal=True)
 
 
-@query()
+@query(with_views("SELECT CAST(sum(n) AS BIGINT) AS water, count(*) AS parts, max(n) / CAST(sum(n) AS DOUBLE) AS largest_share FROM (SELECT label, count(*) AS n FROM labelled GROUP BY 1) t", deep=DEEP, reach=reach_sql("deep", SIDES), labelled=LABEL))
 def water_stats(spark, sf_dir):
-    sized = labels.label_components(surface(spark, sf_dir).filter("z < 0")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    sized = labels.label_components(_water(spark, sf_dir)).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     return sized.agg(F.sum("n").alias("water"), F.count(F.lit(1)).alias("parts"), (F.max("n") / F.sum("n")).alias("largest_share"))
 
 
-@query()
+NEAR = "abs(b.r - a.sr) <= 5 AND abs(b.c - a.sc) <= 5"
+SMALL_WATER = "SELECT sr, sc FROM reach JOIN surface s ON s.r = reach.r AND s.c = reach.c GROUP BY 1, 2 HAVING max(abs(reach.r - sr)) < 5 AND max(abs(reach.c - sc)) < 5 AND count(*) <= 12 AND (max(reach.r) - min(reach.r) + 1) * (max(reach.r) - min(reach.r) + 1) + (max(reach.c) - min(reach.c) + 1) * (max(reach.c) - min(reach.c) + 1) <= 36 AND min(z) >= -2"
+POND_RIM = f"SELECT sr, sc, max(s.z) AS fill FROM small_water JOIN reach USING (sr, sc), (VALUES {AROUND}) d(dr, dc) LEFT JOIN surface s ON s.r = reach.r + dr AND s.c = reach.c + dc WHERE s.z IS NULL OR s.z >= 0 GROUP BY 1, 2 HAVING count(*) = count(s.z)"
+
+
+@query(with_views("SELECT s.r, s.c, greatest(s.z, fill) AS z FROM surface s LEFT JOIN pond_rim p ON p.sr = s.r AND p.sc = s.c", wet="SELECT r, c FROM surface WHERE z < 0", reach=reach_sql("wet", AROUND, NEAR), small_water=SMALL_WATER, pond_rim=POND_RIM))
 def pond_fill(spark, sf_dir):
     return labels.pond_fill(surface(spark, sf_dir), 12, 6).select("r", "c", "z")
 
@@ -342,7 +386,7 @@ def enclosed_shoals(spark, sf_dir):
 
 @query()
 def dome_candidates(spark, sf_dir):
-    return labels.dome_candidates(surface(spark, sf_dir), 5)
+    return labels.dome_candidates(surface(spark, sf_dir).withColumn("z", F.col("z") - 16.0), 5, 2, EXTENT, 0.0)
 
 
 # Gates and the whole product.

@@ -16,6 +16,10 @@ from soundgrid.operators.merge import priority_fill
 SIDE = 128
 
 
+#: Top, left, bottom and right of the grid.
+EXTENT = (0, 0, SIDE - 1, SIDE - 1)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -97,9 +101,9 @@ def with_views(body: str, **more: str) -> str:
     def visit(text: str) -> None:
         for name in known:
             if name not in needed and re.search(rf"\b{name}\b", text):
-                visit(known[name].replace(name, "") if name in ("files", "points", "mask") else known[name])
+                visit(re.sub(rf"\b{name}\b", "", known[name]))
                 if name not in needed:
                     needed.append(name)
 
     visit(body)
-    return ("WITH " + ", ".join(f"{n} AS ({known[n]})" for n in needed) + " " if needed else "") + body
+    return ("WITH RECURSIVE " + ", ".join(f"{n} AS ({known[n]})" for n in needed) + " " if needed else "") + body

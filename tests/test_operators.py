@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ def test_ponds_fill_to_their_rim_and_only_if_closed(spark):
     rows[0][8] = -1.0  # on the grid's edge
     rows[7][1] = -5.0  # too deep
     rows[7][7], rows[7][8] = -1.0, None
-    out = {(r["r"], r["c"]): r["z"] for r in labels.pond_fill(grid(spark, rows), 4, 3).collect()}
+    out = {(r["r"], r["c"]): r["z"] for r in labels.pond_fill(grid(spark, rows), 4, 3.0).collect()}
     assert out[2, 2] == 3.0 and out[5, 5] == 3.0 and out[5, 6] == 3.0
     assert out[0, 8] == -1.0 and out[7, 1] == -5.0 and out[7, 7] == -1.0 and out[7, 8] is None
 
@@ -87,10 +88,14 @@ def test_an_enclosed_shoal_is_found_once_at_its_least_level(spark):
 
 
 def test_a_lone_rock_in_deep_water_is_a_dome(spark):
-    rows = [[-20.0] * 8 for _ in range(8)]
-    rows[3][3], rows[3][4] = 1.0, 2.0
-    rows[6][6], rows[6][7] = 1.0, -1.0
-    out = labels.dome_candidates(grid(spark, rows), 4).collect()
+    rows = [[-20.0] * 16 for _ in range(16)]
+    rows[3][3], rows[3][4], rows[4][3] = 1.0, 2.0, -1.0  # a shallow pixel beside it is not in the frame two pixels off
+    rows[10][10], rows[10][12] = 1.0, -1.0  # shallow in the frame
+    rows[14][14] = 3.0  # its frame leaves the raster
+    rows[10][3] = 0.5
+    for r, c in [(8, c) for c in range(1, 6)] + [(12, c) for c in range(1, 6)]:
+        rows[r][c] = None  # over half of its frame is missing
+    out = labels.dome_candidates(grid(spark, rows), 4, 2, (0, 0, 15, 15)).collect()
     assert [(r["pixels"], r["high"], r["rim_high"]) for r in out] == [(2, 2.0, -20.0)]
 
 
@@ -121,11 +126,87 @@ def test_quantizing_never_deepens_and_water_stays_water(spark, zoom):
         assert (row["q"] < 0) == (row["z"] < 0) and row["back"] == row["q"]
 
 
-def test_smoothing_never_deepens(spark):
-    rng = random.Random(5)
-    rows = [[rng.uniform(-40, 4) for _ in range(24)] for _ in range(24)]
-    for r in focal.smooth_shoalward(grid(spark, rows), 10.0).collect():
-        assert r["smoothed"] >= r["z"] - 1e-12 and (r["smoothed"] < 0) == (r["z"] < 0)
+def blur(a, sigma, mode):
+    """A whole array's Gaussian, with every tap of both directions at once."""
+    n = int(4 * sigma + 0.5)
+    taps = np.exp(-0.5 * (np.arange(-n, n + 1) / sigma) ** 2)
+    wide = np.pad(a, n, mode=mode)
+    rows = np.stack([(wide[i : i + 2 * n + 1] * taps[:, None]).sum(axis=0) for i in range(a.shape[0])])
+    return np.stack([(rows[:, j : j + 2 * n + 1] * taps).sum(axis=1) for j in range(a.shape[1])], axis=1) / taps.sum() ** 2
+
+
+def relief(seed, side, holes=0.1):
+    rng = np.random.default_rng(seed)
+    z = blur(rng.normal(size=(side, side)), 3.0, "wrap") * 900 - 60
+    return np.where(rng.random((side, side)) < holes, np.nan, z)
+
+
+def pixels_of(spark, z, **more):
+    rows = [(i, j, None if np.isnan(z[i, j]) else float(z[i, j]), *(v[i][j] for v in more.values())) for i in range(len(z)) for j in range(len(z[0]))]
+    return spark.createDataFrame(rows, "r int, c int, z double" + "".join(f", {k} string" for k in more))
+
+
+def array_of(rows, value, shape):
+    out = np.full(shape, np.nan)
+    for r in rows:
+        out[r["r"], r["c"]] = np.nan if r[value] is None else r[value]
+    return out
+
+
+@pytest.mark.parametrize("sigmas", [(1.0, 2.0, 1.0), (4.0, 16.0, 4.0)])
+def test_smoothing_in_blocks_is_that_of_the_whole_and_never_deepens(spark, sigmas):
+    z = relief(5, 90)
+    light, heavy, feather = sigmas
+    got = array_of(focal.smooth_shoalward(pixels_of(spark, z), 400.0, (0, 0, 89, 89), light, heavy, feather, size=37).collect(), "smoothed", z.shape)
+    work = np.where(z < 0, z, 0.0)
+    gy, gx = np.gradient(work, 400.0)
+    weight = blur(1 - np.clip((np.degrees(np.arctan(np.hypot(gx, gy))) - 1) / 4, 0, 1), feather, "edge")
+    share = np.clip((-work - 30) / 170, 0, 1)
+    mixed = z * (1 - weight) + (blur(work, light, "edge") * (1 - share) + blur(work, heavy, "edge") * share) * weight
+    expected = np.where(z < 0, np.maximum(mixed, z), z)
+    assert np.allclose(got, expected, rtol=0, atol=1e-9, equal_nan=True) and np.nanmax(np.abs(got - z)) > 1
+    assert (got[z < 0] >= z[z < 0]).all() and np.array_equal(got[z >= 0], z[z >= 0])
+    means = array_of(focal.water_blur(pixels_of(spark, z), heavy, (0, 0, 89, 89), size=37).collect(), "mean", z.shape)
+    assert np.allclose(means, blur(work, heavy, "edge"), rtol=0, atol=1e-9)
+
+
+def test_distances_and_fills_in_blocks(spark):
+    z = relief(6, 40, holes=0.93)
+    valid = [(i, j) for i in range(40) for j in range(40) if not np.isnan(z[i, j])]
+    expected, filled = np.full(z.shape, np.nan), z.copy()
+    for i in range(40):
+        for j in range(40):
+            d2, a, b = min(((i - a) ** 2 + (j - b) ** 2, a, b) for a, b in valid)
+            if d2 <= 36:
+                expected[i, j] = d2**0.5
+                filled[i, j] = z[a, b]
+    pixels = pixels_of(spark, z)
+    assert np.allclose(array_of(focal.distance_to(pixels, F.col("z").isNotNull(), 6, size=11).collect(), "distance", z.shape), expected, equal_nan=True)
+    assert np.array_equal(array_of(focal.nearest_fill(pixels, 6, size=11).collect(), "filled", z.shape), filled, equal_nan=True)
+
+
+def test_feathering_is_that_of_the_layers(spark):
+    """Against the rule itself, layer by layer: the rims of what is covered so far, without the whole cover's own rim."""
+    rng = np.random.default_rng(9)
+    coarse = rng.integers(1, 5, (8, 8)).repeat(10, 0).repeat(10, 1)  # 4 is missing
+    z = np.where(coarse < 4, relief(7, 80, 0) + 55 + 4 * coarse, np.nan)
+
+    def shrunk(a):
+        wide = np.pad(a, 1)
+        return a & wide[:-2, 1:-1] & wide[2:, 1:-1] & wide[1:-1, :-2] & wide[1:-1, 2:]
+
+    rims = np.zeros(z.shape, bool)
+    for k in (1, 2, 3):
+        rims |= (coarse <= k) & ~shrunk(coarse <= k)
+    rims &= shrunk(coarse < 4)
+    t = np.clip(blur(rims.astype(float), 2.0, "symmetric") * np.sqrt(2 * np.pi) * 2, 0, 1)
+    t = 3 * t**2 - 2 * t**3
+    whole = np.nan_to_num(z)
+    mixed = t * blur(whole, 2.0, "symmetric") + (1 - t) * whole
+    expected = np.where(np.isnan(z), np.nan, np.where((whole >= 0) & (mixed < 0), whole, mixed))
+    there = pixels_of(spark, z, src=coarse.astype(str).tolist()).filter("z is not null")
+    got = array_of(focal.seam_feather(there, F.col("src").cast("int"), (0, 0, 79, 79), size=33).collect(), "feathered", z.shape)
+    assert np.allclose(got, expected, rtol=0, atol=1e-9, equal_nan=True) and rims.sum() > 100 and np.nanmax(np.abs(got - z)) > 1
 
 
 def test_labels_floor_to_what_is_charted(spark):
@@ -357,10 +438,3 @@ def test_segments_are_cut_to_a_box_and_chained(spark):
     assert {tuple(r) for r in cut.collect()} == {(1, 0.0, 5.0, 10.0, 5.0), (3, 1.0, 1.0, 2.0, 2.0), (4, 5.0, 0.0, 5.0, 5.0)}
     star = [(1, 0.0, 0.0, 1.0, 0.0), (2, 1.0, 0.0, 2.0, 0.0), (3, 2.0, 0.0, 3.0, 1.0), (4, 2.0, 0.0, 3.0, -1.0)]
     assert {r["id"]: r["chain"] for r in vectors.chains(spark.createDataFrame(star, kind)).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
-
-
-def test_feathering_blends_at_seams_only_and_keeps_ground(spark):
-    rows = [(r, c, -10.0 if c < 20 else 0.5, "a" if c < 20 else "b") for r in range(12) for c in range(40)]
-    out = {(r["r"], r["c"]): r["feathered"] for r in focal.seam_feather(spark.createDataFrame(rows, "r int, c int, z double, src string"), 1.5).collect()}
-    assert out[6, 0] == pytest.approx(-10.0) and out[6, 39] == pytest.approx(0.5)
-    assert -10.0 < out[6, 19] and all(out[r, c] >= 0 for r in range(12) for c in range(20, 40))

@@ -41,9 +41,139 @@ def test_query_agrees_with_sql(spark, sql, sf_dir, name):
     assert plain([tuple(r) for r in df.collect()], df.columns) == plain(found.fetchall(), columns)
 
 
-@pytest.mark.parametrize("name", sorted(set(core.QUERIES) - set(core.ORACLES)))
-def test_query_without_sql_runs(spark, sf_dir, name):
-    assert core.QUERIES[name](spark, sf_dir).count() >= 0
+# Queries without SQL, against brute force over their whole tables.
+
+
+def heights(spark, sf_dir):
+    from soundgrid.queries.views import surface
+
+    return {(r["r"], r["c"]): r["z"] for r in surface(spark, sf_dir).collect()}
+
+
+def patches(cells, diagonal):
+    """Sets of connected cells."""
+    steps = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i or j) and (diagonal or not (i and j))]
+    left, out = set(cells), []
+    while left:
+        todo, own = [left.pop()], set()
+        while todo:
+            r, c = todo.pop()
+            own.add((r, c))
+            for i, j in steps:
+                if (r + i, c + j) in left:
+                    left.remove((r + i, c + j))
+                    todo.append((r + i, c + j))
+        out.append(own)
+    return out
+
+
+def brute_enclosed_shoals(spark, sf_dir):
+    z, found = heights(spark, sf_dir), {}
+    for level in (20.0, 10.0, 5.0, 2.0):
+        for own in patches([p for p, v in z.items() if -level < v < 0], False):
+            if not any(r % 127 == 0 or c % 127 == 0 for r, c in own):
+                v, nr, nc = max((z[p], -p[0], -p[1]) for p in own)
+                found[-nr, -nc] = (-nr, -nc, -v, level)
+    return list(found.values()), ["r", "c", "depth", "level"]
+
+
+def brute_dome_candidates(spark, sf_dir):
+    z = {p: v - 16 for p, v in heights(spark, sf_dir).items()}
+    out = []
+    for own in patches([p for p, v in z.items() if v >= 0], True):
+        top, bottom, left, right = min(r for r, _ in own), max(r for r, _ in own), min(c for _, c in own), max(c for _, c in own)
+        if bottom - top >= 5 or right - left >= 5 or top < 2 or left < 2 or bottom > 125 or right > 125:
+            continue
+        frame = {(r, c) for r in range(top - 2, bottom + 3) for c in range(left - 2, right + 3) if r in (top - 2, bottom + 2) or c in (left - 2, right + 2)}
+        valid = [z[p] for p in frame if p in z]
+        if 2 * len(valid) >= len(frame) and max(valid) <= 0:
+            label = min((r << 32) + c for r, c in own if r == top)
+            out.append((label, len(own), max(z[p] for p in own), max(valid)))
+    return out, ["label", "pixels", "high", "rim_high"]
+
+
+def brute_drop_plates(spark, sf_dir):
+    z = {}
+    for (r, c), v in heights(spark, sf_dir).items():
+        z.setdefault((r >> 1, c >> 1), []).append(v)
+    z = {p: float(math.copysign(math.floor(abs(v) + 0.5), v)) + 0.0 for p, vs in z.items() for v in [max([w for w in vs if w <= 16] or vs)]}
+    gone = set()
+    for v in set(z.values()):
+        for own in patches([p for p, w in z.items() if w == v], False):
+            if len(own) >= 6:
+                gone |= own
+    return [(r, c, v) for (r, c), v in z.items() if (r, c) not in gone], ["r", "c", "z"]
+
+
+def brute_match_1d(spark, sf_dir):
+    sides = {"A": {}, "R": {}}
+    for r in spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter("l_returnflag in ('A', 'R')").collect():
+        sides[r["l_returnflag"]].setdefault(r["l_suppkey"] % 50, set()).add(float(r["l_partkey"] % 1000))
+    out = []
+    for edge in set(sides["A"]) | set(sides["R"]):
+        a, b = sorted(sides["A"].get(edge, ())), sorted(sides["R"].get(edge, ()))
+        while a or b:
+            if a and b and abs(a[0] - b[0]) <= 1:
+                out.append((edge, a.pop(0), b.pop(0)))
+            elif a and (not b or a[0] < b[0]):
+                out.append((edge, a.pop(0), None))
+            else:
+                out.append((edge, None, b.pop(0)))
+    return out, ["edge", "pa", "pb"]
+
+
+def brute_tile_priority(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from soundgrid.queries.catalog import _stems
+
+    rows = _stems(spark, sf_dir).select("stem", (F.col("child_z") - F.col("z")).alias("weight"), F.xxhash64("stem").alias("tie")).collect()
+    left = sorted(rows, key=lambda r: (-r["weight"], r["tie"], r["stem"]))
+    total, n, used, out = sum(r["weight"] for r in rows), len(rows), 0, []
+    for k in range(n):
+        r = left.pop(0) if used * n <= k * total else left.pop()
+        used += r["weight"]
+        out.append((r["stem"], r["weight"], k + 1))
+    return out, ["stem", "weight", "place"]
+
+
+def brute_gate_connectivity(spark, sf_dir):
+    """The pond fill of the query, by hand; then components of water before and after."""
+    z = heights(spark, sf_dir)
+    after = dict(z)
+    for own in patches([p for p, v in z.items() if v < 0], True):
+        high, wide = (max(p[k] for p in own) - min(p[k] for p in own) + 1 for k in (0, 1))
+        rim = {(r + i, c + j) for r, c in own for i in (-1, 0, 1) for j in (-1, 0, 1)} - own
+        if len(own) <= 12 and high**2 + wide**2 <= 36 and min(z[p] for p in own) >= -2 and all(p in z for p in rim):
+            for p in own:
+                after[p] = max(z[q] for q in rim)
+    return z, after
+
+
+BRUTE = {"enclosed_shoals": brute_enclosed_shoals, "dome_candidates": brute_dome_candidates, "drop_plates": brute_drop_plates, "match_1d": brute_match_1d, "tile_priority": brute_tile_priority}
+
+
+def test_every_query_has_sql_or_brute_force():
+    assert set(core.QUERIES) - set(core.ORACLES) == set(BRUTE) | {"gate_connectivity", "repair_soundings"}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("name", sorted(BRUTE))
+def test_query_agrees_with_brute_force(spark, name, sf):
+    sf_dir = f"/root/testdata/{sf}"
+    df = core.QUERIES[name](spark, sf_dir)
+    rows, columns = BRUTE[name](spark, sf_dir)
+    assert plain([tuple(r) for r in df.collect()], df.columns) == plain(rows, columns) and (rows or sf == "sf0.001")
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_connectivity_before_and_after_ponds_are_filled(spark, sf):
+    before, after = brute_gate_connectivity(spark, f"/root/testdata/{sf}")
+    sized = {k: [len(p) for p in patches([p for p, v in z.items() if v < 0], False)] for k, z in (("before", before), ("after", after))}
+    dried = sum(before[p] < 0 <= after[p] for p in before)
+    got = core.QUERIES["gate_connectivity"](spark, f"/root/testdata/{sf}").collect()
+    assert {(r["state"], r["water"], r["parts"], round(r["largest_share"], 9), r["dried"]) for r in got} == {(k, sum(n), len(n), round(max(n) / sum(n), 9), dried) for k, n in sized.items()}
+    assert dried or sf == "sf0.001"
 
 
 def test_entry_gives_rows(spark):
