@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from soundgrid.llm.common import prefix_offsets, written
-from soundgrid.shipping import mapped, ship
+from soundgrid.llm.common import written
+from soundgrid.shipping import ship
 
 #: Bits of a rotated query's components; a code's inner product with it is so many counts of common bits.
 QUERY_BITS = 4
@@ -42,28 +42,27 @@ def scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (x.astype(np.float64) * q).sum(axis=1)
 
 
-def index(vectors: DataFrame, centre: np.ndarray, seed: int, block: int) -> DataFrame:
-    """Blocks of encoded vectors, one row a block: ``ids, codes, lengths, factors, vectors``, all packed.
+def index(vectors: DataFrame, blocks: int, centre: np.ndarray, seed: int) -> DataFrame:
+    """The vectors dealt by a seeded hash into ``blocks``, encoded, one row a block: ``block, ids, codes, lengths, factors, vectors``, all packed.
 
     A vector less the centre is rotated and only its components' signs are kept, a bit each. Two scalars correct what
     that loses: the residual's length, and the inner product of the unit residual with its own code.
     """
     dim = len(centre)
     turn = rotation(dim, seed)
+    ship(vectors.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, len(batch), block):
-                part = batch.slice(i, block)
-                x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(part), dim)
-                residual = x.astype(np.float64) - centre
-                length = np.linalg.norm(residual, axis=1)
-                turned = residual @ turn / np.maximum(length, 1e-300)[:, None]
-                factor = np.abs(turned).sum(axis=1) / np.sqrt(dim)
-                packed = (part.column(0).to_numpy(), packed_bits(turned > 0), length, np.where(length > 0, factor, 1.0), x)
-                yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in packed], ["ids", "codes", "lengths", "factors", "vectors"])
+    def encode(own: pa.Table) -> pa.Table:
+        x = own.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(own), dim)
+        residual = x.astype(np.float64) - centre
+        length = np.linalg.norm(residual, axis=1)
+        turned = residual @ turn / np.maximum(length, 1e-300)[:, None]
+        factor = np.abs(turned).sum(axis=1) / np.sqrt(dim)
+        packed = (own.column("vec_id").to_numpy(), packed_bits(turned > 0), length, np.where(length > 0, factor, 1.0), x)
+        return pa.table([own.column("block").combine_chunks().slice(0, 1), *(pa.array([p.tobytes()], pa.binary()) for p in packed)], ["block", "ids", "codes", "lengths", "factors", "vectors"])
 
-    return mapped(vectors, run, "ids binary, codes binary, lengths binary, factors binary, vectors binary")
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "vec_id", "embedding"), F.lit(max(blocks, 1))).cast("int"))
+    return dealt.groupBy("block").applyInArrow(encode, "block int, ids binary, codes binary, lengths binary, factors binary, vectors binary")
 
 
 def estimates(turned: np.ndarray, codes: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,21 +134,11 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, centre: np.ndarray,
     return tuple(np.concatenate(f) for f in found)
 
 
-def numbered_blocks(codes: DataFrame) -> tuple[DataFrame, int]:
-    """The written blocks with a gapless ``block`` from 0, and their number."""
-    codes = written(codes.withColumn("_id", F.monotonically_increasing_id()), "codes")
-    at = F.shiftright("_id", 33)
-    counts = codes.groupBy(at.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
-    starts = prefix_offsets(counts, "_part", ["n"]).select("_part", "n_before")
-    placed = codes.withColumn("_part", at).join(F.broadcast(starts), "_part")
-    return placed.withColumn("block", F.col("n_before") + F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id", "_part", "n_before"), codes.count()
-
-
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 47, epsilon: float = 1.9, block: int = 8192, query_block: int = 16384) -> DataFrame:
     """The ``k`` candidates of ``vectors(vec_id, embedding)`` with the largest inner product for each row of ``queries(vec_id, embedding)``.
 
     Every usable vector is encoded (see ``index``; the codes' centre is the mean of all vectors, the rotation is drawn from
-    ``seed``) into blocks of at most ``block`` different rows. Queries are dealt into parts of about ``query_block`` at most (fewer, where else too few tasks
+    ``seed``) into blocks of about ``block`` different rows at most. Queries are dealt into parts of about ``query_block`` at most (fewer, where else too few tasks
     were busy). One task meets one block with one part: both are grouped by block and part, so a block is copied once for each part and a query once for each block, and no
     task gets more than one of each. It gives its ``k`` best by exact score, and a ranking in two steps the best over all.
 
@@ -162,9 +151,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 47,
     sizes = good.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
     dim = sizes["dim"] if sizes else 1
     good = good.filter(F.size("embedding") == dim)
-    means = good.agg(*(F.avg(F.col("embedding")[i].cast("double")).alias(f"c{i}") for i in range(dim))).first()
-    centre = np.array([m or 0.0 for m in means])
-    codes, blocks = numbered_blocks(index(good.distinct(), centre, seed, block))
+    means = good.agg(F.count(F.lit(1)), *(F.avg(F.col("embedding")[i].cast("double")).alias(f"c{i}") for i in range(dim))).first()
+    centre, blocks = np.array([m or 0.0 for m in means[1:]]), -(-means[0] // block)
+    codes = written(index(good.distinct(), blocks, centre, seed), "codes")
     asked = queries.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & usable("embedding", dim)).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = written(asked, "queries")
     n = asked.count()
@@ -172,7 +161,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, seed: int = 47,
     parts = max(1, -(-n // query_block), min(busy, n // _CHUNK))
     part = F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(parts)).cast("int")
     left = codes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    right = asked.withColumn("part", part).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))) if blocks else asked.limit(0).withColumn("part", part).withColumn("block", F.lit(0).cast("long"))
+    right = asked.withColumn("part", part).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))))
     turn = spark.sparkContext.broadcast(rotation(dim, seed))
     kind = np.float64 if "double" in vectors.schema["embedding"].dataType.simpleString() else np.float32
     ship(spark)
