@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soundgrid.operators.skew import join_by_key
-from soundgrid.shipping import written
+from soundgrid.shipping import discard, written
 
 #: With fewer edges than this, even one node with all of them is a small task's work.
 FEW = 1 << 20
@@ -31,7 +31,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = met(pairs.filter("v > u"), least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
         both = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
-        edges = written(met(large, least, "a").select(both.alias("e")).select("e.*").filter("a <> b").distinct(), "graph")
+        before, edges = edges, written(met(large, least, "a").select(both.alias("e")).select("e.*").filter("a <> b").distinct(), "graph")
+        discard(before)
         now = sign(edges)
         if now == seen:
             break

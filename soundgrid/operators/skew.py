@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_by_key(rows: DataFrame, facts: DataFrame, key: str, total: int, how: str = "inner", share: int = 1000) -> DataFrame:
+def join_by_key(rows: DataFrame, facts: DataFrame, key: str, total: int, share: int = 1000) -> DataFrame:
     """Join ``rows`` on ``key`` with ``facts``: one row a key, whose ``n`` is the number of ``rows`` that have the key. ``n`` stays.
 
-    A key with over a ``share``-th of all ``total`` rows is hot. There are fewer than ``share`` such keys, which bounds their broadcast; rows of
-    hot keys stay where they are, and only the others are dealt by the key, so no task gets a hot key's rows. ``rows`` and ``facts``
-    are read twice. Null keys match nothing; with ``how`` ``left`` they stay, dealt as a key of their own.
+    A key with over a ``share``-th of all ``total`` rows is hot. There are fewer than ``share`` such keys, which bounds what the driver sees and
+    what is broadcast; rows of hot keys stay where they are, and only the others are dealt by the key, so no task gets a hot key's rows. ``facts``
+    and, with hot keys, ``rows`` are read twice. Null keys match nothing.
     """
-    hot = F.col("n") * share > total
-    few, many = facts.filter(hot), facts.filter(~hot)
-    met = rows.join(F.broadcast(few), key)
-    rest = rows.join(F.broadcast(few.select(key)), key, "left_anti").join(many, key, how)
-    return met.unionByName(rest)
+    hot = [r[0] for r in facts.filter(F.col("n") * share > total).select(key).collect()]
+    if not hot:
+        return rows.join(facts, key)
+    few = F.col(key).isin(hot)
+    return rows.filter(few).join(F.broadcast(facts.filter(few)), key).unionByName(rows.filter(~few).join(facts.filter(~few), key))

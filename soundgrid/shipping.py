@@ -68,3 +68,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/soundgrid/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``written`` wrote, once nothing reads it any more: what followed from it must itself be written by then."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
