@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from soundgrid.shipping import written  # noqa: F401
+from soundgrid.shipping import discard, written  # noqa: F401
 
 #: Bytes that separate words: the blank and the controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"

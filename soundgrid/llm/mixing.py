@@ -91,6 +91,13 @@ def block_schedule(targets: DataFrame, block_words: int = 4096, chunk: int = 1 <
     return ranked.select("slot", "source_no", "rank", "block", "epoch", begin.alias("from_word"), end.alias("to_word")), length
 
 
+def repeated(df: DataFrame, times: str, as_copy: str, step: int = 4096) -> DataFrame:
+    """Each row ``times`` times, with a number from 1 as ``as_copy``. Two steps, as one array of all numbers could be too long."""
+    outer = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / step).cast("long")))
+    inner = F.explode(F.sequence(F.col("_step") * step + 1, F.least(F.col(times).cast("long"), (F.col("_step") + 1) * step)))
+    return df.filter(F.col(times) > 0).withColumn("_step", outer).withColumn(as_copy, inner).drop("_step")
+
+
 def mixed(docs: DataFrame, targets: DataFrame | None = None, block_words: int = 4096, seed: int = 23, salts: int = 32) -> DataFrame:
     """What a mix takes of each document of ``docs(source, doc_id, size)``.
 
@@ -121,7 +128,7 @@ def mixed(docs: DataFrame, targets: DataFrame | None = None, block_words: int =
     starts = starts.select("source_no", F.col("range_no").alias("_range"), F.col("words_before").alias("_start"))
     inside = Window.partitionBy("source_no", "_range").orderBy("_hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = runs.withColumn("_before", F.coalesce(F.sum("_words").over(inside), F.lit(0))).join(starts, ["source_no", "_range"])
-    rows = placed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).withColumn("_at", F.col("_start") + F.col("_before") + (F.col("copy") - 1) * F.col("size"))
+    rows = repeated(placed, "copies", "copy").withColumn("_at", F.col("_start") + F.col("_before") + (F.col("copy") - 1) * F.col("size"))
     rows = rows.select("source", "doc_id", "size", "copy", "source_no", "source_size", "target", "_at")
     last = F.floor((F.col("_at") + F.greatest(F.col("size"), F.lit(1)) - 1) / length)
     pieces = rows.withColumn("block", F.explode(F.sequence(F.floor(F.col("_at") / length), last)))

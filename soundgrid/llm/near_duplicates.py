@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from soundgrid.llm.common import written
+from soundgrid.llm.common import discard, written
 from soundgrid.llm.words import mix, row_groups, shingles, text_bytes, word_hashes
 from soundgrid.operators.graph import components
 from soundgrid.operators.skew import join_by_key
@@ -200,27 +200,29 @@ def _classed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, int]:
     n_classes, n_rows = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     bands = written(_banded(classes), "bands")
-    met = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1")
-    buckets = written(join_by_key(bands, written(met, "met"), "key", n_classes * REGISTERS // BAND).select("key", "node", "least"), "buckets")
+    met = written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1"), "met")
+    buckets = written(join_by_key(bands, met, "key", n_classes * REGISTERS // BAND).select("key", "node", "least"), "buckets")
+    discard(bands, met)
     active = classes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", F.col("first.row").alias("row"), "n_shingles", "sketch")
     active = written(_with_bits(active), "active")
     texts = written(sketched.select("row", "text").join(active.select("node", "row"), "row").select("node", "text"), "texts")
 
     star = buckets.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     likeliest = _best(_plausible(star, active, percent), "a", 1)
-    links = written(_compared(likeliest, texts, percent).filter("linked").select("a", "b"), "links")
-    labels = components(links)
+    first_links = written(_compared(likeliest, texts, percent).filter("linked").select("a", "b"), "links")
+    labels = components(first_links)
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    degree = first_links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     labelled = buckets.select("key", "node").join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
     mixed = _mixed(labelled, labels, F.max(F.struct("degree", "node")).alias("hub")).select("key", "node", F.col("hub.node").alias("hub"))
-    mixed = written(mixed.filter("node <> hub"), "mixed")
-    profiles = written(_compared(mixed.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), texts, percent), "profiles")
-    links = written(links.unionByName(profiles.filter("linked").select("a", "b")), "links")
+    by_hub = written(mixed.filter("node <> hub"), "mixed")
+    profiles = written(_compared(by_hub.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), texts, percent), "profiles")
+    links = written(first_links.unionByName(profiles.filter("linked").select("a", "b")), "links")
+    discard(buckets, first_links)
     labels = components(links)
 
     known = active.select("node", "n_shingles", "bits")
-    mixed = written(_mixed(mixed.join(known, "node"), labels, F.min("n_shingles").alias("fewest")), "mixed")
+    mixed = written(_mixed(by_hub.join(known, "node"), labels, F.min("n_shingles").alias("fewest")), "mixed")
     left = profiles.withColumnsRenamed({"a": "node", "b": "hub"}).join(mixed.select("node", "hub").distinct(), ["node", "hub"], "left_semi")
     novel = written(left.select("node", "hub", F.explode("novel").alias("shingle")).select("node", "hub", F.xxhash64("hub", "shingle").alias("of_hub")), "novel")
     elsewhere = written(novel.groupBy("of_hub").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "elsewhere")
@@ -228,9 +230,13 @@ def _classed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, int]:
     profile = left.select("node", "hub", "common", "size_b", "missing").join(shared, ["node", "hub"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
     able = mixed.join(profile, ["node", "hub"]).filter(_within_reach(F.col("common"), F.col("shared"), F.col("n_shingles"), F.greatest("fewest", F.ceil(F.col("n_shingles") * percent / 100)), percent))
     able = written(able.drop("fewest"), "able")
+    discard(novel, elsewhere, profiles, by_hub, mixed)
     last = _compared(_plausible(_last_pairs(able, percent), active, percent), texts, percent)
-    labels = components(written(links.unionByName(last.filter("linked").select("a", "b")), "links"))
-    return sketched, classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("sketch"), int(n_rows)
+    every_link = written(links.unionByName(last.filter("linked").select("a", "b")), "links")
+    discard(links, able, active, texts)
+    grouped = written(classes.join(components(every_link), "node", "left").withColumn("label", F.coalesce("label", "node")).drop("sketch"), "grouped")
+    discard(classes, every_link)
+    return sketched, grouped, int(n_rows)
 
 
 def _last_pairs(able: DataFrame, percent: int) -> DataFrame:
@@ -272,7 +278,6 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     What a bucket has in common is found by aggregation, and no task gets a large bucket's or a frequent set's rows (``join_by_key``).
     """
     sketched, classes, n_rows = _classed(docs.select("doc_id", "text"), percent)
-    classes = written(classes, "grouped")
     least = classes.groupBy("label").agg(F.min("first").alias("least"))
     of_set = classes.join(least, "label").select("set_key", F.col("least.doc_id").alias("component_id"), "n")
     rows = sketched.select("doc_id", "n_shingles", "set_key")
