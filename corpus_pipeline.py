@@ -46,16 +46,18 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Every source is read once at least, so no document is lost; what ``SHARE`` of all words leaves over that goes to the
     sources by weight, to ``CAP`` times a source's words at most. A document whose last reading is cut off by the
-    target is in it if half of its words are.
+    target is in it if half of its words are. A row is known by two hashes of all its columns; rows that agree in all are read as rows of their own.
     """
-    rows = written(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("record"), F.monotonically_increasing_id().alias("row")), "rows")
-    sized = rows.select("record.source", F.col("row").alias("doc_id"), mixing.word_count("record.text").alias("size"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b")).alias("doc_id"), F.struct(*columns).alias("record"))
+    sized = keyed.select("record.source", "doc_id", mixing.word_count("record.text").alias("size"))
     totals = written(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     weights = totals.withColumn("weight", F.pow(F.col("source_size").cast("double"), F.lit(FLATTENING)))
     extra = mixing.level_targets(weights.withColumn("_room", F.col("source_size") * (CAP - 1)), SHARE - 1, "_room")
     taken = mixing.mixed(sized, extra.withColumn("target", F.col("source_size") + F.col("target")))
-    twice = taken.filter((F.col("taken") >= 1.5 * F.col("size")) & (F.col("size") > 0)).select(F.col("doc_id").alias("row"))
-    return rows.select("record.*").unionByName(rows.join(twice, "row", "left_semi").select("record.*"))
+    twice = taken.filter((F.col("taken") >= 1.5 * F.col("size")) & (F.col("size") > 0)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
+    different = keyed.groupBy("doc_id").agg(F.first("record").alias("record"))
+    return docs.unionByName(mixing.repeated(different.join(twice, "doc_id"), "times", "copy").select("record.*"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
