@@ -87,3 +87,25 @@ def connectivity(before: DataFrame, after: DataFrame) -> DataFrame:
 
     dried = before.filter("z < 0").join(after.filter("z >= 0").select("r", "c"), ["r", "c"], "left_semi").agg(F.count(F.lit(1)).alias("dried"))
     return stats(before, "before").unionByName(stats(after, "after")).crossJoin(dried)
+
+
+def ab_vector(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Of each layer of two tile sets (``z, x, y, layer, features``): tiles compared, mean and greatest relative change of its features, and whether ``b`` lacks it wholly.
+
+    Tiles that only one set has aren't compared.
+    """
+    tile = ["z", "x", "y"]
+    side = lambda d, n: d.groupBy(*tile, "layer").agg(F.sum("features").alias(n))
+    common = a.select(*tile).distinct().join(b.select(*tile).distinct(), tile, "left_semi")
+    met = side(a, "was").join(side(b, "now"), [*tile, "layer"], "full_outer").join(common, tile, "left_semi")
+    was, now = F.coalesce("was", F.lit(0)), F.coalesce("now", F.lit(0))
+    delta = F.abs(now - was) / F.greatest(was, F.lit(1))
+    return met.groupBy("layer").agg(F.count(F.lit(1)).alias("compared"), F.avg(delta).alias("mean_delta"), F.max(delta).alias("max_delta"), ((F.count("now") == 0) & (F.count("was") > 0)).alias("absent"))
+
+
+def admitted_by_floor(cells: DataFrame, floors: list[float]) -> DataFrame:
+    """How many cells of ``depth`` each least depth admits, the shallowest of them, and how many more than the first one does. One pass."""
+    numbered = cells.select("depth", F.posexplode(F.array(*(F.lit(float(f)) for f in floors))).alias("_k", "floor"))
+    rows = numbered.groupBy("_k", "floor").agg(F.count(F.when(F.col("depth") >= F.col("floor"), 1)).alias("cells"), F.min(F.when(F.col("depth") >= F.col("floor"), F.col("depth"))).alias("shallowest"))
+    first = rows.filter("_k = 0").select(F.col("cells").alias("_first"))
+    return rows.crossJoin(first).select("floor", "cells", "shallowest", (F.col("cells") - F.col("_first")).alias("added"))

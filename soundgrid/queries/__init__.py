@@ -23,4 +23,4 @@ def query(sql: str | None = None, name: str | None = None) -> Callable:
     return keep
 
 
-from soundgrid.queries import catalog, charting, extras, serving, surfaces  # noqa: E402, F401
+from soundgrid.queries import catalog, charting, extras, partitions, serving, surfaces  # noqa: E402, F401

@@ -59,3 +59,29 @@ def unreferenced(listing: DataFrame, referenced: DataFrame, key: str) -> DataFra
     """What may be deleted; ``refused`` is true on all rows where something referenced isn't listed, and then nothing may be."""
     missing = referenced.select(key).distinct().join(listing.select(key), key, "left_anti").agg((F.count(F.lit(1)) > 0).alias("refused"))
     return listing.select(key).distinct().join(referenced.select(key), key, "left_anti").crossJoin(missing)
+
+
+def mosaic_index(tiles: DataFrame, artifacts: DataFrame, sources: DataFrame) -> DataFrame:
+    """One index row a tile with what it was made of: ``stem, location, sources, priority, missing``.
+
+    ``tiles(stem, source)`` has a row for each source of a tile, ``artifacts(stem, location)`` what is there, ``sources(source, priority)``.
+    ``missing`` marks tiles without an artifact.
+    """
+    known = tiles.select("stem", "source").distinct().join(sources.select("source", "priority"), "source", "left")
+    rows = known.groupBy("stem").agg(F.array_join(F.sort_array(F.collect_set("source")), ",").alias("sources"), F.max(F.coalesce("priority", F.lit(0))).alias("priority"))
+    there = artifacts.groupBy("stem").agg(F.min("location").alias("location"))
+    return rows.join(there, "stem", "left").select("stem", "location", "sources", "priority", F.col("location").isNull().alias("missing"))
+
+
+def write_index(index: DataFrame, path: str) -> bool:
+    """Write ``mosaic_index`` rows as ``write_if_changed`` does; an index with missing tiles is refused whole."""
+    lost = index.filter("missing").select("stem").limit(5).collect()
+    if lost:
+        raise ValueError("index incomplete, no artifact of " + ", ".join(r["stem"] for r in lost))
+    return write_if_changed(index.drop("missing"), path)
+
+
+def stranded(artifacts: DataFrame) -> DataFrame:
+    """Artifacts (``path, kind, size, readable``) to take from the listing, with the reason: tiles that can't be read, and archives without bytes. Other empty outputs stand for dry tiles and stay."""
+    why = F.when((F.col("kind") == "tile") & ~F.coalesce("readable", F.lit(False)), "unreadable").when((F.col("kind") == "archive") & (F.coalesce("size", F.lit(0)) == 0), "empty")
+    return artifacts.select("path", why.alias("reason")).filter("reason is not null")

@@ -132,3 +132,89 @@ def probe(values: DataFrame) -> DataFrame:
     """Least, greatest and mean value of each source, and whether its depths are positive-down."""
     stats = values.groupBy("source").agg(F.min("z").alias("low"), F.max("z").alias("high"), F.avg("z").alias("mean"))
     return stats.withColumn("negate", (F.col("low") >= 0) | ((F.col("high") > -F.col("low")) & (F.col("mean") > 0)))
+
+
+def glob_column(globs: Column) -> Column:
+    """``glob_pattern`` of a column."""
+    literal = F.regexp_replace(F.lower(globs), r"([.\+^$(){}\[\]])", r"\\$1")
+    return F.concat(F.lit("^(?:"), F.regexp_replace(F.regexp_replace(literal, r"\*", ".*"), r"\?", "."), F.lit(")$"))
+
+
+def enumerate_source(sources: DataFrame, entries: DataFrame, listing: DataFrame) -> DataFrame:
+    """What each source offers: ``source, url, listed, problem``; a source with a problem has rows of it instead of items.
+
+    ``sources(source, filter, dedupe)`` are recipes, ``entries(source, entry)`` their lists, ``listing(entry, url, cell, modified)`` what
+    stands under an entry. Without a filter the list is the enumeration, and neither prefixes (entries that end with a slash) nor a
+    choice of the newest go with it. With one, listed addresses that pass are the items, the newest of each cell if ``dedupe`` is
+    ``newest``, for which each needs a time; a filter that nothing passes is a problem.
+    """
+    entered = entries.join(sources, "source")
+    static, listed = entered.filter("filter is null"), entered.filter("filter is not null")
+    wrong = F.when(F.col("dedupe").isNotNull(), "dedupe without filter").when(F.endswith("entry", F.lit("/")), "prefix without filter")
+    echoed = static.select("source", F.col("entry").alias("url"), F.lit(False).alias("listed"), wrong.alias("problem"))
+    candidates = listed.join(listing, "entry").select("source", "dedupe", "filter", "url", "cell", "modified")
+    passing = candidates.filter(F.regexp_like(F.lower("url"), glob_column(F.col("filter"))))
+    facts = passing.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count("modified").alias("timed"))
+    fault = F.when(~F.col("dedupe").isin("newest"), "unknown dedupe").when(F.col("n").isNull(), "filter passes nothing").when(F.col("dedupe").isNotNull() & (F.col("timed") < F.col("n")), "dedupe without times")
+    faults = sources.filter("filter is not null").join(facts, "source", "left").select("source", fault.alias("problem"))
+    clean = passing.join(faults.filter("problem is null").select("source"), "source", "left_semi")
+    newest = clean.filter("dedupe = 'newest'").groupBy("source", "cell").agg(F.max_by("url", F.struct("modified", "url")).alias("url")).select("source", "url")
+    items = clean.filter("dedupe is null").select("source", "url").distinct().unionByName(newest).select("source", "url", F.lit(True).alias("listed"), F.lit(None).cast("string").alias("problem"))
+    bad = echoed.filter("problem is not null").select("source", "problem").distinct().unionByName(faults.filter("problem is not null"))
+    problems = bad.select("source", F.lit(None).cast("string").alias("url"), F.lit(None).cast("boolean").alias("listed"), "problem")
+    return echoed.join(bad.select("source").distinct(), "source", "left_anti").unionByName(items).unionByName(problems)
+
+
+def register_raw(listed: DataFrame, previous: DataFrame, tolerance: int = 5) -> DataFrame:
+    """The next registration: ``source, key, registered, value, origin, healthy, refused``.
+
+    ``listed(source, key, cell, value)`` has a null value where the header couldn't be read; ``previous(source, key, cell, value)`` is what
+    was registered. A registered key keeps its row (``kept``), a new one brings what was read (``read``), a broken one takes its
+    cell's previous row (``carried``; of several the greatest key) or goes. Broken ones aren't ``healthy``: nothing may fetch them. A source with
+    more broken keys than tolerated is ``refused`` as a whole.
+    """
+    known = previous.groupBy("source", "key").agg(F.first("value").alias("_known"), F.lit(True).alias("_had"))
+    cells = previous.filter("cell is not null").groupBy("source", "cell").agg(F.max(F.struct("key", "value")).alias("_cell"))
+    once = listed.groupBy("source", "key").agg(F.first("cell").alias("cell"), F.first("value", ignorenulls=True).alias("value"))
+    met = once.join(known, ["source", "key"], "left").join(cells, ["source", "cell"], "left")
+    origin = F.when(F.col("_had"), "kept").when(F.col("value").isNotNull(), "read").when(F.col("_cell").isNotNull(), "carried").otherwise("broken")
+    rows = met.withColumn("origin", origin).withColumn("healthy", F.col("origin").isin("kept", "read"))
+    broken = rows.groupBy("source").agg((F.count(F.when(~F.col("healthy"), 1)) > tolerance).alias("refused"))
+    at = lambda kept, read, carried: F.when(F.col("origin") == "kept", kept).when(F.col("origin") == "read", read).otherwise(carried)
+    out = rows.filter("origin <> 'broken'").join(broken, "source")
+    return out.select("source", "key", at(F.col("key"), F.col("key"), F.col("_cell.key")).alias("registered"), at(F.col("_known"), F.col("value"), F.col("_cell.value")).alias("value"), "origin", "healthy", "refused")
+
+
+# The kinds of bytes that a declared format may have.
+DECLARED = {
+    "zip": ("zip",),
+    "asc-mosaic": ("zip",),
+    "asc-tile": ("zip", "7z"),
+    "tar.gz": ("gzip",),
+    "e00": ("gzip",),
+    "gldb": ("gzip",),
+    "7z": ("7z",),
+    "netcdf": ("netcdf",),
+}
+
+
+def declared_problem(declared: Column, content: Column) -> Column:
+    """Why bytes aren't what their declaration says; null where they are, or where nothing is declared."""
+    kind = kind_sniff(content)
+    fits = F.lit(False)
+    for name, kinds in DECLARED.items():
+        fits = fits | ((declared == name) & kind.isin(*kinds))
+    return F.when(declared.isNull() | fits, None).when(~declared.isin(*DECLARED), F.concat(F.lit("unknown format "), declared)).otherwise(F.concat(F.lit("declared "), declared, F.lit(", found "), kind))
+
+
+def staged_parts(published: DataFrame, staged: DataFrame) -> DataFrame:
+    """``key, problem`` of staged parts that aren't what was published: missing, of another size, of another digest, or left over.
+
+    ``published(key, size, etag)``; ``staged(key, size, digest)`` as ``binaryFile`` and ``md5`` give it. A tag with a dash is a
+    digest of digests, and the size stands alone.
+    """
+    there = staged.select("key", F.col("size").alias("_size"), "digest")
+    both = published.join(there, "key", "full_outer")
+    plain = ~F.contains("etag", F.lit("-")) & (F.lower("etag") != F.lower("digest"))
+    problem = F.when(F.col("size").isNull(), "left over").when(F.col("_size").isNull(), "missing").when(F.col("size") != F.col("_size"), "size").when(plain, "digest")
+    return both.select("key", problem.alias("problem")).filter("problem is not null")
