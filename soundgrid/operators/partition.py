@@ -6,6 +6,8 @@ the lower left corner of what their boxes share. Cuts need one convex ring each;
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ from soundgrid.operators.vectors import _pairs, ring_area, ring_length
 POINTS = "array<struct<x: double, y: double>>"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def signed_area(ring: Column) -> Column:
     """Positive where a ring runs anticlockwise."""
     return F.aggregate(_pairs(ring), F.lit(0.0), lambda s, e: s + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]) / 2.0
@@ -40,7 +47,7 @@ def cut_by_convex(ring: Column, cutter: Column) -> Column:
             crossing = F.when((p["d"] >= 0) != (q["d"] >= 0), F.array(at).cast(POINTS)).otherwise(none)
             return F.concat(crossing, F.when(q["d"] >= 0, F.array(F.struct(q["x"].alias("x"), q["y"].alias("y"))).cast(POINTS)).otherwise(none))
 
-        return F.flatten(F.transform(_pairs(measured), step)).cast(POINTS)
+        return _once(measured, lambda m: F.flatten(F.transform(_pairs(m), step)).cast(POINTS))
 
     return F.aggregate(_pairs(cutter), ring.cast(POINTS), cut)
 
@@ -67,9 +74,10 @@ def _cuts(a: DataFrame, b: DataFrame, keys: list[str], cell: float, same: bool)
     binned = lambda d: _boxed(d.select(*keys, "id", _anticlockwise(F.col("ring")).alias("ring")), F.col("ring"), cell)
     met = _meeting(binned(a), binned(b), keys, cell)
     met = met.filter("x.id < y.id") if same else met
-    shared = met.select(*keys, F.col("x.id").alias("low"), F.col("y.id").alias("high"), cut_by_convex(F.col("x.ring"), F.col("y.ring")).alias("shared"))
-    measured = shared.filter(F.size("shared") > 2).withColumns({"area": ring_area(F.col("shared")), "_rim": ring_length(F.col("shared"))})
-    return measured.withColumn("width", F.col("area") * 2.0 / F.nullif("_rim", F.lit(0.0))).drop("shared", "_rim").filter("area > 0")
+    # Exploded, so no filter on what is measured works the cut out again.
+    measured = F.transform(F.array(cut_by_convex(F.col("x.ring"), F.col("y.ring"))), lambda r: F.struct(ring_area(r).alias("area"), ring_length(r).alias("rim")))
+    shared = met.select(*keys, F.col("x.id").alias("low"), F.col("y.id").alias("high"), F.explode(measured).alias("m")).filter("m.area > 0")
+    return shared.select(*keys, "low", "high", "m.area", (F.col("m.area") * 2.0 / F.col("m.rim")).alias("width"))
 
 
 def overlap_pairs(features: DataFrame, cell: float, keys: list[str] | None = None, least_area: float = 1.0) -> DataFrame:
@@ -87,7 +95,7 @@ def dissolved(features: DataFrame, keys: list[str]) -> DataFrame:
     Rings are turned the same way, so an edge between two parts is run through both ways and the two cancel in one aggregation.
     ``times`` is over 1 where parts lie on each other.
     """
-    edges = features.select(*keys, F.explode(_pairs(_anticlockwise(F.col("ring")))).alias("e")).filter("e.a <> e.b")
+    edges = features.select(*keys, F.explode(_once(_anticlockwise(F.col("ring")), _pairs)).alias("e")).filter("e.a <> e.b")
     forth = F.when(F.col("e.a") < F.col("e.b"), 1).otherwise(-1)
     sums = edges.select(*keys, F.least("e.a", "e.b").alias("p"), F.greatest("e.a", "e.b").alias("q"), forth.alias("way")).groupBy(*keys, "p", "q").agg(F.sum("way").alias("way")).filter("way <> 0")
     turn = lambda one, two, k: F.when(F.col("way") > 0, F.col(f"{one}.{k}")).otherwise(F.col(f"{two}.{k}"))
@@ -149,7 +157,7 @@ def covered_routes(routes: DataFrame, features: DataFrame, cell: float) -> DataF
         hi = F.when((d0 >= 0) & (d1 < 0), F.least(s["hi"], t)).otherwise(s["hi"])
         return F.struct(lo.alias("lo"), hi.alias("hi"))
 
-    spans = met.select(F.col("x.route").alias("route"), F.col("x.segment").alias("segment"), F.aggregate(_pairs(F.col("y.ring")), none, within).alias("t")).select("route", "segment", "t.lo", "t.hi").filter("lo < hi")
+    spans = met.select(F.col("x.route").alias("route"), F.col("x.segment").alias("segment"), F.explode(F.array(F.aggregate(_pairs(F.col("y.ring")), none, within))).alias("t")).select("route", "segment", "t.lo", "t.hi").filter("lo < hi")
     length = F.sqrt((F.col("segment.bx") - F.col("segment.ax")) ** 2 + (F.col("segment.by") - F.col("segment.ay")) ** 2)
     inside = interval_union(spans, ["route", "segment"]).groupBy("route").agg(F.sum((F.col("hi") - F.col("lo")) * length).alias("inside"))
     whole = numbered.groupBy("route").agg(F.sum(length).alias("length"))
