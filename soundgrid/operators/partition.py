@@ -6,13 +6,18 @@ the lower left corner of what their boxes share. Cuts need one convex ring each;
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
+from heapq import heapify, heappop, heappush
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from soundgrid.operators.graph import components
 from soundgrid.operators.intervals import interval_union
 from soundgrid.operators.vectors import _pairs, ring_area, ring_length
+from soundgrid.shipping import ship, written
 
 POINTS = "array<struct<x: double, y: double>>"
 
@@ -31,25 +36,51 @@ def _anticlockwise(ring: Column) -> Column:
     return F.when(signed_area(ring) < 0, F.reverse(ring)).otherwise(ring).cast(POINTS)
 
 
+def _left_part(points: Column, a: Column, b: Column) -> Column:
+    """The part of a ring on the left of the line from ``a`` to ``b``."""
+    none = F.array().cast(POINTS)
+    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+    measured = F.transform(points, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), (dx * (p["y"] - a["y"]) - dy * (p["x"] - a["x"])).alias("d")))
+
+    def step(s: Column) -> Column:
+        p, q = s["a"], s["b"]
+        t = p["d"] / F.nullif(p["d"] - q["d"], F.lit(0.0))
+        at = F.struct((p["x"] + t * (q["x"] - p["x"])).alias("x"), (p["y"] + t * (q["y"] - p["y"])).alias("y"))
+        crossing = F.when((p["d"] >= 0) != (q["d"] >= 0), F.array(at).cast(POINTS)).otherwise(none)
+        return F.concat(crossing, F.when(q["d"] >= 0, F.array(F.struct(q["x"].alias("x"), q["y"].alias("y"))).cast(POINTS)).otherwise(none))
+
+    return _once(measured, lambda m: F.flatten(F.transform(_pairs(m), step)).cast(POINTS))
+
+
 def cut_by_convex(ring: Column, cutter: Column) -> Column:
     """The part of a ring inside a convex anticlockwise one: a fold over the cutter's edges, each of which takes what lies to its right."""
-    none = F.array().cast(POINTS)
+    return F.aggregate(_pairs(cutter), ring.cast(POINTS), lambda points, e: _left_part(points, e["a"], e["b"]))
 
-    def cut(points: Column, e: Column) -> Column:
-        dx, dy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
-        left_of = lambda p: dx * (p["y"] - e["a"]["y"]) - dy * (p["x"] - e["a"]["x"])
-        measured = F.transform(points, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), left_of(p).alias("d")))
 
-        def step(s: Column) -> Column:
-            p, q = s["a"], s["b"]
-            t = p["d"] / F.nullif(p["d"] - q["d"], F.lit(0.0))
-            at = F.struct((p["x"] + t * (q["x"] - p["x"])).alias("x"), (p["y"] + t * (q["y"] - p["y"])).alias("y"))
-            crossing = F.when((p["d"] >= 0) != (q["d"] >= 0), F.array(at).cast(POINTS)).otherwise(none)
-            return F.concat(crossing, F.when(q["d"] >= 0, F.array(F.struct(q["x"].alias("x"), q["y"].alias("y"))).cast(POINTS)).otherwise(none))
+def subdivided(features: DataFrame, most: int = 512, depth: int = 16) -> DataFrame:
+    """``features`` with rings of over ``most`` points halved along their longer side until none is left, ``depth`` times at most; one row a piece.
 
-        return _once(measured, lambda m: F.flatten(F.transform(_pairs(m), step)).cast(POINTS))
+    A ring that isn't convex may come as a piece that touches itself along the cut; areas hold.
+    """
+    point = lambda x, y: F.struct(F.lit(x).cast("double").alias("x"), F.lit(y).cast("double").alias("y"))
+    apart = lambda r: F.filter(r, lambda p, i: p != F.element_at(r, F.pmod(i - 1 + F.size(r), F.size(r)) + 1))
+
+    def halved(ring: Column) -> Column:
+        span = lambda k: F.struct(F.array_min(F.transform(ring, lambda p: p[k])).alias("lo"), F.array_max(F.transform(ring, lambda p: p[k])).alias("hi"))
+
+        def halves(box: Column) -> Column:
+            wide = box["x"]["hi"] - box["x"]["lo"] >= box["y"]["hi"] - box["y"]["lo"]
+            x, y = (box["x"]["lo"] + box["x"]["hi"]) / 2.0, (box["y"]["lo"] + box["y"]["hi"]) / 2.0
+            a = F.when(wide, point(x, 0.0)).otherwise(point(0.0, y))
+            b = F.when(wide, point(x, 1.0)).otherwise(point(1.0, y))
+            both = F.array(_left_part(ring, a, b), _left_part(ring, b, a))
+            return F.filter(F.transform(both, lambda r: apart(r)), lambda r: F.size(r) > 2)
+
+        split = _once(F.struct(span("x").alias("x"), span("y").alias("y")), halves)
+        return F.when(F.size(ring) > most, split).otherwise(F.array(ring))
 
-    return F.aggregate(_pairs(cutter), ring.cast(POINTS), cut)
+    pieces = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.array(F.col("ring").cast(POINTS)), lambda parts, _: F.flatten(F.transform(parts, halved)))
+    return features.withColumn("ring", F.explode(pieces))
 
 
 def _boxed(features: DataFrame, points: Column, cell: float) -> DataFrame:
@@ -169,3 +200,76 @@ def gate_routes(before: DataFrame, after: DataFrame, slack: float = 1e-3) -> Dat
     both = before.select("route", F.col("share").alias("was")).join(after.select("route", F.col("share").alias("now")), "route", "left")
     wrong = F.when(F.col("now").isNull(), "gone").when(F.col("now") < F.col("was") - slack, "less")
     return both.withColumn("wrong", wrong).filter("wrong is not null")
+
+
+def _outline(xs: list[tuple], least: float, closed: bool) -> set[tuple]:
+    """Points of a line that go if the point with the smallest triangle goes first, while that is under ``least``; the ends stay, and three points of a closed line."""
+    n = len(xs)
+    before, after, gone = [i - 1 for i in range(n)], [i + 1 for i in range(n)], set()
+
+    def triangle(i: int) -> float:
+        (ax, ay), (bx, by), (cx, cy) = xs[before[i]], xs[i], xs[after[i]]
+        return abs((bx - ax) * (cy - ay) - (cx - ax) * (by - ay)) / 2
+
+    heap = [(triangle(i), xs[i], i) for i in range(1, n - 1)]
+    now = {i: v for v, _, i in heap}
+    heapify(heap)
+    while heap and n - len(gone) > (4 if closed else 2):
+        v, _, i = heappop(heap)
+        if i in gone or now[i] != v:
+            continue
+        if v >= least:
+            break
+        gone.add(i)
+        after[before[i]], before[after[i]] = after[i], before[i]
+        for k in (before[i], after[i]):
+            if 0 < k < n - 1:
+                now[k] = triangle(k)
+                heappush(heap, (now[k], xs[k], k))
+    return {xs[i] for i in gone}
+
+
+def coverage_simplify(features: DataFrame, keys: list[str], tolerance: float, guard: float = 1e-3) -> DataFrame:
+    """``keys, id, ring, simplified``: a coverage's rings without points whose triangle is under ``tolerance`` squared, the smallest first.
+
+    A line between the points where three or more edges meet is simplified once, as a group of its own, and a point that goes is
+    taken from every ring that has it, so neighbours keep the same line and no point is invented. Where a ring would lose its third
+    point or the area of all rings of the same ``keys`` would change by over ``guard``, these keep their points. That lines don't come to cross isn't checked:
+    ``overlap_pairs`` finds it.
+    """
+    own = features.select(*keys, "id", "ring")
+    edges = own.select(*keys, F.explode(_pairs(F.col("ring"))).alias("e")).filter("e.a <> e.b").select(*keys, F.least("e.a", "e.b").alias("p"), F.greatest("e.a", "e.b").alias("q")).distinct()
+    edges = written(edges.withColumn("edge", F.monotonically_increasing_id()), "edges")
+    ends = edges.select(*keys, "edge", F.explode(F.array("p", "q")).alias("p"))
+    met = ends.groupBy(*keys, "p").agg(F.count(F.lit(1)).alias("n"), F.min("edge").alias("a"), F.max("edge").alias("b")).filter("n = 2")
+    lines = edges.join(components(met.select("a", "b")).withColumnRenamed("node", "edge"), "edge").select(*keys, "label", F.col("p.x").alias("ax"), F.col("p.y").alias("ay"), F.col("q.x").alias("bx"), F.col("q.y").alias("by"))
+    ship(features.sparkSession)
+
+    def walk(key: tuple, table: pa.Table) -> pa.Table:
+        ways = defaultdict(list)
+        for ax, ay, bx, by in zip(*(table.column(c).to_pylist() for c in ("ax", "ay", "bx", "by"))):
+            ways[ax, ay].append((bx, by))
+            ways[bx, by].append((ax, ay))
+        stops = [p for p, to in ways.items() if len(to) == 1]
+        at = min(stops or ways)
+        line = [at]
+        while ways[at]:
+            to = min(ways[at])
+            ways[at].remove(to)
+            ways[to].remove(at)
+            line.append(at := to)
+        gone = sorted(_outline(line, tolerance**2, not stops))
+        kept = table.select(keys).slice(0, 1).take(pa.array([0] * len(gone), pa.int64()))
+        return kept.append_column("x", pa.array([p[0] for p in gone], pa.float64())).append_column("y", pa.array([p[1] for p in gone], pa.float64()))
+
+    plane = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in keys), "x double, y double"])
+    gone = lines.groupBy(*keys, "label").applyInArrow(walk, plane)
+    points = own.select(*keys, "id", F.posexplode("ring").alias("_k", "p")).select(*keys, "id", "_k", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    left = points.join(gone, [*keys, "x", "y"], "left_anti").groupBy(*keys, "id").agg(F.sort_array(F.collect_list(F.struct("_k", "x", "y"))).alias("_ring"))
+    short = F.transform("_ring", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).cast(POINTS)
+    both = written(own.join(left.select(*keys, "id", short.alias("_short")), [*keys, "id"], "left"), "simplified")
+    was, now = F.sum(ring_area(F.col("ring"))), F.sum(ring_area(F.col("_short")))
+    thin = F.max(F.coalesce(F.size("_short") < 3, F.lit(True)))
+    sound = both.filter(F.size("ring") > 2).groupBy(*keys).agg((~thin & (F.abs(now - was) <= was * guard)).alias("_sound"))
+    use = F.coalesce("_sound", F.lit(False)) & F.col("_short").isNotNull()
+    return both.join(sound, keys, "left").select(*keys, "id", F.when(use, F.col("_short")).otherwise(F.col("ring").cast(POINTS)).alias("ring"), use.alias("simplified"))

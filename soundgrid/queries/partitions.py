@@ -52,6 +52,28 @@ def coverage_union(spark, sf_dir):
     return partition.coverage_union(_boxes(spark, sf_dir).withColumn("band", F.col("p_size") % 5), ["band"])
 
 
+def _dotted(spark, sf_dir):
+    """Unit boxes with a point in the middle of each side."""
+    x, y = F.col("ring")[0]["x"], F.col("ring")[0]["y"]
+    at = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    around = ((0.0, 0.0), (0.5, 0.0), (1.0, 0.0), (1.0, 0.5), (1.0, 1.0), (0.5, 1.0), (0.0, 1.0), (0.0, 0.5))
+    return _boxes(spark, sf_dir).select("id", (F.col("p_size") % 5).alias("band"), F.array(*(at(*p) for p in around)).alias("ring"))
+
+
+@query(with_views("SELECT id, p_size % 5 AS band, 4 AS vertices, CAST(1 AS DOUBLE) AS area, true AS simplified FROM boxes", boxes=BOXES))
+def coverage_simplify(spark, sf_dir):
+    """Points in the middle of straight sides go, corners stay."""
+    found = partition.coverage_simplify(_dotted(spark, sf_dir), ["band"], 0.1)
+    return found.select("id", "band", F.size("ring").alias("vertices"), partition.ring_area(F.col("ring")).alias("area"), "simplified")
+
+
+@query(with_views("SELECT id, 5 AS vertices, CAST(0.5 AS DOUBLE) AS area FROM boxes, range(2)", boxes=BOXES))
+def subdivide(spark, sf_dir):
+    """Rings of eight points, halved."""
+    found = partition.subdivided(_dotted(spark, sf_dir), 6, 4)
+    return found.select("id", F.size("ring").alias("vertices"), partition.ring_area(F.col("ring")).alias("area"))
+
+
 @query(with_views("SELECT band, round(churn, 6) AS churn, budget, CASE WHEN band = 3 THEN 'gone' WHEN churn > budget THEN 'moved' END AS wrong FROM (SELECT b.band, CASE WHEN b.band = 3 THEN NULL WHEN b.band = 1 THEN CAST(50 * n AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS churn, CASE WHEN b.band = 3 THEN NULL WHEN b.band = 1 THEN (40 * n - 20 * coalesce(k, 0) + 30 * n - 10 * coalesce(v, 0)) * CAST(0.375 AS DOUBLE) ELSE (80 * n - 40 * coalesce(k, 0)) * CAST(0.375 AS DOUBLE) END AS budget FROM (SELECT p_size % 4 AS band, count(*) AS n FROM boxes GROUP BY 1) b LEFT JOIN (SELECT band, count(*) AS k, count(*) FILTER (above) AS v FROM touching WHERE band = other_band GROUP BY 1) t ON t.band = b.band) q", boxes=BOXES, touching=NEXT.replace("ON (b.i = a.i + 1 AND b.j = a.j) OR (b.i = a.i AND b.j = a.j + 1)", "ON b.i = a.i + 1 AND b.j = a.j") + " UNION ALL " + NEXT.replace("ON (b.i = a.i + 1 AND b.j = a.j) OR (b.i = a.i AND b.j = a.j + 1)", "ON b.i = a.i AND b.j = a.j + 1")))
 def gate_displacement(spark, sf_dir):
     """One band loses the right half of its boxes, one is gone."""

@@ -131,3 +131,33 @@ def test_an_index_with_a_missing_tile_is_refused(spark, tmp_path):
     whole = tables.mosaic_index(tiled, there, ranks)
     assert tables.write_index(whole, str(tmp_path / "index")) and not tables.write_index(whole, str(tmp_path / "index"))
     assert [tuple(r) for r in tables.read_latest(spark, str(tmp_path / "index")).orderBy("stem").collect()] == [("t1", "x/t1", "a,b", 4), ("t2", "x/t2", "a", 0)]
+
+
+def test_rings_are_halved_until_they_are_short(spark):
+    n = 200
+    rows = [(1, [(40 * math.cos(2 * math.pi * k / n), 9 * math.sin(2 * math.pi * k / n)) for k in range(n)]), (2, [(0.0, 0.0), (3.0, 0.0), (3.0, 3.0), (2.0, 3.0), (2.0, 1.0), (1.0, 1.0), (1.0, 3.0), (0.0, 3.0)]), (3, [(0.0, 0.0), (1.0, 0.0), (0.0, 1.0)]), (4, [])]
+    got: dict[int, list] = {}
+    for r in partition.subdivided(spark.createDataFrame(rows, f"id long, ring {RING}"), 20).collect():
+        got.setdefault(r["id"], []).append([tuple(p) for p in r["ring"]])
+    assert len(got[1]) > 9 and all(len(r) <= 20 for own in got.values() for r in own)
+    assert all(abs(sum(map(area, got[i])) - area(r)) < 1e-9 for i, r in rows[:3]) and got[3] == [rows[2][1]] and got[4] == [[]]
+
+
+def test_neighbours_keep_one_line_when_simplified(spark):
+    rng = random.Random(11)
+    line = [(50 + rng.uniform(-1, 1), float(y)) for y in range(1, 100)]
+    left = [(0.0, 0.0), (50.0, 0.0), *line, (50.0, 100.0), (0.0, 100.0)]
+    right = [(100.0, 0.0), (100.0, 100.0), (50.0, 100.0), *line[::-1], (50.0, 0.0)]
+    island = [(200 + 10 * math.cos(2 * math.pi * k / 90), 10 * math.sin(2 * math.pi * k / 90)) for k in range(90)]
+    rows = [("a", 1, left), ("a", 2, right), ("a", 3, island), ("b", 4, [(0.0, 0.0), (0.1, 0.0), (0.0, 0.1)]), ("c", 5, [])]
+    got = {r["id"]: ([tuple(p) for p in r["ring"]], r["simplified"]) for r in partition.coverage_simplify(spark.createDataFrame(rows, f"k string, id long, ring {RING}"), ["k"], 0.8, 0.01).collect()}
+    on_line = [[p for p in got[i][0] if p in set(line)] for i in (1, 2)]
+    assert on_line[0] == on_line[1][::-1] and 0 < len(on_line[0]) < len(line)
+    # By hand: of the whole line with its ends, the smallest triangle goes first.
+    rest = [(50.0, 0.0), *line, (50.0, 100.0)]
+    size = lambda i: abs((rest[i][0] - rest[i - 1][0]) * (rest[i + 1][1] - rest[i - 1][1]) - (rest[i + 1][0] - rest[i - 1][0]) * (rest[i][1] - rest[i - 1][1])) / 2
+    while (v := min((size(i), rest[i], i) for i in range(1, len(rest) - 1)))[0] < 0.64:
+        rest.pop(v[2])
+    assert on_line[0] == rest[1:-1]
+    assert got[1][1] and 3 < len(got[3][0]) < 90 and abs(sum(area(got[i][0]) for i in (1, 2)) - 10000) < 1e-6
+    assert len(got[4][0]) == 3 and got[5] == ([], False)
