@@ -176,3 +176,55 @@ def seam_feather(pixels: DataFrame, rank: Column, extent: Extent, sigma: float =
 
     ranked = pixels.withColumn("_rank", rank.cast("double"))
     return by_block(ranked, ["z", "_rank"], "feathered", reach_of(sigma) + 1, feather, extent, size).drop("_rank")
+
+
+def _ring(a: np.ndarray) -> list[np.ndarray]:
+    """The eight neighbours of each pixel, around it in order; beyond the array is nothing."""
+    n, m = a.shape
+    wide = np.pad(a, 1)
+    return [wide[1 + i : 1 + i + n, 1 + j : 1 + j + m] for i, j in ((-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1), (0, -1), (-1, -1))]
+
+
+def peeled(cover: np.ndarray, loose: np.ndarray, rounds: int, field: np.ndarray) -> np.ndarray:
+    """``cover`` without those ``loose`` pixels that can go while what touches them stays one arc, so no part is cut, lost or pierced.
+
+    ``field`` is 0 to 3 by the parities of row and column; pixels of one field don't touch and go together. Ends when a round takes none.
+    """
+    cover = cover.copy()
+    for _ in range(rounds):
+        before = cover.sum()
+        for k in range(4):
+            ring = _ring(cover)
+            arcs = sum((~a & b).astype(np.int8) for a, b in zip(ring, [*ring[1:], ring[0]]))
+            cover &= ~(loose & (field == k) & (arcs == 1))
+        if cover.sum() == before:
+            break
+    return cover
+
+
+def coverage_feather(pixels: DataFrame, cell: float, extent: Extent, size: int = 512) -> DataFrame:
+    """Smooth the rim of what a source covers at the scale of its own cells, ``cell`` pixels wide: ``pixels(r, c, z)`` with ``feathered``.
+
+    There is a row for each pixel of ``extent``, ``z`` being null where nothing is covered. The cover's Gaussian of half a cell, from 0.5 on, is
+    the wanted cover. It is first added to the cover; then what it hasn't is peeled off by layers, as far as no passage of covered pixels closes or opens by it.
+    Added pixels take the nearest covered pixel's value (ties: first in row order), peeled ones have none. A block's halo is as wide as all that can reach it, so no seam shows.
+    """
+    sigma = cell / 2
+    rounds = int(2 * sigma) + 2
+    reach = reach_of(sigma)
+    halo = reach + 4 * rounds + 2
+
+    def feather(z: np.ndarray, field: np.ndarray) -> np.ndarray:
+        valid = ~np.isnan(z)
+        if not valid.any() or valid.all():
+            return z
+        i, j = (int(v[0]) for v in np.nonzero(~np.isnan(field)))
+        rows, columns = np.arange(z.shape[0]) - i + int(field[i, j]) // 2, np.arange(z.shape[1]) - j + int(field[i, j]) % 2
+        wanted = np.round(blurred(valid.astype(float), sigma, "edge"), 9) >= 0.5
+        grown = valid | wanted
+        final = peeled(grown, grown & ~wanted, rounds, (rows % 2)[:, None] * 2 + columns % 2)
+        _, place = nearest_source(valid, reach + 1)
+        return np.where(final, np.where(valid, z, z.ravel()[place]), np.nan)
+
+    marked = pixels.withColumn("_field", (F.pmod("r", F.lit(2)) * 2 + F.pmod("c", F.lit(2))).cast("double"))
+    return by_block(marked, ["z", "_field"], "feathered", halo, feather, extent, size).drop("_field")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from soundgrid.operators import covering, datum, focal, gates, labels, merge, ordered, serving, vectors
+from soundgrid.operators import covering, datum, focal, gates, labels, merge, ordered, serving, triangulation, vectors
 from soundgrid.queries import query
 from soundgrid.queries.catalog import HW, SPLIT, STEMS, _spans, _stems
 from soundgrid.queries.charting import BOXES, _boxes
@@ -201,14 +201,68 @@ def tile_priority(spark, sf_dir):
     return ordered.tile_priority(_stems(spark, sf_dir).select("stem", (F.col("child_z") - F.col("z")).alias("weight")))
 
 
+# Interpolation over triangles. The SQL tries all triples of nodes with the reach; a triangle counts if no lifted node is under its plane.
+
+REACH, NEAR = 40.0, 14.0
+NODES = "SELECT (r >> 4) * 16 + (r >> 4) * 5 % 7 + CAST(0.5 AS DOUBLE) AS y, (c >> 4) * 16 + (r >> 4) * 3 % 5 + CAST(0.5 AS DOUBLE) AS x, -max(z) AS v FROM surface WHERE z < 0 AND (r >> 4) % 3 + (c >> 4) % 4 < 4 GROUP BY r >> 4, c >> 4"
+LIFTED = f"SELECT row_number() OVER (ORDER BY x, y) AS i, x, y, v, x * x + y * y + (q - floor(q)) * CAST({triangulation.TIE * REACH * REACH!r} AS DOUBLE) AS h FROM (SELECT *, (x * CAST(0.6180339887 AS DOUBLE) + y * CAST(0.7548776662 AS DOUBLE)) * (x * CAST(0.6180339887 AS DOUBLE) + y * CAST(0.7548776662 AS DOUBLE)) AS q FROM nodes) t"
+TRIPLES = f"""SELECT * FROM (SELECT *, sqrt(ux * ux + uy * uy) * sqrt(vx * vx + vy * vy) * sqrt((ux - vx) * (ux - vx) + (uy - vy) * (uy - vy)) / (2 * abs(det)) AS radius FROM (
+    SELECT a.x AS x0, a.y AS y0, a.v AS v0, a.h AS h0, b.x - a.x AS ux, b.y - a.y AS uy, b.v - a.v AS uv, b.h - a.h AS uh, c.x - a.x AS vx, c.y - a.y AS vy, c.v - a.v AS vv, c.h - a.h AS vh, (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) AS det, a.i, b.i AS j, c.i AS k
+    FROM lifted a JOIN lifted b ON b.i > a.i AND abs(b.x - a.x) <= {2 * REACH} AND abs(b.y - a.y) <= {2 * REACH} JOIN lifted c ON c.i > b.i AND abs(c.x - a.x) <= {2 * REACH} AND abs(c.y - a.y) <= {2 * REACH}) t WHERE abs(det) > CAST(1e-9 AS DOUBLE)) t WHERE radius <= {REACH}"""
+FACES = "SELECT * FROM triples t WHERE NOT EXISTS (SELECT 1 FROM lifted n WHERE n.i <> t.i AND n.i <> t.j AND n.i <> t.k AND n.h < t.h0 + (t.uh * t.vy - t.vh * t.uy) / t.det * (n.x - t.x0) + (t.vh * t.ux - t.uh * t.vx) / t.det * (n.y - t.y0))"
+
+
+def on_faces_sql(places: str) -> str:
+    """``places`` with x and y, each with what the triangles around say, and the least of it."""
+    return f"SELECT id, min(v0 + p * uv + q * vv) AS value FROM (SELECT s.id, ((s.x - x0) * vy - (s.y - y0) * vx) / det AS p, ((s.y - y0) * ux - (s.x - x0) * uy) / det AS q, v0, uv, vv FROM {places} s, faces) t WHERE p >= -1e-9 AND q >= -1e-9 AND p + q <= 1 + 1e-9 GROUP BY id"
+
+
+TRIANGLES = {"nodes": NODES, "lifted": LIFTED, "triples": TRIPLES, "faces": FACES}
+
+
+def _nodes(spark, sf_dir):
+    """The least depth of squares of 16 pixels, a third of them without one, at places of their own."""
+    r, c = F.shiftright("r", 4), F.shiftright("c", 4)
+    kept = surface(spark, sf_dir).filter((F.col("z") < 0) & (r % 3 + c % 4 < 4)).groupBy(r.alias("i"), c.alias("j")).agg((-F.max("z")).alias("v"))
+    return kept.select((F.col("j") * 16 + F.col("i") * 3 % 5 + 0.5).alias("x"), (F.col("i") * 16 + F.col("i") * 5 % 7 + 0.5).alias("y"), "v")
+
+
+NEAREST = f"SELECT points.id FROM points JOIN nodes ON (points.x - nodes.x) * (points.x - nodes.x) + (points.y - nodes.y) * (points.y - nodes.y) <= {NEAR * NEAR} GROUP BY points.id"
+
+
+@query(with_views("SELECT points.id, round(CASE WHEN k.id IS NOT NULL THEN f.value END, 6) AS value FROM points LEFT JOIN on_faces f ON f.id = points.id LEFT JOIN nearest k ON k.id = points.id", on_faces=on_faces_sql("points"), nearest=NEAREST, **TRIANGLES))
+def delaunay_interpolate(spark, sf_dir):
+    """Blocks of 64 pixels; at every size of the tables, places are dealt to them and the nodes around come along."""
+    found = triangulation.interpolate(points(spark, sf_dir), _nodes(spark, sf_dir), REACH, NEAR, size=64.0)
+    return found.select("id", F.round("value", 6).alias("value"))
+
+
+WET = "SELECT r * 128 + c AS id, c + CAST(0.5 AS DOUBLE) AS x, r + CAST(0.5 AS DOUBLE) AS y, z FROM surface WHERE z < 0 AND r % 2 = 0 AND c % 2 = 0"
+
+
+@query(with_views("SELECT count(*) AS sampled, count(*) FILTER (short > 1e-6) AS violating, round(coalesce(count(*) FILTER (short > 1e-6) / CAST(nullif(count(*), 0) AS DOUBLE), 0), 9) AS share, round(coalesce(max(short), 0), 6) AS worst FROM (SELECT value + z AS short FROM on_faces f JOIN wet ON wet.id = f.id) t", wet=WET, on_faces=on_faces_sql("wet"), **TRIANGLES))
+def interp_violation(spark, sf_dir):
+    gate = triangulation.interpolation_gate(surface(spark, sf_dir), _nodes(spark, sf_dir), REACH, stride=2, size=64.0)
+    return gate.select("sampled", "violating", F.round("share", 9).alias("share"), F.round("worst", 6).alias("worst"))
+
+
+def _sounded(spark, sf_dir):
+    """Tiles of 32 by 32 pixels with their ground, and soundings: the least depths of squares of 16 pixels at zoom 10, of 8 pixels at 11."""
+    tiled = surface(spark, sf_dir).filter("z < 0").withColumns({"tile_r": F.shiftright("r", 5), "tile_c": F.shiftright("c", 5)})
+    tile = ["tile_r", "tile_c"]
+
+    def lattice(bits: int, zoom: int):
+        best = tiled.groupBy(*tile, F.shiftright("r", bits).alias("i"), F.shiftright("c", bits).alias("j")).agg(F.max(F.struct("z", -F.col("r"), -F.col("c"))).alias("s"))
+        return best.select(*tile, (0.5 - F.col("s.col3")).alias("x"), (0.5 - F.col("s.col2")).alias("y"), (-F.col("s.z")).alias("v"), F.lit(zoom).alias("minzoom"), F.lit(True).alias("lattice"))
+
+    return tiled, lattice(4, 10).unionByName(lattice(3, 11))
+
+
 @query()
 def repair_soundings(spark, sf_dir):
-    """Where the ground, to 200 m, is deeper than the mean of its neighbourhood by over 2 m and half the depth, worst first and apart."""
-    smooth = focal.gaussian(surface(spark, sf_dir).filter("z < 0"), 2.0)
-    error = F.col("mean") - F.col("z")
-    bad = smooth.withColumn("error", error).filter((error > F.greatest(F.lit(2.0), -F.col("z") * 0.5)) & (F.col("z") >= -200))
-    tiled = bad.select(F.shiftright("r", 5).alias("tile_r"), F.shiftright("c", 5).alias("tile_c"), F.col("c").cast("double").alias("x"), F.col("r").cast("double").alias("y"), "error")
-    return ordered.spaced_picks(tiled, ["tile_r", "tile_c"], 4.0)
+    """Where the ground, to 200 m, is deeper than the displayed soundings imply by over 2 m and half its depth, worst first and apart."""
+    ground, soundings = _sounded(spark, sf_dir)
+    return triangulation.repaired_soundings(ground, soundings, ["tile_r", "tile_c"], (10, 11), spacing=4.0)
 
 
 # Seeds and plates.

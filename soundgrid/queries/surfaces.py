@@ -8,7 +8,7 @@ from soundgrid.functions import depth
 from soundgrid.operators import focal, gates, labels, merge
 from soundgrid.plans.chart import classified_tiles
 from soundgrid.queries import query
-from soundgrid.queries.views import EXTENT, mask, points, px, sources, surface, table, with_views
+from soundgrid.queries.views import EXTENT, SIDE, mask, points, px, sources, surface, table, with_views
 
 D = "CAST({} AS DOUBLE)"
 
@@ -330,6 +330,14 @@ def smooth_dem(spark, sf_dir):
     return focal.smooth_shoalward(surface(spark, sf_dir), 500.0, EXTENT, **SMALL).select("r", "c", "z", F.round("smoothed", 6).alias("smoothed"))
 
 
+@query()
+def coverage_feather(spark, sf_dir):
+    """The rim of one source's cover, smoothed for cells five pixels wide."""
+    own = px(spark, sf_dir).filter("src = 'N'").select("r", "c", "z")
+    whole = spark.range(SIDE * SIDE).select(F.floor(F.col("id") / SIDE).cast("int").alias("r"), (F.col("id") % SIDE).cast("int").alias("c"))
+    return focal.coverage_feather(whole.join(own, ["r", "c"], "left"), 5.0, EXTENT, size=64)
+
+
 @query(with_views("SELECT s.r, s.c, round(sum(t.w * u.w * b.z) / sum(t.w * u.w), 6) AS mean FROM surface s, taps t, taps u, surface b WHERE b.r = s.r + t.k AND b.c = s.c + u.k GROUP BY 1, 2", taps=taps_sql(1.0)))
 def gauss_valid(spark, sf_dir):
     """The mean of what is there, without an edge."""

@@ -1,10 +1,12 @@
 """Every query against its SQL in an independent engine, and the driver's contract."""
 
 import datetime
+import itertools
 import math
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__
@@ -150,11 +152,95 @@ def brute_gate_connectivity(spark, sf_dir):
     return z, after
 
 
-BRUTE = {"enclosed_shoals": brute_enclosed_shoals, "dome_candidates": brute_dome_candidates, "drop_plates": brute_drop_plates, "match_1d": brute_match_1d, "tile_priority": brute_tile_priority}
+def brute_faces(nodes):
+    """Triples of ``(x, y, value)`` whose circle has no other node in it, by the lifted heights that settle ties."""
+    from soundgrid.operators.triangulation import TIE, circumradius
+
+    n = np.array(nodes, float).reshape(-1, 3)
+    x, y = n[:, 0], n[:, 1]
+    own = (x * 0.6180339887 + y * 0.7548776662) ** 2
+    h = x * x + y * y + (own - np.floor(own)) * TIE * 1e10
+    abc = np.array(list(itertools.combinations(range(len(n)), 3))).reshape(-1, 3)
+    abc = abc[circumradius(x[abc], y[abc]) <= 1e5]
+    a, b, c = abc.T
+    det = (x[b] - x[a]) * (y[c] - y[a]) - (y[b] - y[a]) * (x[c] - x[a])
+    slope = lambda f: (((f[b] - f[a]) * (y[c] - y[a]) - (f[c] - f[a]) * (y[b] - y[a])) / det, ((f[c] - f[a]) * (x[b] - x[a]) - (f[b] - f[a]) * (x[c] - x[a])) / det)
+    sx, sy = slope(h)
+    under = h[None] < (h[a] - sx * x[a] - sy * y[a])[:, None] + sx[:, None] * x[None] + sy[:, None] * y[None] - 1e-9
+    np.put_along_axis(under, abc, False, axis=1)
+    return n, [tuple(f) for f in abc[~under.any(axis=1)]]
+
+
+def brute_value(n, faces, p):
+    best = math.inf
+    for a, b, c in faces:
+        u, v, d = n[b] - n[a], n[c] - n[a], (p[0] - n[a, 0], p[1] - n[a, 1])
+        det = u[0] * v[1] - u[1] * v[0]
+        s, t = (d[0] * v[1] - d[1] * v[0]) / det, (d[1] * u[0] - d[0] * u[1]) / det
+        if s >= -1e-9 and t >= -1e-9 and s + t <= 1 + 1e-9:
+            best = min(best, n[a, 2] + s * u[2] + t * v[2])
+    return best
+
+
+def brute_repair_soundings(spark, sf_dir):
+    z = {p: v for p, v in heights(spark, sf_dir).items() if v < 0}
+    out = []
+    for tile in {(r >> 5, c >> 5) for r, c in z}:
+        ground = {p: v for p, v in z.items() if (p[0] >> 5, p[1] >> 5) == tile}
+        inserted = {}
+        for zoom, bits in ((10, 4), (11, 3)):
+            cells = {}
+            for (r, c), v in ground.items():
+                cells.setdefault((r >> bits, c >> bits), []).append((-v, r, c))
+            shown = dict(inserted)
+            for depth, r, c in map(min, cells.values()):
+                shown[r, c] = min(depth, shown.get((r, c), math.inf))
+            if len(shown) < 3:
+                continue
+            n, faces = brute_faces([(c + 0.5, r + 0.5, d) for (r, c), d in shown.items()])
+            bad = []
+            for (r, c), v in ground.items():
+                error = -v - brute_value(n, faces, (c + 0.5, r + 0.5))
+                if error > max(2.0, -v / 2) and 0.2 <= -v <= 200:
+                    bad.append((-round(error, 9), r, c))
+            taken = []
+            for error, r, c in sorted(bad):
+                if all((r - i) ** 2 + (c - j) ** 2 >= (4 * 2 ** (11 - zoom)) ** 2 for i, j in [*shown, *taken]):
+                    taken.append((r, c))
+                    out.append((*tile, zoom, r, c, -ground[r, c], -error))
+            inserted |= {p: -ground[p] for p in taken}
+    return out, ["tile_r", "tile_c", "zoom", "r", "c", "depth", "error"]
+
+
+def brute_coverage_feather(spark, sf_dir):
+    """On the whole grid at once, with the cover as a set."""
+    from soundgrid.queries.views import px
+
+    z = {(r["r"], r["c"]): r["z"] for r in px(spark, sf_dir).filter("src = 'N'").collect()}
+    every = list(itertools.product(range(128), range(128)))
+    taps = {k: math.exp(-0.5 * (k / 2.5) ** 2) for k in range(-10, 11)}
+    total, clip = sum(taps.values()), lambda v: min(max(v, 0), 127)
+    along = {(r, c): sum(w * ((r, clip(c + k)) in z) for k, w in taps.items()) / total for r, c in every}
+    wanted = {(r, c) for r, c in every if round(sum(w * along[clip(r + k), c] for k, w in taps.items()) / total, 9) >= 0.5}
+    cover = set(z) | wanted
+    loose = cover - wanted
+    around = [(-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1), (0, -1), (-1, -1)]
+    for _ in range(7):
+        for field in itertools.product((0, 1), (0, 1)):
+            here = {p: [(p[0] + i, p[1] + j) in cover for i, j in around] for p in loose & cover if (p[0] % 2, p[1] % 2) == field}
+            cover -= {p for p, ring in here.items() if sum(ring[k] and not ring[k - 1] for k in range(8)) == 1}
+    out = []
+    for r, c in every:
+        near = min(((r - i) ** 2 + (c - j) ** 2, i, j) for i, j in z) if (r, c) in cover and (r, c) not in z else (0, r, c)
+        out.append((r, c, z.get((r, c)), z[near[1:]] if (r, c) in cover else None))
+    return out, ["r", "c", "z", "feathered"]
+
+
+BRUTE = {"enclosed_shoals": brute_enclosed_shoals, "dome_candidates": brute_dome_candidates, "drop_plates": brute_drop_plates, "match_1d": brute_match_1d, "tile_priority": brute_tile_priority, "repair_soundings": brute_repair_soundings, "coverage_feather": brute_coverage_feather}
 
 
 def test_every_query_has_sql_or_brute_force():
-    assert set(core.QUERIES) - set(core.ORACLES) == set(BRUTE) | {"gate_connectivity", "repair_soundings"}
+    assert set(core.QUERIES) - set(core.ORACLES) == set(BRUTE) | {"gate_connectivity"}
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
@@ -201,25 +287,3 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = core.QUERIES["water_window_read"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_custkey,100)" in plan and "o_totalprice" not in plan
-
-
-def test_repaired_soundings_are_deeper_than_their_surroundings(spark, sf_dir):
-    from soundgrid.queries.views import surface
-
-    z = {(r["r"], r["c"]): r["z"] for r in surface(spark, sf_dir).filter("z < 0").collect()}
-    taps = [(i, j, math.exp(-(i * i + j * j) / 8)) for i in range(-8, 9) for j in range(-8, 9)]
-    tiled: dict[tuple, list] = {}
-    for (r, c), own in z.items():
-        near = [(w, z[r + i, c + j]) for i, j, w in taps if (r + i, c + j) in z]
-        error = sum(w * v for w, v in near) / sum(w for w, _ in near) - own
-        if error > max(2.0, -own / 2) and own >= -200:
-            tiled.setdefault((r >> 5, c >> 5), []).append((-error, r, c))
-    expected: dict[tuple, float] = {}
-    for rows in tiled.values():
-        picked: list[tuple] = []
-        for error, r, c in sorted(rows):
-            if len(picked) < 400 and all((r - a) ** 2 + (c - b) ** 2 >= 16 for a, b in picked):
-                picked.append((r, c))
-                expected[r, c] = -error
-    got = {(int(r["y"]), int(r["x"])): r["error"] for r in core.QUERIES["repair_soundings"](spark, sf_dir).collect()}
-    assert expected and got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 1e-6 for k in got)
