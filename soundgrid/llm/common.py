@@ -29,6 +29,29 @@ def bounded_sample(df: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 40)) < int(share * (1 << 40)))
 
 
+def collected_texts(rows: DataFrame, key: str, text: str, limit: int, seed: int) -> list:
+    """The rows of a bounded sample, by ``key`` in order, with at most ``limit`` bytes of ``text`` in all.
+
+    The sample is written once. Where it is larger than the bound, rows come in the order of a seeded hash of the key, and one that
+    doesn't fit in what is left of the bound is passed over, so one very long text can't fill the driver.
+    """
+    rows = written(rows, "sample")
+    sizes = rows.select(key, F.octet_length(text).alias("n"), F.xxhash64(F.lit(seed), F.col(key)).alias("h")).collect()
+    left, kept = limit, set()
+    for r in sorted(sizes, key=lambda r: (r["h"], r[key])):
+        if r["n"] <= left:
+            kept.add(r[key])
+            left -= r["n"]
+    if len(kept) < len(sizes):
+        ids = rows.sparkSession.createDataFrame([(k,) for k in sorted(kept)], rows.select(key).schema)
+        found = rows.join(F.broadcast(ids), key)
+    else:
+        found = rows
+    found = sorted(found.collect(), key=lambda r: r[key])
+    discard(rows)
+    return found
+
+
 def prefix_offsets(df: DataFrame, order: str, amounts: list[str], within: list[str] = (), group: int = 4096) -> DataFrame:
     """Add to each row the sums of ``amounts`` over the rows before it, as ``<amount>_before``.
 

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soundgrid.llm.common import bounded_sample, fold
+from soundgrid.llm.common import bounded_sample, collected_texts, fold
 from soundgrid.shipping import mapped
 
 UNDETERMINED = "und"
@@ -133,17 +133,18 @@ def document_frequencies(docs: DataFrame, bits: int, text: str = "text") -> tupl
     return count[:-1], int(count[-1])
 
 
-def train(docs: DataFrame, limit: int = 4_000, folds: int = 4, left_out: int = 2, bits: int = 15, seed: int = 43, **options) -> LanguageModel:
+def train(docs: DataFrame, limit: int = 4_000, byte_limit: int = 16 << 20, folds: int = 4, left_out: int = 2, bits: int = 15, seed: int = 43, **options) -> LanguageModel:
     """Train on documents with text, language and id outside fold ``left_out`` (``crc32(doc_id) mod folds``).
 
     Document frequencies count all those documents; weights are fitted on at most about ``limit`` of them, chosen by a
-    seeded hash of the id, which bounds what is collected.
+    seeded hash of the id, and on at most ``byte_limit`` bytes of their texts, which bounds what is collected.
     """
     known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), folds) != left_out)).select("doc_id", "text", "lang")
     count, n = document_frequencies(known, bits)
     ids = bounded_sample(known.select("doc_id").distinct(), "doc_id", limit, seed)
-    rows = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row")).orderBy("doc_id").select("row.*").toPandas()
-    return fit(rows["text"].tolist(), rows["lang"].tolist(), np.log((1 + n) / (1 + count)) + 1, bits, **options)
+    rows = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row")).select("doc_id", "row.*")
+    rows = collected_texts(rows, "doc_id", "text", byte_limit, seed)
+    return fit([r["text"] for r in rows], [r["lang"] for r in rows], np.log((1 + n) / (1 + count)) + 1, bits, **options)
 
 
 def languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

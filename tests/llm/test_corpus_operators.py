@@ -670,3 +670,16 @@ def test_other_kinds_of_vocabulary_are_refused(tmp_path):
     path.write_text(json.dumps({"model": {"type": "WordPiece"}, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False}}))
     with pytest.raises(ValueError):
         tokens.PrefixCounter(str(path))
+
+
+def test_collected_texts_keep_their_bound(spark):
+    from soundgrid.llm.common import collected_texts
+
+    rows = spark.createDataFrame([(i, "x" * (i % 7 + 1)) for i in range(200)] + [(1000, "y" * 5000)], "doc_id int, text string")
+    every = collected_texts(rows, "doc_id", "text", 10_000, 3)
+    assert [r["doc_id"] for r in every] == [*range(200), 1000]
+    some = collected_texts(rows.repartition(5), "doc_id", "text", 300, 3)
+    size = sum(len(r["text"]) for r in some)
+    assert 293 < size <= 300 and [r["doc_id"] for r in some] == sorted({r["doc_id"] for r in some}) and 1000 not in {r["doc_id"] for r in some}
+    assert some == collected_texts(rows, "doc_id", "text", 300, 3)
+    assert collected_texts(rows.limit(0), "doc_id", "text", 300, 3) == []
