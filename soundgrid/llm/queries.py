@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soundgrid.llm import decontamination, language, licenses, mixing, near_duplicates, neighbours, quality, sharding, tokens, toxicity
+from soundgrid.llm import class_model, decontamination, language, licenses, mixing, near_duplicates, neighbours, quality, runs, sharding, tokens, toxicity, whitening
 from soundgrid.llm.common import fold
 
 
@@ -76,5 +76,49 @@ def op10_tokens(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_neighbours, op2_licenses, op3_quality, op4_language, op5_sharding, op6_near_duplicates, op7_mixing, op8_decontamination, op9_toxicity, op10_tokens)}
+def periodic_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth text with its words repeated from some word on, as the contract of ``op11_runs`` has it; the others as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    read = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, split).alias("words"))
+    n, g = F.size("words"), F.col("g")
+    first = F.pmod(g, n)
+    period = F.lit(1) + F.floor((n - first) / (F.lit(3) + F.pmod(g, F.lit(8))))
+    read = read.select("doc_id", "text", "words", *(F.when(n > 0, c).cast("int").alias(a) for c, a in ((first, "first"), (period, "period"))))
+    again = lambda w, i: F.when(i < F.col("first"), w).otherwise(F.get("words", F.col("first") + F.pmod(i - F.col("first"), F.col("period"))))
+    return read.select("doc_id", F.when(F.col("period").isNotNull(), F.array_join(F.transform("words", again), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(periodic_tails(table(spark, sf_dir, "documents"))).select("doc_id", "runs", F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    better = lambda a, b: (b["length"] * a["period"] > a["length"] * b["period"]) | ((b["length"] * a["period"] == a["length"] * b["period"]) & (F.struct(b["start"], b["period"]) < F.struct(a["start"], a["period"])))
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda a, b: F.when(better(a, b), b).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    found = found.withColumn("best", best)
+    milli = F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period"))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", milli.alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
+def op12_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out(5, 1), "text")
+    model = class_model.train(docs, ~F.col("held_out"))
+    found = class_model.scored(docs, model)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base_log10").alias("base_score"), F.col("log10_probability").alias("score"), "perplexity")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").filter(whitening.usable("embedding"))
+    whole = vectors.select("vec_id", F.transform("embedding", lambda c: F.floor(c.cast("double") * 1024) + 100000).alias("vector"))
+    model = whitening.fit(whole)
+    out = whitening.whitened(whole, model, 8)
+    sums = F.array(*(F.lit(s).cast("long") for s in model.sums)) if model.sums else F.lit(None).cast("array<long>")
+    off = F.transform(F.arrays_zip(F.col("vector").alias("x"), sums.alias("s")), lambda z: z["x"] * model.n - z["s"])
+    deviation = F.aggregate(off, F.lit(0).cast("long"), lambda s, z: s + z * z)
+    explained = F.array(*(F.lit(float(e)) for e in model.explained)) if model.sums else F.lit(None).cast("array<double>")
+    out = out.select("vec_id", deviation.alias("deviation"), F.posexplode("whitened").alias("component", "whitened"))
+    error = whitening.identity_error(whole, model, 8)
+    return out.select("vec_id", (F.col("component") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened", F.get(explained, "component").alias("explained"), F.lit(error).alias("identity_error"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_neighbours, op2_licenses, op3_quality, op4_language, op5_sharding, op6_near_duplicates, op7_mixing, op8_decontamination, op9_toxicity, op10_tokens, op11_runs, op12_class_model, op13_whitening)}
 ORACLES: dict[str, str] = {}
