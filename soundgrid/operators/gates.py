@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from soundgrid.shipping import written
+
 
 def shoal_bias(before: DataFrame, after: DataFrame, keys: list[str], slack: float = 1e-9) -> DataFrame:
     """Compared pixels and how many are deeper than before; there may be none."""
@@ -77,16 +79,34 @@ def contract(rows: DataFrame, required: list[str]) -> DataFrame:
     return rows.withColumn("lacks", F.array_join(lacks, ",")).filter("lacks <> ''")
 
 
-def connectivity(before: DataFrame, after: DataFrame) -> DataFrame:
-    """How water hangs together before and after: its pixels, components and the largest one's share; and how much of it dried."""
-    from soundgrid.operators.labels import label_components
+def connectivity(before: DataFrame, after: DataFrame, extent: tuple[int, int, int, int], most_drying: float = 16.0, slack: float = 1e-3) -> DataFrame:
+    """One row: water pixels, 4-connected parts and the largest one's share before and after, how much of the water network ``grew`` dry, and what ``failed``.
 
-    def stats(df: DataFrame, name: str) -> DataFrame:
-        parts = label_components(df.filter("z < 0")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-        return parts.agg(F.lit(name).alias("state"), F.coalesce(F.sum("n"), F.lit(0)).alias("water"), F.count(F.lit(1)).alias("parts"), (F.max("n") / F.sum("n")).alias("largest_share"))
+    The network are the parts that touch the rim of ``extent`` (top, left, bottom, right), and the largest. Its pixels may not end between the datum and ``most_drying``; filled
+    ponds may. A share of the largest part that falls by over ``slack`` means that a channel closed. ``failed`` is ``connectivity``, ``drying``, both with a comma between, or null.
+    """
+    from soundgrid.operators.labels import label_components
 
-    dried = before.filter("z < 0").join(after.filter("z >= 0").select("r", "c"), ["r", "c"], "left_semi").agg(F.count(F.lit(1)).alias("dried"))
-    return stats(before, "before").unionByName(stats(after, "after")).crossJoin(dried)
+    def labelled(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        pixels = written(label_components(df.filter("z < 0")), "water")
+        rim = (F.col("r") == extent[0]) | (F.col("c") == extent[1]) | (F.col("r") == extent[2]) | (F.col("c") == extent[3])
+        return pixels, pixels.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max(rim).alias("open"))
+
+    def stats(parts: DataFrame, name: str) -> DataFrame:
+        share = F.coalesce(F.max("n") / F.sum("n"), F.lit(0.0))
+        return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(f"water_{name}"), F.count(F.lit(1)).alias(f"parts_{name}"), share.alias(f"share_{name}"), F.max(F.struct("n", -F.col("label"))).alias("top"))
+
+    pixels, parts = labelled(before)
+    was, now = stats(parts, "before"), stats(labelled(after)[1], "after").drop("top")
+    top = was.select((-F.col("top.col2")).alias("label"))
+    network = parts.filter("open").select("label").unionByName(top).distinct()
+    dried = after.filter(F.col("z").between(0.0, most_drying)).select("r", "c")
+    grew = pixels.join(network, "label", "left_semi").join(dried, ["r", "c"], "left_semi").agg(F.count(F.lit(1)).alias("grew"))
+    # Each side has one row.
+    one = lambda df: df.withColumn("_one", F.lit(1))
+    row = one(was.drop("top")).join(one(now), "_one").join(one(grew), "_one").drop("_one")
+    wrong = F.array(F.when(F.col("share_after") < F.col("share_before") - slack, "connectivity"), F.when(F.col("grew") > 0, "drying"))
+    return row.withColumn("failed", F.nullif(F.array_join(wrong, ","), F.lit("")))
 
 
 def ab_vector(a: DataFrame, b: DataFrame) -> DataFrame:

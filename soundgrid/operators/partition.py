@@ -1,7 +1,7 @@
 """Partitions into polygons: overlaps, dissolved boundaries and what a change of boundaries may trade. Features have an ``id`` and a ``ring`` of points.
 
 Features meet by equality on the square bins that their boxes cover, and a pair is kept in one bin only: the one that holds
-the lower left corner of what their boxes share. Cuts need one convex ring each; other polygons come as convex parts.
+the lower left corner of what their boxes share. Cuts are made on the convex parts of rings of any simple form, with holes (see ``polygons``).
 """
 
 from __future__ import annotations
@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 
 from soundgrid.operators.graph import components
 from soundgrid.operators.intervals import interval_union
-from soundgrid.operators.vectors import _pairs, ring_area, ring_length
+from soundgrid.operators.polygons import POINTS, convex_parts, holes_of, polygon_area, polygon_rim
+from soundgrid.operators.vectors import _pairs, ring_area
 from soundgrid.shipping import ship, written
 
-POINTS = "array<struct<x: double, y: double>>"
-
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is worked out once, however often ``use`` names it."""
@@ -101,41 +100,108 @@ def _meeting(a: DataFrame, b: DataFrame, keys: list[str], cell: float) -> DataFr
 
 
 def _cuts(a: DataFrame, b: DataFrame, keys: list[str], cell: float, same: bool) -> DataFrame:
-    """``keys, low, high, area, width`` of what a ring of ``a`` and one of ``b`` share; if both are the ``same`` features, each pair once."""
-    binned = lambda d: _boxed(d.select(*keys, "id", _anticlockwise(F.col("ring")).alias("ring")), F.col("ring"), cell)
+    """``keys, low, high, area`` of what a feature of ``a`` and one of ``b`` share; if both are the ``same`` features, each pair once.
+
+    Convex parts meet by their bins, so what is dealt into many bins has four corners however long its ring is, and what pairs of parts share is added up by feature.
+    """
+    binned = lambda d: _boxed(convex_parts(d, [*keys, "id"]), F.col("ring"), cell)
     met = _meeting(binned(a), binned(b), keys, cell)
     met = met.filter("x.id < y.id") if same else met
     # Exploded, so no filter on what is measured works the cut out again.
-    measured = F.transform(F.array(cut_by_convex(F.col("x.ring"), F.col("y.ring"))), lambda r: F.struct(ring_area(r).alias("area"), ring_length(r).alias("rim")))
-    shared = met.select(*keys, F.col("x.id").alias("low"), F.col("y.id").alias("high"), F.explode(measured).alias("m")).filter("m.area > 0")
-    return shared.select(*keys, "low", "high", "m.area", (F.col("m.area") * 2.0 / F.col("m.rim")).alias("width"))
+    measured = F.transform(F.array(cut_by_convex(F.col("x.ring"), F.col("y.ring"))), ring_area)
+    shared = met.select(*keys, F.col("x.id").alias("low"), F.col("y.id").alias("high"), F.explode(measured).alias("area")).filter("area > 0")
+    return shared.groupBy(*keys, "low", "high").agg(F.sum("area").alias("area"))
+
+
+def boundary(features: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, ax, ay, bx, by`` of all edges, run through with the inside on the left."""
+    clockwise = lambda r: F.when(signed_area(r) > 0, F.reverse(r)).otherwise(r).cast(POINTS)
+    rings = F.concat(F.array(_anticlockwise(F.col("ring"))), F.transform(holes_of(features), clockwise))
+    edges = features.select(*keys, F.explode(rings).alias("r")).select(*keys, F.explode(_once(F.col("r"), _pairs)).alias("e")).filter("e.a <> e.b")
+    return edges.select(*keys, *(F.col(f"e.{end}.{k}").alias(f"{end}{k}") for end in "ab" for k in "xy"))
+
+
+def _spans(met: DataFrame, keys: list[str], along: str) -> DataFrame:
+    """``keys, segment, lo, hi``: the range of a segment's parameter inside a convex ring, for rows ``x`` with a segment and ``y`` with a ring.
+
+    A segment along one of the ring's edges is inside with ``along`` "either", with "same" only if it runs the edge's way, with "none" never.
+    """
+    none = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
+    seg = F.col("x.segment")
+    sx, sy = seg["bx"] - seg["ax"], seg["by"] - seg["ay"]
+
+    def within(s: Column, e: Column) -> Column:
+        dx, dy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
+        still = F.lit(1e-12) * (F.abs(dx) + F.abs(dy)) * F.greatest(*(F.abs(seg[k]) for k in ("ax", "ay", "bx", "by")), F.lit(1.0))
+        flat = lambda d: F.when(F.abs(d) <= still, 0.0).otherwise(d)
+        left_of = lambda x, y: flat(dx * (y - e["a"]["y"]) - dy * (x - e["a"]["x"]))
+
+        def cut(d: Column) -> Column:
+            d0, d1 = d["a"], d["b"]
+            t = d0 / F.nullif(d0 - d1, F.lit(0.0))
+            on = (d0 == 0) & (d1 == 0) & (dx * sx + dy * sy <= 0 if along == "same" else F.lit(along == "none"))
+            outside = on | ((d0 < 0) & (d1 < 0)) | ((d0 < 0) & (d1 == 0)) | ((d0 == 0) & (d1 < 0))
+            lo = F.when(outside, 2.0).when((d0 < 0) & (d1 > 0), F.greatest(s["lo"], t)).otherwise(s["lo"])
+            hi = F.when((d0 > 0) & (d1 < 0), F.least(s["hi"], t)).otherwise(s["hi"])
+            return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+        return _once(F.struct(left_of(seg["ax"], seg["ay"]).alias("a"), left_of(seg["bx"], seg["by"]).alias("b")), cut)
+
+    spans = met.select(*keys, seg.alias("segment"), F.explode(F.array(F.aggregate(_pairs(F.col("y.ring")), none, within))).alias("t"))
+    return spans.select(*keys, "segment", "t.lo", "t.hi").filter("lo < hi")
+
+
+def _segments(edges: DataFrame, keys: list[str]) -> DataFrame:
+    at = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    return edges.select(*keys, F.struct("ax", "ay", "bx", "by").alias("segment"), F.array(at("ax", "ay"), at("bx", "by")).alias("ends"))
+
+
+def _segment_length() -> Column:
+    return F.sqrt((F.col("segment.bx") - F.col("segment.ax")) ** 2 + (F.col("segment.by") - F.col("segment.ay")) ** 2)
+
+
+def _shared_rims(pairs: DataFrame, features: DataFrame, keys: list[str], cell: float) -> DataFrame:
+    """``keys, low, high, rim`` of what pairs of features share: each one's boundary inside the other, and once where both run the same way."""
+    pair = [*keys, "low", "high"]
+    edges, parts = boundary(features, [*keys, "id"]), convex_parts(features, [*keys, "id"])
+    found = None
+    for own, other, along in (("low", "high", "same"), ("high", "low", "none")):
+        mine = _boxed(_segments(edges.withColumnRenamed("id", own).join(pairs, [*keys, own]), pair), F.col("ends"), cell)
+        theirs = _boxed(parts.withColumnRenamed("id", other).join(pairs, [*keys, other]).select(*pair, "ring"), F.col("ring"), cell)
+        spans = _spans(_meeting(mine, theirs, pair, cell), pair, along)
+        inside = interval_union(spans, [*pair, "segment"]).select(*pair, ((F.col("hi") - F.col("lo")) * _segment_length()).alias("length"))
+        found = inside if found is None else found.unionByName(inside)
+    return found.groupBy(*pair).agg(F.sum("length").alias("rim"))
 
 
 def overlap_pairs(features: DataFrame, cell: float, keys: list[str] | None = None, least_area: float = 1.0) -> DataFrame:
-    """Pairs of features (of equal ``keys``) that share over ``least_area``: ``low, high, area, width``.
+    """Pairs of features (of equal ``keys``) that share over ``least_area``: ``low, high, area, width``. Rings may be of any simple form, with ``holes``.
 
-    The width is twice the area over the rim, so a long hairline along a common edge counts as thin however long it is.
+    The width is twice the area over the rim of what is shared, so a long hairline along a common edge counts as thin however long it is.
     """
     keys = keys or []
-    return _cuts(features, features, keys, cell, True).filter(F.col("area") > least_area)
+    pairs = written(_cuts(features, features, keys, cell, True).filter(F.col("area") > least_area), "pairs")
+    rims = _shared_rims(pairs.drop("area"), features, keys, cell)
+    return pairs.join(rims, [*keys, "low", "high"], "left").select(*keys, "low", "high", "area", (F.col("area") * 2.0 / F.col("rim")).alias("width"))
 
 
 def dissolved(features: DataFrame, keys: list[str]) -> DataFrame:
-    """The boundary of the union of a coverage's parts by ``keys``: ``keys, ax, ay, bx, by, times``.
+    """The boundary of the union of a coverage's parts (holes too) by ``keys``: ``keys, ax, ay, bx, by, times``.
 
     Rings are turned the same way, so an edge between two parts is run through both ways and the two cancel in one aggregation.
     ``times`` is over 1 where parts lie on each other.
     """
-    edges = features.select(*keys, F.explode(_once(_anticlockwise(F.col("ring")), _pairs)).alias("e")).filter("e.a <> e.b")
-    forth = F.when(F.col("e.a") < F.col("e.b"), 1).otherwise(-1)
-    sums = edges.select(*keys, F.least("e.a", "e.b").alias("p"), F.greatest("e.a", "e.b").alias("q"), forth.alias("way")).groupBy(*keys, "p", "q").agg(F.sum("way").alias("way")).filter("way <> 0")
+    at = lambda end: F.struct(F.col(f"{end}x").alias("x"), F.col(f"{end}y").alias("y")).alias(end)
+    edges = boundary(features, keys).select(*keys, at("a"), at("b"))
+    forth = F.when(F.col("a") < F.col("b"), 1).otherwise(-1)
+    sums = edges.select(*keys, F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"), forth.alias("way")).groupBy(*keys, "p", "q").agg(F.sum("way").alias("way")).filter("way <> 0")
     turn = lambda one, two, k: F.when(F.col("way") > 0, F.col(f"{one}.{k}")).otherwise(F.col(f"{two}.{k}"))
     return sums.select(*keys, turn("p", "q", "x").alias("ax"), turn("p", "q", "y").alias("ay"), turn("q", "p", "x").alias("bx"), turn("q", "p", "y").alias("by"), F.abs("way").alias("times"))
 
 
 def coverage_union(features: DataFrame, keys: list[str], slack: float = 1e-6) -> DataFrame:
     """Each union's parts, boundary edges, rim and area, and whether the area is its parts' (``identity``), which it isn't where parts lie on each other edge on edge."""
-    parts = features.groupBy(*keys).agg(F.count(F.lit(1)).alias("parts"), F.sum(ring_area(F.col("ring"))).alias("_sum"))
+    parts = features.groupBy(*keys).agg(F.count(F.lit(1)).alias("parts"), F.sum(polygon_area(features)).alias("_sum"))
     step = F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)
     rims = dissolved(features, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("edges"), F.sum(step).alias("rim"), (F.sum(F.col("ax") * F.col("by") - F.col("bx") * F.col("ay")) / 2.0).alias("area"))
     met = parts.join(rims, keys, "left").na.fill({"edges": 0, "rim": 0.0, "area": 0.0})
@@ -144,7 +210,7 @@ def coverage_union(features: DataFrame, keys: list[str], slack: float = 1e-6) ->
 
 def gate_partition(before: DataFrame, after: DataFrame, keys: list[str], cell: float, tolerance: float) -> DataFrame:
     """Each ladder's pairs that overlap wider than the tolerance, the widest overlap, and the drift of its area against what moved boundaries may trade."""
-    totals = lambda d, s: d.groupBy(*keys).agg(F.sum(ring_area(F.col("ring"))).alias(f"area_{s}"), F.sum(ring_length(F.col("ring"))).alias(f"rim_{s}"))
+    totals = lambda d, s: d.groupBy(*keys).agg(F.sum(polygon_area(d)).alias(f"area_{s}"), F.sum(polygon_rim(d)).alias(f"rim_{s}"))
     pairs = overlap_pairs(after, cell, keys).groupBy(*keys).agg(F.count(F.when(F.col("width") > tolerance, 1)).alias("wide_pairs"), F.max("width").alias("widest"))
     both = totals(after, "after").join(totals(before, "before"), keys, "left").join(pairs, keys, "left").na.fill({"wide_pairs": 0, "widest": 0.0})
     budget = F.greatest(F.col("area_before") * 1e-5, (F.col("rim_before") + F.col("rim_after")) * (tolerance * 0.5))
@@ -170,28 +236,13 @@ def gate_displacement(before: DataFrame, after: DataFrame, keys: list[str], cell
 def covered_routes(routes: DataFrame, features: DataFrame, cell: float) -> DataFrame:
     """The share of each route's length (``route, ax, ay, bx, by, need``) in features whose ``deep`` edge reaches what it needs.
 
-    A segment's stretches in convex rings are ranges of its parameter; their union is its covered part.
+    A segment's stretches in the features' convex parts are ranges of its parameter; their union is its covered part.
     """
-    at = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    numbered = routes.select("route", "need", F.struct("ax", "ay", "bx", "by").alias("segment"), F.array(at("ax", "ay"), at("bx", "by")).alias("ends"))
-    rings = _boxed(features.select("deep", _anticlockwise(F.col("ring")).alias("ring")), F.col("ring"), cell)
-    met = _meeting(_boxed(numbered, F.col("ends"), cell), rings, [], cell).filter("y.deep >= x.need")
-    none = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
-
-    def within(s: Column, e: Column) -> Column:
-        dx, dy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
-        left_of = lambda x, y: dx * (y - e["a"]["y"]) - dy * (x - e["a"]["x"])
-        seg = F.col("x.segment")
-        d0, d1 = left_of(seg["ax"], seg["ay"]), left_of(seg["bx"], seg["by"])
-        t = d0 / F.nullif(d0 - d1, F.lit(0.0))
-        lo = F.when((d0 < 0) & (d1 < 0), 2.0).when((d0 < 0) & (d1 >= 0), F.greatest(s["lo"], t)).otherwise(s["lo"])
-        hi = F.when((d0 >= 0) & (d1 < 0), F.least(s["hi"], t)).otherwise(s["hi"])
-        return F.struct(lo.alias("lo"), hi.alias("hi"))
-
-    spans = met.select(F.col("x.route").alias("route"), F.col("x.segment").alias("segment"), F.explode(F.array(F.aggregate(_pairs(F.col("y.ring")), none, within))).alias("t")).select("route", "segment", "t.lo", "t.hi").filter("lo < hi")
-    length = F.sqrt((F.col("segment.bx") - F.col("segment.ax")) ** 2 + (F.col("segment.by") - F.col("segment.ay")) ** 2)
-    inside = interval_union(spans, ["route", "segment"]).groupBy("route").agg(F.sum((F.col("hi") - F.col("lo")) * length).alias("inside"))
-    whole = numbered.groupBy("route").agg(F.sum(length).alias("length"))
+    numbered = _segments(routes, ["route", "need"])
+    rings = _boxed(convex_parts(features, ["deep"]), F.col("ring"), cell)
+    met = _meeting(_boxed(numbered, F.col("ends"), cell), rings, [], cell).filter("y.deep >= x.need").withColumn("route", F.col("x.route"))
+    inside = interval_union(_spans(met, ["route"], "either"), ["route", "segment"]).groupBy("route").agg(F.sum((F.col("hi") - F.col("lo")) * _segment_length()).alias("inside"))
+    whole = numbered.groupBy("route").agg(F.sum(_segment_length()).alias("length"))
     return whole.join(inside, "route", "left").select("route", (F.coalesce("inside", F.lit(0.0)) / F.nullif("length", F.lit(0.0))).alias("share"))
 
 

@@ -10,54 +10,127 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from soundgrid.shipping import ship
 
-#: How much a place's own value may lift it, as a share of the squared reach: it decides between the diagonals of nodes on one circle.
-TIE = 1e-10
-
-
-def lifts(x: np.ndarray, y: np.ndarray, x0: float, y0: float, reach: float) -> np.ndarray:
-    """Heights of the nodes over the plane, of which the lower convex hull is the triangulation: the squared distance from ``x0, y0`` and a tie-breaking part.
-
-    The part depends on the place alone, so all blocks that see the same nodes choose the same diagonals.
-    """
-    own = (x * 0.6180339887 + y * 0.7548776662) ** 2
-    return (x - x0) ** 2 + (y - y0) ** 2 + (own - np.floor(own)) * (TIE * reach * reach)
+#: Beyond this share of its terms' sizes, the sign of a circle test in doubles is right; the other one is for turns.
+_CIRCLE_SLACK, _TURN_SLACK = 1.2e-15, 4e-16
+
+
+def _whole(v: np.ndarray) -> list[int]:
+    """Doubles as integers of one scale, exactly."""
+    ratios = [float(a).as_integer_ratio() for a in v]
+    scale = max((d for _, d in ratios), default=1)
+    return [n * (scale // d) for n, d in ratios]
+
+
+class Mesh:
+    """Delaunay triangles by insertion. Signs are exact: doubles decide where they can, integers elsewhere, and where four nodes lie on one circle the rule
+    that nodes were lifted by ever smaller steps, most where x and then y is least. So triangles depend on places alone, whatever the order."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.x, self.y = x.tolist(), y.tolist()
+        whole = _whole(np.concatenate([x, y]))
+        self.wx, self.wy = whole[: len(x)], whole[len(x) :]
+        self.corners: dict[int, tuple[int, int, int]] = {}
+        self.across: dict[tuple[int, int], int] = {}
+        self.made = self.last = 0
+
+    def turn(self, a: int, b: int, c: int) -> int:
+        """Positive where the way from a over b to c turns left."""
+        x, y = self.x, self.y
+        p, q = (x[b] - x[a]) * (y[c] - y[a]), (y[b] - y[a]) * (x[c] - x[a])
+        d = p - q
+        if abs(d) > _TURN_SLACK * (abs(p) + abs(q)):
+            return 1 if d > 0 else -1
+        x, y = self.wx, self.wy
+        d = (x[b] - x[a]) * (y[c] - y[a]) - (y[b] - y[a]) * (x[c] - x[a])
+        return (d > 0) - (d < 0)
+
+    def inside(self, a: int, b: int, c: int, p: int) -> bool:
+        """Whether a node is in the circle of an anticlockwise triangle."""
+        x, y = self.x, self.y
+        ax, ay, bx, by, cx, cy = x[a] - x[p], y[a] - y[p], x[b] - x[p], y[b] - y[p], x[c] - x[p], y[c] - y[p]
+        bc, cb, ca, ac, ab, ba = bx * cy, cx * by, cx * ay, ax * cy, ax * by, bx * ay
+        a2, b2, c2 = ax * ax + ay * ay, bx * bx + by * by, cx * cx + cy * cy
+        d = a2 * (bc - cb) + b2 * (ca - ac) + c2 * (ab - ba)
+        if abs(d) > _CIRCLE_SLACK * (a2 * (abs(bc) + abs(cb)) + b2 * (abs(ca) + abs(ac)) + c2 * (abs(ab) + abs(ba))):
+            return d > 0
+        x, y = self.wx, self.wy
+        ax, ay, bx, by, cx, cy = x[a] - x[p], y[a] - y[p], x[b] - x[p], y[b] - y[p], x[c] - x[p], y[c] - y[p]
+        d = (ax * ax + ay * ay) * (bx * cy - cx * by) + (bx * bx + by * by) * (cx * ay - ax * cy) + (cx * cx + cy * cy) * (ax * by - bx * ay)
+        if d:
+            return d > 0
+        first = min((a, b, c, p), key=lambda i: (x[i], y[i]))
+        if first == p:
+            return False
+        one, two = (b, c) if first == a else (c, a) if first == b else (a, b)
+        return self.turn(p, one, two) > 0
+
+    def add(self, a: int, b: int, c: int) -> None:
+        self.made += 1
+        self.last = self.made
+        self.corners[self.made] = (a, b, c)
+        self.across[a, b] = self.across[b, c] = self.across[c, a] = self.made
+
+    def insert(self, p: int) -> None:
+        """Walk to the triangle around the node, take out all whose circle it is in, and fan out to their rim."""
+        t = self.last
+        while True:
+            a, b, c = self.corners[t]
+            for u, v in ((a, b), (b, c), (c, a)):
+                if self.turn(u, v, p) < 0 and (v, u) in self.across:
+                    t = self.across[v, u]
+                    break
+            else:
+                break
+        gone, rim, stack = {t}, [], [t]
+        while stack:
+            a, b, c = self.corners[stack.pop()]
+            for u, v in ((a, b), (b, c), (c, a)):
+                n = self.across.get((v, u))
+                if n in gone:
+                    continue
+                if n is not None and self.inside(*self.corners[n], p):
+                    gone.add(n)
+                    stack.append(n)
+                else:
+                    rim.append((u, v))
+        for t in gone:
+            a, b, c = self.corners.pop(t)
+            for edge in ((a, b), (b, c), (c, a)):
+                del self.across[edge]
+        for u, v in rim:
+            self.add(u, v, p)
+
+
+def _along_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """An order in which neighbours are near each other: by the interleaved bits of a grid's rows and columns."""
+    code = np.zeros(len(x), np.int64)
+    span = max(np.ptp(x), np.ptp(y)) or 1.0
+    i, j = (((v - v.min()) / span * 65535).astype(np.int64) for v in (x, y))
+    for bit in range(16):
+        code |= ((i >> bit) & 1) << (2 * bit) | ((j >> bit) & 1) << (2 * bit + 1)
+    return np.lexsort((y, x, code))
 
 
 def triangles(x: np.ndarray, y: np.ndarray, reach: float) -> np.ndarray:
     """Delaunay triangles with a circumradius of at most ``reach``, as rows of three node numbers. Nodes have different places.
 
-    Nodes are inserted one by one: the triangles whose plane the new lifted node is below make room for a fan around it. The three
+    No node is in any triangle's circle, by exact signs (see ``Mesh``); nodes on one circle are joined by a rule about their places alone, so all blocks that see the same nodes choose
+    the same diagonals. Nodes are inserted along a curve, each found from the one before, in time that grows little faster than their number. The three
     outermost nodes are farther than a circle of the reach can come, so they take no triangle away that counts.
     """
     n = len(x)
     if n < 3:
         return np.zeros((0, 3), np.int64)
-    x0, y0 = (x.min() + x.max()) / 2, (y.min() + y.max()) / 2
-    far = 4 * max(np.hypot(x - x0, y - y0).max(), reach) + 4 * reach
-    px = np.append(x - x0, [-2 * far, 2 * far, 0.0])
-    py = np.append(y - y0, [-far, -far, 2 * far])
-    up = np.append(lifts(x, y, x0, y0, reach), px[n:] ** 2 + py[n:] ** 2)
-
-    def planes(t: np.ndarray) -> np.ndarray:
-        a, b, c = t.T
-        ux, uy, uh = px[b] - px[a], py[b] - py[a], up[b] - up[a]
-        vx, vy, vh = px[c] - px[a], py[c] - py[a], up[c] - up[a]
-        det = ux * vy - uy * vx
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sx, sy = (uh * vy - vh * uy) / det, (vh * ux - uh * vx) / det
-        return np.column_stack([sx, sy, up[a] - sx * px[a] - sy * py[a]])
-
-    tri = np.array([[n, n + 1, n + 2]])
-    plane = planes(tri)
-    for i in np.lexsort((y, x)).tolist():
-        under = up[i] < plane[:, 0] * px[i] + plane[:, 1] * py[i] + plane[:, 2]
-        gone = tri[under]
-        sides = np.concatenate([gone[:, [0, 1]], gone[:, [1, 2]], gone[:, [2, 0]]])
-        both, first, times = np.unique(np.sort(sides, axis=1), axis=0, return_index=True, return_counts=True)
-        rim = sides[first[times == 1]]
-        fan = np.column_stack([rim, np.full(len(rim), i)])
-        tri, plane = np.concatenate([tri[~under], fan]), np.concatenate([plane[~under], planes(fan)])
+    x, y = np.asarray(x, float), np.asarray(y, float)
+    x0, y0 = np.round((x.min() + x.max()) / 2), np.round((y.min() + y.max()) / 2)
+    far = np.ceil(4 * max(np.hypot(x - x0, y - y0).max(), reach) + 4 * reach)
+    mesh = Mesh(np.append(x, [x0 - 2 * far, x0 + 2 * far, x0]), np.append(y, [y0 - far, y0 - far, y0 + 2 * far]))
+    mesh.add(n, n + 1, n + 2)
+    for i in _along_curve(x, y).tolist():
+        mesh.insert(i)
+    tri = np.array(list(mesh.corners.values()), np.int64).reshape(-1, 3)
     tri = tri[(tri < n).all(axis=1)]
+    tri = np.take_along_axis(tri, np.argsort(np.lexsort((y, x)).argsort()[tri], axis=1), axis=1)
     return tri[circumradius(x[tri], y[tri]) <= reach]
 
 
@@ -93,7 +166,7 @@ def interpolate(points: DataFrame, nodes: DataFrame, reach: float, near: float |
     Triangles whose circumcircle has a radius over ``reach`` don't count (they span gaps and the nodes' hull), and with ``near`` no place
     farther than that from every node: ``value`` is null there. A circle of that radius around a triangle that has a block's place in it lies within twice the reach
     of the block, so a block sees all nodes that can decide its triangles and the blocks' borders don't show. ``size`` is a block's side, eight times the reach by default. Nodes
-    without a value are left out, of nodes at one place the least value stays, and of nodes nearer to each other than a hundred-thousandth of the reach one may be passed over.
+    without a value are left out, and of nodes at one place the least value stays.
     """
     size = size or 8 * reach
     span = lambda v: F.explode(F.sequence(F.floor((F.col(v) - 2 * reach) / size), F.floor((F.col(v) + 2 * reach) / size)))

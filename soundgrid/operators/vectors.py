@@ -68,17 +68,25 @@ def rasterize(features: DataFrame, height: int) -> DataFrame:
 
 
 def seam_adjacency(tiles: DataFrame) -> DataFrame:
-    """Pairs of tiles that share part of an edge: ``stem, other, side``. Right edges meet left ones by equality, and the planet's ends meet, too.
+    """Pairs of tiles that share part of an edge: ``stem, other, side``. Right edges meet left ones, and the planet's ends meet, too.
 
-    Tiles of different zooms are compared on the finest grid, on which edges are whole numbers.
+    Edges are whole numbers on the finest grid. Of two tiles on both sides of an edge the finer one's row (or column), taken up to the coarser one's zoom, is that one's own: so
+    they meet by equality on the edge, the zoom and the row, and no key has more than an edge's few tiles, however many lie along the same meridian.
     """
     scale = lambda v, extra=0: F.call_function("shiftleft", (F.col(v) + extra).cast("long"), F.lit(20) - F.col("z"))
-    box = tiles.select("stem", scale("x").alias("l"), scale("x", 1).alias("r"), scale("y").alias("t"), scale("y", 1).alias("b"))
-    left = box.select(F.col("stem").alias("other"), F.col("l").alias("edge"), F.col("t").alias("t2"), F.col("b").alias("b2"))
-    across = box.withColumn("edge", F.pmod("r", F.lit(1 << 20))).join(left, "edge").filter("t < b2 and t2 < b").select("stem", "other", F.lit("east").alias("side"))
-    top = box.select(F.col("stem").alias("other"), F.col("t").alias("edge"), F.col("l").alias("l2"), F.col("r").alias("r2"))
-    down = box.withColumn("edge", F.col("b")).join(top, "edge").filter("l < r2 and l2 < r").select("stem", "other", F.lit("south").alias("side"))
-    return across.unionByName(down)
+
+    def across(along: str, over: str, side: str, wraps: bool) -> DataFrame:
+        far = F.pmod(scale(over, 1), F.lit(1 << 20)) if wraps else scale(over, 1)
+        first, second = tiles.select("stem", "z", far.alias("edge"), F.col(along).alias("row")), tiles.select(F.col("stem").alias("other"), "z", scale(over).alias("edge"), F.col(along).alias("row"))
+        up = lambda d, least: d.withColumn("up", F.explode(F.when(F.col("z") >= least, F.sequence(F.lit(least), F.col("z").cast("int"))).otherwise(F.array().cast("array<int>"))))
+        above = lambda d, least, name: up(d, least).select(name, "edge", (F.col("z") - F.col("up")).alias("z"), F.call_function("shiftright", F.col("row").cast("long"), F.col("up")).alias("row"))
+        own = lambda d, name: d.select(name, "edge", "z", F.col("row").cast("long").alias("row"))
+        key = ["edge", "z", "row"]
+        finer_second = own(first, "stem").join(above(second, 0, "other"), key)
+        finer_first = above(first, 1, "stem").join(own(second, "other"), key)
+        return finer_second.unionByName(finer_first).select("stem", "other", F.lit(side).alias("side"))
+
+    return across("y", "x", "east", True).unionByName(across("x", "y", "south", False))
 
 
 def clip_box(ring: Column, left: float, bottom: float, right: float, top: float) -> Column:
@@ -114,13 +122,13 @@ def snapped(ring: Column, digits: int = 9) -> Column:
     return F.filter(at, lambda p, i: (n == 1) | (p != F.element_at(at, F.pmod(i - 1 + n, n) + 1)))
 
 
-def feature_tiles(features: DataFrame, maxzoom: int) -> DataFrame:
-    """The tiles in which each feature is drawn: from its ``minzoom`` on (to its ``lastzoom``, if it has one), those that its box meets; positions in units of the world."""
+def feature_tiles(features: DataFrame, maxzoom: int, keep: list[str] | None = None) -> DataFrame:
+    """The tiles in which each feature is drawn: from its ``minzoom`` on (to its ``lastzoom``, if it has one), those that its box meets; positions in units of the world. ``keep`` names columns to pass on."""
     last = F.least(F.coalesce("lastzoom", F.lit(maxzoom)), F.lit(maxzoom))
     many = features.withColumn("z", F.explode(F.sequence(F.col("minzoom"), F.greatest(last, F.col("minzoom"))))).filter(F.col("z") <= last)
     side = F.pow(F.lit(2.0), F.col("z").cast("double"))
     cell = lambda v: F.least(F.greatest(F.floor(F.col(v) * side), F.lit(0)), side.cast("long") - 1).cast("int")
-    return many.withColumn("x", F.explode(F.sequence(cell("x0"), cell("x1")))).withColumn("y", F.explode(F.sequence(cell("y0"), cell("y1")))).select("id", "z", "x", "y")
+    return many.withColumn("x", F.explode(F.sequence(cell("x0"), cell("x1")))).withColumn("y", F.explode(F.sequence(cell("y0"), cell("y1")))).select("id", "z", "x", "y", *(keep or []))
 
 
 def chains(segments: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from soundgrid.operators import covering, datum, focal, gates, labels, merge, ordered, serving, triangulation, vectors
+from soundgrid.operators import covering, datum, focal, gates, labels, merge, ordered, outlines, serving, triangulation, vectors
 from soundgrid.queries import query
 from soundgrid.queries.catalog import HW, SPLIT, STEMS, _spans, _stems
 from soundgrid.queries.charting import BOXES, _boxes
@@ -125,13 +126,13 @@ def tile_features(spark, sf_dir):
     return vectors.feature_tiles(p, 8).groupBy("z", "x", "y").agg(F.count(F.lit(1)).alias("features"))
 
 
-@query(with_views("SELECT min(a) AS chain, count(*) AS segments FROM (SELECT id AS a, id // 5 AS g FROM segs) t GROUP BY g", segs="SELECT p_partkey AS id FROM part"))
+@query(with_views("SELECT id, chain, row_number() OVER (PARTITION BY chain ORDER BY CASE WHEN chain % 3 = 0 THEN -id ELSE id END) AS place, CAST(CASE WHEN chain % 3 = 0 THEN id + 1 ELSE id END AS DOUBLE) AS ax FROM (SELECT id, min(id) OVER (PARTITION BY id // 5) AS chain FROM segs) t", segs="SELECT p_partkey AS id FROM part"))
 def line_merge(spark, sf_dir):
-    """Chains of five segments each."""
+    """Chains of five segments each, in order; every third segment is given the other way round, and a chain runs the way of its least."""
     k = F.col("p_partkey")
-    y = F.floor(k / 5).cast("double")
-    s = table(spark, sf_dir, "part").select(k.alias("id"), k.cast("double").alias("ax"), y.alias("ay"), (k + 1).cast("double").alias("bx"), y.alias("by"))
-    return vectors.chains(s).groupBy("chain").agg(F.count(F.lit(1)).alias("segments"))
+    y, back = F.floor(k / 5).cast("double"), k % 3 == 0
+    s = table(spark, sf_dir, "part").select(k.alias("id"), F.when(back, k + 1).otherwise(k).cast("double").alias("ax"), y.alias("ay"), F.when(back, k).otherwise(k + 1).cast("double").alias("bx"), y.alias("by"))
+    return outlines.ordered_chains(s).select("id", "chain", F.row_number().over(Window.partitionBy("chain").orderBy("place")).alias("place"), "ax")
 
 
 @query(with_views("SELECT id, greatest(x, CAST(20 AS DOUBLE)) AS ax, y + (greatest(x, 20) - x) AS ay FROM points WHERE greatest(x, 20, 10 - y + x) = greatest(x, 20) AND greatest(x, 20) <= least(x + 30, 90, 100 - y + x) AND x <= 90"))
@@ -160,8 +161,10 @@ def seam_feather(spark, sf_dir):
 
 @query()
 def gate_connectivity(spark, sf_dir):
+    """Ponds are filled, and a belt of deeper water is raised, which closes channels."""
     s = surface(spark, sf_dir)
-    return gates.connectivity(s, labels.pond_fill(s, 12, 6))
+    raised = s.withColumn("z", F.when(F.col("r").between(40, 44) & (F.col("z") < -4), 3.0).otherwise(F.col("z")))
+    return gates.connectivity(s, labels.pond_fill(raised, 12, 6), EXTENT)
 
 
 SEAM = "SELECT (CASE WHEN z < -20 THEN 3 WHEN z < -10 THEN 2 WHEN z < 0 THEN 1 ELSE 0 END) AS band, r AS p FROM surface WHERE c = {c}"
@@ -201,15 +204,18 @@ def tile_priority(spark, sf_dir):
     return ordered.tile_priority(_stems(spark, sf_dir).select("stem", (F.col("child_z") - F.col("z")).alias("weight")))
 
 
-# Interpolation over triangles. The SQL tries all triples of nodes with the reach; a triangle counts if no lifted node is under its plane.
+# Interpolation over triangles. The SQL tries all triples of nodes with the reach; a triangle counts if no node is in its circle, by the sign of the
+# determinant, which doubles hold exactly for halves of pixels; of nodes on one circle the first by x and y counts as lifted.
 
 REACH, NEAR = 40.0, 14.0
 NODES = "SELECT (r >> 4) * 16 + (r >> 4) * 5 % 7 + CAST(0.5 AS DOUBLE) AS y, (c >> 4) * 16 + (r >> 4) * 3 % 5 + CAST(0.5 AS DOUBLE) AS x, -max(z) AS v FROM surface WHERE z < 0 AND (r >> 4) % 3 + (c >> 4) % 4 < 4 GROUP BY r >> 4, c >> 4"
-LIFTED = f"SELECT row_number() OVER (ORDER BY x, y) AS i, x, y, v, x * x + y * y + (q - floor(q)) * CAST({triangulation.TIE * REACH * REACH!r} AS DOUBLE) AS h FROM (SELECT *, (x * CAST(0.6180339887 AS DOUBLE) + y * CAST(0.7548776662 AS DOUBLE)) * (x * CAST(0.6180339887 AS DOUBLE) + y * CAST(0.7548776662 AS DOUBLE)) AS q FROM nodes) t"
+NUMBERED = "SELECT row_number() OVER (ORDER BY x, y) AS i, x, y, v FROM nodes"
 TRIPLES = f"""SELECT * FROM (SELECT *, sqrt(ux * ux + uy * uy) * sqrt(vx * vx + vy * vy) * sqrt((ux - vx) * (ux - vx) + (uy - vy) * (uy - vy)) / (2 * abs(det)) AS radius FROM (
-    SELECT a.x AS x0, a.y AS y0, a.v AS v0, a.h AS h0, b.x - a.x AS ux, b.y - a.y AS uy, b.v - a.v AS uv, b.h - a.h AS uh, c.x - a.x AS vx, c.y - a.y AS vy, c.v - a.v AS vv, c.h - a.h AS vh, (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) AS det, a.i, b.i AS j, c.i AS k
-    FROM lifted a JOIN lifted b ON b.i > a.i AND abs(b.x - a.x) <= {2 * REACH} AND abs(b.y - a.y) <= {2 * REACH} JOIN lifted c ON c.i > b.i AND abs(c.x - a.x) <= {2 * REACH} AND abs(c.y - a.y) <= {2 * REACH}) t WHERE abs(det) > CAST(1e-9 AS DOUBLE)) t WHERE radius <= {REACH}"""
-FACES = "SELECT * FROM triples t WHERE NOT EXISTS (SELECT 1 FROM lifted n WHERE n.i <> t.i AND n.i <> t.j AND n.i <> t.k AND n.h < t.h0 + (t.uh * t.vy - t.vh * t.uy) / t.det * (n.x - t.x0) + (t.vh * t.ux - t.uh * t.vx) / t.det * (n.y - t.y0))"
+    SELECT a.x AS x0, a.y AS y0, a.v AS v0, b.x - a.x AS ux, b.y - a.y AS uy, b.v - a.v AS uv, c.x - a.x AS vx, c.y - a.y AS vy, c.v - a.v AS vv, (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) AS det, a.i, b.i AS j, c.i AS k
+    FROM numbered a JOIN numbered b ON b.i > a.i AND abs(b.x - a.x) <= {2 * REACH} AND abs(b.y - a.y) <= {2 * REACH} JOIN numbered c ON c.i > b.i AND abs(c.x - a.x) <= {2 * REACH} AND abs(c.y - a.y) <= {2 * REACH}) t WHERE abs(det) > CAST(1e-9 AS DOUBLE)) t WHERE radius <= {REACH}"""
+# With the triangle's first node as the origin: the other node's height over the plane through the lifted three, times the determinant, and its share of the first node.
+CIRCLES = "SELECT t.*, n.i AS n, ((wx * wx + wy * wy) * det - (wx * vy - wy * vx) * (ux * ux + uy * uy) - (ux * wy - uy * wx) * (vx * vx + vy * vy)) * sign(det) AS height, 1 - (wx * vy - wy * vx + ux * wy - uy * wx) / det AS share FROM (SELECT t.*, n.i AS n0, n.x - t.x0 AS wx, n.y - t.y0 AS wy FROM triples t JOIN numbered n ON n.i <> t.i AND n.i <> t.j AND n.i <> t.k AND abs(n.x - t.x0) <= 4 * radius AND abs(n.y - t.y0) <= 4 * radius) t JOIN numbered n ON n.i = n0"
+FACES = "SELECT * FROM triples t WHERE NOT EXISTS (SELECT 1 FROM circles c WHERE c.i = t.i AND c.j = t.j AND c.k = t.k AND (height < 0 OR (height = 0 AND n > t.i AND share > 0)))"
 
 
 def on_faces_sql(places: str) -> str:
@@ -217,7 +223,7 @@ def on_faces_sql(places: str) -> str:
     return f"SELECT id, min(v0 + p * uv + q * vv) AS value FROM (SELECT s.id, ((s.x - x0) * vy - (s.y - y0) * vx) / det AS p, ((s.y - y0) * ux - (s.x - x0) * uy) / det AS q, v0, uv, vv FROM {places} s, faces) t WHERE p >= -1e-9 AND q >= -1e-9 AND p + q <= 1 + 1e-9 GROUP BY id"
 
 
-TRIANGLES = {"nodes": NODES, "lifted": LIFTED, "triples": TRIPLES, "faces": FACES}
+TRIANGLES = {"nodes": NODES, "numbered": NUMBERED, "triples": TRIPLES, "circles": CIRCLES, "faces": FACES}
 
 
 def _nodes(spark, sf_dir):

@@ -12,9 +12,9 @@ from soundgrid.queries.views import surface, table, with_views
 from soundgrid.sinks import tables
 from soundgrid.sources import registry
 
-# Boxes of ten by ten; wide ones reach into the next box by a quarter or half of it.
-WIDE = "SELECT id, p_size, i, j, j % 2 AS sys, p_size % 3 * CAST(0.25 AS DOUBLE) AS e FROM boxes"
-SHARED = "SELECT a.id AS low, b.id AS high, a.sys, a.e * 100 AS area, a.e * 100 / (a.e * 10 + 10) AS width FROM wide a JOIN wide b ON b.j = a.j AND b.i = a.i + 1 WHERE a.e > 0"
+# Boxes of ten by ten without a notch of n by m in the upper right corner; wide ones reach into the next box by a quarter or half of it.
+WIDE = "SELECT id, p_size, i, j, j % 2 AS sys, p_size % 3 * CAST(0.25 AS DOUBLE) AS e, 2 + p_size % 3 AS n, (1 + p_size % 7) * CAST(0.5 AS DOUBLE) AS m FROM boxes"
+SHARED = "SELECT low, high, sys, area, area * 2 / rim AS width FROM (SELECT a.id AS low, b.id AS high, a.sys, a.e * 100 - least(a.n, a.e * 10) * a.m AS area, (a.e * 10 + 10) * 2 - CASE WHEN a.n >= a.e * 10 THEN 2 * a.m ELSE 0 END AS rim FROM wide a JOIN wide b ON b.j = a.j AND b.i = a.i + 1 WHERE a.e > 0) s"
 
 
 def _tens(spark, sf_dir, right=0.0):
@@ -27,8 +27,17 @@ def _tens(spark, sf_dir, right=0.0):
     return b.select("id", "p_size", (F.floor(F.col("id") / 40) % 2).alias("sys"), ring.alias("ring"))
 
 
+def _notched(boxes):
+    """Boxes without their upper right corner: six points, not convex, every other one clockwise."""
+    n, m = (F.col("p_size") % 3 + 2).cast("double"), (F.col("p_size") % 7 + 1) * 0.5
+    x0, y0, x1, y1 = F.col("ring")[0]["x"], F.col("ring")[0]["y"], F.col("ring")[2]["x"], F.col("ring")[2]["y"]
+    around = ((x0, y0), (x1, y0), (x1, y1 - m), (x1 - n, y1 - m), (x1 - n, y1), (x0, y1))
+    ring = F.array(*(F.struct(x.alias("x"), y.alias("y")) for x, y in around))
+    return boxes.withColumn("ring", F.when(F.col("id") % 2 == 0, ring).otherwise(F.reverse(ring)))
+
+
 def _wide(spark, sf_dir):
-    return _tens(spark, sf_dir, F.col("p_size") % 3 * 0.25)
+    return _notched(_tens(spark, sf_dir, F.col("p_size") % 3 * 0.25))
 
 
 @query(with_views("SELECT low, high, round(area, 6) AS area, round(width, 6) AS width FROM shared", boxes=BOXES, wide=WIDE, shared=SHARED))
@@ -37,9 +46,9 @@ def overlap_pairs(spark, sf_dir):
     return found.select("low", "high", F.round("area", 6).alias("area"), F.round("width", 6).alias("width"))
 
 
-@query(with_views("SELECT t.sys, coalesce(wide_pairs, 0) AS wide_pairs, round(coalesce(widest, 0), 6) AS widest, round(drift, 6) AS drift, round(budget, 6) AS budget, coalesce(wide_pairs, 0) > 0 OR drift > budget AS failed FROM (SELECT sys, sum(100 * e) AS drift, greatest(count(*) * 100 * CAST(0.00001 AS DOUBLE), CAST(1.5 AS DOUBLE) * sum(80 + 20 * e)) AS budget FROM wide GROUP BY 1) t LEFT JOIN (SELECT sys, count(*) FILTER (width > 3) AS wide_pairs, max(width) AS widest FROM shared GROUP BY 1) s ON s.sys = t.sys", boxes=BOXES, wide=WIDE, shared=SHARED))
+@query(with_views("SELECT t.sys, coalesce(wide_pairs, 0) AS wide_pairs, round(coalesce(widest, 0), 6) AS widest, round(drift, 6) AS drift, round(budget, 6) AS budget, coalesce(wide_pairs, 0) > 0 OR drift > budget AS failed FROM (SELECT sys, sum(100 * e) AS drift, greatest(sum(100 - n * m) * CAST(0.00001 AS DOUBLE), CAST(1.5 AS DOUBLE) * sum(80 + 20 * e)) AS budget FROM wide GROUP BY 1) t LEFT JOIN (SELECT sys, count(*) FILTER (width > 3) AS wide_pairs, max(width) AS widest FROM shared GROUP BY 1) s ON s.sys = t.sys", boxes=BOXES, wide=WIDE, shared=SHARED))
 def gate_partition(spark, sf_dir):
-    found = partition.gate_partition(_tens(spark, sf_dir), _wide(spark, sf_dir), ["sys"], 25.0, 3.0)
+    found = partition.gate_partition(_notched(_tens(spark, sf_dir)), _wide(spark, sf_dir), ["sys"], 25.0, 3.0)
     return found.withColumns({c: F.round(c, 6) for c in ("widest", "drift", "budget")})
 
 
@@ -82,13 +91,16 @@ def gate_displacement(spark, sf_dir):
     return partition.gate_displacement(before, after, ["band"], 25.0, 0.5).withColumn("churn", F.round("churn", 6))
 
 
-@query(with_views("SELECT route, round(was, 9) AS was, round(now, 9) AS now, CASE WHEN now IS NULL THEN 'gone' ELSE 'less' END AS wrong FROM (SELECT route, was, CASE WHEN route % 11 <> 5 THEN now END AS now FROM (SELECT j AS route, count(*) FILTER (p_size >= j % 3 * 10) / CAST(40 AS DOUBLE) AS was, count(*) FILTER (p_size >= j % 3 * 10 AND p_size % 4 <> 3) / CAST(40 AS DOUBLE) AS now FROM boxes GROUP BY 1) t) u WHERE now IS NULL OR now < was - 0.001", boxes=BOXES))
+LEFT = "SELECT j, p_size, CASE WHEN m > CAST(1.2 AS DOUBLE) THEN 10 - n ELSE 10 END AS inside FROM wide"
+
+
+@query(with_views("SELECT route, round(was, 9) AS was, round(now, 9) AS now, CASE WHEN now IS NULL THEN 'gone' ELSE 'less' END AS wrong FROM (SELECT route, was, CASE WHEN route % 11 <> 5 THEN now END AS now FROM (SELECT j AS route, coalesce(sum(inside) FILTER (p_size >= j % 3 * 10), 0) / CAST(400 AS DOUBLE) AS was, coalesce(sum(inside) FILTER (p_size >= j % 3 * 10 AND p_size % 4 <> 3), 0) / CAST(400 AS DOUBLE) AS now FROM inside GROUP BY 1) t) u WHERE now IS NULL OR now < was - 0.001", boxes=BOXES, wide=WIDE, inside=LEFT))
 def gate_routes(spark, sf_dir):
-    """A route through the middle of each row of boxes."""
+    """A route along the upper part of each row of boxes, through those notches that reach it."""
     rows = _boxes(spark, sf_dir).select(F.col("ring")[0]["y"].cast("long").alias("route")).distinct()
-    y = F.col("route") * 10.0 + 5.0
+    y = F.col("route") * 10.0 + 8.8
     routes = rows.select("route", F.lit(0.0).alias("ax"), y.alias("ay"), F.lit(400.0).alias("bx"), y.alias("by"), (F.col("route") % 3 * 10).cast("double").alias("need"))
-    deep = _tens(spark, sf_dir).withColumn("deep", F.col("p_size").cast("double"))
+    deep = _notched(_tens(spark, sf_dir)).withColumn("deep", F.col("p_size").cast("double"))
     before = partition.covered_routes(routes, deep, 50.0)
     after = partition.covered_routes(routes.filter("route % 11 <> 5"), deep.filter("p_size % 4 <> 3"), 50.0)
     return partition.gate_routes(before, after).withColumns({"was": F.round("was", 9), "now": F.round("now", 9)})

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from soundgrid.functions import depth
-from soundgrid.operators import focal, gates, labels, merge
+from soundgrid.operators import focal, gates, labels, merge, outlines
+from soundgrid.operators.polygons import polygon_area, polygon_rim
 from soundgrid.plans.chart import classified_tiles
 from soundgrid.queries import query
 from soundgrid.queries.views import EXTENT, SIDE, mask, points, px, sources, surface, table, with_views
@@ -220,9 +221,18 @@ def nodata_difference(spark, sf_dir):
     return surface(spark, sf_dir).join(mask(spark, sf_dir), ["r", "c"], "left_anti").select("r", "c", "z")
 
 
-@query(with_views("SELECT src, count(*) AS cells FROM (SELECT DISTINCT src, r >> 3 AS r, c >> 3 AS c FROM px) t GROUP BY src"))
+COARSE = "SELECT DISTINCT src, CAST(r >> 1 AS INT) AS r, CAST(c >> 1 AS INT) AS c FROM px"
+QUADS = "SELECT src, sum(CASE WHEN n IN (1, 3) THEN 1 WHEN n = 2 AND m = 3 THEN 2 ELSE 0 END) AS corners FROM (SELECT src, r + dr AS r, c + dc AS c, count(*) AS n, sum(2 * dr + dc) AS m FROM coarse, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) d(dr, dc) GROUP BY 1, 2, 3) q GROUP BY 1"
+
+
+@query(with_views("SELECT t.src, CAST(cells AS DOUBLE) AS area, CAST(4 * cells - 2 * coalesce(pairs, 0) AS DOUBLE) AS rim, CAST(corners AS BIGINT) AS corners FROM (SELECT src, count(*) AS cells FROM coarse GROUP BY 1) t JOIN quads q ON q.src = t.src LEFT JOIN (SELECT a.src, count(*) AS pairs FROM coarse a, (VALUES (0, 1), (1, 0)) d(dr, dc), coarse b WHERE b.src = a.src AND b.r = a.r + dr AND b.c = a.c + dc GROUP BY 1) p ON p.src = t.src", coarse=COARSE, quads=QUADS))
 def dissolve_footprint(spark, sf_dir):
-    return px(spark, sf_dir).select("src", F.shiftright("r", 3), F.shiftright("c", 3)).distinct().groupBy("src").agg(F.count(F.lit(1)).alias("cells"))
+    """Each source's outlines: area, rim and corners; the SQL has them from counts of cells, of neighbours and of cells around points."""
+    cells = px(spark, sf_dir).select("src", F.shiftright("r", 1).alias("r"), F.shiftright("c", 1).alias("c"))
+    found = outlines.footprints(cells, ["src"], size=16)
+    points = F.size("ring") + F.aggregate("holes", F.lit(0), lambda s, h: s + F.size(h))
+    sums = [F.sum(polygon_area(found)).alias("area"), F.sum(polygon_rim(found)).alias("rim"), F.sum(points.cast("long")).alias("corners")]
+    return found.groupBy("src").agg(*sums)
 
 
 # Neighbourhoods.
@@ -245,9 +255,18 @@ def level_lines(spark, sf_dir):
     return focal.band_edges(surface(spark, sf_dir), LEVELS)
 
 
-@query(with_views(f"SELECT k AS band, count(*) AS pixels, min(z) AS low, max(z) AS high FROM (SELECT {band_sql('-z', LEVELS)} AS k, z FROM surface) t GROUP BY k"))
+# The eight triangles of each pixel, and the share of each that lies above a level.
+OFFSETS = ", ".join(f"({k}, {i}, {j})" for k, (dx, dy) in enumerate(((1, 0), (1, 1), (0, 1), (-1, 1), (-1, 0), (-1, -1), (0, -1), (1, -1))) for i, j in sorted({(0, 0), (dx, 0), (0, dy), (dx, dy)}))
+AROUND = f"SELECT s.r, s.c, s.z, k, avg(n.z) AS v FROM surface s, (VALUES {OFFSETS}) o(k, dx, dy), surface n WHERE n.r = s.r + dy AND n.c = s.c + dx GROUP BY s.r, s.c, s.z, k"
+THIRDS = "SELECT least(p, q, s) AS lo, greatest(least(p, q), least(greatest(p, q), s)) AS mid, greatest(p, q, s) AS hi FROM (SELECT -a.z AS p, -a.v AS q, -b.v AS s FROM around a JOIN around b ON b.r = a.r AND b.c = a.c AND b.k = (a.k + 1) % 8) t"
+ABOVE = f"SELECT k, sum(CASE WHEN level <= lo THEN 0 WHEN level >= hi THEN 1 WHEN level < mid THEN (level - lo) * (level - lo) / ((mid - lo) * (hi - lo)) ELSE 1 - (hi - level) * (hi - level) / ((hi - lo) * (hi - mid)) END) / 8 AS area FROM thirds, (VALUES {', '.join(f'({k}, {D.format(repr(v))})' for k, v in enumerate(LEVELS))}) l(k, level) GROUP BY k"
+
+
+@query(with_views(f"SELECT CAST(k AS INT) AS band, round(area, 6) AS area FROM (SELECT k, area - coalesce(lag(area) OVER (ORDER BY k), 0) AS area FROM (SELECT k, area FROM above UNION ALL SELECT {len(LEVELS)}, count(*) FROM surface) t) u WHERE area > 1e-9", around=AROUND, thirds=THIRDS, above=ABOVE))
 def band_partition(spark, sf_dir):
-    return surface(spark, sf_dir).withColumn("band", depth.band(-F.col("z"), LEVELS)).groupBy("band").agg(F.count(F.lit(1)).alias("pixels"), F.min("z").alias("low"), F.max("z").alias("high"))
+    """The areas of the bands' polygons, holes left out; the SQL adds up what lies between levels in each triangle."""
+    found = outlines.band_polygons(surface(spark, sf_dir), LEVELS, size=32)
+    return found.groupBy("band").agg(F.round(F.sum(polygon_area(found)), 6).alias("area"))
 
 
 @query(with_views("SELECT a.r, a.c, round(sqrt(min(CAST((a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) AS DOUBLE))), 9) AS distance FROM surface a JOIN surface b ON b.z > 15 AND b.r BETWEEN a.r - 3 AND a.r + 3 AND b.c BETWEEN a.c - 3 AND a.c + 3 AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 9 GROUP BY a.r, a.c"))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from soundgrid.operators import partition
+from soundgrid.operators import partition, polygons
 from soundgrid.sinks import tables
 from soundgrid.sources import registry
 
@@ -60,6 +60,99 @@ def test_overlaps_of_convex_rings_agree_with_brute_force(spark, rings):
     assert all(abs(got[k] - due[k]) < 1e-6 for k in due)
 
 
+def star(rng, cx, cy, n, low, high):
+    """A ring that isn't convex: every point is seen from the middle."""
+    return [(cx + r * math.cos(2 * math.pi * k / n), cy + r * math.sin(2 * math.pi * k / n)) for k in range(n) for r in [rng.uniform(low, high)]]
+
+
+def holed(rng, cx, cy):
+    """A concave ring with two concave holes, its middle first, as wedges with a sign: all from one point each."""
+    ring, holes = star(rng, cx, cy, rng.randrange(5, 30), 14, 30), [star(rng, cx - 5, cy, 7, 1, 4)[::-1], star(rng, cx + 5, cy + 1, 9, 1, 4)]
+    wedges = [(1, [(cx, cy), p, q]) for p, q in zip(ring, ring[1:] + ring[:1])]
+    for (hx, hy), h in zip([(cx - 5, cy), (cx + 5, cy + 1)], holes):
+        wedges += [(-1, [(hx, hy), p, q]) for p, q in zip(h, h[1:] + h[:1])]
+    return ring, holes, wedges
+
+
+def within(p, rings):
+    hit = False
+    for ring in rings:
+        for a, b in zip(ring, ring[1:] + ring[:1]):
+            if (a[1] > p[1]) != (b[1] > p[1]) and p[0] < a[0] + (p[1] - a[1]) / (b[1] - a[1]) * (b[0] - a[0]):
+                hit = not hit
+    return hit
+
+
+HOLED = f"id long, ring {RING}, holes array<{RING}>"
+
+
+@pytest.fixture(scope="module")
+def concave():
+    rng = random.Random(19)
+    return [(i, *holed(rng, rng.uniform(0, 100), rng.uniform(0, 100))) for i in range(14)]
+
+
+def test_convex_parts_fill_a_concave_ring_with_holes_once(spark, concave):
+    df = spark.createDataFrame([(i, r, h) for i, r, h, _ in concave], HOLED)
+    for most in (8, 512):
+        parts = polygons.convex_parts(df, ["id"], most).collect()
+        for i, ring, holes, _ in concave:
+            own = [[tuple(p) for p in r["ring"]] for r in parts if r["id"] == i]
+            assert sum(map(area, own)) == pytest.approx(area(ring) - sum(map(area, holes)), rel=1e-9)
+            rng = random.Random(i)
+            for _ in range(200):
+                p = (ring[0][0] + rng.uniform(-40, 40), ring[0][1] + rng.uniform(-40, 40))
+                assert sum(inside(p, part) and area(part) > 1e-9 for part in own) == within(p, [ring, *holes])
+
+
+def test_overlaps_of_concave_rings_with_holes_agree_with_brute_force(spark, concave):
+    df = spark.createDataFrame([(i, r, h) for i, r, h, _ in concave] + [(90, [], []), (91, None, None)], HOLED)
+    for cell in (9.0, 200.0):
+        got = {(r["low"], r["high"]): (r["area"], r["width"]) for r in partition.overlap_pairs(df, cell).collect()}
+        due = {}
+        for i, ring, holes, a in concave:
+            for j, other, inner, b in concave:
+                if i < j and (v := sum(s * t * common_area(x, y) for s, x in a for t, y in b)) > 1.0:
+                    due[i, j] = v
+        assert len(due) > 10 and got.keys() == due.keys()
+        for (i, j), v in due.items():
+            assert got[i, j][0] == pytest.approx(v, abs=1e-6)
+            rim, n = 0.0, 400
+            one, two = ([concave[k][1], *concave[k][2]] for k in (i, j))
+            for mine, theirs in ((one, two), (two, one)):
+                for r in mine:
+                    for p, q in zip(r, r[1:] + r[:1]):
+                        rim += math.dist(p, q) * sum(within((p[0] + (k + 0.5) / n * (q[0] - p[0]), p[1] + (k + 0.5) / n * (q[1] - p[1])), theirs) for k in range(n)) / n
+            assert got[i, j][1] == pytest.approx(2 * v / rim, rel=0.01)
+
+
+def test_a_bar_over_an_l_and_equal_and_touching_rings(spark):
+    bar = [(0.0, 0.0), (10.0, 0.0), (10.0, 3.0), (0.0, 3.0)]
+    ell = [(6.0, 0.0), (12.0, 0.0), (12.0, 9.0), (9.0, 9.0), (9.0, 3.0), (6.0, 3.0)]
+    slanted = [(0.0, 20.0), (7.0, 23.0), (3.0, 31.0)]
+    beside = [(7.0, 23.0), (0.0, 20.0), (5.0, 11.0)]
+    df = spark.createDataFrame([(1, bar), (2, ell), (3, slanted), (4, slanted[::-1]), (5, beside)], f"id long, ring {RING}")
+    got = {(r["low"], r["high"]): (round(r["area"], 9), round(r["width"], 9)) for r in partition.overlap_pairs(df, 4.0, least_area=1e-9).collect()}
+    rim = sum(math.dist(p, q) for p, q in zip(slanted, slanted[1:] + slanted[:1]))
+    assert got == {(1, 2): (12.0, round(24 / 14, 9)), (3, 4): (round(area(slanted), 9), round(2 * area(slanted) / rim, 9))}
+
+
+def test_churn_and_routes_over_concave_rings_with_holes(spark, concave):
+    (i, ring, holes, wedges), moved = concave[0], lambda points: [(x + 3.0, y - 1.0) for x, y in points]
+    frame = lambda r, h: spark.createDataFrame([(i, "x", r, h)], f"id long, band string, ring {RING}, holes array<{RING}>")
+    churn = partition.gate_displacement(frame(ring, holes), frame(moved(ring), [moved(h) for h in holes]), ["band"], 11.0, 0.01).first()["churn"]
+    own = area(ring) - sum(map(area, holes))
+    assert churn == pytest.approx(2 * own - 2 * sum(s * t * common_area(a, moved(b)) for s, a in wedges for t, b in wedges), abs=1e-6)
+    rng = random.Random(4)
+    routes = [(f"r{k}", *(rng.uniform(0, 100) for _ in range(4)), 0.0) for k in range(12)]
+    deep = spark.createDataFrame([(1.0, r, h) for _, r, h, _ in concave], f"deep double, ring {RING}, holes array<{RING}>")
+    got = {r["route"]: r["share"] for r in partition.covered_routes(spark.createDataFrame(routes, "route string, ax double, ay double, bx double, by double, need double"), deep, 17.0).collect()}
+    for name, ax, ay, bx, by, _ in routes:
+        n = 4000
+        hit = sum(any(within((ax + (k + 0.5) / n * (bx - ax), ay + (k + 0.5) / n * (by - ay)), [r, *h]) for _, r, h, _ in concave) for k in range(n)) / n
+        assert abs(got[name] - hit) < 0.005
+
+
 def test_overlaps_meet_by_equality(spark, rings):
     df = spark.createDataFrame(rings, f"id long, ring {RING}")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -18,6 +18,42 @@ def test_triangles_tile_the_hull(nodes):
     assert (len(tri), area) == (128, pytest.approx(64)) if nodes == "lattice" else len(tri) == 0 if nodes == "line" else 50 < area < 64
 
 
+@pytest.mark.parametrize("side", [32, 512])
+def test_no_node_lies_in_any_circle_at_any_reach(side):
+    """On dense lattices, with many nodes on one circle: by whole numbers, and the triangles fill the hull without gaps or overlaps."""
+    rng = np.random.default_rng(side)
+    for seed in range(12):
+        places = np.unique(rng.integers(0, side, (250, 2)), axis=0) if seed else np.stack(np.divmod(np.arange(225), 15), axis=1) * (side // 16)
+        x, y = places.T.astype(np.int64)
+        for reach in (1e5, side / 4):
+            tri = triangulation.triangles(x + 0.5, y + 0.5, reach)
+            dx, dy = x[tri][:, :, None] - x, y[tri][:, :, None] - y
+            area = lambda i, j: dx[:, i] * dy[:, j] - dx[:, j] * dy[:, i]  # noqa: E731, B023
+            det = (x[tri[:, 1]] - x[tri[:, 0]]) * (y[tri[:, 2]] - y[tri[:, 0]]) - (y[tri[:, 1]] - y[tri[:, 0]]) * (x[tri[:, 2]] - x[tri[:, 0]])
+            inner = np.sign(det)[:, None] * ((dx[:, 0] ** 2 + dy[:, 0] ** 2) * area(1, 2) + (dx[:, 1] ** 2 + dy[:, 1] ** 2) * area(2, 0) + (dx[:, 2] ** 2 + dy[:, 2] ** 2) * area(0, 1))
+            assert (det != 0).all() and (inner <= 0).all()
+            if reach == 1e5:
+                edges = np.sort(np.concatenate([tri[:, [0, 1]], tri[:, [1, 2]], tri[:, [0, 2]]]), axis=1)
+                times = np.unique(edges, axis=0, return_counts=True)[1]
+                hull = int((times == 1).sum())
+                assert times.max() == 2 and len(tri) == 2 * len(x) - 2 - hull
+                whole = {tuple(t) for t in tri.tolist()}
+                assert {tuple(t) for t in triangulation.triangles(x + 0.5, y + 0.5, side / 4).tolist()} <= whole
+
+
+def test_triangles_do_not_depend_on_the_order_of_nodes_or_on_others_far_away():
+    rng = np.random.default_rng(2)
+    x, y = np.unique(rng.integers(0, 24, (200, 2)), axis=0).T.astype(float)
+    named = lambda x, y, t: {tuple(sorted(zip(x[list(f)], y[list(f)]))) for f in t.tolist()}
+    due = named(x, y, triangulation.triangles(x, y, 6.0))
+    order = rng.permutation(len(x))
+    assert named(x[order], y[order], triangulation.triangles(x[order], y[order], 6.0)) == due
+    left = x < 14
+    part = named(x[left], y[left], triangulation.triangles(x[left], y[left], 3.0))
+    inner = lambda faces: {f for f in faces if max(p[0] for p in f) < 8}
+    assert inner(part) == inner(named(x, y, triangulation.triangles(x, y, 3.0)))
+
+
 def test_a_plane_is_met_in_every_block_and_blocks_do_not_show(spark):
     rng = np.random.default_rng(5)
     nodes = spark.createDataFrame([(float(a), float(b), float(2 * a - 3 * b + 1)) for a, b in rng.uniform(0, 60, (400, 2))], "x double, y double, v double")
