@@ -147,8 +147,11 @@ def gains(matrix: np.ndarray, now: int, after: np.ndarray, before: np.ndarray, i
     out = (_xlogx(a + after[s]) - _xlogx(a)).sum(axis=1) + (_xlogx(b + before[p][:, None]) - _xlogx(b)).sum(axis=0)
     d, sd, pd = np.diag(left)[own], after[own], before[own]
     out += _xlogx(d + sd + pd + itself) - _xlogx(d + sd) - _xlogx(d + pd) + _xlogx(d)
-    for total, new in ((left.sum(axis=1)[own], after.sum() + itself), (left.sum(axis=0)[own], before.sum() + itself)):
-        out -= _xlogx(total + new) - _xlogx(total)
+    # A class's pairs as first and as second; the word is one of the others' neighbours wherever it is put.
+    for axis, new in ((1, after.sum() + itself), (0, before.sum() + itself)):
+        total = matrix.sum(axis=axis)
+        total[now] -= new
+        out -= _xlogx(total[own] + new) - _xlogx(total[own])
     return out
 
 

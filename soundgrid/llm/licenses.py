@@ -167,10 +167,10 @@ def blocks(text: str, cue: re.Pattern, reach: int, share: int) -> Iterator[tuple
         yield block, len(block)
 
 
-def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLATES, worst: float = 0.15, reach: int = 48) -> DataFrame:
+def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLATES, worst: float = 0.15, around: int = 48) -> DataFrame:
     """License statements in ``docs(doc_id, text)``: ``doc_id, line, license, bytes_saved, n_differences, wording``.
 
-    Candidate blocks are the ``reach`` words around each cue, on whichever lines (stretches that meet are one block). A block
+    Candidate blocks are the ``around`` words around each cue, or as many as the longest template and what may be inserted into it if that is more, on whichever lines (stretches that meet are one block). A block
     is searched for all statements of each template: at most ``worst`` of the template's words may differ, one word in a short
     template (unless it is a number or one of ``TURNS``), and its telling words (names, versions) must all be there. A statement is compressed
     alone and with the template as its raw-content dictionary; statements are ranked by the bytes saved. Of templates
@@ -179,6 +179,8 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLA
     statements, repeated rows repeat theirs, other columns aren't read, texts are read whole.
     """
     cue = re.compile(CUES)
+    longest = max((len(wording(t)) for t, _ in templates.values()), default=0)
+    reach = max(around, longest + int(worst * longest) + 1)
     hit = docs.select("doc_id", "text").filter(F.col("text").rlike(CUES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +195,7 @@ def license_scan(docs: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLA
                         if a < before:
                             at.append(i)
                             line = next((n for _, n, hit in block[a:b] if hit), block[a][1])
-                            out.append((line, k, gain, differ, " ".join(words[max(0, a - reach) : b + reach])))
+                            out.append((line, k, gain, differ, " ".join(words[max(0, a - around) : b + around])))
             columns = list(zip(*out)) or [()] * 5
             kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["doc_id", "line", "license", "bytes_saved", "n_differences", "wording"])

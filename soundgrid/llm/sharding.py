@@ -15,8 +15,8 @@ def shuffled_shards(docs: DataFrame, shards: int = 16, seed: int = 17, bucket_by
     """Put every record at a uniformly random place of a global order and cut that order into ``shards``.
 
     Pass one scatters the records uniformly into buckets of about ``bucket_bytes`` by a seeded hash of the
-    record's id, its text's hash and its place in its partition, so that copies of one record, a hot source
-    or a hot key spread like any other rows. Pass two sorts each bucket, which makes it independent of the
+    record's id and its place in the input, so that copies of one record, a hot source
+    or a hot key spread like any other rows; an input that is dealt into other partitions gets another order. Pass two sorts each bucket by that hash, which makes it independent of the
     order of arrival, shuffles it by ``shuffle`` (Fisher-Yates with a seed) and writes it to the shared folder.
     A bucket fits in memory; no task ever holds more than one. The order of all records is the order of the
     buckets, then the place in the bucket; shard ``s`` takes the ``s``-th of ``shards`` equal stretches, so
@@ -25,7 +25,7 @@ def shuffled_shards(docs: DataFrame, shards: int = 16, seed: int = 17, bucket_by
     Returns the input's columns and ``size`` (UTF-8 bytes of the text plus 1; a null text has 1), ``bucket``,
     ``position`` in the bucket, ``shard`` and ``slot`` (gapless from 0 in each shard). An input column with
     one of these names is replaced. Repeated rows are separate records, nulls are kept as they are, empty
-    texts have size 1, an empty table gives an empty result, a text of any length is one record.
+    texts have size 1, columns of any type (maps, too) are passed on, an empty table gives an empty result, a text of any length is one record.
     ``max_buckets`` bounds the table of bucket offsets, which is broadcast (16 bytes a bucket).
     """
     docs = docs.drop(*ADDED)
@@ -33,9 +33,10 @@ def shuffled_shards(docs: DataFrame, shards: int = 16, seed: int = 17, bucket_by
     total = docs.agg(F.sum(size)).first()[0] or 0
     buckets = int(min(max_buckets, max(1, -(-total // bucket_bytes))))
     place = F.xxhash64(F.lit(seed), *([F.col("doc_id")] if "doc_id" in docs.columns else []), F.monotonically_increasing_id())
-    record = docs.select(F.struct(*docs.columns).alias("record"), size.alias("size"), F.pmod(place, F.lit(buckets)).cast("int").alias("bucket"), place.alias("_place"))
+    record = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("record"), size.alias("size"), F.pmod(place, F.lit(buckets)).cast("int").alias("bucket"), place.alias("_place"))
     scattered = record.repartitionById(buckets, F.col("bucket"))
-    packed = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("_place", "size", "record"))).alias("rows"))
+    by_place = lambda a, b: F.when(a["_place"] < b["_place"], -1).when(a["_place"] > b["_place"], 1).otherwise(0)
+    packed = scattered.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("_place", "size", "record")), by_place).alias("rows"))
     mixed = packed.select("bucket", F.posexplode(F.shuffle("rows", seed)).alias("position", "row"))
     mixed = written(mixed.select("bucket", F.col("position").cast("long").alias("position"), "row.size", "row.record"), "shuffled")
     counts = mixed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))

@@ -95,14 +95,14 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.
     return w
 
 
-def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window: int = 128, base_bytes: int = 1 << 16, toxic_bytes: int = 2048, contexts: int = 4, segments: tuple[tuple[int, int], ...] = ((24, 6), (32, 6), (48, 6), (24, 8))) -> ToxicityModel:
+def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window: int = 128, base_bytes: int = 1 << 16, least_bytes: int = 2048, contexts: int = 4, segments: tuple[tuple[int, int], ...] = ((24, 6), (32, 6), (48, 6), (24, 8))) -> ToxicityModel:
     """Train both dictionaries and calibrate.
 
     The ordinary dictionary is zstandard's, trained on windows of ordinary texts. Toxic texts are ordinary but for some
     words, so the toxic dictionaries are trained on what sets them apart: on each toxic text's words that stand
     after ``contexts`` different words at least over all toxic texts (which copies of one text don't reach) and are
     twenty times rarer in ordinary texts. Words of which no six bytes run through a thousandth of the ordinary texts make the
-    first toxic dictionary, the others the second. Both are added to the ordinary one, so a window without such words
+    first toxic dictionary, the others the second; each is trained with room for all its words, ``least_bytes`` at least, and has every one of them. Both are added to the ordinary one, so a window without such words
     has the same length under all. ``rates`` are all labelled rows over those in the sample, ordinary and toxic: they
     bring the calibration back to the labels' own proportions. Which segments a small dictionary gets depends on the trainer's
     segment and piece lengths, so each of ``segments`` is tried and the one with the least loss on the sample stays.
@@ -132,6 +132,7 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window:
             if p in spelled:
                 spelled[p] += n
     shared = {w for w in telling if max(spelled[p] for p in pieces(w)) * 1000 > (toxic == 0).sum()}
+    room = [max(least_bytes, sum(len(w) + 2 for w in some)) for some in (telling - shared, shared)]
     samples = [[b" " + b"  ".join(kept) + b" " for own in residues if (kept := [w for w in own if w in some])] for some in (telling - shared, shared)]
     del plain, marked, rare, before, spelled, residues  # the trainer needs the room
     ordinary = [w for t, label in zip(texts, toxic) if not label for w in windows(t, 256)]
@@ -144,10 +145,15 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], window:
         except zstandard.ZstdError:
             return b"".join(samples)[-size:]
 
+    def whole(own: list[bytes], some: set[bytes], size: int, k: int, d: int) -> bytes:
+        """The trained dictionary, behind those words for which the trainer chose no segment."""
+        found = trained(own, size, k, d)
+        return b"".join(b" " + w + b" " for w in sorted(some) if w not in found) + found
+
     base, weight = trained(ordinary, base_bytes, 256, 8), np.where(toxic, rates[1], rates[0])
     best, least = nothing, np.inf
     for k, d in segments:
-        model = ToxicityModel(base, tuple(trained(own, toxic_bytes, k, d) for own in samples), np.zeros(FEATURES + 1), window, base_rate)
+        model = ToxicityModel(base, tuple(whole(own, some, size, k, d) for own, some, size in zip(samples, (telling - shared, shared), room)), np.zeros(FEATURES + 1), window, base_rate)
         x = np.array([model.features(t) for t in texts], float)
         model.weights = logistic(x, toxic.astype(float), weight)
         z = np.clip(np.column_stack([x, np.ones(len(x))]) @ model.weights, -30, 30)
@@ -162,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_limit: int = 2500, ordinary_
 
     At most about ``toxic_limit`` toxic and ``ordinary_limit`` ordinary documents are used, chosen by a seeded hash of the
     id, and at most ``byte_limit`` bytes of their texts; these bounds make the sample's ids a bounded broadcast and its texts a bounded collection. An id with several
-    labels takes the largest, an id with several texts the smallest. Without labels of both kinds every score is the base rate.
+    labels takes the largest, an id with several texts the smallest; repeated rows count once. Without labels of both kinds every score is the base rate.
     """
     known = labels.filter(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), folds) != 0))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic")).cache()
@@ -180,7 +186,7 @@ def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataF
     """The columns of ``docs`` and ``toxicity_score``, the probability that a text is toxic, from its windows' lengths under both dictionaries.
 
     Whole texts of any length are read, window by window. Null and empty texts have no window and the score of that.
-    An input column of the new name is replaced. One pass without a shuffle.
+    An input column of the new name is replaced; repeated rows are scored each, an empty table gives no rows. One pass without a shuffle.
     """
     docs = docs.drop("toxicity_score")
     shared = docs.sparkSession.sparkContext.broadcast(model)

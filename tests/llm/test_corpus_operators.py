@@ -212,6 +212,25 @@ def test_license_statements_in_other_short_words(spark):
     assert sorted(lines) == list(range(6000))
 
 
+def test_templates_longer_than_the_words_around_a_cue_are_found_whole(spark):
+    """One cue, at the first or the last word, and words inserted into the wording."""
+    long = " ".join(f"word{i}" for i in range(150))
+    templates = {"first": (f"copyright {long}", "word7"), "last": (f"{long} copyright", "word7")}
+    broken = " ".join(w + (" extra" if i % 10 == 0 else "") for i, w in enumerate(f"copyright {long}".split()))
+    rows = [(i, t, None, None, None) for i, t in enumerate([f"x y copyright {long} z", f"x {long} copyright z", f"{broken} z", f"copyright {long[:400]}"])]
+    got = licenses.license_scan(documents(spark, rows), templates).collect()
+    assert sorted((r["doc_id"], r["license"], r["n_differences"]) for r in got if r["n_differences"] != 1) == [(0, "first", 0), (1, "last", 0), (2, "first", 15)]
+
+
+def test_toxic_dictionaries_have_room_for_all_their_words():
+    rng = random.Random(6)
+    marked = [f"{''.join(rng.choice('bcdfgklmnprst') for _ in range(9))}" for _ in range(900)]
+    plain = [sentence(i, 30) for i in range(300)]
+    texts = plain + [" ".join(w for j in range(20) for w in (f"near{(i * 7 + j) % 97}", marked[(i * 20 + j) % 900])) for i in range(400)]
+    model = toxicity.fit(texts, np.array([False] * 300 + [True] * 400), (1.0, 1.0), base_bytes=4096, segments=((24, 6),))
+    assert len(model.toxic[0]) > 8000 and all(w.encode() in model.toxic[0] for w in marked)
+
+
 def test_license_scan_finds_all_plain_lines(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter("line like '%Released under the MIT License.%'").select("doc_id").distinct()
