@@ -63,3 +63,30 @@ def test_stages_on_odd_rows(spark, sf_dir, rows):
             assert all(n <= sum(repr(r) == k for r in before) for k, n in times.items())
         else:
             assert sorted(repr((r["doc_id"], r["text"])) for r in after) == sorted(repr((r["doc_id"], r["text"])) for r in before)
+
+
+def test_mixing_knows_rows_apart_whose_values_stand_in_other_columns(spark, sf_dir):
+    """Nulls that move between columns, maps, parts of structs and times: every row comes out as often as its own words say."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, tags map<string, string>, more struct<a: string, b: string>, seen timestamp"
+    rows = [
+        (1, "a b c", None, "web", 5, {"k": "v"}, ("x", None), None),
+        (1, "a b c", "web", None, 5, {"k": "v"}, ("x", None), None),
+        (1, "a b c", None, "web", 5, {"k": "v"}, (None, "x"), None),
+        (1, "a b c", None, "web", 5, {"k": None}, ("x", None), None),
+        (1, "a b c", None, "web", 5, None, ("x", None), None),
+        (1, "a b c", None, "web", 5, {"k": "v"}, None, None),
+        (None, "a b c", None, "web", 5, {}, None, None),
+        (2, "d e", "en", "web", 1, {"k": "v"}, ("x", "y"), None),
+        (2, "d e", "en", "web", 1, {"k": "v"}, ("x", "y"), None),
+    ]
+    docs = spark.createDataFrame(rows, schema)
+    times = [f"2020-01-01 00:00:00.00000{i}" for i in (1, 2)]
+    timed = docs.filter("doc_id = 2").limit(1).drop("seen").crossJoin(spark.createDataFrame([(t,) for t in times], "t string"))
+    docs = written(docs.unionByName(timed.withColumn("seen", F.col("t").cast("timestamp")).drop("t")), "odd")
+    before = Counter(map(repr, docs.collect()))
+    after = Counter(map(repr, corpus_pipeline.mix_sources(spark, docs, sf_dir).collect()))
+    assert set(after) == set(before) and all(before[k] <= after[k] <= 2 * before[k] for k in before) and sum(after.values()) > sum(before.values())
+    keys = docs.select(corpus_pipeline.row_key(docs).alias("k")).distinct().count()
+    assert keys == len(before)
+    sharded = corpus_pipeline.shard(spark, docs, sf_dir)
+    assert Counter(map(repr, sharded.select(*docs.columns).collect())) == before
