@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from soundgrid.llm import decontamination, mixing, near_duplicates, sharding, toxicity
 from soundgrid.llm.common import written
@@ -41,15 +42,29 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontamination.without_overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def row_key(docs: DataFrame) -> F.Column:
+    """Two hashes of all of a row's columns and of which of them are null, as hashes alone pass over nulls.
+
+    Columns with parts of their own are hashed as text that keeps nulls, so values that stand in other parts differ and maps have a hash, too.
+    """
+    text = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    parts = []
+    for f in docs.schema:
+        c = F.col(f"`{f.name}`")
+        nested = isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))
+        parts += [c.isNull(), F.to_json(F.struct(c.alias("c")), text) if nested else c]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents once for each time that the mix reads them.
 
     Every source is read once at least, so no document is lost; what ``SHARE`` of all words leaves over that goes to the
     sources by weight, to ``CAP`` times a source's words at most. A document whose last reading is cut off by the
-    target is in it if half of its words are. A row is known by two hashes of all its columns; rows that agree in all are read as rows of their own.
+    target is in it if half of its words are. A row is known by ``row_key``; rows that agree in all are read as rows of their own. Columns of any type, maps too, are passed on.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b")).alias("doc_id"), F.struct(*columns).alias("record"))
+    keyed = docs.select(row_key(docs).alias("doc_id"), F.struct(*columns).alias("record"))
     sized = keyed.select("record.source", "doc_id", mixing.word_count("record.text").alias("size"))
     totals = written(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     weights = totals.withColumn("weight", F.pow(F.col("source_size").cast("double"), F.lit(FLATTENING)))
