@@ -83,20 +83,20 @@ def subdivided(features: DataFrame, most: int = 512, depth: int = 16) -> DataFra
 
 
 def _boxed(features: DataFrame, points: Column, cell: float) -> DataFrame:
-    """Adds the box ``x0, y0, x1, y1`` and a row for each bin (``bx, by``) that it covers."""
+    """Adds the box ``x0, y0, x1, y1`` and a row for each bin (``_bx, _by``) that it covers."""
     axis = lambda f, k: f(F.transform(points, lambda p: p[k]))
     boxed = features.withColumns({"x0": axis(F.array_min, "x"), "y0": axis(F.array_min, "y"), "x1": axis(F.array_max, "x"), "y1": axis(F.array_max, "y")})
     bins = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)))
-    return boxed.filter("x0 is not null").withColumn("bx", bins("x0", "x1")).withColumn("by", bins("y0", "y1"))
+    return boxed.filter("x0 is not null").withColumn("_bx", bins("x0", "x1")).withColumn("_by", bins("y0", "y1"))
 
 
 def _meeting(a: DataFrame, b: DataFrame, keys: list[str], cell: float) -> DataFrame:
-    """Pairs ``x, y`` (structs) of both sides' binned rows whose boxes meet, once each."""
-    side = lambda d, s: d.select(*keys, "bx", "by", F.struct(*d.columns).alias(s))
-    met = side(a, "x").join(side(b, "y"), [*keys, "bx", "by"])
-    low = lambda k: F.floor(F.greatest(f"x.{k}0", f"y.{k}0") / cell)
-    boxes = (F.col("x.x0") <= F.col("y.x1")) & (F.col("y.x0") <= F.col("x.x1")) & (F.col("x.y0") <= F.col("y.y1")) & (F.col("y.y0") <= F.col("x.y1"))
-    return met.filter(boxes & (low("x") == F.col("bx")) & (low("y") == F.col("by")))
+    """Pairs ``_l, _r`` (structs) of both sides' binned rows whose boxes meet, once each."""
+    side = lambda d, s: d.select(*keys, "_bx", "_by", F.struct(*d.columns).alias(s))
+    met = side(a, "_l").join(side(b, "_r"), [*keys, "_bx", "_by"])
+    low = lambda k: F.floor(F.greatest(f"_l.{k}0", f"_r.{k}0") / cell)
+    boxes = (F.col("_l.x0") <= F.col("_r.x1")) & (F.col("_r.x0") <= F.col("_l.x1")) & (F.col("_l.y0") <= F.col("_r.y1")) & (F.col("_r.y0") <= F.col("_l.y1"))
+    return met.filter(boxes & (low("x") == F.col("_bx")) & (low("y") == F.col("_by")))
 
 
 def _cuts(a: DataFrame, b: DataFrame, keys: list[str], cell: float, same: bool) -> DataFrame:
@@ -106,10 +106,10 @@ def _cuts(a: DataFrame, b: DataFrame, keys: list[str], cell: float, same: bool)
     """
     binned = lambda d: _boxed(convex_parts(d, [*keys, "id"]), F.col("ring"), cell)
     met = _meeting(binned(a), binned(b), keys, cell)
-    met = met.filter("x.id < y.id") if same else met
+    met = met.filter("_l.id < _r.id") if same else met
     # Exploded, so no filter on what is measured works the cut out again.
-    measured = F.transform(F.array(cut_by_convex(F.col("x.ring"), F.col("y.ring"))), ring_area)
-    shared = met.select(*keys, F.col("x.id").alias("low"), F.col("y.id").alias("high"), F.explode(measured).alias("area")).filter("area > 0")
+    measured = F.transform(F.array(cut_by_convex(F.col("_l.ring"), F.col("_r.ring"))), ring_area)
+    shared = met.select(*keys, F.col("_l.id").alias("low"), F.col("_r.id").alias("high"), F.explode(measured).alias("area")).filter("area > 0")
     return shared.groupBy(*keys, "low", "high").agg(F.sum("area").alias("area"))
 
 
@@ -122,12 +122,12 @@ def boundary(features: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _spans(met: DataFrame, keys: list[str], along: str) -> DataFrame:
-    """``keys, segment, lo, hi``: the range of a segment's parameter inside a convex ring, for rows ``x`` with a segment and ``y`` with a ring.
+    """``keys, segment, lo, hi``: the range of a segment's parameter inside a convex ring, for rows ``_l`` with a segment and ``_r`` with a ring.
 
     A segment along one of the ring's edges is inside with ``along`` "either", with "same" only if it runs the edge's way, with "none" never.
     """
     none = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
-    seg = F.col("x.segment")
+    seg = F.col("_l.segment")
     sx, sy = seg["bx"] - seg["ax"], seg["by"] - seg["ay"]
 
     def within(s: Column, e: Column) -> Column:
@@ -147,7 +147,7 @@ def _spans(met: DataFrame, keys: list[str], along: str) -> DataFrame:
 
         return _once(F.struct(left_of(seg["ax"], seg["ay"]).alias("a"), left_of(seg["bx"], seg["by"]).alias("b")), cut)
 
-    spans = met.select(*keys, seg.alias("segment"), F.explode(F.array(F.aggregate(_pairs(F.col("y.ring")), none, within))).alias("t"))
+    spans = met.select(*keys, seg.alias("segment"), F.explode(F.array(F.aggregate(_pairs(F.col("_r.ring")), none, within))).alias("t"))
     return spans.select(*keys, "segment", "t.lo", "t.hi").filter("lo < hi")
 
 
@@ -240,7 +240,7 @@ def covered_routes(routes: DataFrame, features: DataFrame, cell: float) -> DataF
     """
     numbered = _segments(routes, ["route", "need"])
     rings = _boxed(convex_parts(features, ["deep"]), F.col("ring"), cell)
-    met = _meeting(_boxed(numbered, F.col("ends"), cell), rings, [], cell).filter("y.deep >= x.need").withColumn("route", F.col("x.route"))
+    met = _meeting(_boxed(numbered, F.col("ends"), cell), rings, [], cell).filter("_r.deep >= _l.need").withColumn("route", F.col("_l.route"))
     inside = interval_union(_spans(met, ["route"], "either"), ["route", "segment"]).groupBy("route").agg(F.sum((F.col("hi") - F.col("lo")) * _segment_length()).alias("inside"))
     whole = numbered.groupBy("route").agg(F.sum(_segment_length()).alias("length"))
     return whole.join(inside, "route", "left").select("route", (F.coalesce("inside", F.lit(0.0)) / F.nullif("length", F.lit(0.0))).alias("share"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from soundgrid.operators import covering, datum, focal, gates, labels, merge, ordered, outlines, serving, triangulation, vectors
+from soundgrid.operators import covering, datum, focal, gates, labels, merge, ordered, outlines, serving, tilechecks, triangulation, vectors, vectortiles
 from soundgrid.queries import query
 from soundgrid.queries.catalog import HW, SPLIT, STEMS, _spans, _stems
 from soundgrid.queries.charting import BOXES, _boxes
@@ -100,11 +100,41 @@ def tile_request_status(spark, sf_dir):
     return o.select("o_orderkey", serving.request_status(z, x, y, 8, F.col("o_orderstatus") != "P").alias("status"))
 
 
-@query("SELECT p_partkey, px, py FROM (SELECT p_partkey, sign(a) * floor(abs(a) + CAST(0.5 AS DOUBLE)) AS px, sign(b) * floor(abs(b) + CAST(0.5 AS DOUBLE)) AS py FROM (SELECT p_partkey, (p_partkey * 37 % 4096) * CAST(4 AS DOUBLE) - 4096 AS a, (p_partkey * 91 % 4096) * CAST(4 AS DOUBLE) - 8192 AS b FROM part) t) u WHERE px BETWEEN -80 AND 4176 AND py BETWEEN -80 AND 4176")
+# Points, bent lines and boxes of a tile in the frame of a tile two zooms down, whose units are a quarter as long.
+FRAMED = "SELECT p_partkey AS id, CAST(p_partkey % 3 + 1 AS INT) AS kind, (p_partkey * 37 % 4096) * 4 - 4096 AS x0, (p_partkey * 91 % 4096) * 4 - 8192 AS y0, (p_partkey * 37 % 4096 + p_partkey % 700 + 1) * 4 - 4096 AS x1, (p_partkey * 91 % 4096 + p_partkey % 500 + 1) * 4 - 8192 AS y1 FROM part"
+WITHIN = "SELECT *, least(x1, 4176) - greatest(x0, -80) AS w, least(y1, 4176) - greatest(y0, -80) AS h FROM framed"
+
+
+def _in_units(spark, sf_dir):
+    """A parent tile's features: points, lines of two steps and boxes."""
+    k = F.col("p_partkey")
+    x, y, w, h = k * 37 % 4096, k * 91 % 4096, k % 700 + 1, k % 500 + 1
+    at = lambda a, b: F.struct(a.cast("long").alias("x"), b.cast("long").alias("y"))
+    line, box = [at(x, y), at(x + w, y), at(x + w, y + h)], [at(x, y), at(x + w, y), at(x + w, y + h), at(x, y + h)]
+    parts = F.when(k % 3 == 0, F.array(F.array(at(x, y)))).when(k % 3 == 1, F.array(F.array(*line))).otherwise(F.array(F.array(*box)))
+    tile = [F.lit(5).alias("z"), F.lit(9).alias("x"), F.lit(11).alias("y"), F.lit("marks").alias("layer")]
+    return table(spark, sf_dir, "part").select(*tile, k.alias("id"), (k % 3 + 1).cast("int").alias("kind"), parts.alias("parts"), F.create_map(F.lit("size"), F.col("p_size").cast("string"), F.lit("brand"), F.concat(F.lit('"'), "p_brand", F.lit('"'))).alias("properties"))
+
+
+@query(with_views("SELECT id, kind, 1 AS parts, 1 AS points, CAST(0 AS DOUBLE) AS measure FROM within WHERE kind = 1 AND x0 BETWEEN -80 AND 4176 AND y0 BETWEEN -80 AND 4176 UNION ALL SELECT id, kind, 1, 4, CAST(w * h AS DOUBLE) FROM within WHERE kind = 3 AND w > 0 AND h > 0 UNION ALL SELECT id, kind, 1, CASE WHEN f AND g THEN 3 ELSE 2 END, CAST(CASE WHEN f THEN w ELSE 0 END + CASE WHEN g THEN h ELSE 0 END AS DOUBLE) FROM (SELECT *, w > 0 AND y0 BETWEEN -80 AND 4176 AS f, h > 0 AND x1 BETWEEN -80 AND 4176 AS g FROM within WHERE kind = 2) t WHERE f OR g", framed=FRAMED, within=WITHIN))
 def overzoom_synthesize(spark, sf_dir):
-    """Points of a parent tile in the frame of a child two zooms down."""
-    p = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") * 37 % 4096).cast("double").alias("px"), (F.col("p_partkey") * 91 % 4096).cast("double").alias("py"))
-    return serving.overzoom_points(p, F.lit(2), F.lit(1), F.lit(2))
+    """What a tile two zooms down shows of its ancestor's features: parts, points, and lengths or areas."""
+    requests = table(spark, sf_dir, "region").filter("r_regionkey = 0").select(F.lit(7).alias("z"), F.lit(37).alias("x"), F.lit(46).alias("y"), F.lit(5).alias("found_z"))
+    found = vectortiles.overzoomed(_in_units(spark, sf_dir), requests)
+    part = F.col("parts")[0]
+    step = lambda p, i: F.when(i > 0, F.abs(p["x"] - F.get(part, i - 1)["x"]) + F.abs(p["y"] - F.get(part, i - 1)["y"])).otherwise(0)
+    length = F.aggregate(F.transform(part, step), F.lit(0).cast("long"), lambda s, v: s + v).cast("double")
+    measure = F.when(F.col("kind") == 3, vectors.ring_area(part)).when(F.col("kind") == 2, length).otherwise(0.0)
+    found = found.select("id", "kind", F.size("parts").alias("n"), F.size(F.flatten("parts")).alias("points"), measure.alias("measure"))
+    return found.withColumnRenamed("n", "parts")
+
+
+@query("SELECT 5 AS z, 9 AS x, 11 AS y, 'marks' AS layer, p_partkey AS id, CAST(p_partkey % 3 + 1 AS INT) AS kind, CASE p_partkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 4 END AS points, p_partkey * 37 % 4096 + CASE WHEN p_partkey % 3 = 1 THEN p_partkey % 700 + 1 ELSE 0 END AS last_x, p_partkey * 91 % 4096 + CASE WHEN p_partkey % 3 > 0 THEN p_partkey % 500 + 1 ELSE 0 END AS last_y, CAST(p_size AS VARCHAR) AS size, '\"' || p_brand || '\"' AS brand FROM part")
+def tile_payload(spark, sf_dir):
+    """Features packed into a payload and read from it again."""
+    back = vectortiles.unpacked(vectortiles.packed(_in_units(spark, sf_dir)))
+    last = F.element_at(F.col("parts")[0], -1)
+    return back.select("z", "x", "y", "layer", "id", "kind", F.size(F.col("parts")[0]).alias("points"), last["x"].alias("last_x"), last["y"].alias("last_y"), F.col("properties")["size"].alias("size"), F.col("properties")["brand"].alias("brand"))
 
 
 @query(with_views("SELECT id, (least(i + 1, 20.5::DOUBLE) - i) * (least(j + 1, 10.25::DOUBLE) - j) AS area FROM boxes WHERE i < 20.5 AND j < 10.25", boxes=BOXES))
@@ -135,13 +165,33 @@ def line_merge(spark, sf_dir):
     return outlines.ordered_chains(s).select("id", "chain", F.row_number().over(Window.partitionBy("chain").orderBy("place")).alias("place"), "ax")
 
 
-@query(with_views("SELECT id, greatest(x, CAST(20 AS DOUBLE)) AS ax, y + (greatest(x, 20) - x) AS ay FROM points WHERE greatest(x, 20, 10 - y + x) = greatest(x, 20) AND greatest(x, 20) <= least(x + 30, 90, 100 - y + x) AND x <= 90"))
-def mvt_clip(spark, sf_dir):
-    """Where diagonal lines enter a box by its left side or start in it."""
+@query(with_views("SELECT id, round(lo, 9) AS ax, round(y + (lo - x), 9) AS ay, round(hi, 9) AS bx, round(y + (hi - x), 9) AS by FROM (SELECT id, x, y, greatest(x, 20, 10 - y + x) AS lo, least(x + 30, 90, 100 - y + x) AS hi FROM points) t WHERE lo <= hi"))
+def clip_segments(spark, sf_dir):
+    """Diagonal lines cut to a box, both ends, whatever side they cross."""
     p = points(spark, sf_dir).select("id", F.col("x").alias("ax"), F.col("y").alias("ay"), (F.col("x") + 30.0).alias("bx"), (F.col("y") + 30.0).alias("by"))
-    cut = vectors.clip_segments(p, 20.0, 10.0, 90.0, 100.0).join(points(spark, sf_dir), "id")
-    by_left = F.greatest("x", F.lit(20.0), F.lit(10.0) - F.col("y") + F.col("x")) == F.greatest("x", F.lit(20.0))
-    return cut.filter(by_left).select("id", "ax", "ay")
+    cut = vectors.clip_segments(p, 20.0, 10.0, 90.0, 100.0)
+    return cut.select("id", *(F.round(c, 9).alias(c) for c in ("ax", "ay", "bx", "by")))
+
+
+# The world is 2^32 units wide; points, bent lines and boxes at the customers' places, from a zoom of their own on, to the seventh.
+WORLDLY = "SELECT id, CAST(id % 3 + 1 AS INT) AS kind, CAST(id % 4 + 3 AS INT) AS minzoom, CASE WHEN id % 5 = 0 THEN CAST(id % 4 + 4 AS INT) END AS lastzoom, CAST(round(x / 128 * 4294967296) AS BIGINT) AS x0, CAST(round(y / 128 * 4294967296) AS BIGINT) AS y0, CAST(round((x + 1.5::DOUBLE) / 128 * 4294967296) AS BIGINT) AS x1, CAST(round((y + 0.75::DOUBLE) / 128 * 4294967296) AS BIGINT) AS y1 FROM points"
+IN_TILES = "SELECT *, greatest(x0 - tx * s, -m) AS lx, least(x1 - tx * s, s + m) AS hx, greatest(y0 - ty * s, -m) AS ly, least(y1 - ty * s, s + m) AS hy FROM (SELECT *, 5 * s // 256 AS m FROM (SELECT w.*, z, CAST(4294967296 >> z AS BIGINT) AS s, i AS tx, j AS ty FROM worldly w, (SELECT CAST(i AS INT) AS z FROM range(3, 8) t(i)) zs, range(128) a(i), range(128) b(j) WHERE z >= minzoom AND z <= coalesce(lastzoom, 7) AND i < 1 << z AND j < 1 << z AND i BETWEEN (x0 >> (32 - z)) - 1 AND (x1 >> (32 - z)) + 1 AND j BETWEEN (y0 >> (32 - z)) - 1 AND (y1 >> (32 - z)) + 1) q) r"
+UNITS = "CAST(floor(abs({0}) * CAST(4096 AS DOUBLE) / s + CAST(0.5 AS DOUBLE)) * sign({0}) AS BIGINT)"
+NEAR_BOX = "SELECT id, kind, z, tx, ty, " + ", ".join(f"{UNITS.format(c)} AS {c}" for c in ("lx", "hx", "ly", "hy")) + ", x0 - tx * s AS qx, x1 - tx * s AS rx, y0 - ty * s AS qy, y1 - ty * s AS ry, s, m FROM in_tiles"
+
+
+@query(with_views("SELECT z, tx AS x, ty AS y, id, kind, lx AS x0, ly AS y0, lx AS x1, ly AS y1 FROM near_box WHERE kind = 1 AND qx BETWEEN -m AND s + m AND qy BETWEEN -m AND s + m UNION ALL SELECT z, tx, ty, id, kind, lx, ly, hx, hy FROM near_box WHERE kind = 3 AND qx < s + m AND rx > -m AND qy < s + m AND ry > -m AND lx < hx AND ly < hy UNION ALL SELECT z, tx, ty, id, kind, CASE WHEN f THEN lx ELSE hx END, ly, hx, CASE WHEN g THEN hy ELSE ly END FROM (SELECT *, qy BETWEEN -m AND s + m AND qx <= s + m AND rx >= -m AND lx < hx AS f, rx BETWEEN -m AND s + m AND qy <= s + m AND ry >= -m AND ly < hy AS g FROM near_box WHERE kind = 2) t WHERE f OR g", worldly=WORLDLY, in_tiles=IN_TILES, near_box=NEAR_BOX))
+def mvt_clip(spark, sf_dir):
+    """The boxes of what all tiles show of points, lines of two steps and rings: cut to the buffered tile, in its units."""
+    x, y = F.col("x") / 128.0, F.col("y") / 128.0
+    right, down = (F.col("x") + 1.5) / 128.0, (F.col("y") + 0.75) / 128.0
+    at = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    k = F.col("id") % 3
+    parts = F.when(k == 0, F.array(F.array(at(x, y)))).when(k == 1, F.array(F.array(at(x, y), at(right, y), at(right, down)))).otherwise(F.array(F.array(at(x, y), at(x, down), at(right, down), at(right, y))))
+    p = points(spark, sf_dir).select("id", F.lit("marks").alias("layer"), (k + 1).cast("int").alias("kind"), parts.alias("parts"), F.create_map(F.lit("n"), F.col("id").cast("string")).alias("properties"), (F.col("id") % 4 + 3).cast("int").alias("minzoom"), F.when(F.col("id") % 5 == 0, (F.col("id") % 4 + 4).cast("int")).alias("lastzoom"))
+    found = vectortiles.tiled(p, 7)
+    ends = lambda f, k: f(F.transform(F.flatten("parts"), lambda p: p[k]))
+    return found.select("z", "x", "y", "id", "kind", ends(F.array_min, "x").alias("x0"), ends(F.array_min, "y").alias("y0"), ends(F.array_max, "x").alias("x1"), ends(F.array_max, "y").alias("y1"))
 
 
 PLACED = "SELECT g.r, g.c, t.z, CASE t.src WHEN 'R' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS place, t.z IS NOT NULL AS there, coalesce(t.z, 0) AS v FROM (SELECT CAST(a.i AS INT) AS r, CAST(b.i AS INT) AS c FROM range(128) a(i), range(128) b(i)) g LEFT JOIN (SELECT r, c, z, src FROM (SELECT r, c, z, px.src AS src, row_number() OVER (PARTITION BY r, c ORDER BY priority DESC, maxzoom DESC, px.src) AS k FROM px JOIN srcs ON px.src = srcs.src) q WHERE k = 1) t ON t.r = g.r AND t.c = g.c"
@@ -348,7 +398,24 @@ def ab_terrain(spark, sf_dir):
     return _masked(spark, sf_dir).groupBy(F.shiftright("r", 4).alias("tile_r")).agg(F.avg(d).alias("mean_delta"), F.max(d).alias("max_delta"), F.percentile(d, 0.95).alias("p95"))
 
 
-@query(with_views("SELECT count(*) FILTER (minzoom < 8) AS too_early, count(*) FILTER (lastzoom < minzoom) AS reversed FROM (SELECT id, CAST(id % 5 + 8 AS INT) AS minzoom, CASE WHEN id % 3 = 0 THEN CAST(id % 5 + 8 AS INT) END AS lastzoom FROM points) t"))
+# Boxes as bands of tiles: eight by eight in a tile at zoom 5, four by four at zoom 6, where some are left out and some reach over the next.
+IN_SIX = "SELECT *, id % 31 = 7 AND (id + 1) % 29 <> 5 AS wide FROM boxes WHERE id % 29 <> 5"
+FULL = "SELECT x, y FROM (SELECT DISTINCT i // 8 AS x, j // 8 AS y, i // 4 AS a, j // 4 AS b FROM in_six) t GROUP BY 1, 2 HAVING count(*) = 4"
+
+
+@query(with_views("SELECT 'lost' AS problem, CAST(5 AS BIGINT) AS z, f.x, f.y, NULL AS layer, NULL AS id, CAST(512 * 512 * count(*) AS DOUBLE) AS value FROM boxes b JOIN full_tiles f ON f.x = b.i // 8 AND f.y = b.j // 8 WHERE b.id % 29 = 5 GROUP BY f.x, f.y UNION ALL SELECT 'overlap', 6, a.i // 4, a.j // 4, NULL, a.id, CAST(300 * 1024 AS DOUBLE) FROM in_six a JOIN in_six b ON b.i = a.i + 1 AND b.j = a.j AND a.wide AND a.i // 4 = b.i // 4 UNION ALL SELECT 'early', 5, i // 8, j // 8, 'bands', id, NULL FROM boxes WHERE id % 41 = 3 UNION ALL SELECT 'absent', NULL, NULL, NULL, 'bands', p_partkey, NULL FROM part WHERE p_partkey % 7 = 3 UNION ALL SELECT 'no soundings', NULL, NULL, NULL, NULL, NULL, NULL", boxes=BOXES, in_six=IN_SIX, full_tiles=FULL))
 def selfcheck_vector(spark, sf_dir):
-    p = points(spark, sf_dir).select((F.col("id") % 5 + 8).cast("int").alias("minzoom"), F.when(F.col("id") % 3 == 0, (F.col("id") % 5 + 8).cast("int")).alias("lastzoom"))
-    return p.agg(F.count(F.when(F.col("minzoom") < 8, 1)).alias("too_early"), F.count(F.when(F.col("lastzoom") < F.col("minzoom"), 1)).alias("reversed"))
+    b = _boxes(spark, sf_dir).select("id", F.col("ring")[0]["x"].cast("long").alias("i"), F.col("ring")[0]["y"].cast("long").alias("j"))
+    at = lambda a, c: F.struct(a.cast("long").alias("x"), c.cast("long").alias("y"))
+
+    def shown(df, z: int, n: int, more=F.lit(0)):
+        u = 4096 // n
+        x0, y0 = F.col("i") % n * u, F.col("j") % n * u
+        ring = F.array(at(x0, y0), at(x0 + u + more, y0), at(x0 + u + more, y0 + u), at(x0, y0 + u))
+        return df.select(F.lit(z).alias("z"), F.floor(F.col("i") / n).alias("x"), F.floor(F.col("j") / n).alias("y"), F.lit("bands").alias("layer"), "id", F.lit(3).alias("kind"), F.array(ring).alias("parts"))
+
+    wide = F.when((F.col("id") % 31 == 7) & ((F.col("id") + 1) % 29 != 5), 300).otherwise(0)
+    features = shown(b, 5, 8).unionByName(shown(b.filter("id % 29 <> 5"), 6, 4, wide))
+    expected = table(spark, sf_dir, "part").select(F.lit("bands").alias("layer"), F.col("p_partkey").alias("id"))
+    first = F.when(F.col("id") % 41 == 3, 6).otherwise(5)
+    return tilechecks.selfcheck(features, expected, first, F.col("layer") == "bands")
