@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from soundgrid.shipping import discard, written  # noqa: F401
+from soundgrid.shipping import discard, mapped, written
 
 #: Bytes that separate words: the blank and the controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,11 +33,11 @@ def bounded_sample(df: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 40)) < int(share * (1 << 40)))
 
 
-def collected_texts(rows: DataFrame, key: str, text: str, limit: int, seed: int) -> list:
-    """The rows of a bounded sample, by ``key`` in order, with at most ``limit`` bytes of ``text`` in all.
+def bounded_texts(rows: DataFrame, key: str, text: str, limit: int, seed: int) -> DataFrame:
+    """The rows of a bounded sample, written, with at most ``limit`` bytes of ``text`` in all.
 
-    The sample is written once. Where it is larger than the bound, rows come in the order of a seeded hash of the key, and one that
-    doesn't fit in what is left of the bound is passed over, so one very long text can't fill the driver.
+    Where the sample is larger than the bound, rows come in the order of a seeded hash of the key, and one that
+    doesn't fit in what is left of the bound is passed over, so one very long text can't fill a machine.
     """
     rows = written(rows, "sample")
     sizes = rows.select(key, F.octet_length(text).alias("n"), F.xxhash64(F.lit(seed), F.col(key)).alias("h")).collect()
@@ -42,16 +46,33 @@ def collected_texts(rows: DataFrame, key: str, text: str, limit: int, seed: int)
         if r["n"] <= left:
             kept.add(r[key])
             left -= r["n"]
-    if len(kept) < len(sizes):
-        ids = rows.sparkSession.createDataFrame([(k,) for k in sorted(kept)], rows.select(key).schema)
-        found = rows.join(F.broadcast(ids), key)
-    else:
-        found = rows
-    found = sorted(found.collect(), key=lambda r: r[key])
+    if len(kept) == len(sizes):
+        return rows
+    ids = rows.sparkSession.createDataFrame([(k,) for k in sorted(kept)], rows.select(key).schema)
+    fitting = written(rows.join(F.broadcast(ids), key), "sample")
+    discard(rows)
+    return fitting
+
+
+def collected_texts(rows: DataFrame, key: str, text: str, limit: int, seed: int) -> list:
+    """The rows of ``bounded_texts`` by ``key`` in order, on the driver."""
+    rows = bounded_texts(rows, key, text, limit, seed)
+    found = sorted(rows.collect(), key=lambda r: r[key])
     discard(rows)
     return found
 
 
+def fitted(rows: DataFrame, key: str, fit: Callable[[list[dict]], object]) -> object:
+    """What ``fit`` makes of the rows of a bounded table by ``key`` in order, worked out in one task, so that the driver gets the model and never the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sorted((r for batch in batches for r in batch.to_pylist()), key=lambda r: r[key])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(own))], pa.binary())], ["model"])
+
+    found = mapped(rows.coalesce(1), run, "model binary").collect()
+    return pickle.loads(found[0][0]) if found else fit([])
+
+
 def prefix_offsets(df: DataFrame, order: str, amounts: list[str], within: list[str] = (), group: int = 4096) -> DataFrame:
     """Add to each row the sums of ``amounts`` over the rows before it, as ``<amount>_before``.
 

@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soundgrid.llm.common import bounded_sample, collected_texts, fold
+from soundgrid.llm.common import bounded_sample, bounded_texts, discard, fitted, fold
 from soundgrid.shipping import mapped
 
 #: Matches of six bytes or more and literals as they are, so that a known word shows in a window's length by all its bytes.
@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_limit: int = 2500, ordinary_
     """Train on labelled documents outside fold 0 (``crc32(doc_id) mod folds``).
 
     At most about ``toxic_limit`` toxic and ``ordinary_limit`` ordinary documents are used, chosen by a seeded hash of the
-    id, and at most ``byte_limit`` bytes of their texts; these bounds make the sample's ids a bounded broadcast and its texts a bounded collection. An id with several
+    id, and at most ``byte_limit`` bytes of their texts; these bounds make the sample's ids a bounded broadcast and its texts a bounded task, which fits the model. An id with several
     labels takes the largest, an id with several texts the smallest; repeated rows count once. Without labels of both kinds every score is the base rate.
     """
     known = labels.filter(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), folds) != 0))
@@ -175,11 +175,17 @@ def train(docs: DataFrame, labels: DataFrame, toxic_limit: int = 2500, ordinary_
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     sample = bounded_sample(known.filter("toxic"), "doc_id", toxic_limit, seed).unionByName(bounded_sample(known.filter("not toxic"), "doc_id", ordinary_limit, seed))
     rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    rows = collected_texts(rows, "doc_id", "text", byte_limit, seed)
+    rows = bounded_texts(rows, "doc_id", "text", byte_limit, seed)
     known.unpersist()
-    toxic = np.array([r["toxic"] for r in rows], bool)
-    rates = tuple(counts.get(k, 0) / max(int((toxic == k).sum()), 1) for k in (False, True))
-    return fit([r["text"] for r in rows], toxic, rates, **options)
+
+    def model(own: list[dict]) -> ToxicityModel:
+        toxic = np.array([r["toxic"] for r in own], bool)
+        rates = tuple(counts.get(k, 0) / max(int((toxic == k).sum()), 1) for k in (False, True))
+        return fit([r["text"] for r in own], toxic, rates, **options)
+
+    found = fitted(rows, "doc_id", model)
+    discard(rows)
+    return found
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
