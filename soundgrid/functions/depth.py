@@ -70,6 +70,10 @@ def quantization_factor(zoom: int) -> float:
     return 2.0 ** (19 - zoom) / 256.0
 
 
+def quantization_factor_of(zoom: Column) -> Column:
+    return F.pow(F.lit(2.0), F.lit(19.0) - zoom) / F.lit(256.0)
+
+
 def quantize(z: Column, zoom: int) -> Column:
     """Elevation rounded up (shallower) to the zoom's step, which is no more than about a sixteenth of the depth; water stays water."""
     relative = F.greatest(F.abs(z) / F.lit(16.0), F.lit(0.25))
@@ -104,7 +108,7 @@ def classify_pixel(z: Column, land: Column | None) -> Column:
 
 
 def floored(x: Column) -> Column:
-    """Floor, with a nanometre of slack for quotients that should be whole."""
+    """The whole part below a value; one that misses a whole number by under a billionth counts as it."""
     return F.floor(x + F.lit(1e-9)).cast("double")
 
 

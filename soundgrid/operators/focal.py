@@ -46,7 +46,7 @@ def water_blur(pixels: DataFrame, sigma: float, extent: Extent, size: int = 512)
     return by_block(pixels, ["z"], "mean", reach_of(sigma), blur, extent, size)
 
 
-def slope(pixels: DataFrame, size: float) -> DataFrame:
+def slope(pixels: DataFrame, size: float, block: int = 512) -> DataFrame:
     """Degrees of the central gradient; one-sided where a neighbour is missing."""
 
     def angle(z: np.ndarray) -> np.ndarray:
@@ -60,7 +60,7 @@ def slope(pixels: DataFrame, size: float) -> DataFrame:
 
         return np.degrees(np.arctan(np.hypot(gradient(0), gradient(1))))
 
-    return by_block(pixels, ["z"], "slope", 1, angle)
+    return by_block(pixels, ["z"], "slope", 1, angle, size=block)
 
 
 def smooth_shoalward(pixels: DataFrame, pixel: float, extent: Extent, light: float = LIGHT, heavy: float = HEAVY, feather: float = FEATHER, flat: float = FLAT, steep: float = STEEP, shallow: float = SHALLOW, deep: float = DEEP, size: int = 512) -> DataFrame:

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from soundgrid.operators.outlines import containing
+from soundgrid.operators.partition import _cuts
+from soundgrid.operators.polygons import RINGS, holes_of
+from soundgrid.operators.quantiles import exact_quantiles
+from soundgrid.operators.vectors import rasterize
 from soundgrid.shipping import written
 
 
@@ -39,24 +44,57 @@ def heal_schema(rows: DataFrame, numeric: list[str]) -> DataFrame:
     return rows.withColumns({c: F.col(c).try_cast("double") for c in numeric})
 
 
-def last_per_key(rows: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
-    """The last-written values of each key."""
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(order)).alias("b"))
-    return best.select(*keys, *(F.col(f"b.{v}").alias(v) for v in values))
+def compare_runs(rows: DataFrame, a: str, b: str, order: str, limits: dict[str, float]) -> DataFrame:
+    """``stage, stem, metric, was, now, change, verdict`` of two runs of ``rows(label, stage, stem, <order>, <metrics>)``, of which the last written counts.
+
+    A relative change over the metric's limit has ``regressed``; a stage and stem that one run lacks has one row with ``missing`` and its label; what can't be compared (no value, or 0 before) has no row.
+    """
+    last = rows.filter(F.col("label").isin(a, b)).groupBy("stage", "stem", "label").agg(F.max_by(F.struct(*limits), F.col(order)).alias("m"))
+    both = last.groupBy("stage", "stem").agg(*(F.max_by(F.when(F.col("label") == k, F.col("m")), F.col("label") == k).alias(n) for k, n in ((a, "was"), (b, "now"))), *(F.max(F.col("label") == k).alias(f"has_{n}") for k, n in ((a, "was"), (b, "now"))))
+    whole = F.col("has_was") & F.col("has_now")
+    each = F.array(*(F.struct(F.lit(m).alias("metric"), F.col(f"was.{m}").cast("double").alias("was"), F.col(f"now.{m}").cast("double").alias("now"), F.lit(limit).alias("limit")) for m, limit in limits.items()))
+    told = both.filter(whole).select("stage", "stem", F.explode(each).alias("e")).select("stage", "stem", "e.*").filter("now is not null and was <> 0")
+    change = (F.col("now") - F.col("was")) / F.col("was")
+    told = told.select("stage", "stem", "metric", "was", "now", change.alias("change"), F.when(change > F.col("limit"), "regressed").alias("verdict"))
+    none = lambda kind: F.lit(None).cast(kind)
+    gone = both.filter(~whole).select("stage", "stem", none("string").alias("metric"), *(none("double").alias(c) for c in ("was", "now", "change")), F.concat(F.lit("missing "), F.when(F.col("has_was"), b).otherwise(a)).alias("verdict"))
+    return told.unionByName(gone)
 
 
 def density(points: DataFrame, reach: float) -> DataFrame:
     """Spacing of points: exact quartiles of the distance to the nearest other one, and how many have none within reach."""
     from soundgrid.operators.near import nearest_neighbour
 
-    near = points.join(nearest_neighbour(points, points, reach).select("id", "distance"), "id", "left")
-    q = F.percentile("distance", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return near.agg(F.count(F.lit(1)).alias("points"), F.count(F.when(F.col("distance").isNull(), 1)).alias("alone"), q.alias("q")).select("points", "alone", *(F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))))
+    near = written(points.select("id").join(nearest_neighbour(points, points, reach).select("id", "distance"), "id", "left"), "near")
+    counts = near.agg(F.count(F.lit(1)).alias("points"), F.count(F.when(F.col("distance").isNull(), 1)).alias("alone")).withColumn("_one", F.lit(1))
+    quartiles = exact_quantiles(near, [], "distance", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).withColumn("_one", F.lit(1))
+    return counts.join(quartiles, "_one", "left").drop("_one")
+
 
+def ab_terrain(pixels: DataFrame, tile: list[str], deep: float = -1000.0, most: float = 2.0, apart: float = 1.0) -> DataFrame:
+    """One row for all tiles of ``pixels(tile, a, b)`` that both builds have: compared and deep ones, the median and 95th percentile of their mean differences, and whether the gate ``failed``.
+
+    A tile is deep ocean if its mean in ``a`` is below ``deep``; there the 95th percentile may not be over ``most``. ``over`` is the greatest share of a tile's pixels that differ by over ``apart``.
+    """
+    d = F.abs(F.col("a") - F.col("b"))
+    tiles = pixels.filter("a is not null and b is not null").groupBy(*tile).agg(F.avg(d).alias("mean_abs"), F.avg("a").alias("mean_depth"), (F.count(F.when(d > apart, 1)) / F.count(F.lit(1))).alias("share"))
+    tiles = written(tiles.withColumn("deep", F.col("mean_depth") < deep), "tiles")
+    q = exact_quantiles(tiles, ["deep"], "mean_abs", {"median": 0.5, "p95": 0.95}).groupBy().agg(*(F.coalesce(F.max(F.when(F.col("deep") == k, F.col(c))), F.lit(0.0)).alias(f"{n}_{c}") for k, n in ((True, "deep"), (False, "other")) for c in ("median", "p95")))
+    counts = tiles.agg(F.count(F.lit(1)).alias("compared"), F.count(F.when(F.col("deep"), 1)).alias("deep"), F.coalesce(F.max("share"), F.lit(0.0)).alias("over"))
+    met = counts.withColumn("_one", F.lit(1)).join(q.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return met.withColumn("failed", F.col("deep_p95") > most)
 
-def empty_rings(shoals: DataFrame, soundings: DataFrame) -> DataFrame:
-    """Closed shoals without a sounding in them."""
-    return shoals.join(soundings.select("r", "c"), ["r", "c"], "left_anti")
+
+def bare_rings(rings: DataFrame, pixels: DataFrame, soundings: DataFrame, height: int, rise: float = 0.05) -> DataFrame:
+    """``id, level, shoalest, bare`` of closed isobaths ``rings(id, level, ring)`` that enclose a shoal: ground in them rises over their level by more than ``rise``. ``bare`` ones have no sounding in them.
+
+    The ground in a ring are the ``pixels(r, c, z)`` whose middles lie in it, by rows and crossings, whatever other rings lie there; ``soundings(x, y)`` are in pixels.
+    """
+    inside = rasterize(rings.select("id", "ring"), height).join(pixels.filter("z < 0").select("r", "c", "z"), ["r", "c"]).groupBy("id").agg((-F.max("z")).alias("shoalest"))
+    shoals = rings.select("id", "level").join(inside, "id").filter(F.col("shoalest") < F.col("level") - rise)
+    points = soundings.select(F.monotonically_increasing_id().alias("id"), "x", "y")
+    owned = containing(points, rings.join(shoals.select("id"), "id", "left_semi").select(F.col("id").alias("ring_id"), "ring"), [], 1.0).select(F.col("ring_id").alias("id")).distinct().withColumn("_has", F.lit(True))
+    return shoals.join(owned, "id", "left").select("id", "level", "shoalest", F.col("_has").isNull().alias("bare"))
 
 
 def residuals(stations: DataFrame, surface: DataFrame, keys: list[str], limit: float) -> DataFrame:
@@ -73,10 +111,39 @@ def expected_regions(found: DataFrame, expected: DataFrame, key: str, count: str
     return both.withColumn("wrong", off).filter("wrong is not null")
 
 
-def contract(rows: DataFrame, required: list[str]) -> DataFrame:
-    """For each row the required values that it lacks; rows that lack none are left out."""
-    lacks = F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in required)), lambda x: x.isNotNull())
-    return rows.withColumn("lacks", F.array_join(lacks, ",")).filter("lacks <> ''")
+def contract(catalogs: DataFrame, required: list[str], recomputed: DataFrame, rasters: DataFrame) -> DataFrame:
+    """``source, problem, detail`` of each source of ``catalogs(source, <required>, bbox, count)`` that breaks its contract.
+
+    Required values may not be missing or blank; ``bbox`` and ``count`` must be those of ``recomputed(source, bbox, count)`` from its files; each file of ``rasters(source, filename, there, crs, nodata)`` must be
+    there, with both set, unless it is served from elsewhere (``remote``).
+    """
+    blank = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
+    lacks = F.filter(F.array(*(F.when(blank(c), F.lit(c)) for c in required)), lambda x: x.isNotNull())
+    first = catalogs.select("source", F.lit("lacks").alias("problem"), F.array_join(lacks, ",").alias("detail")).filter("detail <> ''")
+    met = catalogs.select("source", "bbox", "count").join(recomputed.select("source", F.col("bbox").alias("_bbox"), F.col("count").alias("_count")), "source", "left")
+    box = met.filter(~F.col("bbox").eqNullSafe(F.col("_bbox"))).select("source", F.lit("bbox").alias("problem"), F.to_json("_bbox").alias("detail"))
+    count = met.filter(~F.col("count").eqNullSafe(F.coalesce("_count", F.lit(0)))).select("source", F.lit("count").alias("problem"), F.coalesce("_count", F.lit(0)).cast("string").alias("detail"))
+    wrong = F.when(~F.col("there"), "missing file").when(F.col("crs").isNull(), "no crs").when(F.col("nodata").isNull(), "no nodata")
+    files = rasters.filter("not remote").select("source", wrong.alias("problem"), F.col("filename").alias("detail")).filter("problem is not null")
+    return first.unionByName(box).unionByName(count).unionByName(files)
+
+
+def water_gate(eligible: DataFrame, kept: DataFrame, probes: DataFrame, windows: DataFrame, margin: float) -> DataFrame:
+    """``problem, id``: eligible features that a conversion dropped (``dropped``, an ``id`` of ``kept(id, ring, holes)`` or not), and required probes without water near (``dry``).
+
+    ``probes(id, x, y, required)`` count where they lie in one of ``windows(west, south, east, north)``, a few boxes of what was read; they need a kept feature that shares some of
+    the square of ``margin`` around them. Probes that aren't required are never a problem.
+    """
+    dropped = eligible.select("id").join(kept.select("id"), "id", "left_anti").select(F.lit("dropped").alias("problem"), "id")
+    bins = lambda d, x0, x1: d.withColumn("_c", F.explode(F.sequence(F.floor(x0), F.floor(x1))))
+    size = F.lit(margin * 64)
+    asked = bins(probes.filter("required"), F.col("x") / size, F.col("x") / size)
+    boxes = bins(windows, F.col("west") / size, F.col("east") / size)
+    inside = asked.join(boxes, "_c").filter((F.col("x") >= F.col("west")) & (F.col("x") <= F.col("east")) & (F.col("y") >= F.col("south")) & (F.col("y") <= F.col("north"))).select("id", "x", "y").distinct()
+    at = lambda dx, dy: F.struct((F.col("x") + dx * margin).alias("x"), (F.col("y") + dy * margin).alias("y"))
+    squares = inside.select("id", F.array(at(-1, -1), at(1, -1), at(1, 1), at(-1, 1)).alias("ring"), F.array().cast(RINGS).alias("holes"))
+    wet = _cuts(squares, kept.select("id", "ring", holes_of(kept).alias("holes")), [], margin * 64, False).select(F.col("low").alias("id")).distinct()
+    return dropped.unionByName(inside.select("id").join(wet, "id", "left_anti").select(F.lit("dry").alias("problem"), "id"))
 
 
 def connectivity(before: DataFrame, after: DataFrame, extent: tuple[int, int, int, int], most_drying: float = 16.0, slack: float = 1e-3) -> DataFrame:

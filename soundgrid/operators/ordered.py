@@ -102,14 +102,20 @@ def _phases(classes: list[tuple]) -> dict:
     return {w: sorted(pieces) for w, pieces in out.items()}
 
 
+#: Different weights over which the driver may walk.
+MOST_WEIGHTS = 100_000
+
+
 def tile_priority(tiles: DataFrame, ranks: int = 4096) -> DataFrame:
     """An order of ``tiles(stem, weight)`` whose cumulative weight keeps to the average line.
 
     The next tile is the heaviest left while the weight so far is at most the number of tiles so far times the average, else the
-    lightest left; ties by a hash of the name. The driver walks over the different weights, which are few, not over the tiles: where a weight
+    lightest left; ties by a hash of the name. The driver walks over the different weights, ``MOST_WEIGHTS`` at most (more are an error), not over the tiles: where a weight
     is at an end, its ranks' places have a closed form. Ranks are counted in ranges of the hash of about ``ranks`` tiles. A tile without weight has no place.
     """
-    classes = [(r[0], r[1]) for r in tiles.filter("weight is not null").groupBy("weight").count().collect()]
+    classes = [(r[0], r[1]) for r in tiles.filter("weight is not null").groupBy("weight").count().limit(MOST_WEIGHTS + 1).collect()]
+    if len(classes) > MOST_WEIGHTS:
+        raise ValueError(f"over {MOST_WEIGHTS} different weights: round them, as to two digits")
     known = _phases(sorted(classes, reverse=True))
     tied = tiles.select("stem", "weight", F.xxhash64("stem").alias("_tie"))
     ranges = max(1, -(-sum(c for _, c in classes) // ranks))
@@ -139,21 +145,3 @@ def tile_priority(tiles: DataFrame, ranks: int = 4096) -> DataFrame:
     kinds = [f"{c} {tiles.schema[c].dataType.simpleString()}" for c in ("stem", "weight")]
     return mapped(ranked, run, ", ".join([*kinds, "place int"]))
 
-
-def spaced_picks(candidates: DataFrame, keys: list[str], spacing: float, most: int = 400) -> DataFrame:
-    """Worst first, the candidates of each tile that keep their distance from those picked before: ``keys, x, y, error``. The limit is a tile's own."""
-    ship(candidates.sparkSession)
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["error", "y", "x"], ascending=[False, True, True], kind="stable")
-        picked: list[tuple] = []
-        keep = []
-        for x, y in zip(rows["x"], rows["y"]):
-            free = len(picked) < most and all((x - u) ** 2 + (y - v) ** 2 >= spacing**2 for u, v in picked)
-            keep.append(free)
-            if free:
-                picked.append((x, y))
-        return rows[keep][[*keys, "x", "y", "error"]]
-
-    schema = ", ".join([*(f"{k} {candidates.schema[k].dataType.simpleString()}" for k in keys), "x double, y double, error double"])
-    return candidates.groupBy(*keys).applyInPandas(walk, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from soundgrid.functions import tiles
-from soundgrid.operators import covering, gates, intervals, near
+from soundgrid.operators import covering, gates, intervals, near, quantiles
 from soundgrid.queries import query
 from soundgrid.queries.views import files, points, registrations, table, with_views
 from soundgrid.sinks import tables
@@ -71,25 +71,30 @@ def resolve_newest_served(spark, sf_dir):
     return table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.max(F.when(F.col("c_acctbal") > 0, F.col("c_custkey") % 30)).alias("newest"))
 
 
-@query("SELECT i * 2.5::DOUBLE - 10 AS west, j * 2.5::DOUBLE - 5 AS south, least((i + 1) * 2.5::DOUBLE - 10, 6::DOUBLE) AS east, least((j + 1) * 2.5::DOUBLE - 5, 6::DOUBLE) AS north FROM range(7) a(i), range(5) b(j)")
+@query("SELECT n_nationkey AS k, i * 2.5::DOUBLE - w AS west, j * 2.5::DOUBLE - 5 AS south, least((i + 1) * 2.5::DOUBLE - w, 6::DOUBLE) AS east, least((j + 1) * 2.5::DOUBLE - 5, h) AS north FROM (SELECT n_nationkey, 10 + n_nationkey % 7 AS w, CAST(n_nationkey % 5 + 1 AS DOUBLE) AS h FROM nation) n, range(10) a(i), range(5) b(j) WHERE i * 2.5::DOUBLE - w < 6 AND j * 2.5::DOUBLE - 5 < h")
 def bbox_cells(spark, sf_dir):
-    return registry.bbox_cells(-10.0, -5.0, 6.0, 6.0, 2.5, spark)
+    k = F.col("n_nationkey")
+    boxes = table(spark, sf_dir, "nation").select(k.alias("k"), (-(k % 7 + 10.0)).alias("west"), F.lit(-5.0).alias("south"), F.lit(6.0).alias("east"), (k % 5 + 1.0).alias("north"))
+    return registry.bbox_cells(boxes, 2.5)
 
 
-SPEC = "(CASE k % 4 WHEN 0 THEN 'zip:*.tif!' || CAST(k AS VARCHAR) WHEN 1 THEN 'tar.gz' WHEN 2 THEN '7z:*' ELSE 'e00!3' END)"
+SPEC = "CASE k % 9 WHEN 0 THEN 'zip:*.tif!' || CAST(k AS VARCHAR) WHEN 1 THEN 'tar.gz' WHEN 2 THEN '7z:*' WHEN 3 THEN 'e00!3' WHEN 4 THEN 'netcdf:a' WHEN 5 THEN 'asc-tile' WHEN 6 THEN 'asc-tile:*.asc!2' WHEN 7 THEN 'zip:*!x' ELSE 'gldb' END"
 
 
-@query(f"SELECT k, nullif(regexp_extract(s, '^([^:!]+)(?::([^!]+))?(?:!(\\d+))?$', 1), '') AS format, nullif(regexp_extract(s, '^([^:!]+)(?::([^!]+))?(?:!(\\d+))?$', 2), '') AS members, CAST(nullif(regexp_extract(s, '^([^:!]+)(?::([^!]+))?(?:!(\\d+))?$', 3), '') AS INT) AS expect FROM (SELECT s_suppkey AS k, {SPEC.replace('k %', 's_suppkey %').replace('CAST(k', 'CAST(s_suppkey')} AS s FROM supplier) t")
+@query(f"SELECT k, split_part(s, ':', 1) AS format, CASE k % 9 WHEN 0 THEN '*.tif' WHEN 2 THEN '*' WHEN 4 THEN 'a' WHEN 6 THEN '*.asc' WHEN 7 THEN '*' END AS members, CAST(CASE k % 9 WHEN 0 THEN k WHEN 6 THEN 2 END AS INT) AS expect, CASE k % 9 WHEN 1 THEN 'tar.gz needs a pattern' WHEN 3 THEN 'unknown format e00!3' WHEN 4 THEN 'netcdf takes no pattern or count' WHEN 7 THEN 'count is no number' END AS problem FROM (SELECT k, {SPEC} AS s FROM (SELECT s_suppkey AS k FROM supplier) q) t")
 def parse_unpack(spark, sf_dir):
     k = F.col("s_suppkey")
-    spec = F.when(k % 4 == 0, F.concat(F.lit("zip:*.tif!"), k.cast("string"))).when(k % 4 == 1, F.lit("tar.gz")).when(k % 4 == 2, F.lit("7z:*")).otherwise(F.lit("e00!3"))
-    return table(spark, sf_dir, "supplier").select(k.alias("k"), *registry.parse_unpack(spec))
+    spec = F.when(k % 9 == 0, F.concat(F.lit("zip:*.tif!"), k.cast("string")))
+    for n, text in enumerate(("tar.gz", "7z:*", "e00!3", "netcdf:a", "asc-tile", "asc-tile:*.asc!2", "zip:*!x"), 1):
+        spec = spec.when(k % 9 == n, text)
+    return table(spark, sf_dir, "supplier").select(k.alias("k"), *registry.parse_unpack(spec.otherwise("gldb")))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'zip' WHEN 1 THEN 'gzip' WHEN 2 THEN 'tif' WHEN 3 THEN '7z' ELSE 'other' END AS kind FROM part")
+@query("SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'zip' WHEN 1 THEN 'gzip' WHEN 2 THEN 'tif' WHEN 3 THEN '7z' WHEN 4 THEN 'tar' WHEN 5 THEN 'e00' ELSE 'other' END AS kind FROM part")
 def kind_sniff(spark, sf_dir):
-    k = F.col("p_partkey") % 5
-    head = F.when(k == 0, "504B030414").when(k == 1, "1F8B08").when(k == 2, "49492A0008").when(k == 3, "377ABCAF271C00").otherwise("00")
+    k = F.col("p_partkey") % 7
+    head = F.when(k == 0, "504B030414").when(k == 1, "1F8B08").when(k == 2, "49492A0008").when(k == 3, "377ABCAF271C00").when(k == 5, "455850202030").otherwise("00")
+    head = F.when(k == 4, F.concat(F.repeat(F.hex(F.lit("f")), 257), F.lit("7573746172003030"))).otherwise(head)
     return table(spark, sf_dir, "part").select("p_partkey", registry.kind_sniff(F.unhex(head)).alias("kind"))
 
 
@@ -108,26 +113,34 @@ def dedupe_entries(spark, sf_dir):
     return registry.dedupe_entries(table(spark, sf_dir, "part").select(F.col("p_brand").alias("path"), F.col("p_size").alias("crc")))
 
 
-@query("SELECT p_brand, count(*) AS members, count(*) = 3 AS expected FROM part WHERE p_name LIKE '%1%' GROUP BY 1")
+@query("SELECT p_brand AS archive, count(*) FILTER (p_name LIKE '%1%') AS members, CASE WHEN max(p_size) % 2 = 0 AND count(*) FILTER (p_name LIKE '%1%') <> 3 THEN 'count' WHEN count(*) FILTER (p_name LIKE '%1%') = 0 THEN 'no member' END AS problem FROM part GROUP BY 1")
 def members_select(spark, sf_dir):
-    kept = registry.glob_filter(table(spark, sf_dir, "part"), "p_name", "*1*")
-    return kept.groupBy("p_brand").agg(F.count(F.lit(1)).alias("members"), (F.count(F.lit(1)) == 3).alias("expected"))
+    """Each brand as an archive of its names; every other one expects three members."""
+    part = table(spark, sf_dir, "part")
+    most = part.groupBy("p_brand").agg(F.max("p_size").alias("most"))
+    entries = part.join(most, "p_brand").select(F.col("p_brand").alias("archive"), F.col("p_name").alias("member"), F.lit("*1*").alias("glob"), F.when(F.col("most") % 2 == 0, 3).alias("expect"))
+    return registry.members_select(entries)
 
 
-@query("SELECT i // 7 AS at, CAST(i AS DOUBLE) AS value FROM range(70) r(i)")
+@query("SELECT p_partkey AS grid, CAST(i // 7 AS INT) AS row, CAST(i % 7 AS INT) AS col, CAST(p_partkey % 100 + i AS DOUBLE) / 4 AS value FROM part, range(14) r(i)")
 def parse_e00(spark, sf_dir):
-    """Ten rows of seven values, five to a line, so each row fills two lines."""
-    lines = spark.range(20).select(F.col("id").alias("line"), F.floor(F.col("id") / 2).alias("row"), (F.col("id") % 2 * 5).alias("first"))
-    text = F.concat(*(F.format_string("%14.6f", (F.col("first") + k + F.col("row") * 7).cast("double")) for k in range(5)))
-    return formats.fixed_width_values(lines.select("line", text.alias("value")), row_length=7).select(F.col("row").cast("long").alias("at"), "value")
+    """Two rows of seven values a part, five to a line, so each row fills two lines."""
+    lines = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("grid"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("line"))
+    cell = lambda k: F.floor(F.col("line") / 2) * 7 + F.col("line") % 2 * 5 + k
+    text = F.concat(*(F.format_string("%14.6f", (F.col("grid") % 100 + cell(k)) / 4.0) for k in range(5)))
+    return formats.fixed_width_values(lines.select("grid", "line", text.alias("value")), row_length=7, keys=["grid"])
 
 
-@query("SELECT CAST(s_suppkey AS BIGINT) AS entry, 1 AS continuations FROM supplier")
+@query("SELECT s_nationkey AS file, s_suppkey AS line, CASE WHEN s_suppkey % 5 = 3 THEN 'Second' ELSE 'Lake' || CAST(s_suppkey AS VARCHAR) END AS name, CASE WHEN s_suppkey % 11 <> 7 THEN s_suppkey / CAST(4 AS DOUBLE) END AS lat, CASE WHEN s_suppkey % 11 <> 7 THEN CAST(s_suppkey AS DOUBLE) END AS lon, CASE WHEN s_suppkey % 11 <> 7 AND s_suppkey % 5 <> 3 THEN s_suppkey + CAST(0.5 AS DOUBLE) END AS mean, CASE WHEN s_suppkey % 11 <> 7 AND s_suppkey % 5 <> 3 THEN s_suppkey + CAST(2 AS DOUBLE) END AS deepest, CASE WHEN s_suppkey % 11 = 7 THEN 'fields' END AS problem FROM supplier WHERE s_suppkey % 13 <> 5 AND s_suppkey <> 0 AND s_suppkey < coalesce((SELECT min(q.s_suppkey) FROM supplier q WHERE q.s_nationkey = supplier.s_nationkey AND q.s_suppkey % 3 = 1 AND q.s_suppkey % 13 = 5), 1000000000)")
 def parse_inventory(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier")
-    lines = s.select((F.col("s_suppkey") * 2).alias("line"), F.lit("a | b | c | d | e | f").alias("value")).unionByName(s.select((F.col("s_suppkey") * 2 + 1).alias("line"), F.lit("x | y | z").alias("value")))
-    lowest = s.agg(F.min("s_suppkey")).first()[0]
-    return formats.inventory(lines).groupBy("entry").agg((F.count(F.lit(1)) - 1).cast("int").alias("continuations")).withColumn("entry", F.col("entry") + lowest - 1)
+    """Tables of lakes with rows that go on, rules, rows with a field too many, and references at the end."""
+    k = F.col("s_suppkey")
+    words = lambda *parts: F.concat_ws(" ", *(p if not isinstance(p, str) else F.lit(p) for p in parts))
+    name, lat, lon = F.concat(F.lit("Lake"), k.cast("string")), (k / 4.0).cast("string"), k.cast("string")
+    whole = words(name, "Land |", lon, "|", lat, lon, "|", (k + 0.5).cast("string"), (k + 2).cast("string"), "[4]")
+    line = F.when(k % 13 == 5, F.when(k % 3 == 1, "1. A book").otherwise("-----")).when(k % 11 == 7, F.concat(whole, F.lit(" 99"))).when(k % 5 == 3, words("Second Land |", lat, lon, "| |", "7")).otherwise(whole)
+    line = F.when((k % 11 == 7) & (k % 5 == 3) & (k % 13 != 5), F.concat(words("Second Land |", lat, lon, "| |", "7"), F.lit(" 99"))).otherwise(line)
+    return formats.inventory(table(spark, sf_dir, "supplier").filter("s_suppkey <> 0").select(F.col("s_nationkey").alias("file"), k.alias("line"), line.alias("value")))
 
 
 @query("SELECT CAST(c_custkey AS DOUBLE) AS lon, c_custkey / CAST(2 AS DOUBLE) AS lat, CAST(c_custkey % 7 AS DOUBLE) AS value FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey <> 0")
@@ -143,17 +156,25 @@ def source_probe(spark, sf_dir):
     return stats.withColumn("mean", F.round("mean", 9))
 
 
-@query("SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS now, (SELECT count(*) FROM orders) AS before, true AS refused")
+LISTED = "SELECT 's' || CAST(o_custkey % 9 AS VARCHAR) AS source, 'u' || CAST(CASE WHEN o_custkey % 9 = 4 THEN o_orderkey // 8 ELSE o_orderkey END AS VARCHAR) AS url FROM orders WHERE o_orderstatus <> 'P' AND (o_custkey % 9 < 5 OR o_orderkey % 30 > o_custkey % 9)"
+
+
+@query(with_views("SELECT n.source, now, coalesce(before, 0) AS before, dups AS duplicates, CASE WHEN dups > 0 THEN 'duplicates' WHEN n.source IN ('s1', 's3', 's5', 's7') AND 1 - now / CAST(before AS DOUBLE) > CAST(0.25 AS DOUBLE) THEN 'shrank' END AS problem FROM (SELECT source, sum(k) AS now, count(*) FILTER (k > 1) AS dups FROM (SELECT source, url, count(*) AS k FROM listed GROUP BY 1, 2) t GROUP BY 1) n LEFT JOIN (SELECT 's' || CAST(o_custkey % 9 AS VARCHAR) AS source, count(*) AS before FROM orders WHERE o_custkey % 9 <> 2 GROUP BY 1) b ON b.source = n.source", listed=LISTED))
 def write_items(spark, sf_dir):
+    """What keeps a source's items from being written: repeated addresses, and a listing that shrank by over a quarter."""
+    k, o = F.col("o_custkey") % 9, F.col("o_orderkey")
+    source = F.concat(F.lit("s"), k.cast("string")).alias("source")
     orders = table(spark, sf_dir, "orders")
-    return registry.shrink_guard(orders.filter("o_orderstatus = 'O'"), orders)
+    url = F.concat(F.lit("u"), F.when(k == 4, F.floor(o / 8)).otherwise(o).cast("string"))
+    now = orders.filter((F.col("o_orderstatus") != "P") & ((k < 5) | (o % 30 > k))).select(source, url.alias("url"), (k % 2 == 1).alias("listed"))
+    return registry.listing_guard(now, orders.filter(k != 2).select(source, o.cast("string").alias("url")), 0.25)
 
 
-@query("SELECT CAST(p_size AS DOUBLE) AS z FROM part UNION ALL SELECT p_retailprice FROM part")
+@query("SELECT CAST(p_size AS REAL) AS z FROM part UNION ALL SELECT CAST(p_retailprice AS REAL) FROM part")
 def float32_promote(spark, sf_dir):
-    """Values of different types under one type."""
+    """Values of different types under one type of four bytes."""
     part = table(spark, sf_dir, "part")
-    return part.select(F.col("p_size").cast("double").alias("z")).unionByName(part.select(F.col("p_retailprice").alias("z")))
+    return part.select(F.col("p_size").cast("float").alias("z")).unionByName(part.select(F.col("p_retailprice").cast("float").alias("z")))
 
 
 # Registration.
@@ -405,9 +426,16 @@ def build_rollup(spark, sf_dir):
     return e.orderBy(F.desc("total"))
 
 
-@query("SELECT user_id, event_type, value FROM (SELECT user_id, event_type, value, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k FROM events) t WHERE k = 1")
+RUNS = "SELECT * FROM (SELECT CASE user_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS label, event_type AS stage, user_id // 3 AS stem, value AS wall, CAST(event_id % 50 AS DOUBLE) AS parts, row_number() OVER (PARTITION BY user_id % 3, event_type, user_id // 3 ORDER BY event_id DESC) AS k FROM events) t WHERE k = 1 AND label <> 'c'"
+TOLD = "SELECT a.stage, a.stem, m.metric, CASE m.metric WHEN 'wall' THEN a.wall ELSE a.parts END AS was, CASE m.metric WHEN 'wall' THEN b.wall ELSE b.parts END AS now, CASE m.metric WHEN 'wall' THEN CAST(0.10 AS DOUBLE) ELSE CAST(0.01 AS DOUBLE) END AS bound FROM (SELECT * FROM runs WHERE label = 'a') a JOIN (SELECT * FROM runs WHERE label = 'b') b ON b.stage = a.stage AND b.stem = a.stem, (VALUES ('wall'), ('parts')) m(metric)"
+
+
+@query(with_views("SELECT stage, stem, metric, was, now, round((now - was) / was, 9) AS change, CASE WHEN (now - was) / was > bound THEN 'regressed' END AS verdict FROM told WHERE was <> 0 AND now IS NOT NULL UNION ALL SELECT coalesce(a.stage, b.stage), coalesce(a.stem, b.stem), NULL, NULL, NULL, NULL, CASE WHEN a.stem IS NULL THEN 'missing a' ELSE 'missing b' END FROM (SELECT * FROM runs WHERE label = 'a') a FULL JOIN (SELECT * FROM runs WHERE label = 'b') b ON b.stage = a.stage AND b.stem = a.stem WHERE a.stem IS NULL OR b.stem IS NULL", runs=RUNS, told=TOLD))
 def bench_compare(spark, sf_dir):
-    return gates.last_per_key(table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id", ["value"])
+    """Two runs by stage and stem: the last of each counts, against limits; what one lacks is told."""
+    u = F.col("user_id")
+    rows = table(spark, sf_dir, "events").select(F.when(u % 3 == 0, "a").when(u % 3 == 1, "b").otherwise("c").alias("label"), F.col("event_type").alias("stage"), F.floor(u / 3).alias("stem"), "event_id", F.col("value").alias("wall"), (F.col("event_id") % 50).cast("double").alias("parts"))
+    return gates.compare_runs(rows, "a", "b", "event_id", {"wall": 0.10, "parts": 0.01}).withColumn("change", F.round("change", 9))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5")
@@ -430,10 +458,13 @@ def stratified_sample(spark, sf_dir):
     return table(spark, sf_dir, "orders").filter(digit < F.when(F.col("o_orderstatus") == "P", "c").otherwise("8")).select("o_orderstatus", "o_orderkey")
 
 
-@query("SELECT l_returnflag, avg(d) AS mean, max(d) AS most, quantile_cont(d, 0.95) AS p95, count(*) FILTER (d > 1) / CAST(count(*) AS DOUBLE) AS over_one FROM (SELECT l_returnflag, CAST(l_linenumber AS DOUBLE) AS d FROM lineitem) t GROUP BY 1")
+@query("SELECT l_returnflag, round(avg(d), 9) AS mean, max(d) AS most, round(quantile_cont(d, 0.5), 9) AS median, round(quantile_cont(d, 0.95), 9) AS p95, count(*) FILTER (d > 1) / CAST(count(*) AS DOUBLE) AS over_one FROM (SELECT l_returnflag, l_extendedprice / CAST(1000 AS DOUBLE) AS d FROM lineitem) t GROUP BY 1")
 def tile_stats(spark, sf_dir):
-    d = F.col("l_linenumber").cast("double")
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.avg(d).alias("mean"), F.max(d).alias("most"), F.percentile(d, 0.95).alias("p95"), (F.count(F.when(d > 1, 1)) / F.count(F.lit(1))).alias("over_one"))
+    d = F.col("l_extendedprice") / 1000.0
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", d.alias("d"))
+    stats = rows.groupBy("l_returnflag").agg(F.round(F.avg("d"), 9).alias("mean"), F.max("d").alias("most"), (F.count(F.when(F.col("d") > 1, 1)) / F.count(F.lit(1))).alias("over_one"))
+    found = quantiles.exact_quantiles(rows, ["l_returnflag"], "d", {"median": 0.5, "p95": 0.95})
+    return stats.join(found.withColumns({c: F.round(c, 9) for c in ("median", "p95")}), "l_returnflag")
 
 
 @query("SELECT n.n_regionkey AS region, sum(s.score) FILTER (true) AS score FROM (SELECT s_nationkey, CASE WHEN count(*) FILTER (s_acctbal < 0) > 0 THEN NULL ELSE count(*) END AS score FROM supplier GROUP BY 1) s JOIN nation n ON n.n_nationkey = s.s_nationkey GROUP BY 1 HAVING count(*) = count(s.score)")

@@ -63,19 +63,27 @@ def displayed_at(spark, sf_dir):
 
 TIERS = ", ".join(f"({k}, {floor}, {level})" for k, (floor, (_, levels)) in enumerate(zip([0, *(z for z, _ in depth.CONTOUR_TIERS)], depth.CONTOUR_TIERS)) for level in levels)
 LADDER = ", ".join(f"({D.format(repr(float(v)))})" for v in depth.METRE_LADDER)
-FATHOMS = ", ".join(f"({D.format(repr(v))})" for v in depth.ladder(True))
 
 
-@query(f"SELECT l.level, coalesce(min(t.floor), 11) AS minzoom FROM (VALUES {LADDER}) l(level) LEFT JOIN (VALUES {TIERS}) t(tier, floor, level) ON t.level = l.level GROUP BY 1")
+LEVELLED = "SELECT p_partkey, level FROM part JOIN (VALUES {}) l(k, level) ON k = p_partkey % {}"
+RUNGS, FATHOM_RUNGS = [float(v) for v in depth.METRE_LADDER], depth.ladder(True)
+numbered = lambda rungs: ", ".join(f"({k}, {D.format(repr(v))})" for k, v in enumerate(rungs))
+
+
+def _levelled(spark, sf_dir, rungs):
+    """A level of the ladder for each part."""
+    level = F.get(F.array(*(F.lit(v) for v in rungs)), (F.col("p_partkey") % len(rungs)).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", level.alias("level"))
+
+
+@query(with_views(f"SELECT l.p_partkey, l.level, coalesce(min(t.floor), 11) AS minzoom FROM levelled l LEFT JOIN (VALUES {TIERS}) t(tier, floor, level) ON t.level = l.level GROUP BY 1, 2", levelled=LEVELLED.format(numbered(RUNGS), len(RUNGS))))
 def ring_minzoom(spark, sf_dir):
-    levels = spark.createDataFrame([(float(v),) for v in depth.METRE_LADDER], "level double")
-    return levels.select("level", depth.contour_minzoom(F.col("level"), F.lit(False)).alias("minzoom"))
+    return _levelled(spark, sf_dir, RUNGS).withColumn("minzoom", depth.contour_minzoom(F.col("level"), F.lit(False)))
 
 
-@query(f"SELECT l.level, coalesce(min(t.floor), 11) AS minzoom FROM (VALUES {FATHOMS}) l(level) LEFT JOIN (SELECT tier, floor, min(level) AS least FROM (VALUES {TIERS}) t(tier, floor, level) GROUP BY 1, 2) t ON l.level >= t.least GROUP BY 1")
+@query(with_views(f"SELECT l.p_partkey, l.level, coalesce(min(t.floor), 11) AS minzoom FROM levelled l LEFT JOIN (SELECT tier, floor, min(level) AS least FROM (VALUES {TIERS}) t(tier, floor, level) GROUP BY 1, 2) t ON l.level >= t.least GROUP BY 1, 2", levelled=LEVELLED.format(numbered(FATHOM_RUNGS), len(FATHOM_RUNGS))))
 def contour_minzoom(spark, sf_dir):
-    levels = spark.createDataFrame([(v,) for v in depth.ladder(True)], "level double")
-    return levels.select("level", depth.contour_minzoom(F.col("level"), F.lit(True)).alias("minzoom"))
+    return _levelled(spark, sf_dir, FATHOM_RUNGS).withColumn("minzoom", depth.contour_minzoom(F.col("level"), F.lit(True)))
 
 
 @query(f"SELECT p_partkey, CASE WHEN p_size = 0 THEN 0 ELSE coalesce((SELECT min(level) FROM (VALUES {LADDER}) l(level) WHERE level >= p_size - CAST(0.01 AS DOUBLE)), 10000) END AS level FROM part")

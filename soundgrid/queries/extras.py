@@ -10,7 +10,7 @@ from soundgrid.queries import query
 from soundgrid.queries.catalog import HW, SPLIT, STEMS, _spans, _stems
 from soundgrid.queries.charting import BOXES, _boxes
 from soundgrid.queries.surfaces import CELLS, MASKED, SIDES, _masked, blur_sql
-from soundgrid.queries.views import EXTENT, files, mask, points, px, surface, table, with_views
+from soundgrid.queries.views import EXTENT, SIDE, files, mask, points, px, surface, table, with_views
 
 
 @query(with_views("SELECT coalesce(a.r, b.r) AS r, coalesce(a.c, b.c) AS c, coalesce(b.z, a.z) AS z, CASE WHEN b.z IS NOT NULL THEN 2 ELSE 1 END AS bias FROM (SELECT * FROM px WHERE src = 'A') a FULL JOIN (SELECT * FROM px WHERE src = 'R') b ON a.r = b.r AND a.c = b.c"))
@@ -206,7 +206,7 @@ def seam_feather(spark, sf_dir):
 
     merged = merge.priority_fill(px(spark, sf_dir), sources(spark), ["r", "c"])
     rank = F.when(F.col("src") == "R", 1).when(F.col("src") == "N", 2).otherwise(3)
-    return focal.seam_feather(merged, rank, EXTENT).select("r", "c", "z", F.round("feathered", 6).alias("feathered"))
+    return focal.seam_feather(merged, rank, EXTENT, size=32).select("r", "c", "z", F.round("feathered", 6).alias("feathered"))
 
 
 @query()
@@ -360,10 +360,20 @@ def gate_density(spark, sf_dir):
     return out.select("points", "alone", *(F.round(c, 9).alias(c) for c in ("p25", "p50", "p75")))
 
 
-@query(with_views("SELECT cells.r, cells.c FROM cells WHERE NOT EXISTS (SELECT 1 FROM (SELECT r, c FROM cells WHERE depth < 20) s WHERE s.r = cells.r AND s.c = cells.c)", cells=CELLS))
+# Boxes of three to nine pixels as closed isobaths of a level of their own; some lie in others.
+RINGED = "SELECT id, CAST(p_size % 6 * 4 AS DOUBLE) AS level, i * 3 AS x0, j * 3 AS y0, i * 3 + 3 + 3 * (p_size % 3) AS x1, j * 3 + 3 + 3 * (p_size % 3) AS y1 FROM boxes WHERE p_size % 6 > 0"
+
+
+@query(with_views("SELECT id, level, shoalest, NOT EXISTS (SELECT 1 FROM points p WHERE p.x > t.x0 AND p.x < t.x1 AND p.y > t.y0 AND p.y < t.y1) AS bare FROM (SELECT g.id, g.level, g.x0, g.x1, g.y0, g.y1, -max(s.z) AS shoalest FROM ringed g JOIN surface s ON s.c >= g.x0 AND s.c < g.x1 AND s.r >= g.y0 AND s.r < g.y1 WHERE s.z < 0 GROUP BY ALL) t WHERE shoalest < level - CAST(0.05 AS DOUBLE)", boxes=BOXES, ringed=RINGED))
 def gate_rings(spark, sf_dir):
-    cells = merge.shoalest_cell(surface(spark, sf_dir), 3)
-    return gates.empty_rings(cells, cells.filter("depth < 20")).select("r", "c")
+    """Closed isobaths around shoals, and those of them without a sounding inside."""
+    b = _boxes(spark, sf_dir).filter("p_size % 6 > 0")
+    x0, y0, side = F.col("ring")[0]["x"] * 3.0, F.col("ring")[0]["y"] * 3.0, F.lit(3.0) + F.col("p_size") % 3 * 3.0
+    at = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    rings = b.select("id", (F.col("p_size") % 6 * 4).cast("double").alias("level"), F.array(at(x0, y0), at(x0 + side, y0), at(x0 + side, y0 + side), at(x0, y0 + side)).alias("ring"))
+    # Soundings on a ring's edge may count either way; a nudge decides it.
+    soundings = points(spark, sf_dir).select(*(F.when(F.col(c) == F.floor(c), F.lit(-1.0)).otherwise(F.col(c)).alias(c) for c in ("x", "y")))
+    return gates.bare_rings(rings, surface(spark, sf_dir), soundings, SIDE)
 
 
 @query("SELECT s_nationkey AS nation, s_suppkey, s_acctbal AS value, abs(s_acctbal - m) AS residual FROM supplier LEFT JOIN (SELECT c_nationkey, max(c_acctbal) AS m FROM customer WHERE c_nationkey <> 3 GROUP BY 1) c ON s_nationkey = c_nationkey WHERE m IS NULL OR abs(s_acctbal - m) > 5000")
@@ -380,22 +390,47 @@ def coverage_gate(spark, sf_dir):
     return gates.expected_regions(now, due, "k", "n", 0.5)
 
 
-@query("SELECT c_custkey, CASE WHEN a AND b THEN 'name,balance' WHEN a THEN 'name' ELSE 'balance' END AS lacks FROM (SELECT c_custkey, c_custkey % 3 = 0 AS a, c_acctbal < 0 AS b FROM customer) t WHERE a OR b")
-def source_contract(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")).alias("name"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"))
-    return gates.contract(rows, ["name", "balance"]).select("c_custkey", "lacks")
+CATALOGS = "SELECT s_suppkey AS source, CASE WHEN s_suppkey % 9 <> 2 THEN s_name END AS name, CASE WHEN s_suppkey % 7 = 3 THEN '  ' ELSE s_name END AS license, coalesce(l, 0) + CASE WHEN s_suppkey % 5 = 1 THEN 1 ELSE 0 END AS l, coalesce(h, 0) AS h, coalesce(n, 0) + CASE WHEN s_suppkey % 11 = 4 THEN 1 ELSE 0 END AS n FROM supplier LEFT JOIN recounted ON source = s_suppkey"
+RECOUNTED = "SELECT l_suppkey AS source, min(l_partkey) AS l, max(l_partkey) AS h, count(*) AS n FROM lineitem WHERE l_suppkey % 13 <> 6 GROUP BY 1"
 
 
-@query(with_views("SELECT count(*) AS tidal, count(*) FILTER (z IS NULL) AS uncovered FROM mask LEFT JOIN surface ON mask.r = surface.r AND mask.c = surface.c WHERE tidal"))
+@query(with_views("SELECT source, 'lacks' AS problem, CASE WHEN name IS NULL AND trim(license) = '' THEN 'name,license' WHEN name IS NULL THEN 'name' ELSE 'license' END AS detail FROM catalogs WHERE name IS NULL OR trim(license) = '' UNION ALL SELECT c.source, 'bbox', CASE WHEN r.source IS NULL THEN NULL ELSE '{\"l\":' || CAST(r.l AS VARCHAR) || ',\"h\":' || CAST(r.h AS VARCHAR) || '}' END FROM catalogs c LEFT JOIN recounted r ON r.source = c.source WHERE r.source IS NULL OR c.l <> r.l OR c.h <> r.h UNION ALL SELECT c.source, 'count', CAST(coalesce(r.n, 0) AS VARCHAR) FROM catalogs c LEFT JOIN recounted r ON r.source = c.source WHERE c.n <> coalesce(r.n, 0) UNION ALL SELECT l_suppkey, CASE WHEN l_linenumber = 7 THEN 'missing file' WHEN l_returnflag = 'R' AND l_partkey % 50 = 0 THEN 'no crs' ELSE 'no nodata' END, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) FROM lineitem WHERE l_suppkey % 3 <> 0 AND (l_linenumber = 7 OR (l_returnflag = 'R' AND l_partkey % 50 = 0) OR l_partkey % 70 = 1)", catalogs=CATALOGS, recounted=RECOUNTED))
+def source_contract(spark, sf_dir):
+    """Catalogs against what their files say: values, boxes, counts, rasters."""
+    files = table(spark, sf_dir, "lineitem")
+    box = F.struct(F.min("l_partkey").alias("l"), F.max("l_partkey").alias("h"))
+    recounted = files.filter("l_suppkey % 13 <> 6").groupBy(F.col("l_suppkey").alias("source")).agg(box.alias("bbox"), F.count(F.lit(1)).alias("count"))
+    k = F.col("source")
+    told = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("source"), "s_name").join(recounted, "source", "left")
+    zero = F.lit(0).cast("long")
+    bbox = F.struct((F.coalesce("bbox.l", zero) + F.when(k % 5 == 1, 1).otherwise(0)).alias("l"), F.coalesce("bbox.h", zero).alias("h"))
+    catalogs = told.select("source", F.when(k % 9 != 2, F.col("s_name")).alias("name"), F.when(k % 7 == 3, "  ").otherwise(F.col("s_name")).alias("license"), bbox.alias("bbox"), (F.coalesce("count", zero) + F.when(k % 11 == 4, 1).otherwise(0)).alias("count"))
+    name = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    rasters = files.select(F.col("l_suppkey").alias("source"), name.alias("filename"), (F.col("l_linenumber") != 7).alias("there"), F.when(~((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 50 == 0)), "EPSG:3857").alias("crs"), F.when(F.col("l_partkey") % 70 != 1, -9999.0).alias("nodata"), (F.col("l_suppkey") % 3 == 0).alias("remote"))
+    return gates.contract(catalogs, ["name", "license"], recounted, rasters)
+
+
+@query(with_views("SELECT 'dropped' AS problem, id FROM boxes WHERE id % 17 = 4 UNION ALL SELECT 'dry', p.id FROM points p WHERE p.id % 3 = 0 AND p.x BETWEEN 2 AND 38 AND p.y BETWEEN 0 AND 40 AND NOT EXISTS (SELECT 1 FROM boxes b WHERE b.id % 17 <> 4 AND b.i < p.x + 0.25 AND b.i + 1 > p.x - 0.25 AND b.j < p.y + 0.25 AND b.j + 1 > p.y - 0.25)", boxes=BOXES))
 def water_gate(spark, sf_dir):
-    met = mask(spark, sf_dir).filter("tidal").join(surface(spark, sf_dir), ["r", "c"], "left")
-    return met.agg(F.count(F.lit(1)).alias("tidal"), F.count(F.when(F.col("z").isNull(), 1)).alias("uncovered"))
+    """Water that a conversion dropped, and required probes that have none near."""
+    eligible = _boxes(spark, sf_dir)
+    probes = points(spark, sf_dir).withColumn("required", F.col("id") % 3 == 0)
+    windows = table(spark, sf_dir, "region").filter("r_regionkey < 2").select((F.col("r_regionkey") * 18.0 + 2.0).alias("west"), F.lit(0.0).alias("south"), (F.col("r_regionkey") * 18.0 + 20.0).alias("east"), F.lit(40.0).alias("north"))
+    return gates.water_gate(eligible, eligible.filter("id % 17 <> 4"), probes, windows, 0.25)
+
+
+SHIFTED = "SELECT r >> 4 AS tr, c >> 4 AS tc, z * 60 AS a, z * 60 + CASE WHEN land THEN c % 5 ELSE (r % 3) * CAST(0.5 AS DOUBLE) END AS b FROM masked"
+TILED = "SELECT avg(abs(a - b)) AS mean_abs, avg(a) < -300 AS deep, count(*) FILTER (abs(a - b) > 1) / CAST(count(*) AS DOUBLE) AS share FROM shifted GROUP BY tr, tc"
 
 
-@query(with_views("SELECT r >> 4 AS tile_r, avg(abs(z - h)) AS mean_delta, max(abs(z - h)) AS max_delta, quantile_cont(abs(z - h), 0.95) AS p95 FROM (SELECT r, c, z, CASE WHEN land AND z < 0 THEN 0 ELSE z END AS h FROM masked) t GROUP BY 1", masked=MASKED))
+@query(with_views("SELECT count(*) AS compared, count(*) FILTER (deep) AS deep, round(max(share), 9) AS over, " + ", ".join(f"round(coalesce(quantile_cont(mean_abs, {p}) FILTER ({'' if n == 'deep' else 'NOT '}deep), 0), 9) AS {n}_{c}" for n in ("deep", "other") for c, p in (("median", 0.5), ("p95", 0.95))) + ", coalesce(quantile_cont(mean_abs, 0.95) FILTER (deep), 0) > CAST(0.55 AS DOUBLE) AS failed FROM tiled", masked=MASKED, shifted=SHIFTED, tiled=TILED))
 def ab_terrain(spark, sf_dir):
-    d = F.abs(F.col("z") - F.when(F.col("land") & (F.col("z") < 0), 0.0).otherwise(F.col("z")))
-    return _masked(spark, sf_dir).groupBy(F.shiftright("r", 4).alias("tile_r")).agg(F.avg(d).alias("mean_delta"), F.max(d).alias("max_delta"), F.percentile(d, 0.95).alias("p95"))
+    """Two builds of the ground by tiles of 16 pixels: deep ones may hardly differ."""
+    a = F.col("z") * 60.0
+    b = a + F.when(F.col("land"), F.col("c") % 5).otherwise(F.col("r") % 3 * 0.5)
+    pixels = _masked(spark, sf_dir).select(F.shiftright("r", 4).alias("tr"), F.shiftright("c", 4).alias("tc"), a.alias("a"), b.alias("b"))
+    found = gates.ab_terrain(pixels, ["tr", "tc"], deep=-300.0, most=0.55)
+    return found.withColumns({c: F.round(c, 9) for c in ("over", "deep_median", "deep_p95", "other_median", "other_p95")})
 
 
 # Boxes as bands of tiles: eight by eight in a tile at zoom 5, four by four at zoom 6, where some are left out and some reach over the next.

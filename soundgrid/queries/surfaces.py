@@ -30,14 +30,23 @@ def priority_fill(spark, sf_dir):
     return merge.priority_fill(px(spark, sf_dir), sources(spark), ["r", "c"])
 
 
-@query(with_views("SELECT src, priority, maxzoom, dense_rank() OVER (ORDER BY priority DESC, maxzoom DESC, src) AS place FROM srcs"))
+RANKED = "SELECT 's' || CAST(s_suppkey % 97 AS VARCHAR) AS src, CAST(s_nationkey % 4 AS INT) AS priority, CAST(s_suppkey % 7 + 6 AS INT) AS maxzoom FROM supplier"
+
+
+def _ranked(spark, sf_dir):
+    k = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), (k % 97).cast("string")).alias("src"), (F.col("s_nationkey") % 4).cast("int").alias("priority"), (k % 7 + 6).cast("int").alias("maxzoom"))
+
+
+@query(with_views("SELECT src, priority, maxzoom, dense_rank() OVER (ORDER BY priority DESC, maxzoom DESC, src) AS place FROM ranked", ranked=RANKED))
 def group_ranked(spark, sf_dir):
-    return merge.group_ranked(sources(spark))
+    return merge.group_ranked(_ranked(spark, sf_dir))
 
 
-@query(with_views("SELECT src, priority, maxzoom FROM srcs ORDER BY priority DESC, maxzoom DESC, src"))
+@query(with_views("SELECT src, max(priority) AS priority, max(maxzoom) AS maxzoom FROM ranked GROUP BY src ORDER BY priority DESC, maxzoom DESC, src", ranked=RANKED))
 def order_sources(spark, sf_dir):
-    return sources(spark).orderBy(F.desc("priority"), F.desc("maxzoom"), "src")
+    known = _ranked(spark, sf_dir).groupBy("src").agg(F.max("priority").alias("priority"), F.max("maxzoom").alias("maxzoom"))
+    return known.orderBy(F.desc("priority"), F.desc("maxzoom"), "src")
 
 
 @query(with_views("SELECT r, c, count(*) AS layers, count(*) < 3 AS incomplete FROM px GROUP BY r, c"))
@@ -160,20 +169,21 @@ def lake_clear(spark, sf_dir):
 @query(with_views("SELECT a.r, a.c, CASE WHEN a.z > 0 AND NOT a.tidal AND EXISTS (SELECT 1 FROM masked b WHERE b.tidal AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 4 AND b.r BETWEEN a.r - 2 AND a.r + 2) THEN 0 ELSE a.z END AS z FROM masked a", masked=MASKED))
 def ocean_clamp(spark, sf_dir):
     """Ground above the datum within two pixels of open water, but not in it, is at the datum."""
-    near = focal.distance_to(_masked(spark, sf_dir), F.col("tidal"), 2)
+    near = focal.distance_to(_masked(spark, sf_dir), F.col("tidal"), 2, size=32)
     return near.select("r", "c", F.when((F.col("z") > 0) & ~F.col("tidal") & F.col("distance").isNotNull(), 0.0).otherwise(F.col("z")).alias("z"))
 
 
 @query(with_views("SELECT r, c, CASE WHEN z < 0 AND (land OR EXISTS (SELECT 1 FROM masked b WHERE b.land AND abs(a.r - b.r) + abs(a.c - b.c) = 1)) THEN 0 ELSE z END AS z FROM masked a", masked=MASKED))
 def dem_land_clamp(spark, sf_dir):
     """Land clamp with the mask grown by the pixels that touch its sides."""
-    near = focal.distance_to(_masked(spark, sf_dir), F.col("land"), 1)
+    near = focal.distance_to(_masked(spark, sf_dir), F.col("land"), 1, size=32)
     return near.select("r", "c", depth.land_clamp(F.col("z"), F.col("distance").isNotNull()).alias("z"))
 
 
-@query(" UNION ALL ".join(f"SELECT {z} AS zoom, CAST({depth.quantization_factor(z)!r} AS DOUBLE) AS factor" for z in (0, 8, 12, 15, 19)))
+@query("SELECT o_orderkey, CAST(o_orderkey % 20 AS INT) AS zoom, CAST(524288 >> CAST(o_orderkey % 20 AS INT) AS DOUBLE) / 256 AS factor FROM orders")
 def quantization_factor(spark, sf_dir):
-    return spark.createDataFrame([(z, depth.quantization_factor(z)) for z in (0, 8, 12, 15, 19)], "zoom int, factor double")
+    zoom = (F.col("o_orderkey") % 20).cast("int")
+    return table(spark, sf_dir, "orders").select("o_orderkey", zoom.alias("zoom"), depth.quantization_factor_of(zoom).alias("factor"))
 
 
 @query(with_views(" UNION ALL ".join(f"SELECT l_orderkey, l_linenumber, {zoom} AS zoom, {quantize_sql('z', zoom)} AS q FROM raw" for zoom in (0, 8, 12, 15)), raw=RAW))
@@ -271,7 +281,7 @@ def band_partition(spark, sf_dir):
 
 @query(with_views("SELECT a.r, a.c, round(sqrt(min(CAST((a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) AS DOUBLE))), 9) AS distance FROM surface a JOIN surface b ON b.z > 15 AND b.r BETWEEN a.r - 3 AND a.r + 3 AND b.c BETWEEN a.c - 3 AND a.c + 3 AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 9 GROUP BY a.r, a.c"))
 def distance_to_water(spark, sf_dir):
-    near = focal.distance_to(surface(spark, sf_dir), F.col("z") > 15, 3)
+    near = focal.distance_to(surface(spark, sf_dir), F.col("z") > 15, 3, size=32)
     return near.filter("distance is not null").select("r", "c", F.round("distance", 9).alias("distance"))
 
 
@@ -285,7 +295,7 @@ def _holed(spark, sf_dir):
 
 @query(with_views("SELECT r, c, filled FROM (SELECT a.r, a.c, coalesce(a.z, b.z) AS filled, row_number() OVER (PARTITION BY a.r, a.c ORDER BY (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c), b.r, b.c) AS k FROM holed a LEFT JOIN (SELECT * FROM holed WHERE z IS NOT NULL) b ON b.r BETWEEN a.r - 2 AND a.r + 2 AND b.c BETWEEN a.c - 2 AND a.c + 2 AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 4) t WHERE k = 1", holed=HOLED))
 def nearest_fill(spark, sf_dir):
-    return focal.nearest_fill(_holed(spark, sf_dir), 2).select("r", "c", "filled")
+    return focal.nearest_fill(_holed(spark, sf_dir), 2, size=32).select("r", "c", "filled")
 
 
 @query(with_views("SELECT p.id, round(CASE WHEN count(s.z) = 4 THEN sum(w * s.z) END, 9) AS value FROM (SELECT id, floor(y) + i AS r, floor(x) + j AS c, CASE WHEN i = 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END * CASE WHEN j = 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END AS w FROM points, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j)) p LEFT JOIN surface s ON s.r = p.r AND s.c = p.c GROUP BY p.id"))
@@ -306,7 +316,7 @@ def cubic_bspline_overzoom(spark, sf_dir):
     CASE WHEN n IS NULL AND s IS NULL THEN 0 ELSE (coalesce(s, z) - coalesce(n, z)) / ((CASE WHEN n IS NULL THEN 0 ELSE 1 END + CASE WHEN s IS NULL THEN 0 ELSE 1 END) * CAST(10 AS DOUBLE)) END AS gy
     FROM (SELECT a.r, a.c, a.z, w.z AS w, e.z AS e, n.z AS n, s.z AS s FROM surface a LEFT JOIN surface w ON w.r = a.r AND w.c = a.c - 1 LEFT JOIN surface e ON e.r = a.r AND e.c = a.c + 1 LEFT JOIN surface n ON n.c = a.c AND n.r = a.r - 1 LEFT JOIN surface s ON s.c = a.c AND s.r = a.r + 1) t) g"""))
 def slope(spark, sf_dir):
-    return focal.slope(surface(spark, sf_dir), 10.0).select("r", "c", F.round("slope", 6).alias("slope"))
+    return focal.slope(surface(spark, sf_dir), 10.0, block=32).select("r", "c", F.round("slope", 6).alias("slope"))
 
 
 #: All cells of the grid with the water's height, ground and missing ones at the datum.
@@ -327,12 +337,12 @@ def blur_sql(name: str, source: str, sigma: float, at: str = "least(greatest({x}
 
 @query(with_views("SELECT s.r, s.c, round(b.v, 6) AS mean FROM surface s JOIN blur b ON s.r = b.r AND s.c = b.c", work=WORK, **blur_sql("blur", "work", focal.LIGHT)))
 def gauss_light(spark, sf_dir):
-    return focal.water_blur(surface(spark, sf_dir), focal.LIGHT, EXTENT).select("r", "c", F.round("mean", 6).alias("mean"))
+    return focal.water_blur(surface(spark, sf_dir), focal.LIGHT, EXTENT, size=32).select("r", "c", F.round("mean", 6).alias("mean"))
 
 
 @query(with_views("SELECT s.r, s.c, round(b.v, 6) AS mean FROM surface s JOIN blur b ON s.r = b.r AND s.c = b.c", work=WORK, **blur_sql("blur", "work", focal.HEAVY)))
 def gauss_heavy(spark, sf_dir):
-    return focal.water_blur(surface(spark, sf_dir), focal.HEAVY, EXTENT).select("r", "c", F.round("mean", 6).alias("mean"))
+    return focal.water_blur(surface(spark, sf_dir), focal.HEAVY, EXTENT, size=64).select("r", "c", F.round("mean", 6).alias("mean"))
 
 
 #: Kernels for a grid of 128 cells, and slopes and depths for its relief.
@@ -346,7 +356,7 @@ SMOOTH = """SELECT s.r, s.c, s.z, round(CASE WHEN s.z < 0 THEN greatest(s.z * (1
 
 @query(with_views(SMOOTH, work=WORK, angle=ANGLE, **blur_sql("lightly", "work", 1.0), **blur_sql("heavily", "work", 2.0), **blur_sql("flatness", "angle", 1.0)))
 def smooth_dem(spark, sf_dir):
-    return focal.smooth_shoalward(surface(spark, sf_dir), 500.0, EXTENT, **SMALL).select("r", "c", "z", F.round("smoothed", 6).alias("smoothed"))
+    return focal.smooth_shoalward(surface(spark, sf_dir), 500.0, EXTENT, **SMALL, size=32).select("r", "c", "z", F.round("smoothed", 6).alias("smoothed"))
 
 
 @query()
@@ -360,7 +370,7 @@ def coverage_feather(spark, sf_dir):
 @query(with_views("SELECT s.r, s.c, round(sum(t.w * u.w * b.z) / sum(t.w * u.w), 6) AS mean FROM surface s, taps t, taps u, surface b WHERE b.r = s.r + t.k AND b.c = s.c + u.k GROUP BY 1, 2", taps=taps_sql(1.0)))
 def gauss_valid(spark, sf_dir):
     """The mean of what is there, without an edge."""
-    return focal.gaussian(surface(spark, sf_dir), 1.0).select("r", "c", F.round("mean", 6).alias("mean"))
+    return focal.gaussian(surface(spark, sf_dir), 1.0, size=32).select("r", "c", F.round("mean", 6).alias("mean"))
 
 
 # Components and what stands on them. The SQL finds all pairs of connected pixels, so it takes few pixels or near ones.

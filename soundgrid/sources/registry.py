@@ -77,18 +77,45 @@ def removed_keys(previous: DataFrame, current: DataFrame, key: str) -> DataFrame
     return previous.select(key).distinct().join(current.select(key), key, "left_anti")
 
 
+#: Formats that need a pattern for their members, that may have one, and that have none. Fixed values.
+GLOB_FORMATS, MAYBE_GLOB, PLAIN_FORMATS = ("zip", "tar.gz", "7z"), ("asc-tile",), ("asc-mosaic", "e00", "gldb", "netcdf")
+
+
 def parse_unpack(spec: Column) -> list[Column]:
-    """``format[:glob][!count]``."""
-    part = lambda k: F.nullif(F.regexp_extract(spec, r"^([^:!]+)(?::([^!]+))?(?:!(\d+))?$", k), F.lit(""))
-    return [part(1).alias("format"), part(2).alias("members"), part(3).cast("int").alias("expect")]
+    """``format[:glob][!count]`` as ``format, members, expect`` and what is wrong with it (``problem``): archives need a pattern, whole assets take neither pattern nor count."""
+    blank = lambda c: F.nullif(c, F.lit(""))
+    kind, rest = F.regexp_extract(spec, r"^([^:]*)", 1), F.regexp_extract(spec, r"^[^:]*:(.*)$", 1)
+    members, count = blank(F.regexp_extract(rest, r"^([^!]*)", 1)), blank(F.regexp_extract(rest, r"^[^!]*!(.*)$", 1))
+    expect = count.try_cast("int")
+    problem = (
+        F.when(~kind.isin(*GLOB_FORMATS, *MAYBE_GLOB, *PLAIN_FORMATS), F.concat(F.lit("unknown format "), kind))
+        .when(F.contains(rest, F.lit("!")) & expect.isNull(), F.lit("count is no number"))
+        .when(kind.isin(*GLOB_FORMATS) & members.isNull(), F.concat(kind, F.lit(" needs a pattern")))
+        .when(kind.isin(*PLAIN_FORMATS) & (members.isNotNull() | expect.isNotNull()), F.concat(kind, F.lit(" takes no pattern or count")))
+    )
+    return [kind.alias("format"), members.alias("members"), expect.alias("expect"), problem.alias("problem")]
+
+
+def members_select(entries: DataFrame) -> DataFrame:
+    """Of each archive's ``entries(archive, member, glob, expect)`` the number of members that its pattern takes, and what is wrong: none, or not as many as expected.
+
+    All entries are grouped, so an archive of which nothing matches has a row that says so.
+    """
+    hit = F.regexp_like(F.lower("member"), glob_column(F.col("glob")))
+    counts = entries.groupBy("archive").agg(F.count(F.when(hit, 1)).alias("members"), F.max("expect").alias("expect"))
+    problem = F.when(F.col("expect").isNotNull() & (F.col("members") != F.col("expect")), "count").when(F.col("members") == 0, "no member")
+    return counts.select("archive", "members", problem.alias("problem"))
 
 
 def kind_sniff(content: Column) -> Column:
-    """A file's kind by its first bytes."""
+    """A file's kind by its first bytes; a tar archive's are at 257."""
     head = F.hex(F.substring(content, 1, 8))
-    kinds = (("504B0304", "zip"), ("377ABCAF271C", "7z"), ("1F8B", "gzip"), ("49492A00", "tif"), ("4D4D002A", "tif"), ("49492B00", "tif"), ("89484446", "netcdf"), ("434446", "netcdf"), ("455850", "e00"))
-    out = F.lit("other")
-    for magic, kind in reversed(kinds):
+    out = F.when(F.hex(F.substring(content, 258, 5)) == "7573746172", "tar")
+    kinds = (("455850", "e00"), ("434446", "netcdf"), ("89484446", "netcdf"), ("4949", "tif"), ("4D4D", "tif"))
+    for magic, kind in kinds:
+        out = out.when(F.startswith(head, F.lit(magic)), kind)
+    out = out.otherwise("other")
+    for magic, kind in (("1F8B", "gzip"), ("377ABCAF271C", "7z"), ("504B0304", "zip")):
         out = F.when(F.startswith(head, F.lit(magic)), kind).otherwise(out)
     return out
 
@@ -110,22 +137,31 @@ def dedupe_entries(entries: DataFrame) -> DataFrame:
     return entries.groupBy("path").agg(F.min("crc").alias("crc"), (F.min("crc") != F.max("crc")).alias("conflict"))
 
 
-def bbox_cells(west: float, south: float, east: float, north: float, step: float, spark: SparkSession) -> DataFrame:
-    """A box cut into cells of a step; the last ones end with it."""
-    n, m = int(-(-(east - west) // step)), int(-(-(north - south) // step))
-    i, j = F.col("id") % n, F.floor(F.col("id") / n)
-    low = lambda k, a: k * step + a
-    return spark.range(n * m).select(low(i, west).alias("west"), low(j, south).alias("south"), F.least(low(i + 1, west), F.lit(east)).alias("east"), F.least(low(j + 1, south), F.lit(north)).alias("north"))
+def bbox_cells(boxes: DataFrame, step: float) -> DataFrame:
+    """Each of ``boxes(west, south, east, north, ...)`` cut into cells of a step, the last ones ending with it; other columns stay with the cells."""
+    number = lambda low, high: F.explode(F.when(F.col(high) > F.col(low), F.sequence(F.lit(0).cast("long"), F.ceil((F.col(high) - F.col(low)) / step).cast("long") - 1)))
+    cut = boxes.withColumn("_i", number("west", "east")).withColumn("_j", number("south", "north"))
+    low = lambda k, a: F.col(k) * step + F.col(a)
+    high = lambda k, a, end: F.least((F.col(k) + 1) * step + F.col(a), F.col(end))
+    cells = {"west": low("_i", "west"), "south": low("_j", "south"), "east": high("_i", "west", "east"), "north": high("_j", "south", "north")}
+    return cut.withColumns({f"_{k}": c for k, c in cells.items()}).drop(*cells, "_i", "_j").withColumnsRenamed({f"_{k}": k for k in cells})
 
 
 def source_maxzooms(files: DataFrame) -> DataFrame:
     return files.groupBy("source").agg(F.max("maxzoom").alias("maxzoom"))
 
 
-def shrink_guard(current: DataFrame, previous: DataFrame, worst: float = 0.05) -> DataFrame:
-    """Counts before and now, and whether the listing shrank by over the share that is plausible."""
-    now, before = (d.agg(F.count(F.lit(1)).alias(n)) for d, n in ((current, "now"), (previous, "before")))
-    return now.crossJoin(before).select("now", "before", (F.col("now") < F.col("before") * (1 - worst)).alias("refused"))
+def listing_guard(current: DataFrame, previous: DataFrame, worst: float = 0.05) -> DataFrame:
+    """``source, now, before, duplicates, problem`` of each source of ``current(source, url, listed)``: what keeps its items from being written.
+
+    A repeated address is one whatever the source; a listed one may not have shrunk by over ``worst`` against ``previous(source, url)``, an enumerated one may.
+    """
+    counts = current.groupBy("source", "url").agg(F.count(F.lit(1)).alias("n"), F.max("listed").alias("listed")).groupBy("source")
+    now = counts.agg(F.sum("n").alias("now"), F.count(F.when(F.col("n") > 1, 1)).alias("duplicates"), F.max("listed").alias("_listed"))
+    met = now.join(previous.groupBy("source").agg(F.count(F.lit(1)).alias("before")), "source", "left").withColumn("before", F.coalesce("before", F.lit(0)))
+    shrunk = F.col("_listed") & (F.lit(1) - F.col("now") / F.nullif(F.col("before"), F.lit(0)) > worst)
+    problem = F.when(F.col("duplicates") > 0, "duplicates").when(shrunk, "shrank")
+    return met.select("source", "now", "before", "duplicates", problem.alias("problem"))
 
 
 def probe(values: DataFrame) -> DataFrame:

@@ -332,16 +332,6 @@ def test_batches_hold_whole_groups_under_the_limit(spark):
     assert got == [0, 0, 1, 2, 3, 3]
 
 
-def test_picks_keep_their_distance(spark):
-    rng = random.Random(1)
-    rows = [(k % 2, rng.uniform(0, 30), rng.uniform(0, 30), rng.random()) for k in range(200)]
-    got = ordered.spaced_picks(spark.createDataFrame(rows, "tile int, x double, y double, error double"), ["tile"], 6.0).collect()
-    for t in (0, 1):
-        own = [r for r in got if r["tile"] == t]
-        assert own[0]["error"] == max(r[3] for r in rows if r[0] == t)
-        assert all((a["x"] - b["x"]) ** 2 + (a["y"] - b["y"]) ** 2 >= 36 for i, a in enumerate(own) for b in own[:i])
-
-
 def test_heavy_and_light_tiles_alternate(spark):
     rows = spark.createDataFrame([(f"t{k}", k) for k in range(10)], "stem string, weight int")
     order = [r["weight"] for r in ordered.tile_priority(rows).orderBy("place").collect()]
