@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from soundgrid.operators.graph import components
 from soundgrid.operators.polygons import POINTS, each_polygon, rings_array
 from soundgrid.operators.vectors import _pairs, ring_area
 from soundgrid.shipping import discard, ship, written
@@ -170,8 +171,8 @@ def _between(p: np.ndarray, q: np.ndarray, vp: np.ndarray, vq: np.ndarray, level
         return a + ((level - va) / (vb - va))[..., None] * (b - a)
 
 
-def band_edges_of(depth: np.ndarray, levels: np.ndarray, top: int, left: int, halo: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Band and both ends of the directed edges around each band's parts of an array's pixels, ``halo`` of them around left out.
+def band_edges_of(depth: np.ndarray, levels: np.ndarray, top: int, left: int, halo: int) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """Band, both ends and part of the directed edges around each band's parts of an array's pixels, ``halo`` of them around left out; and pairs of parts that touch without such an edge.
 
     A pixel is eight triangles between its middle, the middles of its sides and its corners; a side's middle and a corner have the mean of the pixels there that have a
     value. In a triangle depths are linear, so a band's part of it is convex; parts of one band in neighbouring triangles share whole edges.
@@ -190,15 +191,22 @@ def band_edges_of(depth: np.ndarray, levels: np.ndarray, top: int, left: int, ha
     bands = np.searchsorted(levels, np.where(np.isnan(every), 0.0, every), "right")
     flat = there & (bands == bands[..., :1]).all(axis=-1)
     band = np.where(flat, bands[..., 8], -1)
-    found = [(np.zeros(0, np.int64), np.zeros((0, 2)), np.zeros((0, 2)))]
-    # Pixels of one band: their sides, but not those towards another such pixel.
-    beside = np.pad(band, 1, constant_values=-1)
+    found = [(np.zeros(0, np.int64), np.zeros((0, 2)), np.zeros((0, 2)), np.zeros(0, np.int64))]
+    # Pixels of one band: their sides, but not those towards another such pixel of the block.
+    number = np.arange(h * w).reshape(h, w)
+    beside = np.full((h + 2, w + 2), -1)
+    beside[1 + halo : 1 + h - halo, 1 + halo : 1 + w - halo] = band[core]
+    touching = []
+    for one, two in (((slice(None), slice(None, -1)), (slice(None), slice(1, None))), ((slice(None, -1), slice(None)), (slice(1, None), slice(None)))):
+        same = (band[core][one] == band[core][two]) & (band[core][one] >= 0)
+        touching.append(np.column_stack([number[core][one][same], number[core][two][same]]))
+    parts = h * w
     for side, (dx, dy) in enumerate(((1, 0), (0, 1), (-1, 0), (0, -1))):
         open_ = flat & (beside[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w] != band)
         r, c = np.nonzero(open_[core])
         middle = np.column_stack([c + left + halo + 0.5, r + top + halo + 0.5])
         for k in (2 * side - 1, 2 * side):
-            found.append((band[core][r, c], middle + _AROUND[k % 8] / 2, middle + _AROUND[(k + 1) % 8] / 2))
+            found.append((band[core][r, c], middle + _AROUND[k % 8] / 2, middle + _AROUND[(k + 1) % 8] / 2, number[core][r, c]))
     # The others: each triangle, cut by each band that it reaches.
     r, c = np.nonzero((there & ~flat)[core])
     middle = np.column_stack([c + left + halo + 0.5, r + top + halo + 0.5])
@@ -228,12 +236,27 @@ def band_edges_of(depth: np.ndarray, levels: np.ndarray, top: int, left: int, ha
         after = np.arange(1, len(row) + 1)
         after[ends[counts > 0] - 1] = (ends - counts)[counts > 0]
         apart = (points != points[after]).any(axis=1)
-        found.append((which[row][apart], points[apart], points[after][apart]))
-    return tuple(np.concatenate(f) for f in zip(*found))
+        found.append((which[row][apart], points[apart], points[after][apart], parts + row[apart]))
+        parts += len(tri)
+    return tuple(np.concatenate(f) for f in zip(*found)), np.concatenate(touching)
+
+
+def merged(n: int, pairs: np.ndarray) -> np.ndarray:
+    """The least of the numbers below ``n`` that each is connected with over pairs."""
+    label = np.arange(n)
+    while len(pairs):
+        ends = label[pairs]
+        ends = ends[ends[:, 0] != ends[:, 1]]
+        if not len(ends):
+            break
+        np.minimum.at(label, ends.max(axis=1), ends.min(axis=1))
+        while (label[label] != label).any():
+            label = label[label]
+    return label
 
 
-def _joined(band: np.ndarray, a: np.ndarray, b: np.ndarray, box: tuple[int, int, int, int]) -> tuple[list, list, list]:
-    """Edges of a block without those run through both ways, joined into lines: band, whether it is an edge on the block's border, and points."""
+def _joined(band: np.ndarray, a: np.ndarray, b: np.ndarray, part: np.ndarray, touching: np.ndarray, box: tuple[int, int, int, int]) -> tuple[list, list, list, list]:
+    """Edges of a block without those run through both ways, joined into lines: band, whether it is an edge on the block's border, the patch of connected parts that it bounds, and points."""
     top, left, bottom, right = box
     every = np.concatenate([np.column_stack([band, a]), np.column_stack([band, b])])
     _, code = np.unique(every, axis=0, return_inverse=True)
@@ -241,6 +264,13 @@ def _joined(band: np.ndarray, a: np.ndarray, b: np.ndarray, box: tuple[int, int,
     low, high = np.minimum(*code), np.maximum(*code)
     pair, where, back = np.unique(low * (code.max(initial=0) + 1) + high, return_index=True, return_inverse=True)
     way = np.bincount(back, np.where(code[0] < code[1], 1, -1), len(pair))
+    # Parts on both sides of an edge are connected.
+    known, place = np.unique(np.concatenate([part, touching.ravel()]), return_inverse=True)
+    order = np.argsort(back, kind="stable")
+    next_to = back[order][1:] == back[order][:-1]
+    own = place[: len(part)]
+    links = np.column_stack([own[order][1:][next_to], own[order][:-1][next_to]])
+    patch = merged(len(known), np.concatenate([links, place[len(part) :].reshape(-1, 2)]))[own]
     # An edge may run twice the same way only if it runs back as often, so one of the majority's way is kept for each that is left.
     forth = np.where(code[0] < code[1], 1, -1)
     keep = np.flatnonzero(way[back] * forth > 0)
@@ -269,19 +299,21 @@ def _joined(band: np.ndarray, a: np.ndarray, b: np.ndarray, box: tuple[int, int,
     place = np.where(done, -steps, np.where(off == 0, -(1 << 60), -off))
     order = np.lexsort((place, chain))
     cuts = np.flatnonzero(np.diff(chain[order])) + 1
-    out = ([], [], [])
-    for part in np.split(order, cuts) if len(order) else []:
-        out[0].append(int(band[part[0]]))
-        out[1].append(bool(rim[part[0]]))
-        out[2].append(np.concatenate([a[part], b[part[-1:]]]))
+    patch = patch[keep]
+    out = ([], [], [], [])
+    for line in np.split(order, cuts) if len(order) else []:
+        out[0].append(int(band[line[0]]))
+        out[1].append(bool(rim[line[0]]))
+        out[2].append(int(patch[line[0]]))
+        out[3].append(np.concatenate([a[line], b[line[-1:]]]))
     return out
 
 
 def band_lines(pixels: DataFrame, levels: list[float], keys: list[str], size: int = 512) -> DataFrame:
-    """``keys, band, line``: directed lines that close to the boundaries of each band of ``pixels(keys, r, c, z)``; 0 is above the first level.
+    """``keys, band, patch, line``: directed lines that close to the boundaries of each band of ``pixels(keys, r, c, z)``; 0 is above the first level. Lines of one connected patch have its number.
 
     A block of ``size`` by ``size`` pixels, with two around it, is a group; it joins its edges into lines as far as its border. Edges on borders come by themselves, and
-    where the same band is on both sides they cancel in one aggregation, so blocks don't show in the result.
+    where the same band is on both sides they cancel in one aggregation and connect the patches there, so blocks don't show in the result.
     """
     halo = 2
     span = lambda v: F.explode(F.sequence(F.floor((F.col(v) - halo) / size), F.floor((F.col(v) + halo) / size)))
@@ -294,18 +326,23 @@ def band_lines(pixels: DataFrame, levels: list[float], keys: list[str], size: in
         depth = np.full((size + 2 * halo, size + 2 * halo), np.nan)
         r, c = (table.column(v).to_numpy().astype(np.int64) for v in ("r", "c"))
         depth[r - top + halo, c - left + halo] = table.column("d").to_numpy()
-        edges = band_edges_of(depth, marks, top - halo, left - halo, halo)
-        bands, rims, lines = _joined(*edges, (top, left, top + size, left + size))
+        edges, touching = band_edges_of(depth, marks, top - halo, left - halo, halo)
+        bands, rims, patches, lines = _joined(*edges, touching, (top, left, top + size, left + size))
         kept = table.select(keys).take(pa.array([0] * len(bands), pa.int64())) if keys else pa.table({})
-        columns = [*(kept.column(k) for k in keys), pa.array(bands, pa.int32()), pa.array(rims, pa.bool_()), rings_array(lines)]
-        return pa.table(columns, [*keys, "band", "rim", "line"])
+        block = [pa.array([k.as_py()] * len(bands), pa.int64()) for k in key[-2:]]
+        columns = [*(kept.column(k) for k in keys), *block, pa.array(bands, pa.int32()), pa.array(rims, pa.bool_()), pa.array(patches, pa.int64()), rings_array(lines)]
+        return pa.table(columns, [*keys, "_br", "_bc", "band", "rim", "patch", "line"])
 
     kinds = [f"`{k}` {pixels.schema[k].dataType.simpleString()}" for k in keys]
-    lines = written(sent.groupBy(*keys, "_br", "_bc").applyInArrow(run, ", ".join([*kinds, "band int", "rim boolean", f"line {POINTS}"])), "band_lines")
+    found = sent.groupBy(*keys, "_br", "_bc").applyInArrow(run, ", ".join([*kinds, "_br long", "_bc long", "band int", "rim boolean", "patch long", f"line {POINTS}"]))
+    lines = written(found.withColumn("patch", F.xxhash64(*keys, "_br", "_bc", "patch")).drop("_br", "_bc"), "band_lines")
     p, q = F.element_at("line", 1), F.element_at("line", 2)
-    loose = lines.filter("rim").select(*keys, "band", F.least(p, q).alias("p"), F.greatest(p, q).alias("q"), F.when(p < q, 1).otherwise(-1).alias("way")).groupBy(*keys, "band", "p", "q").agg(F.sum("way").alias("way")).filter("way <> 0")
-    left = loose.select(*keys, "band", F.when(F.col("way") > 0, F.array("p", "q")).otherwise(F.array("q", "p")).alias("line"))
-    return lines.filter("not rim").select(*keys, "band", "line").unionByName(left)
+    rims = lines.filter("rim").select(*keys, "band", "patch", F.least(p, q).alias("p"), F.greatest(p, q).alias("q"), F.when(p < q, 1).otherwise(-1).alias("way"))
+    rims = written(rims.groupBy(*keys, "band", "p", "q").agg(F.sum("way").alias("way"), F.min("patch").alias("patch"), F.max("patch").alias("other")), "rims")
+    left = rims.filter("way <> 0").select(*keys, "band", "patch", F.when(F.col("way") > 0, F.array("p", "q")).otherwise(F.array("q", "p")).alias("line"))
+    every = lines.filter("not rim").select(*keys, "band", "patch", "line").unionByName(left)
+    patches = components(rims.filter("way = 0 and patch <> other").select(F.col("patch").alias("a"), F.col("other").alias("b")).distinct())
+    return every.join(patches, F.col("patch") == F.col("node"), "left").withColumn("patch", F.coalesce("label", "patch")).drop("node", "label")
 
 
 def band_polygons(pixels: DataFrame, levels: list[float], keys: list[str] | None = None, size: int = 512) -> DataFrame:
@@ -314,8 +351,12 @@ def band_polygons(pixels: DataFrame, levels: list[float], keys: list[str] | None
     Depths are ``-z``; band k lies from the k-th level (with it) to the next. Between pixels' middles depths are linear over
     triangles (see ``band_edges_of``), so band borders are isolines; at the border to pixels without a value the cell ends.
     """
-    keys = [*(keys or []), "band"]
-    return with_holes(closed_rings(band_lines(pixels, levels, keys[:-1], size), keys), keys)
+    own = [*(keys or []), "band"]
+    rings = closed_rings(band_lines(pixels, levels, keys or [], size), [*own, "patch"]).withColumn("_area", signed_area(F.col("ring")))
+    # A patch has one ring around it; its others run round its holes.
+    outer = F.max_by(F.when(F.col("_area") > 0, F.col("ring")), "_area")
+    holes = F.collect_list(F.when(F.col("_area") < 0, F.col("ring")))
+    return rings.groupBy(*own, "patch").agg(outer.alias("ring"), holes.alias("holes")).select(*own, F.col("patch").alias("id"), "ring", "holes")
 
 
 def footprints(pixels: DataFrame, keys: list[str], size: int = 512) -> DataFrame:
