@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from soundgrid.operators.graph import components
-from soundgrid.operators.polygons import POINTS, each_polygon, rings_array
+from soundgrid.operators.polygons import POINTS, each_polygon, rings_array, simple_loops
 from soundgrid.operators.vectors import _pairs, ring_area
 from soundgrid.shipping import discard, ship, written
 
@@ -70,27 +70,6 @@ def _compass(a: Column, b: Column) -> Column:
     return F.atan2(b["y"] - a["y"], b["x"] - a["x"])
 
 
-def simple_loops(ring: np.ndarray) -> list[np.ndarray]:
-    """A ring cut where it comes to a point again, as rings that don't."""
-    _, code = np.unique(ring, axis=0, return_inverse=True)
-    code = code.ravel()
-    if len(code) == code.max(initial=-1) + 1:
-        return [ring]
-    out, path, place = [], [], {}
-    for i, c in enumerate(code.tolist()):
-        if c in place:
-            k = place[c]
-            out.append(ring[path[k:]])
-            for j in path[k + 1 :]:
-                del place[int(code[j])]
-            del path[k + 1 :]
-            path[k] = i
-        else:
-            place[c] = len(path)
-            path.append(i)
-    return [*out, ring[path]]
-
-
 def _untangled(rings: DataFrame, keys: list[str]) -> DataFrame:
     return each_polygon(rings, keys, lambda found: simple_loops(found[0]), f"ring {POINTS}", lambda made: [rings_array(made)])
 

@@ -123,9 +123,30 @@ def rings_array(rings: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, k])) for k in (0, 1)], ["x", "y"]))
 
 
+def simple_loops(ring: np.ndarray) -> list[np.ndarray]:
+    """A ring cut where it comes to a point again, as rings that don't."""
+    _, code = np.unique(ring, axis=0, return_inverse=True)
+    code = code.ravel()
+    if len(code) == code.max(initial=-1) + 1:
+        return [ring]
+    out, path, place = [], [], {}
+    for i, c in enumerate(code.tolist()):
+        if c in place:
+            k = place[c]
+            out.append(ring[path[k:]])
+            for j in path[k + 1 :]:
+                del place[int(code[j])]
+            del path[k + 1 :]
+            path[k] = i
+        else:
+            place[c] = len(path)
+            path.append(i)
+    return [*out, ring[path]]
+
+
 def each_polygon(features: DataFrame, keys: list[str], function: Callable[[list[np.ndarray]], list], schema: str, build: Callable[[list], list[pa.Array]]) -> DataFrame:
     """Rows ``keys, ...`` that ``function`` makes of each feature's rings, the outer one first. Features without a ring of three points make none."""
-    names = [c.strip().split(" ")[0] for c in schema.split(";")]
+    names = [c.split()[0] for c in schema.split(";")]
     read = features.select(*keys, F.col("ring").cast(POINTS).alias("ring"), holes_of(features).alias("holes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,3 +181,173 @@ def convex_parts(features: DataFrame, keys: list[str], most: int = _MOST) -> Dat
         return out
 
     return each_polygon(features, keys, parts, f"ring {POINTS}", lambda made: [rings_array(made)])
+
+
+# Repair.
+
+
+def _near_pairs(a: np.ndarray, b: np.ndarray, chunk: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of segments whose boxes meet, some at a time: by the order of their left ends."""
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    order = np.argsort(low[:, 0], kind="stable")
+    low, high = low[order], high[order]
+    counts = np.searchsorted(low[:, 0], high[:, 0], "right") - np.arange(len(a)) - 1
+    ends = np.cumsum(counts)
+    k = 0
+    while k < len(a):
+        stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + chunk, "right")))
+        i = np.repeat(np.arange(k, stop), counts[k:stop])
+        j = np.arange(len(i)) - np.repeat(np.cumsum(counts[k:stop]) - counts[k:stop], counts[k:stop]) + i + 1
+        meet = (low[i, 1] <= high[j, 1]) & (low[j, 1] <= high[i, 1])
+        yield order[i[meet]], order[j[meet]]
+        k = stop
+
+
+def _crossed(a: np.ndarray, b: np.ndarray, grid: float) -> tuple[np.ndarray, np.ndarray]:
+    """Segments and the places within them at which others cross or touch them; crossings are on a ``grid``, and what is as near as that touches."""
+    cross = lambda u, v: u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0]
+    owner, place = [np.zeros(0, np.int64)], [np.zeros((0, 2))]
+    for i, j in _near_pairs(a, b):
+        d = [cross(b[k] - a[k], p - a[k]) for k, p in ((i, a[j]), (i, b[j]), (j, a[i]), (j, b[i]))]
+        room = [np.hypot(*(b[k] - a[k]).T) * grid for k in (i, i, j, j)]
+        d = [np.where(np.abs(v) <= r, 0.0, v) for v, r in zip(d, room)]
+        through = (d[0] * d[1] < 0) & (d[2] * d[3] < 0)
+        t = (d[2][through] / (d[2][through] - d[3][through]))[:, None]
+        at = np.round((a[i[through]] + t * (b[i[through]] - a[i[through]])) / grid) * grid
+        found = [(i[through], at), (j[through], at)]
+        for of, turn, p in ((i, d[0], a[j]), (i, d[1], b[j]), (j, d[2], a[i]), (j, d[3], b[i])):
+            on = turn == 0
+            found.append((of[on], p[on]))
+        for of, p in found:
+            along = ((p - a[of]) * (b[of] - a[of])).sum(axis=1)
+            inner = (along > 0) & (along < ((b[of] - a[of]) ** 2).sum(axis=1)) & (p != a[of]).any(axis=1) & (p != b[of]).any(axis=1)
+            owner.append(of[inner])
+            place.append(p[inner])
+    return np.concatenate(owner), np.concatenate(place)
+
+
+def noded(a: np.ndarray, b: np.ndarray, rounds: int = 16) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Segments cut wherever they cross or touch, until none do, and whether any did. Cuts are on a grid of about a billionth of the whole; rounding may move one onto another segment, hence the rounds."""
+    any_cut = False
+    extent = max(float(np.ptp(np.concatenate([a, b]), axis=0).max(initial=0)), float(np.abs(a).max(initial=0)) * 1e-6, 1e-300)
+    grid = 2.0 ** (np.ceil(np.log2(extent)) - 32)
+    for _ in range(rounds):
+        owner, place = _crossed(a, b, grid)
+        if not len(owner):
+            break
+        any_cut = True
+        every, points = np.concatenate([np.arange(len(a)), owner, np.arange(len(a))]), np.concatenate([a, place, b])
+        along = ((points - a[every]) * (b[every] - a[every])).sum(axis=1)
+        along[: len(a)], along[len(a) + len(owner) :] = -np.inf, np.inf
+        order = np.lexsort((along, every))
+        every, points = every[order], points[order]
+        step = (every[1:] == every[:-1]) & (points[1:] != points[:-1]).any(axis=1)
+        a, b = points[:-1][step], points[1:][step]
+    return a, b, any_cut
+
+
+def _inside_left(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the even-odd inside of noded segments lies to the left of each: by the number of others to the left of its middle, or below it if it is level."""
+    out = np.zeros(len(a), bool)
+    for axis in (1, 0):  # along which the segment has a length; the ray runs down the other one
+        mine = np.flatnonzero((a[:, 1] != b[:, 1]) == (axis == 1))
+        span = a[:, axis] != b[:, axis]
+        p, q = a[span], b[span]
+        for part in np.array_split(mine, max(1, len(mine) * max(len(p), 1) >> 22)):
+            m = (a[part] + b[part]) / 2
+            over = (p[:, axis] > m[:, axis, None]) != (q[:, axis] > m[:, axis, None])
+            with np.errstate(invalid="ignore", divide="ignore"):
+                at = p[:, 1 - axis] + (m[:, axis, None] - p[:, axis]) / (q[:, axis] - p[:, axis]) * (q[:, 1 - axis] - p[:, 1 - axis])
+            own = np.full(len(a), -1)
+            own[span] = np.arange(len(p))
+            hit = over & (at < m[:, 1 - axis, None])
+            hit[np.arange(len(part)), own[part]] = False
+            odd = hit.sum(axis=1) % 2 == 1
+            forth = b[part, axis] > a[part, axis]
+            out[part] = odd == forth if axis == 1 else odd != forth
+    return out
+
+
+def _rings_of(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    """The simple rings of directed segments with the inside on their left; at a point where several meet, by the sharpest turn to the left."""
+    starts: dict[tuple, list[int]] = {}
+    for i, p in enumerate(map(tuple, a.tolist())):
+        starts.setdefault(p, []).append(i)
+    heading = np.arctan2(b[:, 1] - a[:, 1], b[:, 0] - a[:, 0])
+    ends = list(map(tuple, b.tolist()))
+    used, out = np.zeros(len(a), bool), []
+    for first in range(len(a)):
+        if used[first]:
+            continue
+        line, i = [], first
+        while not used[i]:
+            used[i] = True
+            line.append(i)
+            back = heading[i] + np.pi
+            ways = [k for k in starts[ends[i]] if not used[k] or k == first]
+            if not ways:
+                break
+            i = min(ways, key=lambda k: ((back - heading[k]) % (2 * np.pi)) or 2 * np.pi)
+        out += simple_loops(a[line])
+    return out
+
+
+def _signed(ring: np.ndarray) -> float:
+    p = ring - ring[0]
+    q = np.roll(p, -1, axis=0)
+    return float((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum()) / 2
+
+
+def _around(p: np.ndarray, ring: np.ndarray) -> bool:
+    q = np.roll(ring, -1, axis=0)
+    over = (ring[:, 1] > p[1]) != (q[:, 1] > p[1])
+    at = ring[over, 0] + (p[1] - ring[over, 1]) / (q[over, 1] - ring[over, 1]) * (q[over, 0] - ring[over, 0])
+    return bool((at < p[0]).sum() % 2)
+
+
+def repair(rings: list[np.ndarray], least: float = 0.0) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+    """Valid polygons with the inside, by the even-odd rule, of rings that may cross, touch or run over themselves and each other. Rings that don't come back as they are.
+
+    Segments are cut where they meet; those that are there an even number of times have the same on both sides and go; the others are turned so that the inside is on
+    their left and linked. Rings of an area up to ``least`` are left out.
+    """
+    rings = [r[(r != np.roll(r, 1, axis=0)).any(axis=1)] for r in rings]
+    rings = [r for r in rings if len(r) > 2]
+    if not rings:
+        return []
+    a, b = np.concatenate(rings), np.concatenate([np.roll(r, -1, axis=0) for r in rings])
+    simple = len(np.unique(a, axis=0)) == len(a)
+    a, b, cut = noded(a, b)
+    if simple and not cut:
+        return [(rings[0], rings[1:])]
+    turned = (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1]))
+    pairs, times = np.unique(np.where(turned[:, None], np.column_stack([b, a]), np.column_stack([a, b])), axis=0, return_counts=True)
+    pairs = pairs[times % 2 == 1]
+    if not len(pairs):
+        return []
+    p, q = pairs[:, :2], pairs[:, 2:]
+    left = _inside_left(p, q)[:, None]
+    loops = [(r, _signed(r)) for r in _rings_of(np.where(left, p, q), np.where(left, q, p)) if len(r) > 2]
+    outer = sorted(((v, r) for r, v in loops if v > least), key=lambda o: o[0])
+    holes: list[list[np.ndarray]] = [[] for _ in outer]
+    for ring, v in loops:
+        if v < -least:
+            middle = (ring[0] + ring[1]) / 2
+            owner = next((k for k, (size, r) in enumerate(outer) if size > -v and _around(middle, r)), None)
+            if owner is not None:
+                holes[owner].append(ring)
+    return [(r, h) for (_, r), h in zip(outer, holes)]
+
+
+def repaired(features: DataFrame, keys: list[str], least: float = 0.0) -> DataFrame:
+    """``keys, part, ring, holes``: each feature's inside, by the even-odd rule, as valid polygons, the smallest first; one row a polygon. See ``repair``; features without an inside have no row."""
+
+    def mend(rings: list[np.ndarray]) -> list[tuple]:
+        return [(k, *found) for k, found in enumerate(repair(rings, least))]
+
+    def build(made: list[tuple]) -> list[pa.Array]:
+        bounds = np.concatenate([[0], np.cumsum([len(h) for _, _, h in made])])
+        holes = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rings_array([r for _, _, h in made for r in h]))
+        return [pa.array([k for k, _, _ in made], pa.int32()), rings_array([r for _, r, _ in made]), holes]
+
+    return each_polygon(features, keys, mend, f"part int; ring {POINTS}; holes {RINGS}", build)

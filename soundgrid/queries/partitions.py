@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from soundgrid.operators import gates, merge, partition
+from soundgrid.operators import gates, merge, partition, polygons
 from soundgrid.queries import query
 from soundgrid.queries.charting import BOXES, _boxes
 from soundgrid.queries.surfaces import CELLS
@@ -83,6 +83,18 @@ def subdivide(spark, sf_dir):
     return found.select("id", F.size("ring").alias("vertices"), partition.ring_area(F.col("ring")).alias("area"))
 
 
+@query(with_views("SELECT id, CASE WHEN p_size % 2 = 0 THEN 2 ELSE 1 END AS parts, CASE WHEN p_size % 2 = 0 THEN (1 + p_size % 3) / CAST(2 AS DOUBLE) ELSE CAST(1 + p_size % 3 AS DOUBLE) END AS area, CAST(CASE WHEN p_size % 2 = 0 THEN 6 ELSE 4 END AS BIGINT) AS points FROM boxes", boxes=BOXES))
+def repair(spark, sf_dir):
+    """Every other box with two corners exchanged, so that its sides cross: two triangles each."""
+    x, y = F.col("ring")[0]["x"], F.col("ring")[0]["y"]
+    at = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    w = F.col("p_size") % 3 + 1.0
+    crossed = F.array(at(0.0, 0.0), at(w, 0.0), at(0.0, 1.0), at(w, 1.0))
+    box = F.array(at(0.0, 0.0), at(w, 0.0), at(w, 1.0), at(0.0, 1.0))
+    found = polygons.repaired(_boxes(spark, sf_dir).select("id", F.when(F.col("p_size") % 2 == 0, crossed).otherwise(box).alias("ring")), ["id"])
+    return found.groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("parts"), F.sum(polygons.polygon_area(found)).alias("area"), F.sum(F.size("ring")).alias("points"))
+
+
 @query(with_views("SELECT band, round(churn, 6) AS churn, budget, CASE WHEN band = 3 THEN 'gone' WHEN churn > budget THEN 'moved' END AS wrong FROM (SELECT b.band, CASE WHEN b.band = 3 THEN NULL WHEN b.band = 1 THEN CAST(50 * n AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS churn, CASE WHEN b.band = 3 THEN NULL WHEN b.band = 1 THEN (40 * n - 20 * coalesce(k, 0) + 30 * n - 10 * coalesce(v, 0)) * CAST(0.375 AS DOUBLE) ELSE (80 * n - 40 * coalesce(k, 0)) * CAST(0.375 AS DOUBLE) END AS budget FROM (SELECT p_size % 4 AS band, count(*) AS n FROM boxes GROUP BY 1) b LEFT JOIN (SELECT band, count(*) AS k, count(*) FILTER (above) AS v FROM touching WHERE band = other_band GROUP BY 1) t ON t.band = b.band) q", boxes=BOXES, touching=NEXT.replace("ON (b.i = a.i + 1 AND b.j = a.j) OR (b.i = a.i AND b.j = a.j + 1)", "ON b.i = a.i + 1 AND b.j = a.j") + " UNION ALL " + NEXT.replace("ON (b.i = a.i + 1 AND b.j = a.j) OR (b.i = a.i AND b.j = a.j + 1)", "ON b.i = a.i AND b.j = a.j + 1")))
 def gate_displacement(spark, sf_dir):
     """One band loses the right half of its boxes, one is gone."""
