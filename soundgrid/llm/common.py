@@ -33,6 +33,24 @@ def bounded_sample(df: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 40)) < int(share * (1 << 40)))
 
 
+def balanced_sample(df: DataFrame, key: str, group: str, limit: int, seed: int) -> DataFrame:
+    """About ``limit`` rows of ``df`` at most, by a seeded hash of ``key``, dealt evenly over the values of ``group``: groups below an even share are taken whole, and what they leave goes to the others.
+
+    Groups (languages, say) are few enough to be counted on the driver, and so are rare ones not lost among the rows of frequent ones.
+    """
+    counts = {r[0]: r[1] for r in df.groupBy(group).count().collect()}
+    left, share = limit, 0.0
+    for k, n in enumerate(sorted(counts.values())):
+        share = max(share, left / (len(counts) - k))
+        left -= min(n, left / (len(counts) - k))
+    if sum(counts.values()) <= limit:
+        return df
+    parts = [(g, 1.0 if n <= share else max(share - 3 * share**0.5, 1.0) / n) for g, n in counts.items()]
+    shares = df.sparkSession.createDataFrame(parts, df.select(F.col(group).alias("_group"), F.lit(1.0).alias("_share")).schema)
+    chosen = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 40)) < F.col("_share") * float(1 << 40)
+    return df.join(F.broadcast(shares), F.col(group).eqNullSafe(F.col("_group"))).filter(chosen).drop("_group", "_share")
+
+
 def bounded_texts(rows: DataFrame, key: str, text: str, limit: int, seed: int) -> DataFrame:
     """The rows of a bounded sample, written, with at most ``limit`` bytes of ``text`` in all.
 

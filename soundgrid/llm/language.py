@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soundgrid.llm.common import bounded_sample, collected_texts, fold
+from soundgrid.llm.common import balanced_sample, collected_texts, fold
 from soundgrid.shipping import mapped
 
 UNDETERMINED = "und"
@@ -137,11 +137,12 @@ def train(docs: DataFrame, limit: int = 4_000, byte_limit: int = 16 << 20, folds
     """Train on documents with text, language and id outside fold ``left_out`` (``crc32(doc_id) mod folds``).
 
     Document frequencies count all those documents; weights are fitted on at most about ``limit`` of them, chosen by a
-    seeded hash of the id, and on at most ``byte_limit`` bytes of their texts, which bounds what is collected.
+    seeded hash of the id, as many of each language (all of a rare one), and on at most ``byte_limit`` bytes of their texts, which bounds what is collected.
     """
+    # Repeated rows of an id count once in the sample; an empty table gives a model that knows no language.
     known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), folds) != left_out)).select("doc_id", "text", "lang")
     count, n = document_frequencies(known, bits)
-    ids = bounded_sample(known.select("doc_id").distinct(), "doc_id", limit, seed)
+    ids = balanced_sample(known.groupBy("doc_id").agg(F.min("lang").alias("lang")), "doc_id", "lang", limit, seed).select("doc_id")
     rows = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row")).select("doc_id", "row.*")
     rows = collected_texts(rows, "doc_id", "text", byte_limit, seed)
     return fit([r["text"] for r in rows], [r["lang"] for r in rows], np.log((1 + n) / (1 + count)) + 1, bits, **options)
@@ -151,7 +152,7 @@ def languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> Data
     """The columns of ``docs`` but the text, ``lang_pred`` and ``lang_score``, its calibrated probability.
 
     Whole texts are read. A null text, or one without a letter, is ``und`` with score 0, and so is every text if the model
-    has learned no language. Input columns of the new names are replaced. One pass without a shuffle.
+    has learned no language. Input columns of the new names are replaced; repeated rows are predicted each, an empty table gives no rows. One pass without a shuffle.
     """
     kept = [c for c in docs.columns if c not in (text, "lang_pred", "lang_score")]
     docs = docs.select(*kept, F.col(text).alias("lang_pred"))

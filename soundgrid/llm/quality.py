@@ -205,7 +205,7 @@ def quality(docs: DataFrame, model: AdditiveModel, text: str = "text") -> DataFr
     """The columns of ``docs`` but the text, and ``quality_score``: the probability of label 1 by the tables of the text's bins.
 
     Whole texts are read. Null and empty texts have the score of features that are all 0. An input column of the new
-    name is replaced. One pass without a shuffle.
+    name is replaced; repeated rows are scored each, an empty table gives no rows. One pass without a shuffle. (Words count as 1,000 bytes long at most, a bin's end.)
     """
     kept = [c for c in docs.columns if c not in (text, "quality_score")]
     docs = docs.select(*kept, F.col(text).alias("quality_score"))

@@ -162,6 +162,7 @@ def prefix_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     changes with it) and ``n_tokens`` (their sum, the text's own count). Input columns of these names are
     replaced. A null or empty text has no steps and 0 tokens; texts of any length are read whole; special tokens in a text
     count one each, as the tokenizer's library has it. ``path`` names the vocabulary file on every machine.
+    Repeated rows are counted each, an empty table gives no rows. A character at which the count changes by over 127, which no known vocabulary has, is an error.
     Without a shuffle: one pass in which each worker keeps a bounded table of words.
     """
     kept = [c for c in docs.columns if c not in (text, "token_steps", "n_tokens")]
