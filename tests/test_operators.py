@@ -1,5 +1,6 @@
 """Operators on hand-made grids and against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -258,6 +259,23 @@ def test_intervals_against_sets_of_points(spark):
     assert rows(intervals.interval_difference(da, db, ["k"])) == cells(a) ^ cells(b)
 
 
+def test_nearest_neighbours_of_crowded_and_lonely_points(spark):
+    """Half of all points in one small part of a cell, repeated places, points without others near; few places a cell, so several levels."""
+    rng = random.Random(31)
+    pts = [(i, 50 + rng.random() * 0.01, 50 + rng.random() * 0.01) for i in range(300)] + [(300 + i, rng.uniform(0, 100), rng.uniform(0, 100)) for i in range(250)]
+    pts += [(600 + i, 20.0, 20.0) for i in range(5)] + [(700, 50.004, 50.004), (701, 50.004, 50.004), (702, None, 1.0), (703, 1e6, 1e6)]
+    df = spark.createDataFrame(pts, "id long, x double, y double")
+    got = {r["id"]: (r["near_id"], round(r["distance"], 12)) for r in near.nearest_neighbour(df, df, 9.0, most=16).collect()}
+    due = {}
+    full = [p for p in pts if p[1] is not None]
+    for i, x, y in full:
+        best = min((math.hypot(x - u, y - v), j) for j, u, v in full if j != i)
+        if best[0] <= 9.0:
+            due[i] = (best[1], round(best[0], 12))
+    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in due.items()} and sum(got[k] != due[k] for k in due) == 0
+    assert near.nearest_neighbour(df, df.limit(0), 9.0).count() == 0 == near.nearest_neighbour(df.limit(0), df, 9.0).count()
+
+
 def test_nearest_neighbours_within_reach(spark):
     rng = random.Random(9)
     pts = [(i, rng.uniform(0, 50), rng.uniform(0, 50)) for i in range(200)]
