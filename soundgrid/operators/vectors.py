@@ -122,6 +122,14 @@ def snapped(ring: Column, digits: int = 9) -> Column:
     return F.filter(at, lambda p, i: (n == 1) | (p != F.element_at(at, F.pmod(i - 1 + n, n) + 1)))
 
 
+def snapped_within(features: DataFrame, digits: int, most: float, share: float) -> DataFrame:
+    """``features`` with rings on a decimal grid, the area that this ``lost``, and what is wrong: a ring ``eaten`` up, by over ``most`` and over a ``share`` of its area at once (either alone is wrong at some scale), or ``collapsed`` without that."""
+    told = features.withColumn("_was", ring_area(F.col("ring"))).withColumn("ring", snapped(F.col("ring"), digits))
+    told = told.withColumn("lost", F.col("_was") - ring_area(F.col("ring")))
+    problem = F.when((F.col("lost") > most) & (F.col("lost") > F.col("_was") * share), "eaten").when(F.size("ring") < 3, "collapsed")
+    return told.withColumn("problem", problem).drop("_was")
+
+
 def feature_tiles(features: DataFrame, maxzoom: int, keep: list[str] | None = None) -> DataFrame:
     """The tiles in which each feature is drawn: from its ``minzoom`` on (to its ``lastzoom``, if it has one), those that its box meets; positions in units of the world. ``keep`` names columns to pass on."""
     last = F.least(F.coalesce("lastzoom", F.lit(maxzoom)), F.lit(maxzoom))

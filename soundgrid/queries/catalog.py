@@ -150,9 +150,15 @@ def read_points(spark, sf_dir):
     return formats.points(table(spark, sf_dir, "customer").select(line.alias("value")))
 
 
-@query("SELECT l_returnflag AS source, min(l_quantity) AS low, max(l_quantity) AS high, round(avg(l_quantity), 9) AS mean, true AS negate FROM lineitem GROUP BY 1")
+PROBED = "SELECT 'p' || CAST(l_suppkey % 8 AS VARCHAR) AS source, CASE l_suppkey % 8 WHEN 0 THEN l_quantity WHEN 1 THEN -l_quantity WHEN 2 THEN l_quantity - 20 WHEN 3 THEN 20 - l_quantity WHEN 4 THEN l_quantity - 30 WHEN 5 THEN CASE WHEN l_linenumber = 1 THEN 60 ELSE -l_quantity END ELSE l_quantity - l_suppkey % 8 * 5 END AS z FROM lineitem"
+
+
+@query(with_views("SELECT source, min(z) AS low, max(z) AS high, round(avg(z), 9) AS mean, min(z) >= 0 OR (abs(max(z)) > abs(min(z)) AND max(z) > 0 AND avg(z) > 0) AS negate FROM probed GROUP BY 1", probed=PROBED))
 def source_probe(spark, sf_dir):
-    stats = registry.probe(table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("source"), F.col("l_quantity").alias("z")))
+    """Sources whose values are depths, heights or both."""
+    k, q = F.col("l_suppkey") % 8, F.col("l_quantity")
+    z = F.when(k == 0, q).when(k == 1, -q).when(k == 2, q - 20).when(k == 3, 20 - q).when(k == 4, q - 30).when(k == 5, F.when(F.col("l_linenumber") == 1, 60).otherwise(-q)).otherwise(q - k * 5)
+    stats = registry.probe(table(spark, sf_dir, "lineitem").select(F.concat(F.lit("p"), k.cast("string")).alias("source"), z.alias("z")))
     return stats.withColumn("mean", F.round("mean", 9))
 
 

@@ -173,14 +173,28 @@ def shared_edge_join(spark, sf_dir):
     return vectors.shared_edges(_boxes(spark, sf_dir))
 
 
-@query(with_views("SELECT id FROM boxes WHERE p_size < 25 OR 1 >= 16000000", boxes=BOXES))
+def _scaled(spark, sf_dir, w, h):
+    """Boxes from their lower left corners on, as wide and high as told."""
+    b = _boxes(spark, sf_dir)
+    x, y = F.col("ring")[0]["x"], F.col("ring")[0]["y"]
+    at = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    zero = F.lit(0.0)
+    return b.withColumn("ring", F.array(at(zero, zero), at(w, zero), at(w, h), at(zero, h)))
+
+
+@query(with_views("SELECT id FROM boxes WHERE p_size * 40 < 1000 OR (p_size % 7 + 1) * 1000 * (id % 5 + 1) * 1500 >= 16000000", boxes=BOXES))
 def deep_ring_drop(spark, sf_dir):
-    return vectors.deep_ring_drop(_boxes(spark, sf_dir).withColumn("level", F.col("p_size") * 40.0)).select("id")
+    """Rings of one to 52 square kilometres."""
+    rings = _scaled(spark, sf_dir, (F.col("p_size") % 7 + 1) * 1000.0, (F.col("id") % 5 + 1) * 1500.0)
+    return vectors.deep_ring_drop(rings.withColumn("level", F.col("p_size") * 40.0)).select("id")
+
+
+SIZED = "SELECT id, p_size % 2 = 0 AS drying, (p_size % 5 + 1) * CAST(0.5 AS DOUBLE) AS w, (id % 7 + 1) * CAST(0.25 AS DOUBLE) AS h FROM boxes"
 
 
-@query(with_views("SELECT id, p_size % 2 = 0 AS drying FROM boxes WHERE CASE WHEN p_size % 2 = 0 THEN NOT (1 < 2 AND CAST(1 AS DOUBLE) * 2 / 4 < 0.4) ELSE 1 >= 2 END", boxes=BOXES))
+@query(with_views("SELECT id, drying FROM sized WHERE CASE WHEN drying THEN NOT (w * h < 2 AND w * h * 2 / (2 * (w + h)) < 0.4) ELSE w * h >= 2 END", boxes=BOXES, sized=SIZED))
 def legibility_gates(spark, sf_dir):
-    b = _boxes(spark, sf_dir).withColumn("drying", F.col("p_size") % 2 == 0)
+    b = _scaled(spark, sf_dir, (F.col("p_size") % 5 + 1) * 0.5, (F.col("id") % 7 + 1) * 0.25).withColumn("drying", F.col("p_size") % 2 == 0)
     return b.filter(vectors.legible(vectors.ring_area(F.col("ring")), vectors.ring_length(F.col("ring")), 2.0, 0.4, F.col("drying"))).select("id", "drying")
 
 

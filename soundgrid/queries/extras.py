@@ -143,11 +143,18 @@ def clip_bbox(spark, sf_dir):
     return cut.select("id", vectors.ring_area(F.col("cut")).alias("area")).filter("area > 0")
 
 
-@query(with_views("SELECT id, CASE WHEN p_size % 2 = 0 THEN 4 ELSE 4 END AS vertices FROM boxes", boxes=BOXES))
+THIN = "SELECT id, p_size % 5 AS k, CASE p_size % 5 WHEN 0 THEN CAST(1 AS DOUBLE) WHEN 1 THEN CAST(2e-9 AS DOUBLE) WHEN 2 THEN CAST(3e-10 AS DOUBLE) WHEN 3 THEN CAST(1.4e-9 AS DOUBLE) ELSE CAST(5e-11 AS DOUBLE) END AS w FROM boxes"
+
+
+@query(with_views("SELECT id, CASE WHEN k IN (2, 4) THEN 2 ELSE 4 END AS vertices, round((w - CASE WHEN k IN (2, 4) THEN 0 WHEN k = 3 THEN CAST(1e-9 AS DOUBLE) ELSE w END) * 1e9, 3) AS lost, CASE k WHEN 2 THEN 'eaten' WHEN 4 THEN 'collapsed' END AS problem FROM thin", boxes=BOXES, thin=THIN))
 def snap_write_grid(spark, sf_dir):
-    """Points that fall on the one before are dropped by the grid."""
-    doubled = _boxes(spark, sf_dir).withColumn("ring", F.flatten(F.transform("ring", lambda p: F.array(p, F.struct((p["x"] + 1e-12).alias("x"), p["y"].alias("y"))))))
-    return doubled.select("id", F.size(vectors.snapped(F.col("ring"))).alias("vertices"))
+    """Boxes down to a twentieth of the grid's step wide: points that fall on the one before are dropped, and what a ring loses is told."""
+    k, x, y = F.col("p_size") % 5, F.col("ring")[0]["x"], F.col("ring")[0]["y"]
+    w = F.when(k == 0, 1.0).when(k == 1, 2e-9).when(k == 2, 3e-10).when(k == 3, 1.4e-9).otherwise(5e-11)
+    at = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    thin = _boxes(spark, sf_dir).select("id", F.array(at(x, y), at(x + w, y), at(x + w, y + 1.0), at(x, y + 1.0)).alias("ring"))
+    found = vectors.snapped_within(thin, 9, 1e-10, 0.5)
+    return found.select("id", F.size("ring").alias("vertices"), F.round(F.col("lost") * 1e9, 3).alias("lost"), "problem")
 
 
 @query(with_views("SELECT z, x, y, count(*) AS features FROM (SELECT id, z, CAST(floor(px * pow(CAST(2 AS DOUBLE), z)) AS INT) AS x, CAST(floor(py * pow(CAST(2 AS DOUBLE), z)) AS INT) AS y FROM (SELECT id, x / 128 AS px, y / 128 AS py, CAST(id % 5 AS INT) AS minzoom, CASE WHEN id % 3 = 0 THEN CAST(id % 5 AS INT) END AS lastzoom FROM points) p, (SELECT CAST(i AS INT) AS z FROM range(9) t(i)) zs WHERE z >= minzoom AND z <= coalesce(lastzoom, 8)) q GROUP BY 1, 2, 3"))
