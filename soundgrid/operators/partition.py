@@ -7,7 +7,6 @@ the lower left corner of what their boxes share. Cuts are made on the convex par
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -17,15 +16,10 @@ from pyspark.sql import functions as F
 from soundgrid.operators.graph import components
 from soundgrid.operators.intervals import interval_union
 from soundgrid.operators.polygons import POINTS, convex_parts, holes_of, polygon_area, polygon_rim
-from soundgrid.operators.vectors import _pairs, ring_area
+from soundgrid.operators.vectors import _once, _pairs, ring_area
 from soundgrid.shipping import ship, written
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once, however often ``use`` names it."""
-    return F.transform(F.array(value), use)[0]
-
-
 def signed_area(ring: Column) -> Column:
     """Positive where a ring runs anticlockwise."""
     return F.aggregate(_pairs(ring), F.lit(0.0), lambda s, e: s + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]) / 2.0

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _pairs(ring: Column) -> Column:
     """Each point of a ring with the one after it, the last with the first."""
     n = F.size(ring)
@@ -13,8 +20,14 @@ def _pairs(ring: Column) -> Column:
 
 
 def ring_area(ring: Column) -> Column:
-    """Shoelace area of a ring of ``struct<x, y>``."""
-    return F.abs(F.aggregate(_pairs(ring), F.lit(0.0), lambda s, e: s + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])) / 2.0
+    """Shoelace area of a ring of ``struct<x, y>``, from its first point: far from the origin a small ring's area isn't lost in its coordinates' products."""
+
+    def shoelace(r: Column) -> Column:
+        first = F.get(r, F.lit(0))
+        x, y = (lambda p: p["x"] - first["x"]), (lambda p: p["y"] - first["y"])
+        return F.abs(F.aggregate(_pairs(r), F.lit(0.0), lambda s, e: s + x(e["a"]) * y(e["b"]) - x(e["b"]) * y(e["a"]))) / 2.0
+
+    return _once(ring, shoelace)
 
 
 def ring_length(ring: Column) -> Column:
@@ -118,8 +131,12 @@ def clip_box(ring: Column, left: float, bottom: float, right: float, top: float)
 def snapped(ring: Column, digits: int = 9) -> Column:
     """Points on a decimal grid, without ones that repeat the point before."""
     at = F.transform(ring, lambda p: F.struct(F.round(p["x"], digits).alias("x"), F.round(p["y"], digits).alias("y")))
-    n = F.size(at)
-    return F.filter(at, lambda p, i: (n == 1) | (p != F.element_at(at, F.pmod(i - 1 + n, n) + 1)))
+
+    def apart(at: Column) -> Column:
+        n = F.size(at)
+        return F.filter(at, lambda p, i: (n == 1) | (p != F.element_at(at, F.pmod(i - 1 + n, n) + 1)))
+
+    return _once(at, apart)
 
 
 def snapped_within(features: DataFrame, digits: int, most: float, share: float) -> DataFrame:

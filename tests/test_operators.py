@@ -446,3 +446,11 @@ def test_segments_are_cut_to_a_box_and_chained(spark):
     assert {tuple(r) for r in cut.collect()} == {(1, 0.0, 5.0, 10.0, 5.0), (3, 1.0, 1.0, 2.0, 2.0), (4, 5.0, 0.0, 5.0, 5.0)}
     star = [(1, 0.0, 0.0, 1.0, 0.0), (2, 1.0, 0.0, 2.0, 0.0), (3, 2.0, 0.0, 3.0, 1.0), (4, 2.0, 0.0, 3.0, -1.0)]
     assert {r["id"]: r["chain"] for r in vectors.chains(spark.createDataFrame(star, kind)).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_small_areas_far_from_the_origin_are_exact(spark):
+    rows = [(1, [(39.0, 30000.0), (39.0 + 2e-9, 30000.0), (39.0 + 2e-9, 30001.0), (39.0, 30001.0)]), (2, [(39.0, 30000.0), (39.0 + 1.4e-9, 30000.0), (39.0 + 1.4e-9, 30001.0), (39.0, 30001.0)])]
+    df = spark.createDataFrame(rows, "id int, ring array<struct<x: double, y: double>>")
+    got = {r["id"]: round(r["lost"] * 1e9, 3) for r in vectors.snapped_within(df, 9, 1e-10, 0.5).collect()}
+    assert got == {1: 0.0, 2: 0.4} and vectors.snapped_within(df.limit(0), 9, 1e-10, 0.5).count() == 0
+    assert df.select(vectors.ring_area(F.array().cast("array<struct<x: double, y: double>>")).alias("a")).first()["a"] == 0.0
