@@ -454,3 +454,11 @@ def test_small_areas_far_from_the_origin_are_exact(spark):
     got = {r["id"]: round(r["lost"] * 1e9, 3) for r in vectors.snapped_within(df, 9, 1e-10, 0.5).collect()}
     assert got == {1: 0.0, 2: 0.4} and vectors.snapped_within(df.limit(0), 9, 1e-10, 0.5).count() == 0
     assert df.select(vectors.ring_area(F.array().cast("array<struct<x: double, y: double>>")).alias("a")).first()["a"] == 0.0
+
+
+def test_taps_of_points_are_never_broadcast(spark):
+    points = spark.range(10).select("id", F.lit(1.5).alias("x"), F.lit(2.5).alias("y"))
+    grid = spark.range(64).select(F.floor(F.col("id") / 8).cast("int").alias("r"), (F.col("id") % 8).cast("int").alias("c"), F.lit(3.0).alias("z"))
+    found = focal.bspline_sample(points, grid, 8)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [round(r["value"], 12) for r in found.collect()] == [3.0] * 10
