@@ -39,7 +39,7 @@ def nearest_neighbour(points: DataFrame, others: DataFrame, reach: float, most:
     """The nearest of ``others(id, x, y)`` to each of ``points(id, x, y)`` within ``reach``, not itself; ties to the smaller id.
 
     ``id, near_id, distance``; points without one have no row, and neither do nulls. Places of ``others`` are joined as one each with their two least ids, so that
-    repeated places are one. A point asks first in a cell that holds ``most`` places at most, or one as wide as the reach, and in the eight around. What it finds as near as the
+    repeated places are one. Points at a place with another id have that one. Any other asks first in a cell that holds ``most`` places at most, or one as wide as the reach, and in the eight around. What it finds as near as the
     cell is wide is the nearest; else it asks again in cells twice as wide, up to the reach. Points that ask again are farther from each other than the last cells were wide, so each cell
     has a few of them, however uneven the points are: no task meets a crowd with a crowd. (Points where no place is begin at the widest cells.)
     """
@@ -50,6 +50,12 @@ def nearest_neighbour(points: DataFrame, others: DataFrame, reach: float, most:
     second = known.join(shared, ["x", "y"]).filter(F.col("id") != F.col("_first")).groupBy("x", "y").agg(F.min("id").alias("second"))
     places = there.drop("last").join(second, ["x", "y"], "left")
     asking = points.filter("x is not null and y is not null").select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    # What stands at a point's own place is nearest, so only points that are alone there go on to ask around, however many share a place.
+    other = F.when(F.col("_p.first") != F.col("id"), F.col("_p.first")).otherwise(F.col("_p.second"))
+    stood = asking.join(places.select(F.col("x").alias("_x"), F.col("y").alias("_y"), F.struct("first", "second").alias("_p")), (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")), "left")
+    told = written(stood.select("id", "x", "y", other.alias("near_id"), F.sqrt((F.col("x") - F.col("_x")) ** 2 + (F.col("y") - F.col("_y")) ** 2).alias("distance")), "told")
+    here = told.filter("near_id is not null and distance = 0").select("id", "near_id", "distance")
+    asking = told.filter("not coalesce(near_id is not null and distance = 0, false)").select("id", "x", "y")
     # A point's level is that of the places' cell in which it lies; where there is none it begins at the widest.
     levels = written(leaf_levels(places, reach, most, deepest), "levels")
     used = [r[0] for r in levels.groupBy("level").count().orderBy("level").collect()]
@@ -60,7 +66,7 @@ def nearest_neighbour(points: DataFrame, others: DataFrame, reach: float, most:
     at = asking.withColumn("level", F.explode(F.array(*(F.lit(k) for k in used)))).select("id", "x", "y", "level", *_cell(reach, F.col("level")))
     first = at.join(leaf, ["level", "cx", "cy"]).groupBy("id", "x", "y").agg(F.max("level").alias("level"))
     asked = written(asking.join(first.select(F.col("id").alias("_id"), F.col("x").alias("_x"), F.col("y").alias("_y"), "level"), (F.col("id") == F.col("_id")) & (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")), "left").select("id", "x", "y", F.coalesce("level", F.lit(0)).alias("level")), "asking")
-    found = []
+    found = [here]
     for level in range(top, -1, -1):
         own = asked.filter(F.col("level") == level)
         step = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in _AROUND)))

@@ -462,3 +462,11 @@ def test_taps_of_points_are_never_broadcast(spark):
     found = focal.bspline_sample(points, grid, 8)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert [round(r["value"], 12) for r in found.collect()] == [3.0] * 10
+
+
+def test_points_that_share_a_place_ask_nowhere_else(spark, monkeypatch):
+    rows, written = {}, near.written
+    monkeypatch.setattr(near, "written", lambda df, name: rows.setdefault(name, []).append((out := written(df, name)).count()) or out)
+    df = spark.range(400).select("id", (F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 20 * 3).cast("double").alias("y"))
+    got = {r["id"]: (r["near_id"], r["distance"]) for r in near.nearest_neighbour(df, df, 4.0).collect()}
+    assert got == {i: (i % 20 if i >= 20 else i + 20, 0.0) for i in range(400)} and set(rows["asking"]) == {0}
