@@ -470,3 +470,13 @@ def test_points_that_share_a_place_ask_nowhere_else(spark, monkeypatch):
     df = spark.range(400).select("id", (F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 20 * 3).cast("double").alias("y"))
     got = {r["id"]: (r["near_id"], r["distance"]) for r in near.nearest_neighbour(df, df, 4.0).collect()}
     assert got == {i: (i % 20 if i >= 20 else i + 20, 0.0) for i in range(400)} and set(rows["asking"]) == {0}
+
+
+def test_spacing_of_points_that_share_places(spark, monkeypatch):
+    from soundgrid.operators import gates
+
+    rows, written = {}, near.written
+    monkeypatch.setattr(near, "written", lambda df, name: rows.setdefault(name, []).append((out := written(df, name)).count()) or out)
+    df = spark.range(101).select("id", (F.col("id") % 50).cast("double").alias("x"), F.when(F.col("id") == 100, 1e6).otherwise(0.0).alias("y"))
+    got = gates.density(df, 2.0).first()
+    assert (got["points"], got["alone"], got["p25"], got["p50"], got["p75"]) == (101, 1, 0.0, 0.0, 0.0) and max(rows["asking"]) == 1
