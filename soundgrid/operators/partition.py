@@ -7,17 +7,19 @@ the lower left corner of what their boxes share. Cuts are made on the convex par
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from soundgrid.operators.graph import components
 from soundgrid.operators.intervals import interval_union
-from soundgrid.operators.polygons import POINTS, convex_parts, holes_of, polygon_area, polygon_rim
+from soundgrid.operators.polygons import POINTS, convex_parts, corners_of, holes_of, polygon_area, polygon_rim, shared_areas
 from soundgrid.operators.vectors import _once, _pairs, ring_area
-from soundgrid.shipping import ship, written
+from soundgrid.shipping import mapped, ship, written
 
 
 def signed_area(ring: Column) -> Column:
@@ -84,12 +86,16 @@ def _boxed(features: DataFrame, points: Column, cell: float) -> DataFrame:
     return boxed.filter("x0 is not null").withColumn("_bx", bins("x0", "x1")).withColumn("_by", bins("y0", "y1"))
 
 
-def _meeting(a: DataFrame, b: DataFrame, keys: list[str], cell: float) -> DataFrame:
-    """Pairs ``_l, _r`` (structs) of both sides' binned rows whose boxes meet, once each."""
+def _meeting(a: DataFrame, b: DataFrame, keys: list[str], cell: float, inside: bool = False) -> DataFrame:
+    """Pairs ``_l, _r`` (structs) of both sides' binned rows whose boxes meet (with ``inside``, by more than their rims), once each.
+
+    By a merge: what features are cut into is far more than their file makes Spark expect, so it isn't broadcast.
+    """
     side = lambda d, s: d.select(*keys, "_bx", "_by", F.struct(*d.columns).alias(s))
-    met = side(a, "_l").join(side(b, "_r"), [*keys, "_bx", "_by"])
+    met = side(a, "_l").hint("merge").join(side(b, "_r"), [*keys, "_bx", "_by"])
     low = lambda k: F.floor(F.greatest(f"_l.{k}0", f"_r.{k}0") / cell)
-    boxes = (F.col("_l.x0") <= F.col("_r.x1")) & (F.col("_r.x0") <= F.col("_l.x1")) & (F.col("_l.y0") <= F.col("_r.y1")) & (F.col("_r.y0") <= F.col("_l.y1"))
+    before = (lambda p, q: F.col(p) < F.col(q)) if inside else (lambda p, q: F.col(p) <= F.col(q))
+    boxes = before("_l.x0", "_r.x1") & before("_r.x0", "_l.x1") & before("_l.y0", "_r.y1") & before("_r.y0", "_l.y1")
     return met.filter(boxes & (low("x") == F.col("_bx")) & (low("y") == F.col("_by")))
 
 
@@ -99,12 +105,20 @@ def _cuts(a: DataFrame, b: DataFrame, keys: list[str], cell: float, same: bool)
     Convex parts meet by their bins, so what is dealt into many bins has four corners however long its ring is, and what pairs of parts share is added up by feature.
     """
     binned = lambda d: _boxed(convex_parts(d, [*keys, "id"]), F.col("ring"), cell)
-    met = _meeting(binned(a), binned(b), keys, cell)
+    met = _meeting(binned(a), binned(b), keys, cell, True)
     met = met.filter("_l.id < _r.id") if same else met
-    # Exploded, so no filter on what is measured works the cut out again.
-    measured = F.transform(F.array(cut_by_convex(F.col("_l.ring"), F.col("_r.ring"))), ring_area)
-    shared = met.select(*keys, F.col("_l.id").alias("low"), F.col("_r.id").alias("high"), F.explode(measured).alias("area")).filter("area > 0")
-    return shared.groupBy(*keys, "low", "high").agg(F.sum("area").alias("area"))
+    read = met.select(*keys, F.col("_l.id").alias("low"), F.col("_r.id").alias("high"), F.col("_l.ring").alias("_p"), F.col("_r.ring").alias("_q"))
+    n = len(keys) + 2
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                area = shared_areas(corners_of(batch.column(n))[0], corners_of(batch.column(n + 1))[0])
+                found = pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(n)), pa.array(area)], [*batch.schema.names[:n], "area"])
+                yield found.filter(pa.array(area > 0))
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:n])
+    return mapped(read, cut, f"{kinds}, area double").groupBy(*keys, "low", "high").agg(F.sum("area").alias("area"))
 
 
 def boundary(features: DataFrame, keys: list[str]) -> DataFrame:
@@ -120,29 +134,34 @@ def _spans(met: DataFrame, keys: list[str], along: str) -> DataFrame:
 
     A segment along one of the ring's edges is inside with ``along`` "either", with "same" only if it runs the edge's way, with "none" never.
     """
-    none = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
-    seg = F.col("_l.segment")
-    sx, sy = seg["bx"] - seg["ax"], seg["by"] - seg["ay"]
-
-    def within(s: Column, e: Column) -> Column:
-        dx, dy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
-        still = F.lit(1e-12) * (F.abs(dx) + F.abs(dy)) * F.greatest(*(F.abs(seg[k]) for k in ("ax", "ay", "bx", "by")), F.lit(1.0))
-        flat = lambda d: F.when(F.abs(d) <= still, 0.0).otherwise(d)
-        left_of = lambda x, y: flat(dx * (y - e["a"]["y"]) - dy * (x - e["a"]["x"]))
-
-        def cut(d: Column) -> Column:
-            d0, d1 = d["a"], d["b"]
-            t = d0 / F.nullif(d0 - d1, F.lit(0.0))
-            on = (d0 == 0) & (d1 == 0) & (dx * sx + dy * sy <= 0 if along == "same" else F.lit(along == "none"))
-            outside = on | ((d0 < 0) & (d1 < 0)) | ((d0 < 0) & (d1 == 0)) | ((d0 == 0) & (d1 < 0))
-            lo = F.when(outside, 2.0).when((d0 < 0) & (d1 > 0), F.greatest(s["lo"], t)).otherwise(s["lo"])
-            hi = F.when((d0 > 0) & (d1 < 0), F.least(s["hi"], t)).otherwise(s["hi"])
-            return F.struct(lo.alias("lo"), hi.alias("hi"))
-
-        return _once(F.struct(left_of(seg["ax"], seg["ay"]).alias("a"), left_of(seg["bx"], seg["by"]).alias("b")), cut)
-
-    spans = met.select(*keys, seg.alias("segment"), F.explode(F.array(F.aggregate(_pairs(F.col("_r.ring")), none, within))).alias("t"))
-    return spans.select(*keys, "segment", "t.lo", "t.hi").filter("lo < hi")
+    read = met.select(*keys, F.col("_l.segment").alias("segment"), F.col("_r.ring").alias("_ring"))
+    n = len(keys) + 1
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ends = dict(zip(("ax", "ay", "bx", "by"), (c.to_numpy(zero_copy_only=False) for c in batch.column(n - 1).flatten())))
+            sx, sy = ends["bx"] - ends["ax"], ends["by"] - ends["ay"]
+            far = np.maximum(np.max(np.abs(np.stack(list(ends.values()))), axis=0), 1.0)
+            ring, counts = corners_of(batch.column(n))
+            lo, hi = np.zeros(len(ring)), np.ones(len(ring))
+            for e in range(int(counts.max())):
+                a, b = ring[:, e], ring[np.arange(len(ring)), (e + 1) % counts]
+                dx, dy = (b - a).T
+                still = 1e-12 * (np.abs(dx) + np.abs(dy)) * far
+                d0, d1 = (np.where(np.abs(d) <= still, 0.0, d) for d in (dx * (ends[f"{k}y"] - a[:, 1]) - dy * (ends[f"{k}x"] - a[:, 0]) for k in "ab"))
+                t = np.divide(d0, d0 - d1, out=np.zeros_like(d0), where=d0 != d1)
+                on = (d0 == 0) & (d1 == 0) & (dx * sx + dy * sy <= 0 if along == "same" else along == "none")
+                outside = on | ((d0 < 0) & (d1 < 0)) | ((d0 < 0) & (d1 == 0)) | ((d0 == 0) & (d1 < 0))
+                own = e < counts
+                lo = np.where(own & outside, 2.0, np.where(own & (d0 < 0) & (d1 > 0), np.maximum(lo, t), lo))
+                hi = np.where(own & (d0 > 0) & (d1 < 0), np.minimum(hi, t), hi)
+            found = pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(n)), pa.array(lo), pa.array(hi)], [*batch.schema.names[:n], "lo", "hi"])
+            yield found.filter(pa.array(lo < hi))
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:n])
+    return mapped(read, within, f"{kinds}, lo double, hi double")
 
 
 def _segments(edges: DataFrame, keys: list[str]) -> DataFrame:
@@ -160,8 +179,8 @@ def _shared_rims(pairs: DataFrame, features: DataFrame, keys: list[str], cell: f
     edges, parts = boundary(features, [*keys, "id"]), convex_parts(features, [*keys, "id"])
     found = None
     for own, other, along in (("low", "high", "same"), ("high", "low", "none")):
-        mine = _boxed(_segments(edges.withColumnRenamed("id", own).join(pairs, [*keys, own]), pair), F.col("ends"), cell)
-        theirs = _boxed(parts.withColumnRenamed("id", other).join(pairs, [*keys, other]).select(*pair, "ring"), F.col("ring"), cell)
+        mine = _boxed(_segments(edges.withColumnRenamed("id", own).hint("merge").join(pairs, [*keys, own]), pair), F.col("ends"), cell)
+        theirs = _boxed(parts.withColumnRenamed("id", other).hint("merge").join(pairs, [*keys, other]).select(*pair, "ring"), F.col("ring"), cell)
         spans = _spans(_meeting(mine, theirs, pair, cell), pair, along)
         inside = interval_union(spans, [*pair, "segment"]).select(*pair, ((F.col("hi") - F.col("lo")) * _segment_length()).alias("length"))
         found = inside if found is None else found.unionByName(inside)
@@ -176,7 +195,7 @@ def overlap_pairs(features: DataFrame, cell: float, keys: list[str] | None = Non
     keys = keys or []
     pairs = written(_cuts(features, features, keys, cell, True).filter(F.col("area") > least_area), "pairs")
     rims = _shared_rims(pairs.drop("area"), features, keys, cell)
-    return pairs.join(rims, [*keys, "low", "high"], "left").select(*keys, "low", "high", "area", (F.col("area") * 2.0 / F.col("rim")).alias("width"))
+    return pairs.hint("merge").join(rims, [*keys, "low", "high"], "left").select(*keys, "low", "high", "area", (F.col("area") * 2.0 / F.col("rim")).alias("width"))
 
 
 def dissolved(features: DataFrame, keys: list[str]) -> DataFrame:

@@ -254,3 +254,24 @@ def test_neighbours_keep_one_line_when_simplified(spark):
     assert on_line[0] == rest[1:-1]
     assert got[1][1] and 3 < len(got[3][0]) < 90 and abs(sum(area(got[i][0]) for i in (1, 2)) - 10000) < 1e-6
     assert len(got[4][0]) == 3 and got[5] == ([], False)
+
+
+def test_cut_features_are_never_broadcast(spark, rings):
+    df = spark.createDataFrame(rings, f"id long, ring {RING}")
+    plan = partition.overlap_pairs(df, 17.0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_areas_and_parts_of_batches_are_those_of_each_polygon():
+    import numpy as np
+
+    from soundgrid.operators import polygons
+
+    half = np.array([[[0.0, 0.0], [2.0, 0.0], [0.0, 2.0], [0.0, 2.0]]] * 2)
+    box = np.array([[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]], [[2.0, 0.0], [3.0, 0.0], [3.0, 1.0], [2.0, 1.0]]])
+    assert polygons.shared_areas(half, box).tolist() == [1.0, 0.0]
+    shapes = [np.array([(0, 0), (4, 0), (4, 3), (2, 1), (0, 3)], float), np.array([(1, 1), (2, 5), (0, 2)], float)]
+    a, b = np.concatenate(shapes), np.concatenate([np.roll(r, -1, axis=0) for r in shapes])
+    parts, owner = polygons.trapezoids_of(a, b, np.repeat([0, 1], [5, 3]))
+    for k, r in enumerate(shapes):
+        assert sorted(map(str, parts[owner == k].tolist())) == sorted(map(str, polygons.trapezoids([r]).tolist()))
