@@ -71,3 +71,14 @@ def test_repaired_features(spark):
     assert got.columns == ["k", "id", "part", "ring", "holes"]
     assert sorted((r["id"], r["part"], len(r["ring"]), len(r["holes"])) for r in got.collect()) == [(1, 0, 3, 0), (1, 1, 3, 0), (2, 0, 3, 1)]
     assert polygons.repaired(df.limit(0), ["k", "id"]).count() == 0
+
+
+def test_quadrangles_are_repaired_as_any_ring_without_its_steps():
+    rng, known = random.Random(8), 0
+    canon = lambda parts: sorted((min(tuple(map(tuple, np.roll(r, -k, axis=0).tolist())) for k in range(len(r))), len(h)) for r, h in parts)
+    for _ in range(300):
+        ring = np.array([(rng.uniform(0, 9), rng.uniform(0, 9)) for _ in range(4)])
+        got = polygons.quadrangle(ring)
+        known += got is not None
+        assert got is None or canon(got) == canon(polygons.repair([ring]))
+    assert known > 150 and polygons.quadrangle(np.array([(0, 0), (1, 0), (2, 0), (0, 1)], float)) is None
