@@ -19,7 +19,7 @@ from soundgrid.operators.graph import components
 from soundgrid.operators.intervals import interval_union
 from soundgrid.operators.polygons import POINTS, convex_parts, corners_of, holes_of, polygon_area, polygon_rim, shared_areas
 from soundgrid.operators.vectors import _once, _pairs, ring_area
-from soundgrid.shipping import mapped, ship, written
+from soundgrid.shipping import mapped, written
 
 
 def signed_area(ring: Column) -> Column:
@@ -307,13 +307,11 @@ def coverage_simplify(features: DataFrame, keys: list[str], tolerance: float, gu
     ends = edges.select(*keys, "edge", F.explode(F.array("p", "q")).alias("p"))
     met = ends.groupBy(*keys, "p").agg(F.count(F.lit(1)).alias("n"), F.min("edge").alias("a"), F.max("edge").alias("b")).filter("n = 2")
     lines = edges.join(components(met.select("a", "b")).withColumnRenamed("node", "edge"), "edge").select(*keys, "label", F.col("p.x").alias("ax"), F.col("p.y").alias("ay"), F.col("q.x").alias("bx"), F.col("q.y").alias("by"))
-    ship(features.sparkSession)
-
-    def walk(key: tuple, table: pa.Table) -> pa.Table:
+    def walk(lines: list) -> list[tuple]:
         ways = defaultdict(list)
-        for ax, ay, bx, by in zip(*(table.column(c).to_pylist() for c in ("ax", "ay", "bx", "by"))):
-            ways[ax, ay].append((bx, by))
-            ways[bx, by].append((ax, ay))
+        for e in lines:
+            ways[e["ax"], e["ay"]].append((e["bx"], e["by"]))
+            ways[e["bx"], e["by"]].append((e["ax"], e["ay"]))
         stops = [p for p, to in ways.items() if len(to) == 1]
         at = min(stops or ways)
         line = [at]
@@ -322,12 +320,19 @@ def coverage_simplify(features: DataFrame, keys: list[str], tolerance: float, gu
             ways[at].remove(to)
             ways[to].remove(at)
             line.append(at := to)
-        gone = sorted(_outline(line, tolerance**2, not stops))
-        kept = table.select(keys).slice(0, 1).take(pa.array([0] * len(gone), pa.int64()))
-        return kept.append_column("x", pa.array([p[0] for p in gone], pa.float64())).append_column("y", pa.array([p[1] for p in gone], pa.float64()))
+        return sorted(_outline(line, tolerance**2, not stops))
+
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [walk(line) for line in batch.column(len(keys)).to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(g) for g in found]), pa.int64())
+            xy = [pa.array([p[i] for g in found for p in g], pa.float64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(len(keys))), *xy], [*keys, "x", "y"])
 
     plane = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in keys), "x double, y double"])
-    gone = lines.groupBy(*keys, "label").applyInArrow(walk, plane)
+    # A line is a row, so many short ones are walked in one batch.
+    rows = lines.groupBy(*keys, "label").agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("line")).select(*keys, "line")
+    gone = mapped(rows, walked, plane)
     points = own.select(*keys, "id", F.posexplode("ring").alias("_k", "p")).select(*keys, "id", "_k", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
     left = points.join(gone, [*keys, "x", "y"], "left_anti").groupBy(*keys, "id").agg(F.sort_array(F.collect_list(F.struct("_k", "x", "y"))).alias("_ring"))
     short = F.transform("_ring", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).cast(POINTS)
