@@ -82,8 +82,14 @@ def _boxed(features: DataFrame, points: Column, cell: float) -> DataFrame:
     """Adds the box ``x0, y0, x1, y1`` and a row for each bin (``_bx, _by``) that it covers."""
     axis = lambda f, k: f(F.transform(points, lambda p: p[k]))
     boxed = features.withColumns({"x0": axis(F.array_min, "x"), "y0": axis(F.array_min, "y"), "x1": axis(F.array_max, "x"), "y1": axis(F.array_max, "y")})
-    bins = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)))
-    return boxed.filter("x0 is not null").withColumn("_bx", bins("x0", "x1")).withColumn("_by", bins("y0", "y1"))
+    return _binned(boxed.filter("x0 is not null"), cell)
+
+
+def _binned(boxed: DataFrame, cell: float, inside: bool = False) -> DataFrame:
+    """A row for each bin (``_bx, _by``) that a box covers; with ``inside`` not for those that it only touches with its right or upper side."""
+    last = (lambda v: F.greatest(F.ceil(F.col(v[1]) / cell) - 1, F.floor(F.col(v[0]) / cell))) if inside else (lambda v: F.floor(F.col(v[1]) / cell))
+    bins = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / cell), last((low, high))))
+    return boxed.withColumn("_bx", bins("x0", "x1")).withColumn("_by", bins("y0", "y1"))
 
 
 def _meeting(a: DataFrame, b: DataFrame, keys: list[str], cell: float, inside: bool = False) -> DataFrame:
@@ -104,8 +110,13 @@ def _cuts(a: DataFrame, b: DataFrame, keys: list[str], cell: float, same: bool)
 
     Convex parts meet by their bins, so what is dealt into many bins has four corners however long its ring is, and what pairs of parts share is added up by feature.
     """
-    binned = lambda d: _boxed(convex_parts(d, [*keys, "id"]), F.col("ring"), cell)
-    met = _meeting(binned(a), binned(b), keys, cell, True)
+    parts = lambda d: convex_parts(d, [*keys, "id"], boxed=True)
+    return _part_cuts(parts(a), parts(b), keys, cell, same)
+
+
+def _part_cuts(a: DataFrame, b: DataFrame, keys: list[str], cell: float, same: bool) -> DataFrame:
+    """What ``_cuts`` gives, for features that are cut into boxed convex parts already."""
+    met = _meeting(_binned(a, cell, True), _binned(b, cell, True), keys, cell, True)
     met = met.filter("_l.id < _r.id") if same else met
     read = met.select(*keys, F.col("_l.id").alias("low"), F.col("_r.id").alias("high"), F.col("_l.ring").alias("_p"), F.col("_r.ring").alias("_q"))
     n = len(keys) + 2
@@ -173,28 +184,32 @@ def _segment_length() -> Column:
     return F.sqrt((F.col("segment.bx") - F.col("segment.ax")) ** 2 + (F.col("segment.by") - F.col("segment.ay")) ** 2)
 
 
-def _shared_rims(pairs: DataFrame, features: DataFrame, keys: list[str], cell: float) -> DataFrame:
-    """``keys, low, high, rim`` of what pairs of features share: each one's boundary inside the other, and once where both run the same way."""
+def _shared_rims(pairs: DataFrame, features: DataFrame, parts: DataFrame, keys: list[str], cell: float) -> DataFrame:
+    """``keys, low, high, rim`` of what pairs of features share: each one's boundary inside the other, and once where both run the same way.
+
+    Only features that are in a pair have their boundary worked out; ``parts`` are the features' boxed convex parts.
+    """
     pair = [*keys, "low", "high"]
-    edges, parts = boundary(features, [*keys, "id"]), convex_parts(features, [*keys, "id"])
     found = None
     for own, other, along in (("low", "high", "same"), ("high", "low", "none")):
-        mine = _boxed(_segments(edges.withColumnRenamed("id", own).hint("merge").join(pairs, [*keys, own]), pair), F.col("ends"), cell)
-        theirs = _boxed(parts.withColumnRenamed("id", other).hint("merge").join(pairs, [*keys, other]).select(*pair, "ring"), F.col("ring"), cell)
+        mine = _boxed(_segments(boundary(features.withColumnRenamed("id", own).hint("merge").join(pairs, [*keys, own]), pair), pair), F.col("ends"), cell)
+        theirs = _binned(parts.withColumnRenamed("id", other).hint("merge").join(pairs, [*keys, other]).select(*pair, "ring", "x0", "y0", "x1", "y1"), cell)
         spans = _spans(_meeting(mine, theirs, pair, cell), pair, along)
         inside = interval_union(spans, [*pair, "segment"]).select(*pair, ((F.col("hi") - F.col("lo")) * _segment_length()).alias("length"))
         found = inside if found is None else found.unionByName(inside)
     return found.groupBy(*pair).agg(F.sum("length").alias("rim"))
 
 
-def overlap_pairs(features: DataFrame, cell: float, keys: list[str] | None = None, least_area: float = 1.0) -> DataFrame:
+def overlap_pairs(features: DataFrame, cell: float, keys: list[str] | None = None, least_area: float = 1.0, parts: DataFrame | None = None) -> DataFrame:
     """Pairs of features (of equal ``keys``) that share over ``least_area``: ``low, high, area, width``. Rings may be of any simple form, with ``holes``.
 
     The width is twice the area over the rim of what is shared, so a long hairline along a common edge counts as thin however long it is.
+    Features are cut into ``parts`` once (``keys, id`` and boxed convex parts), unless these are given.
     """
     keys = keys or []
-    pairs = written(_cuts(features, features, keys, cell, True).filter(F.col("area") > least_area), "pairs")
-    rims = _shared_rims(pairs.drop("area"), features, keys, cell)
+    parts = written(convex_parts(features, [*keys, "id"], boxed=True), "parts") if parts is None else parts
+    pairs = written(_part_cuts(parts, parts, keys, cell, True).filter(F.col("area") > least_area), "pairs")
+    rims = _shared_rims(pairs.drop("area"), features, parts, keys, cell)
     return pairs.hint("merge").join(rims, [*keys, "low", "high"], "left").select(*keys, "low", "high", "area", (F.col("area") * 2.0 / F.col("rim")).alias("width"))
 
 

@@ -275,3 +275,14 @@ def test_areas_and_parts_of_batches_are_those_of_each_polygon():
     parts, owner = polygons.trapezoids_of(a, b, np.repeat([0, 1], [5, 3]))
     for k, r in enumerate(shapes):
         assert sorted(map(str, parts[owner == k].tolist())) == sorted(map(str, polygons.trapezoids([r]).tolist()))
+
+
+def test_features_are_cut_once_and_lie_in_the_bins_that_they_share_ground_with(spark, monkeypatch):
+    made, own = [], partition.convex_parts
+    monkeypatch.setattr(partition, "convex_parts", lambda *args, **more: made.append(1) or own(*args, **more))
+    box = lambda i, x, y, w: (i, [{"x": x + dx * w, "y": y + dy * w} for dx, dy in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0))])
+    df = spark.createDataFrame([box(1, 0.0, 0.0, 5.0), box(2, 5.0, 0.0, 5.0), box(3, 0.0, 0.0, 10.0), box(4, -5.0, -5.0, 5.0), box(5, -7.0, 3.0, 8.5)], "id long, ring array<struct<x: double, y: double>>")
+    found = {(r["low"], r["high"], r["area"]) for r in partition.overlap_pairs(df, 5.0).collect()}
+    assert found == {(1, 3, 25.0), (2, 3, 25.0), (1, 5, 3.0), (3, 5, 10.5)} and len(made) == 1
+    parts = own(df, ["id"], boxed=True)
+    assert {r["id"]: r["count"] for r in partition._binned(parts, 5.0, True).groupBy("id").count().collect()} == {1: 1, 2: 1, 3: 4, 4: 1, 5: 9}
