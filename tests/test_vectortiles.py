@@ -145,3 +145,25 @@ def test_an_archive_that_is_whole_has_no_problems(spark):
     assert run(df.filter("not (z = 1 and x = 0 and y = 0)")) == []  # three of four children: nothing to compare
     assert run(df.filter("id <> 1 or z = 0").unionByName(df.filter("z = 1 and x = 0 and y = 0").withColumn("parts", F.transform("parts", lambda p: F.slice(p, 1, 3))))) == [("lost", 0, 0, 0, None)]
     assert run(df.filter("id <> 7")) == [("absent", None, None, None, 7), ("no soundings", None, None, None, None)]
+
+
+def test_a_check_cuts_its_bands_once(spark, monkeypatch):
+    made = {"tile_polygons": 0, "convex_parts": 0}
+
+    def counted(name):
+        own = getattr(tilechecks, name)
+
+        def run(*args, **more):
+            made[name] += 1
+            return own(*args, **more)
+
+        return run
+
+    for name in ("tile_polygons", "convex_parts"):
+        monkeypatch.setattr(tilechecks, name, counted(name), raising=False)
+    square = [{"x": 0, "y": 0}, {"x": 4096, "y": 0}, {"x": 4096, "y": 4096}, {"x": 0, "y": 4096}]
+    beyond = [{"x": 1024, "y": -80}, {"x": 4176, "y": -80}, {"x": 4176, "y": 2048}, {"x": 1024, "y": 2048}]
+    df = spark.createDataFrame([(0, 0, 0, "depare", 1, 3, [square], {}), (0, 0, 0, "depare", 2, 3, [beyond], {})], FEATURES)
+    expected = spark.createDataFrame([("depare", 1)], "layer string, id long")
+    found = {(r["problem"], r["id"], r["value"]) for r in tilechecks.selfcheck(df, expected, F.lit(0), F.col("layer") == "depare").collect()}
+    assert found == {("overlap", 1, 3072.0 * 2048.0), ("no soundings", None, None)} and made == {"tile_polygons": 1, "convex_parts": 1}
