@@ -10,6 +10,7 @@ import json
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,6 @@ from soundgrid.shipping import mapped, ship
 POINT, LINE, RING = 1, 2, 3
 PARTS = "array<array<struct<x: long, y: long>>>"
 FEATURE = f"layer string, id long, kind int, parts {PARTS}, properties map<string, string>"
-_PARTS = pa.list_(pa.list_(pa.struct([("x", pa.int64()), ("y", pa.int64())])))
 _PROPERTIES = pa.map_(pa.string(), pa.string())
 
 Point = tuple[float, float]
@@ -130,12 +130,22 @@ def into_tile(kind: int, parts: list[list[Point]], z: int, x: int, y: int, exten
     return out
 
 
-def _points(parts: list) -> list[list[Point]]:
-    return [[(p["x"], p["y"]) for p in part] for part in parts or []]
+def _read_parts(column: pa.ListArray) -> list[list[list[Point]]]:
+    """Each row's parts as lists of pairs; null ones are empty."""
+    lengths = lambda c: np.nan_to_num(c.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
+    inner = column.flatten()
+    points = list(zip(*(v.to_pylist() for v in inner.flatten().flatten())))
+    cut = lambda rows, counts: [rows[stop - n : stop] for n, stop in zip(counts.tolist(), np.cumsum(counts).tolist())]
+    return cut(cut(points, lengths(inner)), lengths(column))
 
 
-def _structs(parts: list[list[Point]]) -> list[list[dict]]:
-    return [[{"x": a, "y": b} for a, b in part] for part in parts]
+def _parts_array(rows: list[list[list[Point]]]) -> pa.ListArray:
+    """Rows' parts as an array column."""
+    parts = [part for row in rows for part in row]
+    points = [p for part in parts for p in part]
+    bounds = lambda groups: pa.array(np.cumsum([0, *map(len, groups)]), pa.int32())
+    flat = pa.StructArray.from_arrays([pa.array([p[k] for p in points], pa.int64()) for k in (0, 1)], ["x", "y"])
+    return pa.ListArray.from_arrays(bounds(rows), pa.ListArray.from_arrays(bounds(parts), flat))
 
 
 def _placed(features: DataFrame, keep: list[str], extent: int, buffer: int) -> DataFrame:
@@ -145,10 +155,10 @@ def _placed(features: DataFrame, keep: list[str], extent: int, buffer: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("kind", "parts", "z", "x", "y")]
-            found = [into_tile(k, _points(p), z, x, y, extent, buffer) for k, p, z, x, y in zip(*columns)]
+            kind, z, x, y = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("kind", "z", "x", "y"))
+            found = [into_tile(*row, extent, buffer) for row in zip(kind, _read_parts(batch.column(len(names) - 1)), z, x, y)]
             there = pa.array([i for i, f in enumerate(found) if f], pa.int64())
-            parts = pa.array([_structs(f) for f in found if f], _PARTS)
+            parts = _parts_array([f for f in found if f])
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(there) for k in range(len(names) - 1)), parts], names)
 
     return mapped(read, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields))
@@ -278,46 +288,61 @@ def encoded_value(text: str) -> bytes:
     return field(1, str(value).encode())
 
 
-def encoded_layer(name: str, features: list[dict], extent: int) -> bytes:
-    """A layer: its features refer to names and values by their place in the layer's own lists."""
-    names: dict[str, int] = {}
-    values: dict[bytes, int] = {}
-    body = []
-    for f in features:
-        tags = b""
-        for key, value in sorted(f["properties"] or []):
-            if value is not None:
-                tags += digits(names.setdefault(key, len(names))) + digits(values.setdefault(encoded_value(value), len(values)))
-        message = field(1, f["id"]) if f["id"] is not None else b""
-        message += (field(2, tags) if tags else b"") + field(3, f["kind"]) + field(4, b"".join(map(digits, commands(f["kind"], _points(f["parts"])))))
-        body.append(field(2, message))
-    return field(1, name.encode()) + b"".join(body) + b"".join(field(3, k.encode()) for k in names) + b"".join(field(4, v) for v in values) + field(5, extent) + field(15, 2)
-
+def encoded_tags(properties: list[tuple[str, str]] | None) -> bytes:
+    """Names and values that aren't null, by name, before they have their places in a layer's lists."""
+    return b"".join(field(1, key.encode()) + field(2, encoded_value(value)) for key, value in sorted(p for p in properties or [] if p[1] is not None))
 
-def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
-    i = 0
 
-    def number() -> int:
-        nonlocal i
-        n = shift = 0
+def encoded_layer(name: str, features: Iterator[tuple[int | None, int, bytes, bytes]], extent: int) -> list[bytes]:
+    """The pieces of a layer of ``id, kind, commands, tags``: its features refer to names and values by their place in the layer's own lists."""
+    names: dict[bytes, int] = {}
+    values: dict[bytes, int] = {}
+    known: dict[bytes, bytes] = {}
+    body = bytearray()
+    for number, kind, drawn, own in features:
+        tags = known.get(own)
+        if tags is None:
+            told = [bytes(v) for _, v in _fields(own)]
+            tags = b"".join(digits(names.setdefault(k, len(names))) + digits(values.setdefault(v, len(values))) for k, v in zip(told[::2], told[1::2]))
+            tags = field(2, tags) if tags else b""
+            if len(known) < 1 << 16:
+                known[own] = tags
+        body += field(2, (field(1, number) if number is not None else b"") + tags + field(3, kind) + field(4, drawn))
+    return [field(1, name.encode()), body, *(field(3, k) for k in names), *(field(4, v) for v in values), field(5, extent) + field(15, 2)]
+
+
+def _placed_fields(data: bytes) -> Iterator[tuple[int, int, int | bytes]]:
+    """Fields with the place at which they end."""
+    i, n = 0, len(data)
+
+    def number(i: int) -> tuple[int, int]:
+        value = shift = 0
         while True:
             byte = data[i]
             i += 1
-            n |= (byte & 127) << shift
+            value |= (byte & 127) << shift
             shift += 7
             if byte < 128:
-                return n
+                return value, i
 
-    while i < len(data):
-        key = number()
+    while i < n:
+        key, i = (data[i], i + 1) if data[i] < 128 else number(i)
         if key & 7 == 0:
-            yield key >> 3, number()
+            value, i = number(i)
+            yield i, key >> 3, value
             continue
-        size = number() if key & 7 == 2 else 8 if key & 7 == 1 else 4
-        yield key >> 3, data[i : i + size]
+        if key & 7 == 2:
+            size, i = (data[i], i + 1) if data[i] < 128 else number(i)
+        else:
+            size = 8 if key & 7 == 1 else 4
+        yield i + size, key >> 3, data[i : i + size]
         i += size
 
 
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    return ((number, value) for _, number, value in _placed_fields(data))
+
+
 def _numbers(data: bytes) -> list[int]:
     out, n, shift = [], 0, 0
     for byte in data:
@@ -342,53 +367,122 @@ def decoded_value(data: bytes) -> str:
     return "null"
 
 
-def decoded(payload: bytes) -> Iterator[tuple]:
-    """``layer, extent, id, kind, parts, properties`` of a payload's features."""
-    for number, layer in _fields(payload):
+def stretches(payload: bytes, most: int = 4096) -> Iterator[tuple[str, int, list[str], list[str], bytes]]:
+    """A payload's layers in stretches of about ``most`` features: ``layer, extent, names, values, features``.
+
+    A stretch has all of its layer's names and values, and no fewer features than these (but for the last one), so that all stretches together are no more than some times the payload.
+    """
+    for number, layer in _fields(memoryview(payload).cast("B")):
         if number != 3:
             continue
-        parts = list(_fields(layer))
-        name = next((v.decode() for n, v in parts if n == 1), "")
-        extent = next((v for n, v in parts if n == 5), 4096)
-        names, values = [v.decode() for n, v in parts if n == 3], [decoded_value(v) for n, v in parts if n == 4]
-        for n, feature in parts:
-            if n == 2:
-                own = dict(_fields(feature))
-                tags, kind = _numbers(own.get(2, b"")), own.get(3, 0)
-                yield name, extent, own.get(1), kind, geometry(kind, _numbers(own.get(4, b""))), [(names[k], values[v]) for k, v in zip(tags[::2], tags[1::2])]
+        texts: dict[int, list] = {1: [], 3: [], 4: [], 5: []}
+        bounds, n, at = [0], 0, 0
+        for at, number, value in _placed_fields(layer):
+            if number == 2:
+                n += 1
+                if n % most == 0:
+                    bounds.append(at)
+            elif number in texts:
+                texts[number].append(value)
+        name = bytes(texts[1][0]).decode() if texts[1] else ""
+        names, values = [bytes(v).decode() for v in texts[3]], [decoded_value(bytes(v)) for v in texts[4]]
+        bounds = bounds[:: max(1, -(-(len(names) + len(values)) // most))]
+        for start, stop in zip(bounds, [*bounds[1:], len(layer)]):
+            yield name, texts[5][0] if texts[5] else 4096, names, values, layer[start:stop]
+
+
+def features_of(stretch: bytes, names: list[str], values: list[str]) -> Iterator[tuple]:
+    """``id, kind, parts, properties`` of a stretch's features."""
+    for number, feature in _fields(stretch):
+        if number == 2:
+            own = dict(_fields(feature))
+            tags, kind = _numbers(own.get(2, b"")), own.get(3, 0)
+            yield own.get(1), kind, geometry(kind, _numbers(own.get(4, b""))), [(names[k], values[v]) for k, v in zip(tags[::2], tags[1::2])]
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly, to a few tasks a core: a small file may be one task's, and what is made of it far more."""
+    spark = df.sparkSession
+    return df.repartition(min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+
+
+def _slices(column: pa.ChunkedArray) -> tuple[np.ndarray, memoryview]:
+    """Where each value of a binary column starts and ends, and all bytes."""
+    whole = pa.concat_arrays(column.cast(pa.large_binary()).chunks) if column.num_chunks else pa.array([], pa.large_binary())
+    _, offsets, data = whole.buffers()
+    return np.frombuffer(offsets, np.int64, len(whole) + 1, whole.offset * 8), memoryview(data or b"")
 
 
 def packed(features: DataFrame, extent: int = 4096) -> DataFrame:
-    """``z, x, y, payload``: each tile's features as one payload, layers by name, features by id and then by what they draw. A tile is a group."""
+    """``z, x, y, payload``: each tile's features as one payload, layers by name, features by id and then by kind and what they draw.
+
+    Features are encoded where they are; a tile is a group of what they are encoded to, put in order and together.
+    """
     ship(features.sparkSession)
+    names = ["z", "x", "y", "layer", "id", "kind", "drawn", "tags"]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, properties = batch.column(5).to_pylist(), batch.column(7).to_pylist()
+            drawn = [b"".join(map(digits, commands(k, p))) for k, p in zip(kinds, _read_parts(batch.column(6)))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(6)), pa.array(drawn, pa.binary()), pa.array(map(encoded_tags, properties), pa.binary())], names)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        layers: dict[str, list] = {}
-        for row in table.to_pylist():
-            layers.setdefault(row["layer"], []).append(row)
-        order = lambda f: (f["id"] is None, f["id"] or 0, f["kind"], [tuple(map(tuple, part)) for part in _points(f["parts"])], sorted(f["properties"] or []))
-        payload = b"".join(field(3, encoded_layer(name, sorted(own, key=order), extent)) for name, own in sorted(layers.items()))
+        layers = table.column("layer").combine_chunks().dictionary_encode()
+        layers = layers.combine_chunks() if isinstance(layers, pa.ChunkedArray) else layers
+        told = layers.dictionary.to_pylist()
+        rank = np.argsort(sorted(range(len(told)), key=told.__getitem__))[layers.indices.to_numpy()]
+        absent = table.column("id").is_null().to_numpy()
+        ids, kinds = (table.column(c).fill_null(0).to_numpy() for c in ("id", "kind"))
+        order = np.lexsort((kinds, ids, absent, rank))
+        (at, drawn), (own, tags) = (_slices(table.column(c)) for c in ("drawn", "tags"))
+        keys = np.stack([v[order] for v in (rank, absent, ids, kinds)])
+        starts = np.append(np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))), len(order))
+        for k in np.flatnonzero(np.diff(starts) > 1):
+            run = order[starts[k] : starts[k + 1]].tolist()
+            order[starts[k] : starts[k + 1]] = sorted(run, key=lambda i: (bytes(drawn[at[i] : at[i + 1]]), bytes(tags[own[i] : own[i + 1]])))
+        bounds = np.append(np.flatnonzero(np.append(True, keys[0, 1:] != keys[0, :-1])), len(order))
+
+        def rows(run: np.ndarray) -> Iterator[tuple]:
+            for part in np.array_split(run, len(run) // 8192 + 1):
+                for i, none, number, kind, a, b, c, d in zip(*(v.tolist() for v in (part, absent[part], ids[part], kinds[part], at[part], at[part + 1], own[part], own[part + 1]))):
+                    yield None if none else number, kind, bytes(drawn[a:b]), bytes(tags[c:d])
+
+        pieces = []
+        for start, stop in zip(bounds, bounds[1:]):
+            layer = encoded_layer(told[int(layers.indices[int(order[start])].as_py())], rows(order[start:stop]), extent)
+            pieces += [digits(3 << 3 | 2) + digits(sum(map(len, layer))), *layer]
         z, x, y = (k.as_py() for k in key)
-        return pa.table([pa.array([z], pa.int32()), pa.array([x], pa.int64()), pa.array([y], pa.int64()), pa.array([payload], pa.binary())], ["z", "x", "y", "payload"])
+        return pa.table([pa.array([z], pa.int32()), pa.array([x], pa.int64()), pa.array([y], pa.int64()), pa.array([b"".join(pieces)], pa.binary())], ["z", "x", "y", "payload"])
 
     rows = features.select(F.col("z").cast("int").alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "layer", F.col("id").cast("long").alias("id"), F.col("kind").cast("int").alias("kind"), F.col("parts").cast(PARTS).alias("parts"), "properties")
-    return rows.groupBy("z", "x", "y").applyInArrow(run, "z int, x long, y long, payload binary")
+    encoded = mapped(_spread(rows), encode, "z int, x long, y long, layer string, id long, kind int, drawn binary, tags binary")
+    return encoded.groupBy("z", "x", "y").applyInArrow(run, "z int, x long, y long, payload binary")
 
 
 def unpacked(tiles: DataFrame) -> DataFrame:
-    """The features of ``tiles(z, x, y, payload)``, a row each, with their layer's ``extent``. Null and empty payloads have none."""
+    """The features of ``tiles(z, x, y, payload)``, a row each, with their layer's ``extent``. Null and empty payloads have none.
+
+    A payload is cut into stretches of features where it is, and these are dealt evenly and read, so that no task reads or holds all features of a large tile.
+    """
     read = tiles.select(F.col("z").cast("int").alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "payload")
 
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = pa.list_(pa.string())
+        for batch in batches:
+            for i, payload in enumerate(batch.column(3)):
+                for layer, extent, names, values, stretch in stretches(payload.as_buffer() if payload.is_valid else b""):
+                    own = [pa.array([v], k) for v, k in ((layer, pa.string()), (extent, pa.int32()), (names, texts), (values, texts), (bytes(stretch), pa.binary()))]
+                    yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(i, 1) for k in range(3)), *own], ["z", "x", "y", "layer", "extent", "names", "values", "stretch"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int32(), _PARTS, _PROPERTIES)
         for batch in batches:
-            owner, rows = [], []
-            for i, payload in enumerate(batch.column(3).to_pylist()):
-                for layer, extent, number, kind, parts, properties in decoded(payload or b""):
-                    owner.append(i)
-                    rows.append((layer, extent, number, kind, _structs(parts), properties))
-            columns = list(zip(*rows)) or [()] * 6
-            at = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(3)), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["z", "x", "y", "layer", "extent", "id", "kind", "parts", "properties"])
-
-    return mapped(read, run, f"z int, x long, y long, layer string, extent int, id long, kind int, parts {PARTS}, properties map<string, string>")
+            for i in range(batch.num_rows):
+                names, values, stretch = (batch.column(k)[i].as_py() for k in (5, 6, 7))
+                number, kind, parts, properties = list(zip(*features_of(stretch, names, values))) or [()] * 4
+                at = pa.array(np.full(len(number), i))
+                told = [pa.array(number, pa.int64()), pa.array(kind, pa.int32()), _parts_array(parts), pa.array(properties, _PROPERTIES)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(5)), *told], ["z", "x", "y", "layer", "extent", "id", "kind", "parts", "properties"])
+
+    cut = mapped(read, split, "z int, x long, y long, layer string, extent int, names array<string>, values array<string>, stretch binary")
+    return mapped(_spread(cut), run, f"z int, x long, y long, layer string, extent int, id long, kind int, parts {PARTS}, properties map<string, string>")

@@ -167,3 +167,17 @@ def test_a_check_cuts_its_bands_once(spark, monkeypatch):
     expected = spark.createDataFrame([("depare", 1)], "layer string, id long")
     found = {(r["problem"], r["id"], r["value"]) for r in tilechecks.selfcheck(df, expected, F.lit(0), F.col("layer") == "depare").collect()}
     assert found == {("overlap", 1, 3072.0 * 2048.0), ("no soundings", None, None)} and made == {"tile_polygons": 1, "convex_parts": 1}
+
+
+def test_a_large_tile_is_packed_and_read_by_many_tasks(spark):
+    own = F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).otherwise('"odd"')
+    at = F.struct((F.col("id") % 4096).alias("x"), (F.col("id") % 77 - 40).alias("y"))
+    features = spark.range(20000).select(F.lit(3).alias("z"), F.lit(1).cast("long").alias("x"), F.lit(2).cast("long").alias("y"), F.lit("a").alias("layer"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("id"), F.lit(2).alias("kind"), F.array(F.array(at, at)).alias("parts"), F.create_map(F.lit("n"), own).alias("properties"))
+    tiles = vectortiles.packed(features)
+    assert tiles.count() == 1
+    back = vectortiles.unpacked(tiles).withColumn("task", F.spark_partition_id()).collect()
+    assert plain(back) == plain(features.collect()) and len({r["task"] for r in back}) > 1
+    payload = bytes(vectortiles.packed(features.unionByName(features.withColumn("layer", F.lit("b")))).first()["payload"])
+    counts = [(name, len(names), len(values), sum(1 for _ in vectortiles.features_of(s, names, values))) for name, _, names, values, s in vectortiles.stretches(payload, 1000)]
+    # 10,001 values and a name: no stretch but the last one has fewer features.
+    assert counts == [(name, 1, 10001, n) for name in "ab" for n in (11000, 9000)]
