@@ -195,8 +195,14 @@ def tiled(features: DataFrame, maxzoom: int, extent: int = 4096, buffer: int = 5
     wide = room / F.pow(F.lit(2.0), F.col("minzoom").cast("double"))
     boxed = boxed.withColumns({c: F.col(c) + (wide if c[1] == "1" else -wide) for c in ("x0", "x1", "y0", "y1")})
     world = F.transform("parts", lambda part: F.transform(part, lambda p: F.struct(F.round(p["x"] * float(1 << 32)).cast("long").alias("x"), F.round(p["y"] * float(1 << 32)).cast("long").alias("y"))))
-    numbered = boxed.withColumn("id", F.col("id").cast("long"))
-    met = feature_tiles(numbered.select("id", "layer", "minzoom", "lastzoom", "x0", "x1", "y0", "y1", "kind", world.alias("parts"), "properties"), maxzoom, ["layer", "kind", "parts", "properties"])
+    numbered = boxed.withColumn("id", F.col("id").cast("long")).select("id", "layer", "minzoom", "lastzoom", "x0", "x1", "y0", "y1", "kind", world.alias("parts"), "properties")
+    numbered = _spread(numbered).withColumns({f"_{k}{i}": ends(f, k) for k in "xy" for i, f in ((0, F.array_min), (1, F.array_max))})
+    met = feature_tiles(numbered, maxzoom, ["layer", "kind", "parts", "properties", "_x0", "_x1", "_y0", "_y1"])
+    # As that margin is wider than a later zoom's, what lies beyond this one's is left out here.
+    size = F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(32) - F.col("z"))
+    margin = F.floor(size * buffer / 256)
+    near = lambda k: (F.col(f"_{k}1") - F.col(k) * size >= -margin) & (F.col(f"_{k}0") - F.col(k) * size <= size + margin)
+    met = met.filter(near("x") & near("y"))
     return _placed(met, ["layer", "id", "properties"], extent, buffer)
 
 

@@ -181,3 +181,15 @@ def test_a_large_tile_is_packed_and_read_by_many_tasks(spark):
     counts = [(name, len(names), len(values), sum(1 for _ in vectortiles.features_of(s, names, values))) for name, _, names, values, s in vectortiles.stretches(payload, 1000)]
     # 10,001 values and a name: no stretch but the last one has fewer features.
     assert counts == [(name, 1, 10001, n) for name in "ab" for n in (11000, 9000)]
+
+
+def test_tiles_from_one_task_are_cut_by_many_and_none_is_missed(spark):
+    rng = random.Random(12)
+    place = lambda: {"x": rng.uniform(-0.1, 1.1), "y": rng.uniform(-0.1, 1.1)}
+    rows = [("a", i, kind, [[place()] for _ in range(3)] if kind == 1 else [[place() for _ in range(4)] for _ in range(2)], {}, i % 3, None) for i in range(60) for kind in [i % 3 + 1]]
+    df = spark.createDataFrame(rows, "layer string, id long, kind int, parts array<array<struct<x: double, y: double>>>, properties map<string, string>, minzoom int, lastzoom int").coalesce(1)
+    tiles = vectortiles.tiled(df, 3)
+    found = {(r["z"], r["x"], r["y"], r["id"]): [[tuple(p) for p in part] for part in r["parts"]] for r in tiles.collect()}
+    world = lambda v: vectortiles.nearest(v * (1 << 32))
+    due = {(z, x, y, i): own for _, i, kind, parts, _, low, _ in rows for z in range(low, 4) for x in range(1 << z) for y in range(1 << z) if (own := vectortiles.into_tile(kind, [[(world(p["x"]), world(p["y"])) for p in part] for part in parts], z, x, y))}
+    assert found == due and tiles.rdd.getNumPartitions() > 1
