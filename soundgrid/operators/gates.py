@@ -88,11 +88,12 @@ def ab_terrain(pixels: DataFrame, tile: list[str], deep: float = -1000.0, most:
 def bare_rings(rings: DataFrame, pixels: DataFrame, soundings: DataFrame, height: int, rise: float = 0.05) -> DataFrame:
     """``id, level, shoalest, bare`` of closed isobaths ``rings(id, level, ring)`` that enclose a shoal: ground in them rises over their level by more than ``rise``. ``bare`` ones have no sounding in them.
 
-    The ground in a ring are the ``pixels(r, c, z)`` whose middles lie in it, by rows and crossings, whatever other rings lie there; ``soundings(x, y)`` are in pixels.
+    The ground in a ring are the ``pixels(r, c, z)`` whose middles lie in it, by rows and crossings, whatever other rings lie there; ``soundings(x, y)`` are in pixels,
+    and those that share a place are met as one.
     """
     inside = rasterize(rings.select("id", "ring"), height).join(pixels.filter("z < 0").select("r", "c", "z"), ["r", "c"]).groupBy("id").agg((-F.max("z")).alias("shoalest"))
     shoals = rings.select("id", "level").join(inside, "id").filter(F.col("shoalest") < F.col("level") - rise)
-    points = soundings.select(F.monotonically_increasing_id().alias("id"), "x", "y")
+    points = soundings.select("x", "y").distinct().select(F.struct("x", "y").alias("id"), "x", "y")
     owned = containing(points, rings.join(shoals.select("id"), "id", "left_semi").select(F.col("id").alias("ring_id"), "ring"), [], 1.0).select(F.col("ring_id").alias("id")).distinct().withColumn("_has", F.lit(True))
     return shoals.join(owned, "id", "left").select("id", "level", "shoalest", F.col("_has").isNull().alias("bare"))
 

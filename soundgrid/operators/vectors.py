@@ -14,9 +14,12 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _pairs(ring: Column) -> Column:
-    """Each point of a ring with the one after it, the last with the first."""
+    """Each point of a ring with the one after it, the last with the first.
+
+    The names are given as values: in a select with an ``explode``, Spark drops aliases in a nested lambda before it has read them.
+    """
     n = F.size(ring)
-    return F.transform(ring, lambda p, i: F.struct(p.alias("a"), F.element_at(ring, F.pmod(i + 1, n) + 1).alias("b")))
+    return F.transform(ring, lambda p, i: F.named_struct(F.lit("a"), p, F.lit("b"), F.element_at(ring, F.pmod(i + 1, n) + 1)))
 
 
 def ring_area(ring: Column) -> Column:

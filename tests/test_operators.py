@@ -480,3 +480,41 @@ def test_spacing_of_points_that_share_places(spark, monkeypatch):
     df = spark.range(101).select("id", (F.col("id") % 50).cast("double").alias("x"), F.when(F.col("id") == 100, 1e6).otherwise(0.0).alias("y"))
     got = gates.density(df, 2.0).first()
     assert (got["points"], got["alone"], got["p25"], got["p50"], got["p75"]) == (101, 1, 0.0, 0.0, 0.0) and max(rows["asking"]) == 1
+
+
+def test_areas_beside_an_explode(spark):
+    df = spark.createDataFrame([(1, [(0.0, 0.0), (4.0, 0.0), (0.0, 2.0)])], "id int, ring array<struct<x: double, y: double>>")
+    got = df.select("id", vectors.ring_area(F.col("ring")).alias("area"), F.explode(vectors._pairs(F.col("ring"))).alias("e")).select("area", "e.a.x", "e.b.y")
+    assert sorted(tuple(r) for r in got.collect()) == [(4.0, 0.0, 0.0), (4.0, 0.0, 0.0), (4.0, 4.0, 2.0)]
+
+
+def test_bare_rings_agree_with_brute_force(spark):
+    """Concave and nested rings, soundings that share a place, an empty ring and one that is null."""
+    from soundgrid.operators import gates
+
+    rng = random.Random(3)
+
+    def star(x, y, size):
+        return [(x + s * math.cos(k * math.pi / 5), y + s * math.sin(k * math.pi / 5)) for k in range(10) for s in [size * (1.0 if k % 2 else 0.4)]]
+
+    def inside(p, ring):
+        return sum((a[1] > p[1]) != (b[1] > p[1]) and a[0] + (p[1] - a[1]) / (b[1] - a[1]) * (b[0] - a[0]) < p[0] for a, b in zip(ring, ring[1:] + ring[:1])) % 2 == 1
+
+    rings = [(i, rng.choice([5.0, 10.0, 15.0]), star(rng.uniform(5, 35), rng.uniform(5, 35), rng.uniform(1, 9))[:: rng.choice([1, -1])]) for i in range(60)]
+    rings += [(60 + k, 15.0, star(20.1, 20.1, size)) for k, size in enumerate((3.0, 6.0, 12.0))] + [(63, 15.0, []), (64, 15.0, None)]
+    ground = {(r, c): rng.choice([None, 2.0, *(-rng.uniform(0, 18) for _ in range(4))]) for r in range(40) for c in range(40)}
+    soundings = [(rng.uniform(0, 40), rng.uniform(0, 40)) for _ in range(60)]
+    soundings += soundings[::2] + [(None, 20.0), (20.0, None)]
+    got = gates.bare_rings(
+        spark.createDataFrame(rings, "id int, level double, ring array<struct<x: double, y: double>>"),
+        spark.createDataFrame([(*p, z) for p, z in ground.items()], "r int, c int, z double"),
+        spark.createDataFrame(soundings, "x double, y double"),
+        40,
+    )
+    due = {}
+    for i, level, ring in rings:
+        depths = [-z for (r, c), z in ground.items() if z is not None and z < 0 and inside((c + 0.5, r + 0.5), ring or [])]
+        if depths and min(depths) < level - 0.05:
+            due[i] = (level, min(depths), not any(None not in p and inside(p, ring) for p in soundings))
+    assert {r["id"]: (r["level"], r["shoalest"], r["bare"]) for r in got.collect()} == due
+    assert len(due) > 40 and {bare for _, _, bare in due.values()} == {True, False}
